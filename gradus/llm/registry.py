@@ -1,13 +1,15 @@
 """The operators' queries, by name, and DuckDB SQL where it can express them."""
 
-from . import suffix_dedup
+from . import exact_dedup, near_dedup, suffix_dedup
 
 
 def queries():
     return {
         "op1_suffix_dedup": suffix_dedup.query,
+        "op4_near_dedup": near_dedup.query,
+        "op7_exact_dedup": exact_dedup.query,
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op7_exact_dedup": exact_dedup.ORACLE}
