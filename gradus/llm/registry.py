@@ -1,13 +1,16 @@
 """The operators' queries, by name, and DuckDB SQL where it can express them."""
 
-from . import exact_dedup, near_dedup, suffix_dedup
+from . import exact_dedup, near_dedup, packing, suffix_dedup, token_files, word_bpe
 
 
 def queries():
     return {
         "op1_suffix_dedup": suffix_dedup.query,
+        "op2_packing": packing.query,
+        "op3_token_files": token_files.query,
         "op4_near_dedup": near_dedup.query,
         "op7_exact_dedup": exact_dedup.query,
+        "op8_word_bpe": word_bpe.query,
     }
 
 
