@@ -6,9 +6,9 @@ one-permutation hashing, REPEATS times with BINS bins: each bin keeps its smalle
 of the bin that its own probe sequence reaches first. Every ROWS bins make a band's key; classes with a key in common
 are candidates. At a similarity of 0.75 all 40 keys differ with probability (1 - 0.75^5)^40 = 2e-5.
 
-Candidates are checked on whole texts, in stars: first each class with the centre it shares the most keys with, then
-with its other centres, then, in buckets whose members still lie in different components, with the next members in
-growing numbers until every pair of a bucket that could join two components was checked. Pairs that are already
+Candidates are checked on whole texts, in stars: first each class with the centre it shares the most keys with; then, in
+buckets whose members still lie in different components, with the bucket's first members in growing numbers (16, 256,
+...) until every pair of a bucket that could join two components was checked. Pairs that are already
 connected are not checked, so a group of g copies costs about g checks, and no link that matters is lost.
 
 Rows without doc_id are left out. Null texts are empty. Rows that share a doc_id fare alike. Other columns are ignored.
@@ -102,7 +102,7 @@ def _sketches(per_key: int):
 
 
 def _checked(percent: int):
-    """Rows (a, b, text_a, text_b) -> the pairs whose sets are similar enough."""
+    """Rows (a, b, x, y, text_a, text_b) -> those whose sets are similar enough, without the texts."""
 
     def sets(batch, name):
         _, buf, offsets = next(text_blocks([batch], "a", name, 1 << 62))
@@ -117,11 +117,28 @@ def _checked(percent: int):
                 for x, y in zip(sets(batch, "text_a"), sets(batch, "text_b"), strict=True):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     good.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+                yield batch.select(["a", "b", "x", "y"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """parents (node, label), label < node, one row a node -> the same with each node's last ancestor, by pointer jumping."""
+    while True:
+        up = parents.select(F.col("node").alias("label"), F.col("label").alias("above"))
+        jumped = stored(parents.join(up, "label", "left").select("node", F.coalesce("above", "label").alias("label"), F.col("above").isNotNull().alias("moved")), "parents")
+        parents = jumped.drop("moved")
+        if jumped.where("moved").isEmpty():
+            return parents
+
+
+def merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """labels (node, label; a node without a row is its own label) after joined (node, label) united some labels."""
+    to = joined.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    moved = labels.join(to, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    return stored(moved.unionByName(joined.join(labels, "node", "left_anti")), "labels")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row per row of docs with a doc_id. per_key: bins in a band's key, a divisor of BINS; fewer make more candidates."""
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -136,44 +153,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS) ->
 
     def check(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-        return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_checked(percent), "a long, b long")
+        return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y", "text_a", "text_b").mapInArrow(_checked(percent), "a long, b long, x long, y long")
 
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     sizes = member.where("keys is not null").select(F.col("rep").alias("centre"), F.col("n").alias("m")).distinct()
     stars = bucket.where("id > centre").groupBy("id", "n", "centre").count().join(sizes, "centre").where(fits)
-    stars = stored(stars.select(F.col("id").alias("a"), F.col("centre").alias("b"), F.row_number().over(Window.partitionBy("id").orderBy(F.desc("count"), "centre")).alias("rank")), "stars")
-    links = stored(check(stars.where("rank = 1")), "links")
-    labels = stored(components(links), "labels")
-    of = {x: lambda pairs, labels, x=x: pairs.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")), x, "left") for x in "ab"}
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        return of["b"](of["a"](pairs, labels), labels).where("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b")
-
-    def add(pairs: DataFrame) -> None:
-        nonlocal links, labels
-        more = stored(check(pairs), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = stored(components(links), "labels")
-
-    done = stars.select("a", "b")
-    rest = stored(apart(stars.where("rank > 1")), "pairs")
-    if not rest.isEmpty():
-        add(rest)
-    low, high = 1, 4
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("count"), "centre"))
+    done = stored(stars.select(F.col("id").alias("a"), F.col("centre").alias("b"), rank.alias("rank")).where("rank = 1").drop("rank"), "stars")
+    labels = roots(stored(check(done.withColumn("x", F.col("a")).withColumn("y", F.col("b"))), "links").select(F.col("a").alias("node"), F.col("b").alias("label")))
+    low, high = 0, 16
     while True:
         named = bucket.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
         mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("members")).where(f"x <> y and members > {low + 1}").select("key")
         open_ = stored(named.join(mixed, "key").withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("id"))), "open")
         if open_.isEmpty():
             break
-        centres = open_.where(F.col("rn").between(low + 1, high)).select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("rn").alias("at"))
-        pairs = open_.join(centres, "key").where(f"rn > at and label <> other and {fits}").select(F.col("id").alias("a"), "b").distinct()
+        centres = open_.where(F.col("rn").between(low + 1, high)).select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("y"), F.col("rn").alias("at"))
+        pairs = open_.join(centres, "key").where(f"rn > at and label <> y and {fits}").select(F.col("id").alias("a"), "b", F.col("label").alias("x"), "y").distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = done.unionByName(pairs)
-        if not pairs.isEmpty():
-            add(pairs)
-        low, high = high, high * 4
+        done = done.unionByName(pairs.select("a", "b"))
+        links = stored(check(pairs), "links")
+        if not links.isEmpty():
+            labels = merged(labels, components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+        low, high = high, high * 16
     out = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
