@@ -7,8 +7,9 @@ of the bin that its own probe sequence reaches first. Every ROWS bins make a ban
 are candidates. At a similarity of 0.75 all 40 keys differ with probability (1 - 0.75^5)^40 = 2e-5.
 
 Candidates are checked on whole texts, in stars: first each class with the centre it shares the most keys with; then, in
-buckets whose members still lie in different components, with the bucket's first members in growing numbers (16, 256,
-...) until every pair of a bucket that could join two components was checked. Pairs that are already
+buckets whose members still lie in different components, with the bucket's first members in growing numbers (64, 4096,
+...) until every pair of a bucket that could join two components was checked or, by an exact bound from the parities of
+hash counts, found too different. Pairs that are already
 connected are not checked, so a group of g copies costs about g checks, and no link that matters is lost.
 
 Rows without doc_id are left out. Null texts are empty. Rows that share a doc_id fare alike. Other columns are ignored.
@@ -23,7 +24,7 @@ from .components import components
 from .shared import stored
 from .spans import LOWER, U, mix, prefix_sums, ragged, span_hash, text_blocks, words
 
-WORDS, REPEATS, BINS, ROWS = 5, 8, 25, 5
+WORDS, REPEATS, BINS, ROWS, PARITY = 5, 8, 25, 5, 1024
 _PROBES = np.random.default_rng(7).integers(0, BINS, (BINS, 4096))
 _WEIGHTS = np.random.default_rng(8).integers(0, 1 << 63, WORDS, dtype=np.uint64) * U(2) + U(1)
 _SALTS = np.random.default_rng(9).integers(0, 1 << 63, REPEATS, dtype=np.uint64) * U(2) + U(1)
@@ -84,6 +85,17 @@ def band_keys(value: np.ndarray, count: np.ndarray, rows: int = ROWS) -> np.ndar
     return np.stack(keys, 1) if len(some) else np.zeros((0, REPEATS * BINS // rows), U)
 
 
+def parities(value: np.ndarray, count: np.ndarray) -> pa.Array:
+    """For each set, whether an odd number of its hashes falls into each of PARITY cells; 64 cells a long.
+
+    Sets whose parities differ in d cells differ in d hashes or more, an exact bound that costs no look at the sets.
+    """
+    owner = np.repeat(np.arange(len(count)), count)
+    odd = np.bincount(owner * PARITY + (value & U(PARITY - 1)).astype(np.int64), minlength=len(count) * PARITY) & 1
+    bits = np.packbits(odd.astype(bool).reshape(-1, PARITY), axis=1, bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(count) + 1, dtype=np.int32) * (PARITY // 64)), pa.array(bits.ravel()))
+
+
 def _sketches(per_key: int):
     def run(batches):
         for rows, buf, offsets in text_blocks(batches, "doc_id", "text"):
@@ -95,7 +107,7 @@ def _sketches(per_key: int):
             lengths = np.where(count > 0, keys.shape[1], 0)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(count.astype(np.int64)), pa.array((total[ends] - total[ends - count]).view(np.int64)), pa.array((other[ends] - other[ends - count]).view(np.int64)), lists], names=["doc_id", "n", "sig", "sig2", "keys"]
+                [rows.column("doc_id"), parities(value, count), pa.array(count.astype(np.int64)), pa.array((total[ends] - total[ends - count]).view(np.int64)), pa.array((other[ends] - other[ends - count]).view(np.int64)), lists], names=["doc_id", "parity", "n", "sig", "sig2", "keys"]
             )
 
     return run
@@ -142,9 +154,9 @@ def merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row per row of docs with a doc_id. per_key: bins in a band's key, a divisor of BINS; fewer make more candidates."""
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = stored(docs.mapInArrow(_sketches(per_key), "doc_id long, n long, sig long, sig2 long, keys array<long>"), "sketches")
+    rows = stored(docs.mapInArrow(_sketches(per_key), "doc_id long, parity array<long>, n long, sig long, sig2 long, keys array<long>"), "sketches")
     classes = rows.where("n > 0").groupBy("n", "sig", "sig2").agg(F.min("doc_id").alias("rep"))
-    member = stored(rows.join(classes, ["n", "sig", "sig2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("doc_id") == F.col("rep"), F.col("keys")).alias("keys")), "classes")
+    member = stored(rows.join(classes, ["n", "sig", "sig2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("keys", "parity")]), "classes")
 
     dealt = member.where("keys is not null").select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key")).distinct().repartition("key")
     shared = dealt.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last").drop("last")
@@ -161,21 +173,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS) ->
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("count"), "centre"))
     done = stored(stars.select(F.col("id").alias("a"), F.col("centre").alias("b"), rank.alias("rank")).where("rank = 1").drop("rank"), "stars")
     labels = roots(stored(check(done.withColumn("x", F.col("a")).withColumn("y", F.col("b"))), "links").select(F.col("a").alias("node"), F.col("b").alias("label")))
-    low, high = 0, 16
+    parity = member.where("keys is not null").select(F.col("rep").alias("id"), "parity").dropDuplicates(["id"])
+    differ = " + ".join(f"bit_count(parity[{i}] ^ other[{i}])" for i in range(PARITY // 64))
+    close = f"{100 + percent} * ({differ}) <= {100 - percent} * (n + m)"  # fewer differences than a similarity of percent allows
+    low, high = 0, 64
     while True:
         named = bucket.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
         mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("members")).where(f"x <> y and members > {low + 1}").select("key")
-        open_ = stored(named.join(mixed, "key").withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("id"))), "open")
+        open_ = stored(named.join(mixed, "key").join(parity, "id").withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("id"))), "open")
         if open_.isEmpty():
             break
-        centres = open_.where(F.col("rn").between(low + 1, high)).select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("y"), F.col("rn").alias("at"))
-        pairs = open_.join(centres, "key").where(f"rn > at and label <> y and {fits}").select(F.col("id").alias("a"), "b", F.col("label").alias("x"), "y").distinct()
+        centres = open_.where(F.col("rn").between(low + 1, high)).select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("y"), F.col("rn").alias("at"), F.col("parity").alias("other"))
+        pairs = open_.join(centres, "key").where(f"rn > at and label <> y and {fits} and {close}").select(F.col("id").alias("a"), "b", F.col("label").alias("x"), "y").distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = done.unionByName(pairs.select("a", "b"))
         links = stored(check(pairs), "links")
         if not links.isEmpty():
             labels = merged(labels, components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
-        low, high = high, high * 16
+        low, high = high, high * 64
     out = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 

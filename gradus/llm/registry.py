@@ -1,6 +1,6 @@
 """The operators' queries, by name, and DuckDB SQL where it can express them."""
 
-from . import exact_dedup, near_dedup, packing, suffix_dedup, token_files, word_bpe
+from . import ann, exact_dedup, language_id, near_dedup, packing, suffix_dedup, token_files, toxicity, word_bpe
 
 
 def queries():
@@ -9,8 +9,11 @@ def queries():
         "op2_packing": packing.query,
         "op3_token_files": token_files.query,
         "op4_near_dedup": near_dedup.query,
+        "op5_ann": ann.query,
         "op7_exact_dedup": exact_dedup.query,
         "op8_word_bpe": word_bpe.query,
+        "op9_toxicity": toxicity.query,
+        "op10_language_id": language_id.query,
     }
 
 
