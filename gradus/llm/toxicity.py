@@ -6,7 +6,9 @@ Viterbi finds the most probable word under a letter trigram model learned from a
 restored text is then scored by a logistic regression over hashed pieces of words (4 to 6 bytes, and whole words).
 
 The classifier is fitted on labelled rows: up to POSITIVES and NEGATIVES of them, by the smallest hashes of doc_id,
-weighted back to the shares of all labelled rows. It keeps the FEATURES pieces most typical of toxic texts.
+weighted back to the shares of all labelled rows; equal texts count once. It keeps the FEATURES pieces most typical of
+toxic texts. A whole word among them that OFTEN of the toxic texts hold sets a least score, its own odds: one
+such word is enough.
 
 A null text is empty and scores like a text without typical pieces. Null labels are not learned from; a doc_id labelled
 more than once counts as toxic if any label says so. Without labels of both kinds the score is the share of toxic labels (0
@@ -22,6 +24,7 @@ from .shared import fold, stored
 from .spans import LOWER, SPACE, U, prefix_sums, span_hash, text_blocks, words
 
 POSITIVES, NEGATIVES, CANDIDATES, FEATURES, PIECES = 8000, 16_000, 65_536, 2048, (4, 5, 6)
+OFTEN = 0.03  #: share of toxic texts that hold a word which is enough by itself
 LEAST_GAIN = 15.0  #: nats by which a piece must tell toxic texts from others; chance gives this to one piece in millions
 #: Letters a sign may stand for (fixed values).
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
@@ -202,7 +205,8 @@ def _piece_counts(batches):
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
         value, n = np.unique(h[new], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], names=["h", "n"])
+        whole = np.isin(value, next(pieces(buf, offsets))[0])
+        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(whole)], names=["h", "n", "word"])
 
 
 def _candidate_counts(chosen: np.ndarray):
@@ -226,7 +230,7 @@ def _hit_rows(chosen: np.ndarray):
     return run
 
 
-def logistic(text: np.ndarray, piece: np.ndarray, y: np.ndarray, weight: np.ndarray, n: int, steps: int = 400, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def logistic(text: np.ndarray, piece: np.ndarray, y: np.ndarray, weight: np.ndarray, n: int, steps: int = 2000, decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias, by Adam on all rows."""
     w, mean, square = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     w[n] = np.log((weight * y).sum() / (weight * (1 - y)).sum())
@@ -247,13 +251,13 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     chosen = [labels.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for k, most in ((1, positives), (0, negatives))]
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sample = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")  # positives + negatives rows of two numbers at most
-    sample = stored(restore(sample.select("doc_id", "text"), letters).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id"), "labelled")
+    sample = stored(restore(sample.select("doc_id", "text"), letters).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").dropDuplicates(["text", "toxic"]), "labelled")
     share = labels.agg(F.avg("toxic")).first()[0] or 0.0
     count = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not count.get(0) or not count.get(1):
-        return {"letters": letters, "pieces": np.zeros(0, U), "weights": np.zeros(0), "bias": None, "share": share}
+        return {"letters": letters, "pieces": np.zeros(0, U), "weights": np.zeros(0), "bias": None, "alone": np.zeros(0), "share": share}
     least = max(3, int(0.003 * count[1]))
-    often = sample.where("toxic = 1").mapInArrow(_piece_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    often = sample.where("toxic = 1").mapInArrow(_piece_counts, "h long, n long, word boolean").groupBy("h", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     often = often.orderBy(F.desc("n"), "h").limit(CANDIDATES).toPandas()
     hashes, with_toxic = often["h"].to_numpy(np.int64).view(U), often["n"].to_numpy(float)
     seen = sample.where("toxic = 0").mapInArrow(_candidate_counts(hashes), "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
@@ -262,14 +266,17 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     p, q = (with_toxic + 0.5) / (count[1] + 1), (without + 0.5) / (count[0] + 1)
     gain = np.where(p > 2 * q, count[1] * (p * np.log(p / q) + (1 - p) * np.log((1 - p) / (1 - q))), -1)
     best = np.argsort(-gain, kind="stable")[:FEATURES]
-    hashes = hashes[best[gain[best] > LEAST_GAIN]]
+    best = best[gain[best] > LEAST_GAIN]
+    alone = np.log(with_toxic / count[1] * share) - np.log((without + 1) / count[0] * (1 - share))
+    alone = np.where(often["word"].to_numpy(bool) & (with_toxic >= OFTEN * count[1]) & (gain > 2 * LEAST_GAIN), alone, -np.inf)[best]
+    hashes = hashes[best]
     rows = sample.mapInArrow(_hit_rows(hashes), "toxic int, hits array<int>").toPandas()  # a bounded sample's hits among few pieces
     y = rows["toxic"].to_numpy(float)
     size = rows["hits"].map(len).to_numpy(np.int64)
     piece = np.concatenate([*rows["hits"], np.zeros(0, np.int32)]).astype(np.int64)
     weight = np.where(y == 1, share / count[1], (1 - share) / count[0]) * len(y)
     weights, bias = logistic(np.repeat(np.arange(len(y)), size), piece, y, weight, len(hashes))
-    return {"letters": letters, "pieces": hashes, "weights": weights, "bias": bias, "share": share}
+    return {"letters": letters, "pieces": hashes, "weights": weights, "bias": bias, "alone": alone, "share": share}
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
@@ -283,7 +290,9 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 value = np.full(n, float(model["share"]))
             else:
                 text, piece = lookup.hits(*restorer(buf, offsets))
-                value = 1 / (1 + np.exp(-np.clip(model["bias"] + np.bincount(text, model["weights"][piece], n), -30, 30)))
+                z = model["bias"] + np.bincount(text, model["weights"][piece], n)
+                np.maximum.at(z, text, model["alone"][piece])
+                value = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(value), pa.array((value >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
