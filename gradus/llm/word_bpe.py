@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .spans import prefix_sums, ragged, span_hash, text_blocks
 from .tokens import space_led
 
-BLOCK = 8 << 20  #: bytes of text that share a word list
+BLOCK = 4 << 20  #: bytes of text that share a word list
 KNOWN = 2_000_000  #: words that a task remembers; more shuffle partitions make buckets smaller
 _memo: dict = {}
 _ranks: dict = {}
@@ -70,7 +70,7 @@ def _split(pattern: str):
         got = memo.get(key)
         if got is None:
             got = [x.encode() for x in find(chunk.decode("utf-8", "replace"))]
-            if len(memo) < 300_000:
+            if len(memo) < 150_000:
                 memo[key] = got
         return got
 
