@@ -1,8 +1,55 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: toxic texts go, then copies, then near copies, then long passages that stand earlier; what is left is packed.
 
+Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is written as Parquet and read
+again. All but the last return the columns of docs. Rows without doc_id go in the first stage. Rows that share a doc_id
+fare alike.
+"""
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from gradus.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
+from gradus.llm.shared import fold, stored
+
+#: SQL can't express the classifier, the near-duplicate components, the removal of passages or the tokens; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
-STAGES = []
+
+
+def drop_toxic(spark, docs, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold("doc_id") != 0).select("doc_id", "toxic")
+    return toxicity.without_toxic(docs, toxicity.train(docs.where(fold("doc_id") != 0).select("doc_id", "text"), labels))
+
+
+def drop_copies(spark, docs, sf_dir):
+    kept = exact_dedup.exact_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    kept = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def cut_repeats(spark, docs, sf_dir):
+    """Long passages stay where they stand first. Bytes of a character that was cut through become U+FFFD."""
+    left = suffix_dedup.remove_repeats(docs).withColumn("text", F.expr("make_valid_utf8(cast(kept as string))"))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(docs.columns)
+
+
+def pack(spark, docs, sf_dir):
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("near dedup", drop_near_copies), ("suffix dedup", cut_repeats), ("packing", pack)]
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES):
+        if i:
+            docs = stored(docs, "stage")
+        docs = stage(spark, docs, sf_dir)
+    return docs

@@ -1,6 +1,6 @@
 """The operators' queries, by name, and DuckDB SQL where it can express them."""
 
-from . import ann, exact_dedup, language_id, near_dedup, packing, suffix_dedup, token_files, toxicity, word_bpe
+from . import ann, exact_dedup, hmm, language_id, near_dedup, packing, suffix_dedup, token_files, toxicity, word_bpe
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op3_token_files": token_files.query,
         "op4_near_dedup": near_dedup.query,
         "op5_ann": ann.query,
+        "op6_hmm": hmm.query,
         "op7_exact_dedup": exact_dedup.query,
         "op8_word_bpe": word_bpe.query,
         "op9_toxicity": toxicity.query,

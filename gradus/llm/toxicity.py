@@ -279,26 +279,46 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     return {"letters": letters, "pieces": hashes, "weights": weights, "bias": bias, "alone": alone, "share": share}
 
 
+def _values(model: dict):
+    """A function from a block's bytes and offsets to its texts' scores."""
+    restorer, lookup = Restorer(model["letters"]), Lookup(model["pieces"])
+
+    def run(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        n = len(offsets) - 1
+        if model["bias"] is None:
+            return np.full(n, float(model["share"]))
+        text, piece = lookup.hits(*restorer(buf, offsets))
+        z = model["bias"] + np.bincount(text, model["weights"][piece], n)
+        np.maximum.at(z, text, model["alone"][piece])
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    return run
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, predicted."""
 
     def run(batches):
-        restorer, lookup = Restorer(model["letters"]), Lookup(model["pieces"])
+        values = _values(model)
         for rows, buf, offsets in text_blocks(batches, "doc_id", "text"):
-            n = len(offsets) - 1
-            if model["bias"] is None:
-                value = np.full(n, float(model["share"]))
-            else:
-                text, piece = lookup.hits(*restorer(buf, offsets))
-                z = model["bias"] + np.bincount(text, model["weights"][piece], n)
-                np.maximum.at(z, text, model["alone"][piece])
-                value = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            value = values(buf, offsets)
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(value), pa.array((value >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return docs.mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of docs, all columns, whose text isn't predicted to be toxic; one pass, no shuffle. Rows without doc_id go, too."""
+
+    def run(batches):
+        values = _values(model)
+        for rows, buf, offsets in text_blocks(batches, "doc_id", "text"):
+            yield rows.filter(pa.array(values(buf, offsets) < 0.5))
+
+    return docs.where("doc_id is not null").mapInArrow(run, docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
     model = train(docs.where(fold("doc_id") != 0).select("doc_id", "text"), labels.where(fold("doc_id") != 0).select("doc_id", "toxic"))
