@@ -25,7 +25,7 @@ def terms(text) -> Column:
     """Tokens of two word characters or more without accents, stop words left out, then one- and two-grams."""
     stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     tokens = F.filter(F.split(F.lower(unaccented(text)), "[^a-z0-9_]+"), lambda t: (F.length(t) >= 2) & ~F.array_contains(stop, t))
-    pairs = F.when(F.size(tokens) > 1, F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1)))).otherwise(F.array().cast("array<string>"))
+    pairs = F.array_compact(F.zip_with(tokens, F.slice(tokens, F.lit(2), F.size(tokens)), lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b))))
     return F.concat(tokens, pairs)
 
 
