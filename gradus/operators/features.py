@@ -65,4 +65,4 @@ def with_previous_rate(df: DataFrame, num: str, den: str) -> DataFrame:
 def model_matrix(df: DataFrame, numeric: Sequence[str], categories: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Numbers as doubles with missing flags, texts and booleans as texts with null as a category of its own."""
     numbers = [c for n in numeric for c in (F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n), F.col(n).isNull().cast("double").alias(f"{n}__absent"))]
-    return df.select(*keep, *numbers, *[F.coalesce(F.col(c).cast("string"), F.lit("__manquant__")).alias(c) for c in categories])
+    return df.select(*[k for k in keep if k not in (*numeric, *categories)], *numbers, *[F.coalesce(F.col(c).cast("string"), F.lit("__manquant__")).alias(c) for c in categories])

@@ -248,7 +248,7 @@ def _(spark, sf):
     return journals.current_counts(spark, target, ["kind"])
 
 
-NUMERIC, CATEGORIES = ["num", "effectif"], ["kind", "segment"]
+NUMERIC, CATEGORIES = ["num", "den"], ["kind", "segment"]
 
 
 def learning_rows(spark, sf):
