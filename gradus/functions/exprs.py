@@ -78,7 +78,8 @@ _FROM, _TO = _accents()
 
 def unaccented(text) -> Column:
     """Letters without their accents; other characters outside ASCII go."""
-    return F.regexp_replace(F.translate(_col(text), _FROM, _TO), r"[^\x00-\x7F]", "")
+    text = _col(text)
+    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.regexp_replace(F.translate(text, _FROM, _TO), r"[^\x00-\x7F]", ""))
 
 
 def label_key(text) -> Column:

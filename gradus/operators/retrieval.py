@@ -21,16 +21,21 @@ def documents(df: DataFrame, name: Column, position: str, fields: Sequence[str],
     return out.where("text <> ''")
 
 
-def terms(text) -> Column:
-    """Tokens of two word characters or more without accents, stop words left out, then one- and two-grams."""
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    tokens = F.filter(F.split(F.lower(unaccented(text)), "[^a-z0-9_]+"), lambda t: (F.length(t) >= 2) & ~F.array_contains(stop, t))
-    pairs = F.array_compact(F.zip_with(tokens, F.slice(tokens, F.lit(2), F.size(tokens)), lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b))))
-    return F.concat(tokens, pairs)
+def tokens(text) -> Column:
+    """Tokens of two word characters or more without accents, stop words left out."""
+    return F.filter(F.split(F.lower(unaccented(text)), "[^a-z0-9_]+"), lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))
+
+
+def with_pairs(words: str) -> Column:
+    """The tokens in a column, then each two neighbours."""
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
+    return F.concat(words, F.array_compact(pairs))
 
 
 def counted(df: DataFrame, key: str, text: str) -> DataFrame:
-    return df.select(key, F.explode(terms(text)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """key, term, tf of one- and two-grams; the tokens are made once, in a projection of their own."""
+    words = df.select(key, tokens(text).alias("_words"))
+    return words.select(key, F.explode(with_pairs("_words")).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def inverse_frequencies(tf: DataFrame, key: str, n: int) -> DataFrame:
