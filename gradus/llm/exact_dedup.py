@@ -62,6 +62,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     best = F.max(F.struct("n_chars", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus")))
     groups = found.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     groups = groups.select(F.col("recipe").alias("same"), (-F.col("best.minus")).alias("keep_id"), "group_size")
+    groups = stored(groups, "groups")  # so that the join deals both sides itself and may split a large group
     joined = found.join(groups, F.col("recipe") == F.col("same"))
     return joined.select("doc_id", "keep_id", F.col("group_size").cast("long"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("text_sha256")).alias("text_sha256"))
 
