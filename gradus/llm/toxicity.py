@@ -1,9 +1,9 @@
 """Operator 9: toxicity of texts whose words may be disguised.
 
 Words that look disguised (figures or signs among letters, letters repeated three times, single letters set apart) are
-read as noisy forms: a lattice gives each sign the letters it may stand for and lets repeats and separators vanish, and
-Viterbi finds the most probable word under a letter trigram model learned from all texts that may be learned from. The
-restored text is then scored by a logistic regression over hashed pieces of words (4 to 6 bytes, and whole words).
+read as noisy forms, whatever their length: a lattice gives each sign the letters it may stand for and lets repeats and
+separators vanish, and Viterbi finds the most probable word under a letter trigram model learned from all texts that may be
+learned from. Letters count as set apart from three in a row. The restored text is then scored by a logistic regression over hashed pieces of words (4 to 6 bytes, and whole words).
 
 The classifier is fitted on labelled rows: up to POSITIVES and NEGATIVES of them, by the smallest hashes of doc_id,
 weighted back to the shares of all labelled rows; equal texts count once. It keeps the FEATURES pieces most typical of
@@ -25,6 +25,7 @@ from .spans import LOWER, SPACE, U, prefix_sums, span_hash, text_blocks, words
 
 POSITIVES, NEGATIVES, CANDIDATES, FEATURES, PIECES = 8000, 16_000, 65_536, 2048, (4, 5, 6)
 OFTEN = 0.03  #: share of toxic texts that hold a word which is enough by itself
+MEMO = 64  #: bytes of the longest words whose readings are kept for the next time
 LEAST_GAIN = 15.0  #: nats by which a piece must tell toxic texts from others; chance gives this to one piece in millions
 #: Letters a sign may stand for (fixed values).
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
@@ -67,7 +68,7 @@ def letter_model(docs: DataFrame) -> np.ndarray:
 
 def decode(token: str, model: np.ndarray) -> str:
     """The most probable reading of a disguised word, by Viterbi over its lattice; letters outside ASCII stay."""
-    states = {(_EDGE, _EDGE): (0.0, "")}
+    states: dict = {(_EDGE, _EDGE): (0.0, None)}  # score, and the letters read as a chain from the last one
     for i, raw in enumerate(token):
         c = raw.lower()
         options = [(x, SIGN_COST) for x in SIGNS.get(c, "")]
@@ -88,9 +89,14 @@ def decode(token: str, model: np.ndarray) -> str:
                 else:
                     key, value = (a, b), score - cost
                 if key not in found or value > found[key][0]:
-                    found[key] = (value, text + x)
+                    found[key] = (value, (text, x) if x else text)
         states = found
-    return max(((s + model[a, b, _EDGE], t) for (a, b), (s, t) in states.items()))[1]
+    best = max(states, key=lambda at: states[at][0] + model[at[0], at[1], _EDGE])
+    text, out = states[best][1], []
+    while text is not None:
+        text, x = text
+        out.append(x)
+    return "".join(reversed(out))
 
 
 def disguised(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,13 +114,12 @@ def disguised(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     total = {k: np.append(0, np.cumsum(v)) for k, v in (("letter", letter), ("sign", sign), ("triple", triple), ("gap", gap))}
     n = {k: v[end] - v[start] for k, v in total.items()}
     odd = ((n["sign"] > 0) & (n["letter"] > 0)) | (n["triple"] > 0) | ((n["gap"] >= 2) & (n["letter"] == n["gap"] + 1))
-    odd &= end - start <= 40
     single = (end - start == 1) & (letter[start] | _IS_SIGN[buf[start]])
     joined = np.zeros(len(start), bool)
     joined[1:] = single[1:] & single[:-1] & (start[1:] == end[:-1] + 1) & (text[1:] == text[:-1])
     head = np.flatnonzero(single & ~joined)
     tail = np.flatnonzero(single & ~np.append(joined[1:], False))
-    long = (tail - head >= 3) & (tail - head < 40)
+    long = tail - head >= 2
     covered = np.zeros(len(start), bool)
     covered[single] = np.repeat(long, tail - head + 1)
     odd &= ~covered
@@ -137,7 +142,7 @@ class Restorer:
             got = self.memo.get(token)
             if got is None:
                 got = decode(token.decode("utf-8", "replace"), self.model).encode()
-                if len(self.memo) < 500_000:
+                if len(token) <= MEMO and len(self.memo) < 500_000:
                     self.memo[token] = got
             parts += [data[at:s], got]
             grown[t + 1] += len(got) - (e - s)
@@ -197,16 +202,15 @@ class Lookup:
 
 
 def _piece_counts(batches):
-    """Texts that hold each piece; by blocks, so memory doesn't follow the partition."""
+    """Texts that hold each piece; by blocks and a size at a time, so memory doesn't follow the partition."""
     for _, buf, offsets in text_blocks(batches, "doc_id", "text", 4 << 20):
-        all_h, all_t = (np.concatenate(x) for x in zip(*pieces(buf, offsets), strict=True))
-        order = np.lexsort((all_t, all_h))
-        h, t = all_h[order], all_t[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-        value, n = np.unique(h[new], return_counts=True)
-        whole = np.isin(value, next(pieces(buf, offsets))[0])
-        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(whole)], names=["h", "n", "word"])
+        for i, (h, t) in enumerate(pieces(buf, offsets)):
+            order = np.lexsort((t, h))
+            h, t = h[order], t[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
+            value, n = np.unique(h[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(np.full(len(value), i == 0))], names=["h", "n", "word"])
 
 
 def _candidate_counts(chosen: np.ndarray):

@@ -71,3 +71,27 @@ def test_toxicity_without_labels(spark):
     for labels, share in (([], 0.0), ([(1, 1), (1, 0), (2, None), (None, 0)], 1.0)):
         model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
         assert {r.score for r in toxicity.score(docs, model).collect()} == {share}
+
+
+def test_long_disguises_are_read(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    model = toxicity.train(docs.where(fold("doc_id") != 0), labels.where(fold("doc_id") != 0))
+    sentence = "the thing with that is this and so on but you are an idiot and that thing with the other is this so on and on and so the end of it all"
+    apart = " ".join(sentence.replace(" ", ""))
+    assert apart.count(" ") >= 99
+    joined = "the,thing,of,and,that,with,the,other,1d10t,and,that,is,all,of,it"
+    plain = "the thing of and that with "
+    clean = " ".join((plain * 6).replace(" ", ""))
+    rows = list(enumerate([apart, plain + "idi" + "o" * 196 + "t", joined])) + [(100, clean), (101, plain + joined.replace("1d10t", "1nsect")), (102, "a b " * 50_000)]
+    got = {r.doc_id: r.predicted for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 100: 0, 101: 0, 102: 0}
+
+
+def test_three_letters_set_apart():
+    docs = np.frombuffer(b"x y o u z1 o f", np.uint8)
+    start, end, _ = toxicity.disguised(docs, np.array([0, len(docs)]))
+    assert (0, 7) in set(zip(start.tolist(), end.tolist(), strict=True))
+    docs = np.frombuffer(b"and y o u or", np.uint8)
+    start, end, _ = toxicity.disguised(docs, np.array([0, len(docs)]))
+    assert (start.tolist(), end.tolist()) == ([4], [9])
