@@ -20,11 +20,18 @@ from .spans import LOWER, SPACE, text_blocks, words
 
 BUCKETS, SCRIPTS, PENALTY, BLOCK = 1 << 15, 16, 12.0, 8 << 20
 MOST_LANGUAGES = 1000
-#: Script of a character by its first UTF-8 byte (fixed ranges): 1 Latin, 2 Greek, 3 Cyrillic, 4 Armenian or Hebrew,
-#: 5 Arabic, 6 scripts of India and South-East Asia, 7 others below U+2000, 8 symbols and kana, 9 CJK, 10 Hangul and others
+#: Script of a character by its first UTF-8 byte (fixed ranges): 4 Latin, 5 Greek, 6 Cyrillic, 7 Armenian or Hebrew,
+#: 8 Arabic, 9 scripts of India and South-East Asia, 10 others below U+2000, 11 symbols and kana, 12 CJK, 13 Hangul and others
 _SCRIPT = np.zeros(256, np.uint8)
-for _low, _high, _script in ((0x41, 0x5A, 1), (0x61, 0x7A, 1), (0xC3, 0xCA, 1), (0xCD, 0xCF, 2), (0xD0, 0xD4, 3), (0xD5, 0xD7, 4), (0xD8, 0xDF, 5), (0xE0, 0xE0, 6), (0xE1, 0xE1, 7), (0xE3, 0xE3, 8), (0xE4, 0xE9, 9), (0xEA, 0xED, 10)):
+for _low, _high, _script in ((0x41, 0x5A, 4), (0x61, 0x7A, 4), (0xC3, 0xCA, 4), (0xCD, 0xCF, 5), (0xD0, 0xD4, 6), (0xD5, 0xD7, 7), (0xD8, 0xDF, 8), (0xE0, 0xE0, 9), (0xE1, 0xE1, 10), (0xE3, 0xE3, 11), (0xE4, 0xE9, 12), (0xEA, 0xED, 13)):
     _SCRIPT[_low : _high + 1] = _script
+#: First bytes of letters, signs and emoji alike; there the character decides. 1 to 3 are those that other scripts in a word
+#: outweigh: U+2000 to U+2FFF, full- and half-width forms, U+10000 to U+1FFFF.
+_MIXED = np.zeros(256, bool)
+_MIXED[[0xC2, 0xCB, 0xE2, 0xEF, 0xF0]] = True
+_CHARACTER = np.zeros(0x40000, np.uint8)
+for _low, _high, _script in ((0x80, 0xBF, 4), (0x2C0, 0x2FF, 4), (0x2000, 0x2FFF, 1), (0xF900, 0xFAFF, 12), (0xFB00, 0xFB06, 4), (0xFB07, 0xFB4F, 7), (0xFB50, 0xFEFF, 8), (0xFF00, 0xFFFF, 2), (0x10000, 0x1FFFF, 3), (0x20000, 0x3FFFF, 12)):
+    _CHARACTER[_low : _high + 1] = [_script * chr(c).isalpha() for c in range(_low, _high + 1)]
 
 
 def _folded(buf: np.ndarray) -> np.ndarray:
@@ -49,7 +56,13 @@ def _trigrams(buf: np.ndarray) -> np.ndarray:
 
 def _word_scripts(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Highest script code among the letters of each word (words in order, covering all but spaces)."""
-    return np.maximum.reduceat(_SCRIPT[buf], start) if len(start) else np.zeros(0, np.uint8)
+    if not len(start):
+        return np.zeros(0, np.uint8)
+    script, at = _SCRIPT[buf], np.flatnonzero(_MIXED[buf])
+    first, (b, c, d) = buf[at], (np.append(buf, np.zeros(3, np.uint8))[at + i].astype(np.int64) & 63 for i in (1, 2, 3))
+    point = np.where(first < 0xE0, (first & 31).astype(np.int64) << 6 | b, np.where(first < 0xF0, (first & 15).astype(np.int64) << 12 | b << 6 | c, b << 12 | c << 6 | d))
+    script[at] = _CHARACTER[point]
+    return np.maximum.reduceat(script, start)
 
 
 def _counts(languages: list[str]):

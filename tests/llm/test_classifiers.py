@@ -95,3 +95,23 @@ def test_three_letters_set_apart():
     docs = np.frombuffer(b"and y o u or", np.uint8)
     start, end, _ = toxicity.disguised(docs, np.array([0, len(docs)]))
     assert (start.tolist(), end.tolist()) == ([4], [9])
+
+
+def test_every_letter_has_a_script():
+    letters = "".join(c for c in map(chr, range(0x40000)) if c.isalpha())
+    buf = np.frombuffer(" ".join(letters).encode(), np.uint8)
+    start, _, _ = language_id.words(buf, np.array([0, len(buf)]))
+    script = language_id._word_scripts(buf, start)
+    assert len(script) == len(letters) and script.min() > 0 and script.max() < language_id.SCRIPTS
+    signs = np.frombuffer("— € · 😀 ™ 。".encode(), np.uint8)
+    assert language_id._word_scripts(signs, language_id.words(signs, np.array([0, len(signs)]))[0])[:5].tolist() == [0] * 5
+
+
+def test_languages_of_other_scripts(spark):
+    wide, tifinagh, adlam = "ｔｈｅ ｏｆ ａｎｄ ｔｈｉｓ", "ⴰⵣⵓⵍ ⵜⴰⵎⴰⵣⵉⵖⵜ ⴷ", "𞤢𞤣𞤤𞤢𞤥 𞤨𞤵𞤤𞤢𞤪"
+    train = [(i, "the of and this don’t ﬁrst — that", "en") for i in range(20)] + [(i, tifinagh, "zgh") for i in range(20, 40)] + [(i, adlam, "ff") for i in range(40, 60)]
+    model = language_id.train(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    rows = [(1, tifinagh), (2, adlam), (3, wide), (4, "😀 👍 — … ™"), (5, "don’t ﬁrst"), (6, "𝐭𝐡𝐞"), (7, "ﾃｽﾄ"), (8, "the — — — — — — — — —")]
+    got = {r.doc_id: r for r in language_id.label_languages(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 4, 5, 8)] == ["zgh", "ff", "und", "en", "en"] and got[4].score == 0
+    assert all(got[i].lang_pred != "und" and got[i].score > 0 for i in (3, 6, 7))
