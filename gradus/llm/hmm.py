@@ -4,16 +4,18 @@ Words (A-Z lower-cased) and one end a text are hashed into CLASSES classes; the
 emit classes, and a word has its share of its class, by counts: both tables keep their size whatever the corpus, and the
 word counts, which grow with it, are joined to the texts and never broadcast.
 
-1. A scan gives each block's distinct words with their training counts, dealt by class into buckets. Buckets meet across
-   all blocks, add up the counts, and hand every block its words' counts (learned from all training texts).
-2. Baum-Welch, ROUNDS times over all training texts: each partition adds up its expected transitions and emissions by
-   scaled forward-backward over stretches of up to STRETCH tokens; partitions' sums are added chunk by chunk.
-3. In each block the counts join the words; the scaled forward recursion over whole texts gives the exact likelihood
+1. One pass over the texts writes blocks (some MB of whole texts): the block's distinct words as 64-bit hashes, and the texts
+   as numbers among them. All that follows reads these blocks, which are less than half as large as the texts.
+2. Each block's words with their training counts are dealt by class into buckets, whose number follows the words listed. Buckets
+   meet across all blocks, add up the counts, and hand every block its words' counts (learned from all training texts).
+3. Baum-Welch, ROUNDS times over all training texts: each partition adds up its expected transitions and emissions by
+   scaled forward-backward over whole texts; partitions' sums are added chunk by chunk. A long text is computed in stretches side
+   by side: products of its transition matrices give the exact state distribution at each stretch's two ends, so nothing is cut.
+4. In each block the counts join the words; the scaled forward recursion over whole texts gives the exact likelihood
    of the classes, and the words' shares of their classes are added.
 
 Rows without doc_id are left out; a null text is empty (its end alone). Rows that share a doc_id fare each by itself, and all
-are learned from. docs must be rows that read the same twice (a table), as the scan runs for words and for texts. Other columns are ignored.
-Without training rows the counts are 0 and the model scores by its start values.
+are learned from. Other columns are ignored. Without training rows the counts are 0 and the model scores by its start values.
 """
 
 import zlib
@@ -21,24 +23,28 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import fold, stored
-from .spans import LOWER, U, mix, prefix_sums, span_hash, text_blocks, words
+from .spans import LOWER, U, prefix_sums, span_hash, text_blocks, words
 
-CLASSES, STATES, ROUNDS, STRETCH, BLOCK, CHUNKS = 1 << 15, 8, 4, 256, 4 << 20, 64
+CLASSES, STATES, ROUNDS, BLOCK, CHUNKS = 1 << 15, 8, 4, 4 << 20, 64
+STRETCH = 512  #: tokens of a text computed one after the other; longer texts are computed in several stretches side by side
+BUCKET_WORDS = 1 << 20  #: words listed in a bucket, about
 _ROW = "block long, bucket int, n int, payload binary"
+_BLOCK = "block long, n_words int, n_learn int, docs binary, learn binary, counts binary, hashes binary, places binary"
 
 
 def _tokens(buf: np.ndarray, offsets: np.ndarray):
-    """Hash, start, end and text of each word; 2 MB of text at a time."""
+    """Hash and text of each word; 2 MB of text at a time."""
     parts, i = [], 0
     while i < len(offsets) - 1:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + (2 << 20), "right")) - 1)
         low = LOWER[buf[offsets[i] : offsets[j]]]
         start, end, text = words(low, offsets[i : j + 1] - offsets[i])
-        parts.append((span_hash(prefix_sums(low), start, end), start + offsets[i], end + offsets[i], text + i))
+        parts.append((span_hash(prefix_sums(low), start, end), text + i))
         i = j
     return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
@@ -47,19 +53,11 @@ def _class(h: np.ndarray) -> np.ndarray:
     return (h & U(CLASSES - 1)).astype(np.int64)
 
 
-def _with_ends(classes: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _with_ends(classes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Class sequences with the end's class (CLASSES) after each text; tokens a text."""
-    count = np.bincount(text, minlength=n) + 1
-    out = np.full(int(count.sum()), CLASSES)
-    out[np.arange(len(classes)) + text] = classes
-    return out, count
-
-
-def _block_id(docs: np.ndarray, offsets: np.ndarray, buf: np.ndarray) -> int:
-    """From the block's rows, so that a second reading gives the same."""
-    parts = [np.frombuffer(docs.astype("<i8").tobytes() + offsets.astype("<i8").tobytes(), np.uint8), buf]
-    hashes = [span_hash(prefix_sums(x), np.array([0]), np.array([len(x)]))[0] for x in parts]
-    return int(mix(np.array([hashes[0] * U(3) + hashes[1]], U)).view(np.int64)[0])
+    out = np.full(len(classes) + len(count), CLASSES)
+    out[np.arange(len(classes)) + np.repeat(np.arange(len(count)), count)] = classes
+    return out, count + 1
 
 
 def _distinct(h: np.ndarray):
@@ -71,26 +69,57 @@ def _distinct(h: np.ndarray):
     return seen[order], place[number]
 
 
-def _scan_words(buckets: int):
-    """(block, bucket, n, hashes and training counts): a word is known by its 64-bit hash."""
+def _scan(batches):
+    """Texts (doc_id, text, learn) -> rows of _BLOCK."""
+    base = TaskContext.get().partitionId() << 32
+    for number, (rows, buf, offsets) in enumerate(text_blocks(batches, "doc_id", "text", BLOCK)):
+        docs, learn = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "learn"))
+        h, text = _tokens(buf, offsets)
+        seen, place = _distinct(h)
+        count = np.bincount(text, minlength=rows.num_rows)
+        data = [docs.astype("<i8"), learn.astype(np.uint8), count.astype("<u4"), seen.astype("<u8"), place.astype("<u4")]
+        columns = [pa.array([base + number]), pa.array([len(seen)], pa.int32()), pa.array([int(learn.sum())], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in data]]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "n_words", "n_learn", "docs", "learn", "counts", "hashes", "places"])
+
+
+def text_words(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, learn), learn not null -> blocks of texts as numbers among their distinct words."""
+    return stored(docs.mapInArrow(_scan, _BLOCK), "words")
+
+
+def _unpacked(row: dict):
+    """learn, words a text, hashes, places of a block."""
+    return [np.frombuffer(row[c], k) for c, k in (("learn", bool), ("counts", "<u4"), ("hashes", "<u8"), ("places", "<u4"))]
+
+
+def _blocks(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+_KIND = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("payload", pa.binary())])
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _KIND, strict=True)], schema=_KIND)
+
+
+def _listed(buckets: int):
+    """Blocks -> (block, bucket, n, hashes and training counts): a word is known by its 64-bit hash."""
 
     def run(batches):
-        for rows, buf, offsets in text_blocks(batches, "doc_id", "text", BLOCK):
-            docs = rows.column("doc_id").to_numpy(zero_copy_only=False)
-            learn = rows.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-            h, _, _, text = _tokens(buf, offsets)
-            seen, place = _distinct(h)
-            count = np.bincount(place[learn[text]], minlength=len(seen))
-            block, bucket = _block_id(docs, offsets, buf), _class(seen) % buckets
+        for row in _blocks(batches):
+            learn, counts, seen, place = _unpacked(row)
+            count = np.bincount(place[np.repeat(learn, counts)], minlength=len(seen))
+            bucket, out = _class(seen) % buckets, []
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            out = []
-            for b in range(buckets):
+            for b in np.flatnonzero(np.diff(edges)).tolist():
                 own = order[edges[b] : edges[b + 1]]
-                if len(own):
-                    out.append((block, b, len(own), zlib.compress(seen[own].tobytes() + count[own].astype("<u4").tobytes(), 1)))
+                out.append((row["block"], b, len(own), zlib.compress(seen[own].tobytes() + count[own].astype("<u4").tobytes(), 1)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["block", "bucket", "n", "payload"])
+                yield _rows(out)
 
     return run
 
@@ -112,15 +141,14 @@ def _counted(batches):
         some = np.unique(own)
         sums = np.stack([some, np.bincount(own, total[known], CLASSES)[some].astype(np.int64), np.bincount(own, minlength=CLASSES)[some]])
         out.append((0, rows[0]["bucket"], -1, sums.astype("<i8").tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["block", "bucket", "n", "payload"])
+        return _rows(out)
 
     held = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and held[0]["bucket"] != row["bucket"]:
-                yield solve(held)
-                held = []
-            held.append(row)
+    for row in _blocks(batches):
+        if held and held[0]["bucket"] != row["bucket"]:
+            yield solve(held)
+            held = []
+        held.append(row)
     if held:
         yield solve(held)
 
@@ -148,80 +176,139 @@ class Model:
         return np.log10((count + 0.5) / (self.tokens[classes] + 0.5 * (self.words[classes] + 1)))
 
 
-def forward(model: Model, obs: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """log10 likelihood of each sequence, the scaled forward recursion on all at once, the longest first."""
-    order = np.argsort(-count, kind="stable")
-    first, size = (np.cumsum(count) - count)[order], count[order]
-    out, logs = np.zeros(len(count)), np.zeros(len(count))
-    live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left")
-    state = None
-    for t, n in enumerate(live.tolist()):
-        state = (model.start[None] if state is None else state[:n] @ model.move) * model.emit[obs[first[:n] + t]]
-        scale = state.sum(1)
-        state = state / scale[:, None]
-        logs[:n] += np.log10(scale)
-    out[order] = logs
-    return out
-
-
-def expected(model: Model, obs: np.ndarray, count: np.ndarray):
-    """Expected starts, transitions and emissions, by scaled forward-backward."""
-    order = np.argsort(-count, kind="stable")
-    first, size = (np.cumsum(count) - count)[order], count[order]
-    live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left").tolist()
-    alpha, scale = np.zeros((len(obs), STATES)), np.ones(len(obs))
-    state = None
-    for t, n in enumerate(live):
-        at = first[:n] + t
-        state = (np.repeat(model.start[None], n, 0) if state is None else state[:n] @ model.move) * model.emit[obs[at]]
-        scale[at] = state.sum(1)
-        state = state / scale[at, None]
-        alpha[at] = state
-    move, gamma = np.zeros((STATES, STATES)), alpha
-    beta = np.ones((len(size), STATES))
-    for t in range(len(live) - 1, 0, -1):
-        at = first[: live[t]] + t
-        right = beta[: live[t]] * model.emit[obs[at]] / scale[at, None]
+class Stretches:
+    """Texts (obs, count) in stretches of at most `size` tokens, longest stretch first, and how states enter and leave them."""
+
+    def __init__(self, model: Model, obs: np.ndarray, count: np.ndarray, size: int):
+        self.model, self.obs = model, obs
+        parts = np.maximum(1, -(-count // size))
+        text = np.repeat(np.arange(len(count)), parts)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+        first = (np.cumsum(count) - count)[text] + nth * size
+        length = np.minimum(size, count[text] - nth * size)
+        order = np.argsort(-length, kind="stable")
+        self.text, self.nth, self.parts, self.first, self.length = text[order], nth[order], parts[text[order]], first[order], length[order]
+        self.live = np.searchsorted(-self.length, -np.arange(self.length[0] if len(order) else 0), "left").tolist()
+        n = len(order)
+        self.enter, self.leave = np.zeros((n, STATES)), np.ones((n, STATES))
+        many = np.flatnonzero(self.parts > 1)
+        if len(many):
+            self._join(many)
+
+    def _products(self, many: np.ndarray) -> np.ndarray:
+        """Of each stretch: P[i, j] in proportion to the probability of its tokens and of state j at its last one, given state i before it."""
+        m, n = self.model, len(many)
+        length, first, head = self.length[many], self.first[many], self.nth[many] == 0
+        live = np.searchsorted(-length, -np.arange(length[0]), "left").tolist()
+        out = np.where(head[:, None, None], np.eye(STATES), m.move) * m.emit[self.obs[first]][:, None, :]  # a text's first token has no step before it
+        for t in range(1, len(live)):
+            k = live[t]
+            step = (out[:k].reshape(-1, STATES) @ m.move).reshape(k, STATES, STATES)
+            step *= m.emit[self.obs[first[:k] + t]][:, None, :]
+            if t % 8 == 0:
+                step /= step.sum((1, 2), keepdims=True)
+            out[:k] = step
+        return out / out.sum((1, 2), keepdims=True)
+
+    def _join(self, many: np.ndarray) -> None:
+        product = self._products(many)
+        by = np.lexsort((self.nth[many], self.text[many]))  # a text's stretches one after the other
+        head = np.flatnonzero(self.nth[many][by] == 0)
+        parts = self.parts[many][by][head]
+        head, parts = head[np.argsort(-parts, kind="stable")], np.sort(parts)[::-1]
+        left, right = np.tile(self.model.start, (len(head), 1)), np.ones((len(head), STATES))
+        for k in range(parts[0]):
+            n = int((parts > k).sum())
+            at = by[head[:n] + k]
+            self.enter[many[at]] = left[:n]
+            left = np.einsum("ni,nij->nj", left[:n], product[at])
+            left /= left.sum(1, keepdims=True)
+        for k in range(parts[0] - 1, -1, -1):
+            n = int((parts > k).sum())
+            at = by[head[:n] + k]
+            self.leave[many[at]] = right[:n]
+            right[:n] = np.einsum("nij,nj->ni", product[at], right[:n])
+            right[:n] /= right[:n].sum(1, keepdims=True)
+
+    def forward(self, alpha: np.ndarray | None = None) -> np.ndarray:
+        """The scale of every token; alpha is filled with the states' distributions."""
+        m, scale, state = self.model, np.ones(len(self.obs)), None
+        for t, n in enumerate(self.live):
+            at = self.first[:n] + t
+            if state is None:
+                state = np.where((self.nth == 0)[:, None], m.start, self.enter @ m.move) * m.emit[self.obs[at]]
+            else:
+                state = (state[:n] @ m.move) * m.emit[self.obs[at]]
+            scale[at] = state.sum(1)
+            state = state / scale[at, None]
+            if alpha is not None:
+                alpha[at] = state
+        return scale
+
+
+def forward(model: Model, obs: np.ndarray, count: np.ndarray, stretch: int = STRETCH) -> np.ndarray:
+    """log10 likelihood of each whole text, by the scaled forward recursion."""
+    scale = Stretches(model, obs, count, stretch).forward()
+    return np.bincount(np.repeat(np.arange(len(count)), count), np.log10(scale), len(count))
+
+
+def expected(model: Model, obs: np.ndarray, count: np.ndarray, stretch: int = STRETCH):
+    """Expected starts, transitions and emissions of whole texts, by scaled forward-backward."""
+    s = Stretches(model, obs, count, stretch)
+    alpha = np.zeros((len(obs), STATES))
+    scale = s.forward(alpha)
+    move, last = np.zeros((STATES, STATES)), s.first + s.length - 1
+    beta = s.leave / (alpha[last] * s.leave).sum(1, keepdims=True)
+    gamma = alpha  # overwritten from each stretch's end
+    gamma_last = alpha[last] * beta
+    for t in range(len(s.live) - 1, 0, -1):
+        n = s.live[t]
+        at = s.first[:n] + t
+        right = beta[:n] * model.emit[obs[at]] / scale[at, None]
         move += alpha[at - 1].T @ right
-        beta[: live[t]] = right @ model.move.T
-        gamma[at - 1] = alpha[at - 1] * beta[: live[t]]
-    emit = np.stack([np.bincount(obs, gamma[:, s], CLASSES + 1) for s in range(STATES)], 1)
-    return gamma[first].sum(0) if len(first) else np.zeros(STATES), move * model.move, emit
+        beta[:n] = right @ model.move.T
+        gamma[at - 1] = alpha[at - 1] * beta[:n]
+    gamma[last] = gamma_last
+    later = s.nth > 0  # the step into a stretch
+    at = s.first[later]
+    move += s.enter[later].T @ (beta[later] * model.emit[obs[at]] / scale[at, None])
+    emit = np.stack([np.bincount(obs, gamma[:, k], CLASSES + 1) for k in range(STATES)], 1)
+    begin = s.first[~later]
+    return gamma[begin].sum(0) if len(begin) else np.zeros(STATES), move * model.move, emit
 
 
 def _expectations(model):
     def run(batches):
         m = model.value
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES + 1, STATES))
-        for rows, buf, offsets in text_blocks(batches, "doc_id", "text"):
-            h, _, _, text = _tokens(buf, offsets)
-            obs, count = _with_ends(_class(h), text, len(offsets) - 1)
-            pieces = np.maximum(1, -(-count // STRETCH))
-            cut = np.full(int(pieces.sum()), STRETCH)
-            cut[np.cumsum(pieces) - 1] = count - (pieces - 1) * STRETCH
-            for total, more in zip((start, move, emit), expected(m, obs, cut), strict=True):
-                total += more
-        flat = np.concatenate([start, move.ravel(), emit.ravel()]).astype("<f4")
+        for row in _blocks(batches):
+            learn, counts, seen, place = _unpacked(row)
+            obs, count = _with_ends(_class(seen)[place[np.repeat(learn, counts)]], counts[learn].astype(np.int64))
+            if len(count):
+                for total, more in zip((start, move, emit), expected(m, obs, count), strict=True):
+                    total += more
+        flat = np.concatenate([start, move.ravel(), emit.ravel()]).astype("<f8")
         size = -(-len(flat) // CHUNKS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CHUNKS, dtype=np.int32)), pa.array([flat[i * size : (i + 1) * size].tobytes() for i in range(CHUNKS)], pa.binary())], names=["chunk", "sums"])
+        chunks = pa.array([flat[i * size : (i + 1) * size].tobytes() for i in range(CHUNKS)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CHUNKS, dtype=np.int32)), chunks], names=["chunk", "sums"])
 
     return run
 
 
 def _added(batches):
     total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            part = np.frombuffer(row["sums"], "<f4").astype(float)
-            total[row["chunk"]] = total[row["chunk"]] + part if row["chunk"] in total else part
+    for row in _blocks(batches):
+        part = np.frombuffer(row["sums"], "<f8")
+        total[row["chunk"]] = total[row["chunk"]] + part if row["chunk"] in total else part
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["chunk", "sums"])
 
 
-def baum_welch(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
-    """docs (doc_id, text): all are learned from, in every round."""
+def baum_welch(blocks: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
+    """blocks as text_words() gives them: all their texts with learn are learned from, in every round."""
+    blocks = blocks.select("learn", "counts", "hashes", "places")
     for _ in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of states and classes
-        sums = docs.mapInArrow(_expectations(shared), "chunk int, sums binary").repartition(CHUNKS, "chunk").mapInArrow(_added, "chunk int, sums binary")
+        shared = blocks.sparkSession.sparkContext.broadcast(model)  # a fixed number of states and classes
+        sums = blocks.mapInArrow(_expectations(shared), "chunk int, sums binary").repartition(CHUNKS, "chunk").mapInArrow(_added, "chunk int, sums binary")
         flat = np.concatenate([np.zeros(0), *[np.frombuffer(r.sums, float) for r in sorted(sums.collect(), key=lambda r: r.chunk)]])
         if not len(flat):
             return model
@@ -231,72 +318,63 @@ def baum_welch(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, learn) -> each block's words' counts over the texts to learn from, bucket by bucket."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.mapInArrow(_scan_words(buckets), _ROW).repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-    return stored(dealt.mapInArrow(_counted, _ROW), "counts")
+def word_counts(blocks: DataFrame) -> tuple[DataFrame, int]:
+    """Each block's words' counts over the texts to learn from, bucket by bucket; and the number of buckets."""
+    listed = blocks.agg(F.sum("n_words")).first()[0] or 0
+    buckets = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-listed // BUCKET_WORDS))
+    blocks = blocks.select("block", "learn", "counts", "hashes", "places")
+    dealt = blocks.mapInArrow(_listed(buckets), _ROW).repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
+    return stored(dealt.mapInArrow(_counted, _ROW), "counts"), buckets
 
 
-def _scored(model):
-    schema = [("doc_id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+_SCORES = [("doc_id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+
 
+def _scored(model):
     def solve(key, texts: pa.Table, counts: pa.Table) -> pa.Table:
         m, out = model.value, []
         found = {r["bucket"]: np.frombuffer(zlib.decompress(r["payload"]), "<u8") for r in counts.to_pylist()}
-        for batch in texts.combine_chunks().to_batches():
-            for rows, buf, offsets in text_blocks([batch], "doc_id", "text", 1 << 62):
-                n = len(offsets) - 1
-                h, _, _, text = _tokens(buf, offsets)
-                seen, place = _distinct(h)
-                own = _class(seen)
-                bucket = own % m.buckets
-                count = np.zeros(len(seen), np.int64)
-                order = np.argsort(bucket, kind="stable")
-                got = np.concatenate([np.zeros(0, np.int64), *[found[b].astype(np.int64) for b in sorted(found)]])
-                if len(got) != len(seen):
-                    raise ValueError("a block's words didn't return: docs gave other rows when read again")
-                count[order] = got
-                known = np.bincount(text, count[place] > 0, n) + (m.texts > 0)
-                base = np.bincount(text, np.log10(count + 0.5)[place], n) + np.log10(m.texts + 0.5)
-                share = np.bincount(text, m.share(own, count)[place], n)
-                obs, size = _with_ends(_class(h), text, n)
-                score = forward(m, obs, size) + share
-                base -= size * np.log10(m.n + 0.5 * (m.v + 1))
-                out.append([rows.column("doc_id"), rows.column("learn"), pa.array(size), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)])
-        columns = [pa.concat_arrays(x) for x in zip(*out, strict=True)] if out else [pa.array([], t) for _, t in schema]
-        return pa.table(columns, schema=pa.schema(schema))
+        for row in texts.to_pylist():  # one
+            learn, words_, seen, place = _unpacked(row)
+            docs, words_ = np.frombuffer(row["docs"], "<i8"), words_.astype(np.int64)
+            n = len(docs)
+            text, own = np.repeat(np.arange(n), words_), _class(seen)
+            count = np.zeros(len(seen), np.int64)
+            order = np.argsort(own % m.buckets, kind="stable")
+            count[order] = np.concatenate([np.zeros(0, np.int64), *[found[b].astype(np.int64) for b in sorted(found)]])
+            known = np.bincount(text, count[place] > 0, n) + (m.texts > 0)
+            base = np.bincount(text, np.log10(count + 0.5)[place], n) + np.log10(m.texts + 0.5)
+            share = np.bincount(text, m.share(own, count)[place], n)
+            obs, size = _with_ends(own[place], words_)
+            score = forward(m, obs, size) + share
+            base -= size * np.log10(m.n + 0.5 * (m.v + 1))
+            out.append([pa.array(docs), pa.array(learn), pa.array(size), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)])
+        columns = [pa.concat_arrays(x) for x in zip(*out, strict=True)] if out else [pa.array([], t) for _, t in _SCORES]
+        return pa.table(columns, schema=pa.schema(_SCORES))
 
     return solve
 
 
-def _scan_texts(batches):
-    for rows, buf, offsets in text_blocks(batches, "doc_id", "text", BLOCK):
-        block = _block_id(rows.column("doc_id").to_numpy(zero_copy_only=False), offsets, buf)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, block)), *[rows.column(c) for c in ("doc_id", "learn", "text")]], names=["block", "doc_id", "learn", "text"])
-
-
-def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """docs (doc_id, text, learn) -> the model, and the blocks' word counts."""
-    counts = word_counts(docs)
+def fit(blocks: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
+    """blocks as text_words() gives them -> the model, and the blocks' word counts."""
+    counts, buckets = word_counts(blocks)
     tokens, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in counts.where("n = -1").select("payload").toLocalIterator():  # a row a bucket, of at most CLASSES cells together
         at, n, v = np.frombuffer(r.payload, "<i8").reshape(3, -1)
         tokens[at] += n
         kinds[at] += v
-    learned = docs.where("learn")
-    model = baum_welch(learned, Model(tokens, kinds, learned.count()), rounds)
-    model.buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return model, counts.where("n >= 0")
+    model = Model(tokens, kinds, int(blocks.agg(F.sum("n_learn")).first()[0] or 0))
+    model.buckets = buckets
+    return baum_welch(blocks, model, rounds), counts.where("n >= 0")
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """docs (doc_id, text, learn) -> doc_id, learn, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce("learn", F.lit(False)).alias("learn"))
-    model, counts = fit(docs, rounds)
+    blocks = text_words(docs)
+    model, counts = fit(blocks, rounds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    texts = docs.mapInArrow(_scan_texts, "block long, doc_id long, learn boolean, text string")
-    found = texts.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_scored(shared), "doc_id long, learn boolean, n_tokens long, n_known long, base double, score double")
+    found = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_scored(shared), "doc_id long, learn boolean, n_tokens long, n_known long, base double, score double")
     return found.select("doc_id", "learn", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 

@@ -35,13 +35,14 @@ class WaveletMatrix:
         bits, current = max(1, int(ids.max(initial=0)).bit_length()), ids.astype(np.uint16 if ids.max(initial=0) < 1 << 16 else np.uint32)
         planes, ranks, zeros = [], [], []
         for level in range(bits - 1, -1, -1):
-            one = (current >> level & 1).astype(bool)
+            one = (current & current.dtype.type(1 << level)) != 0
             packed = np.packbits(one, bitorder="little")
             count = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK // 8), dtype=np.uint32)
             planes.append(packed)
             ranks.append((np.cumsum(count) - count).astype("<u4"))
-            current = np.concatenate([current[~one], current[one]])
-            zeros.append(int(len(one) - one.sum()))
+            low = np.compress(~one, current)
+            current = np.concatenate([low, np.compress(one, current)])
+            zeros.append(len(low))
         return cls(len(ids), planes, ranks, zeros)
 
     def rank(self, level: int, at: int) -> int:
@@ -88,13 +89,25 @@ class WaveletMatrix:
             at = block * BLOCK + int(np.flatnonzero(bits == one)[want - int(before[block])])
         return at
 
+    def locate(self, token: int) -> np.ndarray:
+        """All places of token, ascending: its run in the lowest plane, followed up plane by plane."""
+        lo, hi = self._range(token, 0, self.n)
+        at = np.arange(lo, hi)
+        for level in range(len(self.planes) - 1, -1, -1):
+            if not len(at):
+                break
+            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
+            one = at[0] >= self.zeros[level]  # a token's places share their bit
+            at = np.flatnonzero(bits)[at - self.zeros[level]] if one else np.flatnonzero(bits == 0)[at]
+        return at
+
     def decode(self) -> np.ndarray:
         """All ids in order: the planes are undone from the lowest up."""
-        value = np.zeros(self.n, np.uint32)
+        value = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
             one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             above = np.empty_like(value)
-            above[~one], above[one] = value[: self.zeros[level]], value[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            above[~one], above[one] = value[: self.zeros[level]], value[self.zeros[level] :] | value.dtype.type(1 << (len(self.planes) - 1 - level))
             value = above
         return value
 
@@ -112,7 +125,7 @@ def _writer(path: str, end_id: int, shard: int):
 
     def run(batches):
         codec, seq, held, size = file_codec(path, "space"), 0, ([], [], []), 0
-        for rows, buf, offsets in text_blocks(batches, "doc_id", "text", 1 << 20):
+        for rows, buf, offsets in text_blocks(batches, "doc_id", "text", 2 << 20):
             ids, total = with_end(*codec.ids(buf, offsets), end_id)
             docs, ends, i = rows.column("doc_id").to_numpy(zero_copy_only=False), np.append(0, np.cumsum(total)), 0
             while i < len(total):
@@ -163,6 +176,42 @@ def shard_starts(spark, path: str) -> DataFrame:
     return shards.withColumn("inside", inside).join(parts, "part").select("part", "seq", (F.col("base") + F.col("inside")).alias("before"))
 
 
+def _shards(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            yield row, shard_matrix(row)
+
+
+def count_tokens(spark, path: str, tokens: list[int]) -> DataFrame:
+    """token, n: occurrences in all files, counted in the planes; a token that doesn't occur has 0."""
+    wanted = sorted({int(t) for t in tokens})
+
+    def run(batches):
+        for _, m in _shards(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array([m.count(t) for t in wanted], pa.int64())], names=["token", "n"])
+
+    counts = spark.read.parquet(path).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    asked = spark.createDataFrame([(t,) for t in wanted], "token long")
+    return asked.join(counts, "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def locate_tokens(spark, path: str, tokens: list[int]) -> DataFrame:
+    """token, doc_id, position (ids before it in all files), at (ids before it in its document): a row an occurrence."""
+
+    def run(batches):
+        for row, m in _shards(batches):
+            docs, ends = np.frombuffer(row["docs"], "<i8"), np.cumsum(np.frombuffer(row["doc_tokens"], "<i8"))
+            for token in sorted(set(tokens)):
+                place = m.locate(token)
+                doc = np.searchsorted(ends, place, "right")
+                inside = place - np.append(0, ends)[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(place), token)), pa.array(docs[doc]), pa.array(np.full(len(place), row["part"], np.int32)), pa.array(np.full(len(place), row["seq"], np.int32)), pa.array(place), pa.array(inside)], names=["token", "doc_id", "part", "seq", "place", "at"])
+
+    found = spark.read.parquet(path).mapInArrow(run, "token long, doc_id long, part int, seq int, place long, at long")
+    return found.join(shard_starts(spark, path), ["part", "seq"]).select("token", "doc_id", (F.col("before") + F.col("place")).alias("position"), "at")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

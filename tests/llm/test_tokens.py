@@ -95,6 +95,7 @@ def test_wavelet_matrix():
             where = np.flatnonzero(ids == token)
             assert m.access(int(at)) == token and m.count(token) == len(where) and m.count(token, 0, int(at)) == (where < at).sum()
             k = random.randrange(len(where))
+            assert m.locate(token).tolist() == where.tolist()
             assert m.select(token, k) == where[k] and m.select(token, len(where)) == -1
         assert m.count(60_001) == (ids == 60_001).sum() and m.count(1 << 20) == 0
 
@@ -116,5 +117,27 @@ def test_token_files(spark, sf, tmp_path):
     token_files.write_token_files(docs, f"{tmp_path}/t", SPACE_BPE, shard=2000)
     got = token_files.read_token_files(spark, f"{tmp_path}/t").join(token_files.shard_starts(spark, f"{tmp_path}/t"), ["part", "seq"]).collect()
     assert sorted((r.doc_id, r.before + r["at"], r.n_tokens, zlib.crc32(r.ids)) for r in got) == expected_files(rows)
+    whole_ids = [x for _, text in sorted((r for r in rows), key=lambda r: r[0]) for x in [*whole(SPACE_BPE, text or ""), 0]]
+    tokens = [whole_ids[0], whole_ids[77], 0, 49_999]
+    assert {r.token: r.n for r in token_files.count_tokens(spark, f"{tmp_path}/t", tokens).collect()} == {t: whole_ids.count(t) for t in tokens}
+    places = token_files.locate_tokens(spark, f"{tmp_path}/t", tokens).collect()
+    assert sorted((r.token, r.position) for r in places) == sorted((t, i) for t in set(tokens) for i, x in enumerate(whole_ids) if x == t)
+    starts = {doc: start for doc, start, _, _ in expected_files(rows)}
+    assert all(r.position == starts[r.doc_id] + r["at"] for r in places)
     token_files.write_token_files(docs.limit(0), f"{tmp_path}/e", SPACE_BPE)
     assert token_files.read_token_files(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_codec_forgets_without_harm(monkeypatch):
+    from gradus.llm import tokens
+
+    monkeypatch.setattr(tokens, "SLOTS", 16)
+    monkeypatch.setattr(tokens, "POOL", 64)
+    file_codec(SPACE_BPE, "space")
+    codec = tokens.Codec(tokens._codecs[SPACE_BPE, "space"].encode, tokens.space_led)
+    r = random.Random(3)
+    for _ in range(60):
+        texts = ["".join(r.choice(["ab", " c", ".", " Zürich", "\n", " 12", "'s"]) for _ in range(r.randrange(40))) for _ in range(3)]
+        ids, count = codec.ids(*block(texts))
+        expected = [whole(SPACE_BPE, t) for t in texts]
+        assert ids.tolist() == sum(expected, []) and count.tolist() == [len(x) for x in expected]
