@@ -177,34 +177,42 @@ class Model:
 
 
 class Stretches:
-    """Texts (obs, count) in stretches of at most `size` tokens, longest stretch first, and how states enter and leave them."""
+    """Texts (obs, count) in stretches of at most `size` tokens, longest stretch first, and how states enter and leave them.
+
+    Tokens are laid out step by step: the first tokens of all stretches, then the second ones, so that a step is one slice.
+    """
 
     def __init__(self, model: Model, obs: np.ndarray, count: np.ndarray, size: int):
-        self.model, self.obs = model, obs
+        self.model = model
         parts = np.maximum(1, -(-count // size))
         text = np.repeat(np.arange(len(count)), parts)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
         first = (np.cumsum(count) - count)[text] + nth * size
         length = np.minimum(size, count[text] - nth * size)
         order = np.argsort(-length, kind="stable")
-        self.text, self.nth, self.parts, self.first, self.length = text[order], nth[order], parts[text[order]], first[order], length[order]
-        self.live = np.searchsorted(-self.length, -np.arange(self.length[0] if len(order) else 0), "left").tolist()
-        n = len(order)
-        self.enter, self.leave = np.zeros((n, STATES)), np.ones((n, STATES))
+        self.text, self.nth, self.parts, self.length = text[order], nth[order], parts[text[order]], length[order]
+        live = np.searchsorted(-self.length, -np.arange(self.length[0] if len(order) else 0), "left")
+        self.live, self.at = live.tolist(), np.append(0, np.cumsum(live)).tolist()
+        step = np.repeat(np.arange(len(live)), live)
+        self.row = np.arange(len(obs)) - np.repeat(self.at[:-1], live)
+        self.obs = obs[first[order][self.row] + step]
+        self.emit = model.emit[self.obs]
+        self.last = np.array(self.at[:-1] + [0])[self.length - 1] + np.arange(len(order))
+        self.enter, self.leave = np.zeros((len(order), STATES)), np.ones((len(order), STATES))
         many = np.flatnonzero(self.parts > 1)
         if len(many):
             self._join(many)
 
     def _products(self, many: np.ndarray) -> np.ndarray:
         """Of each stretch: P[i, j] in proportion to the probability of its tokens and of state j at its last one, given state i before it."""
-        m, n = self.model, len(many)
-        length, first, head = self.length[many], self.first[many], self.nth[many] == 0
+        move, length = self.model.move, self.length[many]
+        head = (self.nth[many] == 0)[:, None, None]  # a text's first token has no step before it
+        out = np.where(head, np.eye(STATES), move) * self.emit[many][:, None, :]
         live = np.searchsorted(-length, -np.arange(length[0]), "left").tolist()
-        out = np.where(head[:, None, None], np.eye(STATES), m.move) * m.emit[self.obs[first]][:, None, :]  # a text's first token has no step before it
         for t in range(1, len(live)):
             k = live[t]
-            step = (out[:k].reshape(-1, STATES) @ m.move).reshape(k, STATES, STATES)
-            step *= m.emit[self.obs[first[:k] + t]][:, None, :]
+            step = (out[:k].reshape(-1, STATES) @ move).reshape(k, STATES, STATES)
+            step *= self.emit[self.at[t] + many[:k]][:, None, :]
             if t % 8 == 0:
                 step /= step.sum((1, 2), keepdims=True)
             out[:k] = step
@@ -230,51 +238,50 @@ class Stretches:
             right[:n] = np.einsum("nij,nj->ni", product[at], right[:n])
             right[:n] /= right[:n].sum(1, keepdims=True)
 
-    def forward(self, alpha: np.ndarray | None = None) -> np.ndarray:
-        """The scale of every token; alpha is filled with the states' distributions."""
-        m, scale, state = self.model, np.ones(len(self.obs)), None
+    def forward(self) -> tuple[np.ndarray, np.ndarray]:
+        """The states' distribution at every token, and its scale."""
+        alpha, scale, ones = np.empty_like(self.emit), np.empty(len(self.obs)), np.ones(STATES)
         for t, n in enumerate(self.live):
-            at = self.first[:n] + t
-            if state is None:
-                state = np.where((self.nth == 0)[:, None], m.start, self.enter @ m.move) * m.emit[self.obs[at]]
+            a = self.at[t]
+            now = alpha[a : a + n]
+            if t:
+                np.matmul(alpha[self.at[t - 1] : self.at[t - 1] + n], self.model.move, out=now)
             else:
-                state = (state[:n] @ m.move) * m.emit[self.obs[at]]
-            scale[at] = state.sum(1)
-            state = state / scale[at, None]
-            if alpha is not None:
-                alpha[at] = state
-        return scale
+                now[:] = np.where((self.nth == 0)[:, None], self.model.start, self.enter @ self.model.move)
+            now *= self.emit[a : a + n]
+            total = now @ ones
+            now /= total[:, None]
+            scale[a : a + n] = total
+        return alpha, scale
 
 
 def forward(model: Model, obs: np.ndarray, count: np.ndarray, stretch: int = STRETCH) -> np.ndarray:
     """log10 likelihood of each whole text, by the scaled forward recursion."""
-    scale = Stretches(model, obs, count, stretch).forward()
-    return np.bincount(np.repeat(np.arange(len(count)), count), np.log10(scale), len(count))
+    s = Stretches(model, obs, count, stretch)
+    return np.bincount(s.text[s.row], np.log10(s.forward()[1]), len(count))
 
 
 def expected(model: Model, obs: np.ndarray, count: np.ndarray, stretch: int = STRETCH):
     """Expected starts, transitions and emissions of whole texts, by scaled forward-backward."""
     s = Stretches(model, obs, count, stretch)
-    alpha = np.zeros((len(obs), STATES))
-    scale = s.forward(alpha)
-    move, last = np.zeros((STATES, STATES)), s.first + s.length - 1
-    beta = s.leave / (alpha[last] * s.leave).sum(1, keepdims=True)
-    gamma = alpha  # overwritten from each stretch's end
-    gamma_last = alpha[last] * beta
+    alpha, scale = s.forward()
+    right = s.emit / scale[:, None]
+    back, move = np.ascontiguousarray(model.move.T), np.zeros((STATES, STATES))
+    beta = s.leave / (alpha[s.last] * s.leave).sum(1, keepdims=True)
+    ends = alpha[s.last] * beta
     for t in range(len(s.live) - 1, 0, -1):
-        n = s.live[t]
-        at = s.first[:n] + t
-        right = beta[:n] * model.emit[obs[at]] / scale[at, None]
-        move += alpha[at - 1].T @ right
-        beta[:n] = right @ model.move.T
-        gamma[at - 1] = alpha[at - 1] * beta[:n]
-    gamma[last] = gamma_last
-    later = s.nth > 0  # the step into a stretch
-    at = s.first[later]
-    move += s.enter[later].T @ (beta[later] * model.emit[obs[at]] / scale[at, None])
-    emit = np.stack([np.bincount(obs, gamma[:, k], CLASSES + 1) for k in range(STATES)], 1)
-    begin = s.first[~later]
-    return gamma[begin].sum(0) if len(begin) else np.zeros(STATES), move * model.move, emit
+        n, a, before = s.live[t], s.at[t], s.at[t - 1]
+        step = right[a : a + n]
+        step *= beta[:n]
+        now = alpha[before : before + n]
+        move += now.T @ step
+        np.matmul(step, back, out=beta[:n])
+        now *= beta[:n]  # from here on, the probability of each state at that token
+    alpha[s.last] = ends
+    later = np.flatnonzero(s.nth > 0)  # the step into a stretch
+    move += s.enter[later].T @ (beta[later] * right[later])
+    emit = np.stack([np.bincount(s.obs, alpha[:, k], CLASSES + 1) for k in range(STATES)], 1)
+    return alpha[: len(s.nth)][s.nth == 0].sum(0), move * model.move, emit
 
 
 def _expectations(model):
