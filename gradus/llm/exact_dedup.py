@@ -20,48 +20,47 @@ MIN_CHARS, MAX_CHARS = 512, 4096
 _CUT = f"(?s).{{{MIN_CHARS},{MAX_CHARS - 1}}}?(?<=[acns][einru])|.{{1,{MAX_CHARS}}}"
 
 
-def _chunked(docs: DataFrame) -> DataFrame:
-    plain = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), "[\\x20\\x09-\\x0D]+", "")
-    return docs.withColumn("_plain", plain).withColumn("_chunks", F.regexp_extract_all("_plain", F.lit(_CUT), F.lit(0)))
+def chunked(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars (code points of the text as given), text_sha256 (binary, of the text without spaces), chunks."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = docs.select(F.col("doc_id").cast("long"), F.length(text).alias("n_chars"), F.regexp_replace(text, "[\\x20\\x09-\\x0D]+", "").alias("plain"))
+    return plain.select("doc_id", "n_chars", F.unhex(F.sha2(F.col("plain").cast("binary"), 256)).alias("text_sha256"), F.regexp_extract_all("plain", F.lit(_CUT), F.lit(0)).alias("chunks"))
 
 
 def _identifier(chunk, seed: int):
     return F.struct(F.xxhash64(F.lit(seed), chunk).alias("a"), F.xxhash64(F.lit(seed + 1), chunk).alias("b"))
 
 
-def recipes(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """doc_id, n_chars (code points of the text as given), text_sha256 (binary, of the text without spaces), recipe."""
-    out = _chunked(docs.select(F.col("doc_id").cast("long"), "text"))
-    return out.select(
-        "doc_id", F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("n_chars"), F.unhex(F.sha2(F.col("_plain").cast("binary"), 256)).alias("text_sha256"),
-        F.transform("_chunks", lambda c: _identifier(c, seed)).alias("recipe"),
-    )
+def recipes(texts: DataFrame, seed: int = 1) -> DataFrame:
+    """doc_id, n_chars, text_sha256, recipe of texts as chunked() gives them."""
+    return texts.select("doc_id", "n_chars", "text_sha256", F.transform("chunks", lambda c: _identifier(c, seed)).alias("recipe"))
 
 
-def chunk_store(docs: DataFrame, seed: int = 1) -> DataFrame:
+def chunk_store(texts: DataFrame, seed: int = 1) -> DataFrame:
     """id, chunk, uses: each different chunk once."""
-    chunks = _chunked(docs.select("text")).select(F.explode("_chunks").alias("chunk"))
+    chunks = texts.select(F.explode("chunks").alias("chunk"))
     return chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("uses")).select(_identifier(F.col("chunk"), seed).alias("id"), "chunk", "uses")
 
 
-def shared_identifiers(docs: DataFrame, seed: int = 1) -> DataFrame:
+def shared_identifiers(texts: DataFrame, seed: int = 1) -> DataFrame:
     """Identifiers that stand for more than one content: none, save for a collision of 128 bits."""
-    return chunk_store(docs, seed).groupBy("id").count().where("count > 1")
+    return chunk_store(texts, seed).groupBy("id").count().where("count > 1")
 
 
 def verified_recipes(docs: DataFrame) -> DataFrame:
-    seed = 1
-    while not shared_identifiers(docs, seed).isEmpty():
+    """Texts are cut once; the chunks are written, as both their verification and the recipes read them."""
+    texts, seed = stored(chunked(docs), "chunks"), 1
+    while not shared_identifiers(texts, seed).isEmpty():
         seed += 2
-    return stored(recipes(docs, seed), "recipes")
+    return stored(recipes(texts, seed), "recipes")
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: of equal texts the one with the most code points, then the smallest doc_id, stays."""
     found = verified_recipes(docs)
-    best = F.max(F.struct("n_chars", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus")))
+    best = F.max(F.struct("n_chars", F.col("doc_id").isNotNull().alias("known"), F.bitwise_not("doc_id").alias("minus")))
     groups = found.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select(F.col("recipe").alias("same"), (-F.col("best.minus")).alias("keep_id"), "group_size")
+    groups = groups.select(F.col("recipe").alias("same"), F.bitwise_not("best.minus").alias("keep_id"), "group_size")
     groups = stored(groups, "groups")  # so that the join deals both sides itself and may split a large group
     joined = found.join(groups, F.col("recipe") == F.col("same"))
     return joined.select("doc_id", "keep_id", F.col("group_size").cast("long"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("text_sha256")).alias("text_sha256"))

@@ -7,12 +7,15 @@ of the bin that its own probe sequence reaches first. Every ROWS bins make a ban
 are candidates. At a similarity of 0.75 all 40 keys differ with probability (1 - 0.75^5)^40 = 2e-5.
 
 Candidates are checked on whole texts, in stars: first each class with the centre it shares the most keys with; then, in
-buckets whose members still lie in different components, with the bucket's first members in growing numbers (64, 4096,
-...) until every pair of a bucket that could join two components was checked or, by an exact bound from the parities of
-hash counts, found too different. Pairs that are already
-connected are not checked, so a group of g copies costs about g checks, and no link that matters is lost.
-
-Rows without doc_id are left out. Null texts are empty. Rows that share a doc_id fare alike. Other columns are ignored.
+buckets whose members still lie in different components, with the bucket's first CENTRES members, and then with all, until every pair
+of a bucket that could join two components was checked or, by an exact bound from the parities of hash counts, found too
+different. Pairs that are already connected are not checked, so a group of g copies costs about g checks, and no link that
+matters is lost. A bucket of more than COMPLETE members (texts that share a passage but little else) is first dealt
+anew by its members' rarest shingles: two sets as similar as `percent` share one of the n - ceil(percent n) + 1 shingles
+that are rarest among all such members, so common passages bring no pairs, and no link is lost.
+
+Rows without doc_id are left out. Null texts are empty. Rows that share a doc_id but not their text are documents of their own;
+component_id is then the doc_id of the component's first one. Other columns are ignored.
 """
 
 import numpy as np
@@ -21,10 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stored
+from .shared import numbered, stored
 from .spans import LOWER, U, mix, prefix_sums, ragged, span_hash, text_blocks, words
 
-WORDS, REPEATS, BINS, ROWS, PARITY = 5, 8, 25, 5, 1024
+WORDS, REPEATS, BINS, ROWS, PARITY, CENTRES, COMPLETE = 5, 8, 25, 5, 1024, 64, 4096
 _PROBES = np.random.default_rng(7).integers(0, BINS, (BINS, 4096))
 _WEIGHTS = np.random.default_rng(8).integers(0, 1 << 63, WORDS, dtype=np.uint64) * U(2) + U(1)
 _SALTS = np.random.default_rng(9).integers(0, 1 << 63, REPEATS, dtype=np.uint64) * U(2) + U(1)
@@ -151,11 +154,29 @@ def merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
     return stored(moved.unionByName(joined.join(labels, "node", "left_anti")), "labels")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS) -> DataFrame:
+def _sets(batches):
+    """Rows (id, text) -> (id, n, shingles)."""
+    for rows, buf, offsets in text_blocks(batches, "id", "text"):
+        value, count = shingle_sets(buf, offsets)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(value.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(count.astype(np.int64)), lists], names=["id", "n", "shingles"])
+
+
+def rare_shingles(texts: DataFrame, percent: int) -> DataFrame:
+    """texts (id, text) -> key, id, n: each text under its rarest shingles, as many as two similar texts must have one in common of."""
+    single = stored(texts.mapInArrow(_sets, "id long, n long, shingles array<long>").select("id", "n", F.explode("shingles").alias("key")), "shingles")
+    common = stored(single.groupBy("key").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1"), "common")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("uses", F.lit(1)), "key"))
+    rarest = single.join(common, "key", "left").withColumn("rank", rank).where(f"rank <= n - (n * {percent} + 99) div 100 + 1")
+    return rarest.where("uses is not null").select("key", "id", "n")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS, centres: int = CENTRES, complete: int = COMPLETE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row per row of docs with a doc_id. per_key: bins in a band's key, a divisor of BINS; fewer make more candidates."""
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs, names = numbered(docs)
     rows = stored(docs.mapInArrow(_sketches(per_key), "doc_id long, parity array<long>, n long, sig long, sig2 long, keys array<long>"), "sketches")
-    classes = rows.where("n > 0").groupBy("n", "sig", "sig2").agg(F.min("doc_id").alias("rep"))
+    classes = stored(rows.where("n > 0").groupBy("n", "sig", "sig2").agg(F.min("doc_id").alias("rep")), "heads")  # so that the join may split a large class
     member = stored(rows.join(classes, ["n", "sig", "sig2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("keys", "parity")]), "classes")
 
     dealt = member.where("keys is not null").select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key")).distinct().repartition("key")
@@ -176,23 +197,42 @@ def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS) ->
     parity = member.where("keys is not null").select(F.col("rep").alias("id"), "parity").dropDuplicates(["id"])
     differ = " + ".join(f"bit_count(parity[{i}] ^ other[{i}])" for i in range(PARITY // 64))
     close = f"{100 + percent} * ({differ}) <= {100 - percent} * (n + m)"  # fewer differences than a similarity of percent allows
-    low, high = 0, 64
-    while True:
-        named = bucket.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("members")).where(f"x <> y and members > {low + 1}").select("key")
-        open_ = stored(named.join(mixed, "key").join(parity, "id").withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("id"))), "open")
-        if open_.isEmpty():
-            break
-        centres = open_.where(F.col("rn").between(low + 1, high)).select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("y"), F.col("rn").alias("at"), F.col("parity").alias("other"))
-        pairs = open_.join(centres, "key").where(f"rn > at and label <> y and {fits} and {close}").select(F.col("id").alias("a"), "b", F.col("label").alias("x"), "y").distinct()
+
+    def mixed(rows: DataFrame, least: int) -> DataFrame:
+        """Rows (key, id, n) of buckets of more than `least` members in several components, with label and the bucket's members."""
+        named = rows.select("key", "id", "n").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        keys = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("members")).where(f"x <> y and members > {least}")
+        return stored(named.join(stored(keys.select("key", "members"), "mixed"), "key"), "open")
+
+    def join_components(rows: DataFrame, low: int, high: int | None) -> None:
+        """Check the members of buckets against the bucket's members number low + 1 to high (to the last) where that could join components."""
+        nonlocal done, labels
+        if rows.isEmpty():
+            return
+        rows = rows.join(parity, "id")
+        heads = rows.withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(f"rn > {low}")
+        heads = (heads.where(f"rn <= {high}") if high else heads).select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("y"), F.col("parity").alias("other"))
+        pairs = rows.join(heads, "key").where(f"id > b and label <> y and {fits} and {close}").select(F.col("id").alias("a"), "b", F.col("label").alias("x"), "y").distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = done.unionByName(pairs.select("a", "b"))
         links = stored(check(pairs), "links")
         if not links.isEmpty():
             labels = merged(labels, components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
-        low, high = high, high * 64
-    out = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+    join_components(mixed(bucket, 1), 0, centres)
+    left = mixed(bucket, centres + 1)
+    join_components(left.where(f"members <= {complete}"), centres, complete)
+    large = left.where(f"members > {complete}")
+    if not large.isEmpty():
+        again = texts.withColumnRenamed("doc_id", "id").join(large.select("id").distinct(), "id", "left_semi")
+        rare = stored(rare_shingles(again, percent), "rare")
+        join_components(mixed(rare, 1), 0, centres)
+        join_components(mixed(rare, centres + 1), centres, None)
+    out = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
+    if names is not None:
+        for c in ("doc_id", "component_id"):
+            out = out.join(names.select(F.col("row").alias(c), F.col("doc_id").alias("named")), c).withColumn(c, F.col("named")).drop("named")
+    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

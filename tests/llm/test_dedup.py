@@ -55,12 +55,32 @@ def test_every_bucket_pair_is_checked(spark):
     rows = corpus(5)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(tuple(r) for r in near_dedup.near_duplicates(docs, per_key=1).collect()) == brute_near(rows)
+    assert sorted(tuple(r) for r in near_dedup.near_duplicates(docs, per_key=1, centres=1, complete=2).collect()) == brute_near(rows)
+
+
+def test_large_buckets_are_dealt_by_rare_shingles(spark):
+    """Texts that share a passage of two thirds, and few of them more."""
+    r = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"w{r.randrange(3000)}" for _ in range(30)])) for i in range(60)]
+    rows += [(100 + i, rows[i][1].replace("p7 ", "q ")) for i in range(0, 60, 7)] + [(300, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_near(rows)
+    assert sum(not k for *_, k in expected) >= 9
+    assert sorted(tuple(r) for r in near_dedup.near_duplicates(docs, per_key=1, centres=1, complete=2).collect()) == expected
+    from pyspark.sql import functions as F
+
+    rare = near_dedup.rare_shingles(docs.select(F.col("doc_id").alias("id"), "text"), 75)
+    assert rare.groupBy("key").count().agg(F.max("count")).first()[0] < 20  # the passage brings no pairs
 
 
 def test_near_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, keys string, label long")
     assert near_dedup.near_duplicates(empty).count() == 0
     rows = [(1, "a b c d e f", "x", 1), (1, "a b c d e f", "x", 1), (2, "a b c d e f", None, None), (None, "a b", None, 1)]
+    other = [(1, "k l m n o p", "x", 1), (1, "v w x y z z", "x", 1), (2, "k l m n o p", None, 2), (5, "v w x y z z q " * 9000, None, 2)]
+    both = near_dedup.near_duplicates(spark.createDataFrame(other, empty.schema)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in both) == [(1, 1, True), (1, 1, True), (2, 1, False), (5, 5, True)]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, empty.schema))
     assert sorted(tuple(r) for r in got.collect()) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
 
@@ -92,6 +112,8 @@ def test_exact_query(spark, sf):
 def test_exact_edges(spark, tmp_path):
     long = "x" * 9000 + "se" + "y" * 6000
     rows = [(1, "a b", "k"), (2, "ab", None), (3, " a b", "k"), (4, None, "k"), (5, "", None), (6, "\x0b\t", "k"), (7, long, "k"), (8, long + " ", "k"), (9, long + "z", "k"), (10, "é ", "k"), (11, "e", "k"), (None, "q", "k"), (None, "a b", "k")]
+    rows += [(-(1 << 63), "least"), ((1 << 63) - 1, "least")]
+    rows = [(*r, None)[:3] for r in rows]
     docs = spark.createDataFrame(rows, "doc_id long, text string, recipe string")
     docs.where("doc_id is not null").coalesce(1).write.parquet(f"{tmp_path}/d")
     got = exact_dedup.exact_duplicates(docs.where("doc_id is not null"))
@@ -99,4 +121,5 @@ def test_exact_edges(spark, tmp_path):
     with_null = exact_dedup.exact_duplicates(docs).where("doc_id is null").collect()
     assert sorted((r.keep_id, r.kept) for r in with_null if r.group_size > 1) == [(3, False)] and len(with_null) == 2
     assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
-    assert exact_dedup.shared_identifiers(docs).isEmpty() and exact_dedup.chunk_store(docs).where("length(chunk) > 4096").isEmpty()
+    texts = exact_dedup.chunked(docs)
+    assert exact_dedup.shared_identifiers(texts).isEmpty() and exact_dedup.chunk_store(texts).where("length(chunk) > 4096").isEmpty()
