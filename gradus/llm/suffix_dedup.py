@@ -11,8 +11,10 @@ places need a look at the text.
 3. An anchor with very many different segments is split by the bytes around it (a narrower range of starts, and the
    core that those starts share) until equal strings have equal rows, so no group grows with the corpus.
 
-Rows without doc_id are left out. A null text is empty. Rows that share a doc_id stand at the same positions: they don't
-repeat each other. Texts shorter than `length` and empty tables give no spans. Other columns pass through.
+Rows without doc_id are left out. A null text is empty. Rows that share a doc_id and text stand at the same positions: they
+don't repeat each other. Rows that share a doc_id with other texts are documents one after the other, in the order of a hash of
+the text. Texts shorter than `length` and empty tables give no spans. Other columns pass through; those named like a
+column that is added are replaced.
 """
 
 import numpy as np
@@ -20,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import numbered, stored
 from .spans import U, mix, prefix_sums, powers, text_blocks
 
-GROUP = 4096  #: different segments of an anchor that are compared in one task; beyond, the anchor is split
+GROUP = 1024  #: different segments of an anchor that are compared in one task; beyond, the anchor is split
 
 
 def _anchors(buf: np.ndarray, offsets: np.ndarray, length: int, k: int):
@@ -200,7 +202,7 @@ def _pieces(wide: DataFrame, length: int, width: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP) -> DataFrame:
-    """(doc_id, s, e): the maximal ranges of bytes covered by strings of `length` bytes that also start earlier."""
+    """(doc_id, s, e): the maximal ranges of bytes covered by strings of `length` bytes that also start earlier. A doc_id has one text."""
     if not 8 <= gram < length < 2048:
         raise ValueError("8 <= gram < length < 2048 is needed")
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -231,15 +233,28 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: in
     return islands.groupBy("doc_id", "island").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("island")
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP) -> DataFrame:
-    """docs with n_bytes, n_removed, n_spans and kept: the bytes left, as binary (a cut may fall inside a character)."""
-    docs = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
-    spans = repeated_spans(docs, length, gram, group).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("_spans"))
-    out = docs.join(spans, "doc_id", "left").withColumn("_bytes", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    gaps = "filter(zip_with(array_insert(_spans.e, 1, 0L), array_append(_spans.s, cast(octet_length(_bytes) as long)), (a, b) -> struct(cast(a as int) as a, cast(b - a as int) as n)), g -> g.n > 0)"
-    kept = F.expr(f"if(_spans is null, _bytes, aggregate({gaps}, cast('' as binary), (acc, g) -> concat(acc, substring(_bytes, g.a + 1, g.n))))")
-    out = out.withColumn("kept", kept).withColumn("n_bytes", F.octet_length("_bytes").cast("long")).withColumn("n_spans", F.expr("cast(if(_spans is null, 0, size(_spans)) as long)"))
-    return out.withColumn("n_removed", F.col("n_bytes") - F.octet_length("kept")).drop("_spans", "_bytes")
+def _at_borders(spans: str, data: str) -> str:
+    """SQL: spans without the bytes of characters that they cover in part."""
+    inner = lambda at: f"hex(substring({data}, cast({at} as int) + 1, 1)) between '80' and 'BF'"
+    later = "x.s + " + f"if({inner('x.s')}, if({inner('x.s + 1')}, if({inner('x.s + 2')}, 3, 2), 1), 0)"
+    sooner = "x.e - " + f"if({inner('x.e')}, if({inner('x.e - 1')}, if({inner('x.e - 2')}, 3, 2), 1), 0)"
+    return f"filter(transform({spans}, x -> struct({later} as s, {sooner} as e)), x -> x.s < x.e)"
+
+
+def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, whole_characters: bool = False) -> DataFrame:
+    """docs with n_bytes, n_removed, n_spans and kept: the bytes left, as binary. A span may begin or end inside a character; with
+    whole_characters such a character stays, and kept is valid UTF-8."""
+    own = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_spans", "n_removed")]
+    whole = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*own).alias("row"))
+    rows, _ = numbered(whole)
+    spans = repeated_spans(rows, length, gram, group).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
+    out = rows.join(spans, "doc_id", "left").select("row", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"), "spans")
+    if whole_characters:
+        out = out.withColumn("spans", F.expr(_at_borders("spans", "bytes")))
+    gaps = "filter(zip_with(array_insert(spans.e, 1, 0L), array_append(spans.s, cast(octet_length(bytes) as long)), (a, b) -> struct(cast(a as int) as a, cast(b - a as int) as n)), g -> g.n > 0)"
+    kept = F.expr(f"if(spans is null, bytes, aggregate({gaps}, cast('' as binary), (acc, g) -> concat(acc, substring(bytes, g.a + 1, g.n))))")
+    out = out.withColumn("kept", kept).select("row.*", F.octet_length("bytes").cast("long").alias("n_bytes"), F.expr("cast(if(spans is null, 0, size(spans)) as long)").alias("n_spans"), "kept")
+    return out.withColumn("n_removed", F.col("n_bytes") - F.octet_length("kept"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

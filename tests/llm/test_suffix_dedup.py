@@ -56,3 +56,30 @@ def test_edges(spark):
 def test_query_on_whole_table(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in suffix_dedup.query(spark, sf).collect()) == brute(rows, 100)
+
+
+def test_one_id_with_several_texts(spark):
+    """Each text is a document of its own, and only what it repeats goes."""
+    a, b = "".join(f"{i:03d}" for i in range(50)), "".join(f"{i:03d}" for i in range(500, 550))
+    docs = spark.createDataFrame([(1, a, "x"), (2, a, "y"), (2, b, "z"), (2, b, "z")], "doc_id long, text string, kept string")
+    got = suffix_dedup.remove_repeats(docs)
+    assert sorted((r.doc_id, r.text == a, r.n_removed) for r in got.collect()) == [(1, True, 0), (2, False, 0), (2, False, 0), (2, True, 150)]
+    assert got.columns == ["doc_id", "text", "n_bytes", "n_spans", "kept", "n_removed"]
+
+
+def test_whole_characters(spark):
+    """A span that ends inside a character leaves the whole character."""
+    text = "é" * 70
+    rows = [(1, "x" + text + "è€"), (2, "y" + text + "ê€"), (3, text[:51])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs, whole_characters=True).collect()}
+    assert bytes(got[1].kept).decode() == "xéè€"  # the bytes before the last of è are a repeat
+    assert bytes(got[2].kept).decode() == "yê€" and bytes(got[3].kept) == b""
+
+
+def test_very_long_text(spark):
+    r = random.Random(9)
+    long = "".join(r.choice("abcdefgh ") for _ in range(300_000))
+    rows = [(1, long), (2, "q" + long[100_000:200_000] + "r"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((x.doc_id, x.n_removed, x.n_spans) for x in suffix_dedup.remove_repeats(docs).collect()) == [(1, 0, 0), (2, 100_000, 1), (3, 0, 0)]
