@@ -8,7 +8,8 @@
 
 Positions and word lists travel as compressed arrays, one row a block and bucket: a row for every pre-token would be
 several times the input. The scan runs once for the positions and once for the words, so docs must be rows that read the
-same twice (a table); a block whose words don't return raises an error.
+same twice (a table); a block whose words don't return raises an error. The number of buckets follows the size of the texts, so
+that no bucket grows with the corpus.
 
 Rows without doc_id are left out; a null text is empty and has no ids. Rows that share a doc_id are encoded each by
 itself. Other columns are ignored.
@@ -29,7 +30,7 @@ from .spans import prefix_sums, ragged, span_hash, text_blocks
 from .tokens import space_led
 
 BLOCK = 4 << 20  #: bytes of text that share a word list
-KNOWN = 2_000_000  #: words that a task remembers; more shuffle partitions make buckets smaller
+BUCKET_BYTES = 64 << 20  #: bytes of text for each bucket of words, about; bounds the words that a task remembers
 _memo: dict = {}
 _ranks: dict = {}
 _ROW = "block long, bucket int, n int, payload binary"
@@ -158,7 +159,7 @@ def _batched(rows):
 
 
 def _encode(path: str, pattern: str):
-    """Rows (block, bucket, words), bucket by bucket -> (block, bucket, ids); a word that came before is not encoded again."""
+    """Rows (block, bucket, words), bucket by bucket -> (block, bucket, ids); each distinct word is encoded once."""
 
     def rows(batches):
         encode, bucket, known = _encoding(path, pattern)._encode_single_piece, None, {}
@@ -173,8 +174,6 @@ def _encode(path: str, pattern: str):
                     word = data[4 * n + ends[i] : 4 * n + ends[i + 1]]
                     got = known.get(word)
                     if got is None:
-                        if len(known) >= KNOWN:
-                            known.clear()
                         got = known[word] = np.array(encode(word), "<u4").tobytes()
                     sizes[i] = len(got) // 4
                     out.append(got)
@@ -217,7 +216,8 @@ def _reassemble():
 def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit). ranks: path of a rank file that every executor has."""
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     words = docs.mapInArrow(_scan(pattern, buckets, "words"), _ROW).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     ids = words.mapInArrow(_encode(ranks, pattern), _ROW)
     positions = docs.mapInArrow(_scan(pattern, buckets, "positions"), _ROW)
