@@ -6,8 +6,8 @@ separators vanish, and Viterbi finds the most probable word under a letter trigr
 learned from. Letters count as set apart from three in a row. The restored text is then scored by a logistic regression over hashed pieces of words (4 to 6 bytes, and whole words).
 
 The classifier is fitted on labelled rows: up to POSITIVES and NEGATIVES of them, by the smallest hashes of doc_id,
-weighted back to the shares of all labelled rows; equal texts count once. It keeps the FEATURES pieces most typical of
-toxic texts. A whole word among them that OFTEN of the toxic texts hold sets a least score, its own odds: one
+weighted back to the shares of all labelled rows; equal texts count once. Of all pieces that a few toxic texts hold, it keeps
+the FEATURES most typical of them. A whole word among them that OFTEN of the toxic texts hold sets a least score, its own odds: one
 such word is enough.
 
 A null text is empty and scores like a text without typical pieces. Null labels are not learned from; a doc_id labelled
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .shared import fold, stored
 from .spans import LOWER, SPACE, U, prefix_sums, span_hash, text_blocks, words
 
-POSITIVES, NEGATIVES, CANDIDATES, FEATURES, PIECES = 8000, 16_000, 65_536, 2048, (4, 5, 6)
+POSITIVES, NEGATIVES, FEATURES, PIECES = 8000, 16_000, 2048, (4, 5, 6)
+SIEVE = 1 << 22  #: cells of the table by which pieces of other texts are picked that toxic texts hold, too
 OFTEN = 0.03  #: share of toxic texts that hold a word which is enough by itself
 MEMO = 64  #: bytes of the longest words whose readings are kept for the next time
 LEAST_GAIN = 15.0  #: nats by which a piece must tell toxic texts from others; chance gives this to one piece in millions
@@ -179,7 +180,7 @@ def pieces(buf: np.ndarray, offsets: np.ndarray):
 
 
 class Lookup:
-    """Number of a hash among at most 65,536 chosen ones."""
+    """Number of a hash among the chosen ones."""
 
     def __init__(self, chosen: np.ndarray):
         self.chosen = chosen
@@ -201,28 +202,43 @@ class Lookup:
         return pair // max(1, len(self.chosen)), pair % max(1, len(self.chosen))
 
 
-def _piece_counts(batches):
-    """Texts that hold each piece; by blocks and a size at a time, so memory doesn't follow the partition."""
-    for _, buf, offsets in text_blocks(batches, "doc_id", "text", 4 << 20):
-        for i, (h, t) in enumerate(pieces(buf, offsets)):
-            order = np.lexsort((t, h))
-            h, t = h[order], t[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-            value, n = np.unique(h[new], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(np.full(len(value), i == 0))], names=["h", "n", "word"])
+def _piece_counts(sieve=None):
+    """Texts that hold each piece (of those in the sieve); by blocks and a size at a time, so memory doesn't follow the partition."""
 
-
-def _candidate_counts(chosen: np.ndarray):
     def run(batches):
-        lookup, total = Lookup(chosen), np.zeros(len(chosen), np.int64)
-        for _, buf, offsets in text_blocks(batches, "doc_id", "text"):
-            total += np.bincount(lookup.hits(buf, offsets)[1], minlength=len(chosen))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(chosen))), pa.array(total)], names=["i", "n"])
+        for _, buf, offsets in text_blocks(batches, "doc_id", "text", 4 << 20):
+            for i, (h, t) in enumerate(pieces(buf, offsets)):
+                if sieve is not None:
+                    some = np.flatnonzero(sieve.value[(h & U(SIEVE - 1)).astype(np.int64)])
+                    h, t = h[some], t[some]
+                order = np.lexsort((t, h))
+                h, t = h[order], t[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
+                value, n = np.unique(h[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n), pa.array(np.full(len(value), i == 0))], names=["h", "n", "word"])
 
     return run
 
 
+def typical_pieces(sample: DataFrame, count: dict[int, int]) -> DataFrame:
+    """h, word, with_toxic, without, gain: the FEATURES pieces that tell toxic texts best, over all pieces that a few of them hold.
+
+    Pieces are counted, compared and ranked as rows; the driver sees the chosen ones, and which cells of the sieve are taken."""
+    least = max(3, int(0.003 * count[1]))
+    often = sample.where("toxic = 1").mapInArrow(_piece_counts(), "h long, n long, word boolean").groupBy("h", "word").agg(F.sum("n").alias("with_toxic")).where(F.col("with_toxic") >= least)
+    often = stored(often, "pieces")
+    cells = often.select(F.col("h").bitwiseAND(F.lit(SIEVE - 1)).cast("int").alias("cell")).distinct().toPandas()["cell"].to_numpy(np.int64)  # SIEVE numbers at most
+    taken = np.zeros(SIEVE, bool)
+    taken[cells] = True
+    sieve = sample.sparkSession.sparkContext.broadcast(taken)
+    seen = sample.where("toxic = 0").mapInArrow(_piece_counts(sieve), "h long, n long, word boolean").groupBy("h", "word").agg(F.sum("n").alias("without"))
+    both = often.join(seen, ["h", "word"], "left").withColumn("without", F.coalesce("without", F.lit(0)))
+    p, q = (F.col("with_toxic") + 0.5) / (count[1] + 1), (F.col("without") + 0.5) / (count[0] + 1)
+    gain = F.when(p > 2 * q, count[1] * (p * F.log(p / q) + (1 - p) * F.log((1 - p) / (1 - q))))
+    return both.withColumn("gain", gain).where(F.col("gain") > LEAST_GAIN).orderBy(F.desc("gain"), "h", "word").limit(FEATURES)
+
+
 def _hit_rows(chosen: np.ndarray):
     def run(batches):
         lookup = Lookup(chosen)
@@ -260,20 +276,10 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     count = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not count.get(0) or not count.get(1):
         return {"letters": letters, "pieces": np.zeros(0, U), "weights": np.zeros(0), "bias": None, "alone": np.zeros(0), "share": share}
-    least = max(3, int(0.003 * count[1]))
-    often = sample.where("toxic = 1").mapInArrow(_piece_counts, "h long, n long, word boolean").groupBy("h", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    often = often.orderBy(F.desc("n"), "h").limit(CANDIDATES).toPandas()
-    hashes, with_toxic = often["h"].to_numpy(np.int64).view(U), often["n"].to_numpy(float)
-    seen = sample.where("toxic = 0").mapInArrow(_candidate_counts(hashes), "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
-    without = np.zeros(len(hashes))
-    without[seen["i"].to_numpy(np.int64)] = seen["n"].to_numpy()
-    p, q = (with_toxic + 0.5) / (count[1] + 1), (without + 0.5) / (count[0] + 1)
-    gain = np.where(p > 2 * q, count[1] * (p * np.log(p / q) + (1 - p) * np.log((1 - p) / (1 - q))), -1)
-    best = np.argsort(-gain, kind="stable")[:FEATURES]
-    best = best[gain[best] > LEAST_GAIN]
+    best = typical_pieces(sample, count).toPandas()
+    hashes, with_toxic, without = best["h"].to_numpy(np.int64).view(U), best["with_toxic"].to_numpy(float), best["without"].to_numpy(float)
     alone = np.log(with_toxic / count[1] * share) - np.log((without + 1) / count[0] * (1 - share))
-    alone = np.where(often["word"].to_numpy(bool) & (with_toxic >= OFTEN * count[1]) & (gain > 2 * LEAST_GAIN), alone, -np.inf)[best]
-    hashes = hashes[best]
+    alone = np.where(best["word"].to_numpy(bool) & (with_toxic >= OFTEN * count[1]) & (best["gain"].to_numpy(float) > 2 * LEAST_GAIN), alone, -np.inf)
     rows = sample.mapInArrow(_hit_rows(hashes), "toxic int, hits array<int>").toPandas()  # a bounded sample's hits among few pieces
     y = rows["toxic"].to_numpy(float)
     size = rows["hits"].map(len).to_numpy(np.int64)

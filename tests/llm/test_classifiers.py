@@ -45,6 +45,61 @@ def test_viterbi_against_every_path():
         assert value(got) == pytest.approx(max(map(value, product(range(3), repeat=n))))
 
 
+def test_decoding_against_every_reading():
+    """The reading that decode() gives is as probable as the best of all readings of the lattice."""
+    from itertools import product
+
+    r = np.random.default_rng(7)
+    model = np.log(r.dirichlet(np.full(28, 0.3), (28, 28)))
+
+    def options(token, i):
+        c = token[i].lower()
+        out = [(x, toxicity.SIGN_COST) for x in toxicity.SIGNS.get(c, "")] + ([(c, 0.0)] if c.isalpha() else [])
+        if i and token[i - 1].lower() == c and (out or c == " "):
+            out.append(("", toxicity.REPEAT_COST))
+        if c in ".-_*~ ":
+            out = [("", 0.3), (" ", 0.0)]
+        return out or [(c, 0.0)]
+
+    def value(reading):
+        state, total = (26, 26), 0.0
+        for x, cost in reading:
+            total -= cost
+            if x:
+                k = int(toxicity._CLASS[x.encode()[0]])
+                total += model[state[0], state[1], k]
+                state = (state[1], k)
+        return total + model[state[0], state[1], 26]
+
+    for token in ("1d10t", "m0r0n", "looool", "s.c.u.m", "i d i o t", "p@th3t!c", "é1é", "aa|+", "€11", "7", "a-1-1"):
+        best: dict = {}
+        for reading in product(*[options(token, i) for i in range(len(token))]):
+            text = "".join(x for x, _ in reading)
+            best[text] = max(best.get(text, -np.inf), value(reading))
+        assert best[toxicity.decode(token, model)] == pytest.approx(max(best.values()))
+
+
+def test_pieces_are_chosen_from_all(spark):
+    """The pieces kept are those of the largest gain among all that toxic texts hold, counted one by one."""
+    r = np.random.default_rng(8)
+    rows = [(i, int(i % 3 == 0), " ".join([f"w{x}" for x in r.integers(0, 200, 30)] + (["vile", f"rot{i % 4}"] if i % 3 == 0 else []))) for i in range(120)]
+    sample = spark.createDataFrame(rows, "doc_id long, toxic int, text string").repartition(3)
+    got = toxicity.typical_pieces(sample, {1: 40, 0: 80}).collect()
+    count: dict = {}
+    for _, toxic, text in rows:
+        buf = np.frombuffer(text.encode(), np.uint8)
+        for j, (h, _) in enumerate(toxicity.pieces(buf, np.array([0, len(buf)]))):
+            for x in set(h.view(np.int64).tolist()):
+                count.setdefault((x, j == 0), [0, 0])[toxic] += 1
+
+    def gain(n, m):
+        p, q = (m + 0.5) / 41, (n + 0.5) / 81
+        return 40 * (p * np.log(p / q) + (1 - p) * np.log((1 - p) / (1 - q))) if m >= 3 and p > 2 * q else -1
+
+    expected = {k: v for k, v in count.items() if gain(*v) > toxicity.LEAST_GAIN}
+    assert len(expected) > 3 and {(x.h, x.word): [x.without, x.with_toxic] for x in got} == expected
+
+
 def test_toxicity_query(spark):
     sf = "/root/testdata/sf0.1"
     got = joined(toxicity.query(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"), ["toxic"])
