@@ -1,14 +1,17 @@
 """Operator 5: approximate nearest neighbours by learned partitions.
 
-A bounded sample (SAMPLE rows, the smallest hashes of vec_id) is joined into a neighbour graph, which is halved again
-and again into PARTS parts of equal size that cut few edges. A small network (one hidden layer) learns which part a
-vector's neighbours lie in. Every row is indexed under its most probable part; a query goes to its PROBES most probable
-parts and is compared with every row there, exactly. Parts are dealt into blocks of at most about BLOCK_ROWS rows, so one
-very common vector or a large part does not land in one task; a block sends on each query's nearest rows only.
+A bounded sample (PER_PART rows a part, the smallest hashes of vec_id) is joined into a neighbour graph, which is halved again
+and again into parts of equal size that cut few edges; the number of parts grows with the square root of the table, from 16 to
+MOST_PARTS. A small network (one hidden layer) learns which part a vector's neighbours lie in. Every row is indexed under
+its most probable part; a query goes to its most probable parts, as many as the recall of held-out rows of the sample asks
+for (RECALL), and is compared with every row there, exactly. Parts are dealt into blocks of about BLOCK_NUMBERS numbers, so one very
+common vector or a large part does not land in one task. A row goes to one block, once; a block is held while its
+queries stream past it, and sends on each query's nearest rows only.
 
 Vectors that are null, zero, hold null or non-finite components, or have another length than most take no part; nor do
 rows without vec_id. Ties go to the smaller vec_id. With fewer candidates than k, all that were found are returned. Rows
-repeating a vec_id are candidates each by itself, but never for a query of that id. Other columns are ignored.
+repeating a vec_id are candidates each by itself, but never for a query of that id; of queries repeating an id, the smallest
+vector counts. Other columns are ignored.
 """
 
 import numpy as np
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
-SAMPLE, PARTS, PROBES, NEIGHBOURS, HIDDEN, BLOCK_ROWS = 4000, 16, 13, 10, 128, 20_000
+PER_PART, LEAST_SAMPLE, MOST_PARTS, NEIGHBOURS, HIDDEN, BLOCK_NUMBERS, RECALL, HELD_OUT = 64, 4000, 256, 10, 128, 1 << 20, 0.95, 400
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -97,7 +100,7 @@ class Router:
         return self
 
 
-def fit_router(x: np.ndarray, parts: int = PARTS, neighbours: int = NEIGHBOURS) -> Router:
+def fit_router(x: np.ndarray, parts: int, neighbours: int = NEIGHBOURS) -> Router:
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     router = Router(x.shape[1], HIDDEN, parts)
     if len(x) <= 2 * neighbours:
@@ -110,6 +113,22 @@ def fit_router(x: np.ndarray, parts: int = PARTS, neighbours: int = NEIGHBOURS)
     return router.fit(x, target / target.sum(1, keepdims=True))
 
 
+def needed_probes(router: Router, parts: int, x: np.ndarray, held: np.ndarray, k: int, recall: float) -> int:
+    """Fewest parts in which the k nearest rows of x of the held-out vectors are found, to a share of recall."""
+    if not len(held) or len(x) <= k:
+        return parts
+    x, held = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, held))
+    near = np.argpartition(-(held @ x.T), k - 1, axis=1)[:, :k]
+    part = router.scores(x).argmax(1)[near]
+    place = np.argsort(np.argsort(-router.scores(held), axis=1, kind="stable"), axis=1, kind="stable")
+    found = np.bincount(place[np.arange(len(held))[:, None], part].ravel(), minlength=parts).cumsum() / near.size
+    return int(np.searchsorted(found, min(recall, found[-1]))) + 1
+
+
+def table_parts(rows: int) -> int:
+    return int(np.clip(1 << round(np.log2(max(1, rows) ** 0.5 / 8 + 1)), 16, MOST_PARTS))
+
+
 def _matrix(column) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
@@ -129,33 +148,54 @@ def _routed(router: Router, probes: int):
     return run
 
 
+class _Block:
+    """Rows of a block, and the k nearest of them to each of some queries, by exact cosines; ties to the smaller id."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.vectors = ids[order], vectors[order]
+        self.norm = np.linalg.norm(self.vectors, axis=1)
+        self.unit = self.vectors / self.norm[:, None]
+
+    def nearest(self, ids: np.ndarray, q: np.ndarray, k: int):
+        out, norm = [], np.linalg.norm(q, axis=1)
+        for i in range(0, len(q), 256):
+            near = np.round(q[i : i + 256] / norm[i : i + 256, None] @ self.unit.T, 12)
+            near[ids[i : i + 256, None] == self.ids[None, :]] = -np.inf
+            for j, row in enumerate(near, i):
+                m = min(2 * k, len(row))
+                least = np.partition(row, len(row) - m)[len(row) - m]
+                some = np.flatnonzero(row >= max(least, -2))
+                some = some[np.argsort(-row[some], kind="stable")[:m]]
+                score = np.einsum("ij,j->i", self.vectors[some], q[j]) / (self.norm[some] * norm[j])
+                best = np.lexsort((self.ids[some], -score))[:k]
+                out.append((np.full(len(best), ids[j]), self.ids[some][best], score[best]))
+        return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
 def _nearest(k: int):
-    """Of a block: each query's k nearest rows there, by exact cosines; ties to the smaller id."""
-
-    def solve(key, queries: pa.Table, rows: pa.Table) -> pa.Table:
-        out = []
-        if queries.num_rows and rows.num_rows:
-            q_id, c_id = queries["id"].to_numpy(), rows["id"].to_numpy()
-            q, c = _matrix(queries["v"]), _matrix(rows["v"])
-            q_norm, c_norm = np.linalg.norm(q, axis=1), np.linalg.norm(c, axis=1)
-            unit = c / c_norm[:, None]
-            order = np.argsort(c_id, kind="stable")
-            unit, c, c_id, c_norm = unit[order], c[order], c_id[order], c_norm[order]
-            for i in range(0, len(q), 256):
-                near = np.round(q[i : i + 256] / q_norm[i : i + 256, None] @ unit.T, 12)
-                near[q_id[i : i + 256, None] == c_id[None, :]] = -np.inf
-                for j, row in enumerate(near, i):
-                    m = min(2 * k, len(row))
-                    least = np.partition(row, len(row) - m)[len(row) - m]
-                    some = np.flatnonzero(row >= max(least, -2))
-                    some = some[np.argsort(-row[some], kind="stable")[:m]]
-                    score = np.einsum("ij,j->i", c[some], q[j]) / (c_norm[some] * q_norm[j])
-                    best = np.lexsort((c_id[some], -score))[:k]
-                    out.append((np.full(len(best), q_id[j]), c_id[some][best], score[best]))
-        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
-
-    return solve
+    """Rows (part, salt, asks, id, v), sorted by block, its rows before its queries -> (query_id, vec_id, score)."""
+
+    def run(batches):
+        current, held, block = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part, salt, asks, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "salt", "asks", "id"))
+            v = _matrix(batch.column("v"))
+            cuts = np.flatnonzero((part[1:] != part[:-1]) | (salt[1:] != salt[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for lo, hi in zip(np.append(0, cuts).tolist(), np.append(cuts, len(ids)).tolist(), strict=True):
+                if current != (part[lo], salt[lo]):
+                    current, held, block = (part[lo], salt[lo]), [], None
+                if not asks[lo]:
+                    held.append((ids[lo:hi], v[lo:hi]))
+                    continue
+                if block is None and held:
+                    block, held = _Block(*(np.concatenate(x) for x in zip(*held, strict=True))), []
+                if block is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in block.nearest(ids[lo:hi], v[lo:hi], k)], names=["query_id", "vec_id", "score"])
+
+    return run
 
 
 def valid_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -166,22 +206,25 @@ def valid_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     return out.where(F.size("v") == (common.dims if common else 0))
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, sample: int = SAMPLE, parts: int = PARTS, probes: int = PROBES, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """rows, queries (id, v), as valid_vectors() gives them -> query_id, rank, vec_id, score."""
-    seen = rows.orderBy(F.xxhash64("id"), "id").limit(sample).toPandas()
+def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, parts: int | None = None, probes: int | None = None, block_rows: int | None = None) -> DataFrame:
+    """rows, queries (id, v), as valid_vectors() gives them -> query_id, rank, vec_id, score. parts, probes, block_rows: found from the table if not given."""
+    total = rows.count()
+    parts = parts or table_parts(total)
+    held = min(HELD_OUT, total // 10)
+    seen = rows.orderBy(F.xxhash64("id"), "id").limit(max(LEAST_SAMPLE, PER_PART * parts) + held).toPandas()
     x = np.stack(seen["v"].to_numpy()) if len(seen) else np.ones((1, 1))
-    router = fit_router(x, parts)
+    router = fit_router(x[: len(x) - held], parts)
+    probes = probes or needed_probes(router, parts, x[: len(x) - held], x[len(x) - held :], k, RECALL)
     indexed = stored(rows.mapInArrow(_routed(router, 1), "id long, v array<double>, parts array<int>").select("id", "v", F.col("parts")[0].alias("part")), "index")
     sizes = {r.part: r["count"] for r in indexed.groupBy("part").count().collect()}  # one number a part
-    block_rows = min(block_rows, max(1024, sum(sizes.values()) // 64))
+    block_rows = block_rows or max(1024, BLOCK_NUMBERS // x.shape[1])
     salts = F.create_map(*[F.lit(x) for p in range(parts) for x in (p, max(1, -(-sizes.get(p, 0) // block_rows)))])
-    queries = queries.dropDuplicates(["id"])
-    chunks = max(1, -(-queries.count() // block_rows))
-    salted = indexed.withColumn("salt", F.pmod(F.xxhash64("id"), salts[F.col("part")]).cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    asked = queries.mapInArrow(_routed(router, probes), "id long, v array<double>, parts array<int>").withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
-    asked = asked.withColumn("part", F.explode("parts")).drop("parts").withColumn("salt", F.explode(F.sequence(F.lit(0), salts[F.col("part")] - 1)))
-    key = ["part", "salt", "chunk"]
-    found = asked.select("id", "v", *key).groupBy(*key).cogroup(salted.select("id", "v", *key).groupBy(*key)).applyInArrow(_nearest(k), "query_id long, vec_id long, score double")
+    salted = indexed.withColumn("salt", F.pmod(F.xxhash64("id"), salts[F.col("part")]).cast("int")).withColumn("asks", F.lit(False))
+    asked = queries.groupBy("id").agg(F.min("v").alias("v")).mapInArrow(_routed(router, probes), "id long, v array<double>, parts array<int>")
+    asked = asked.select("id", "v", F.explode("parts").alias("part")).withColumn("salt", F.explode(F.sequence(F.lit(0), salts[F.col("part")] - 1))).withColumn("asks", F.lit(True))
+    columns = ["part", "salt", "asks", "id", "v"]
+    both = salted.select(columns).unionByName(asked.select(columns)).repartition("part", "salt").sortWithinPartitions("part", "salt", "asks")
+    found = both.mapInArrow(_nearest(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
