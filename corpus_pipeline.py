@@ -1,15 +1,15 @@
 """The corpus pipeline: toxic texts go, then copies, then near copies, then long passages that stand earlier; what is left is packed.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is written as Parquet and read
-again. All but the last return the columns of docs. Rows without doc_id go in the first stage. Rows that share a doc_id
-fare alike.
+again. All but the last return the columns of docs. Rows without doc_id go in the first stage. Of rows that share a doc_id,
+each is judged by its own text.
 """
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from gradus.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
-from gradus.llm.shared import fold, stored
+from gradus.llm.shared import fold, numbered, stored
 
 #: SQL can't express the classifier, the near-duplicate components, the removal of passages or the tokens; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
@@ -20,22 +20,30 @@ def drop_toxic(spark, docs, sf_dir):
     return toxicity.without_toxic(docs, toxicity.train(docs.where(fold("doc_id") != 0).select("doc_id", "text"), labels))
 
 
+def keyed(docs):
+    """(doc_id, text, row): a doc_id for each different (doc_id, text), so that rows that share an id are judged by their own text."""
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*docs.columns).alias("row"))
+    return numbered(rows)[0]
+
+
 def drop_copies(spark, docs, sf_dir):
-    kept = exact_dedup.exact_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    rows = keyed(docs)
+    kept = exact_dedup.exact_duplicates(rows.select("doc_id", "text")).where("kept").select("doc_id").distinct()
+    return rows.join(kept, "doc_id", "left_semi").select("row.*")
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    kept = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    rows = keyed(docs)
+    kept = near_dedup.near_duplicates(rows.select("doc_id", "text")).where("kept").select("doc_id").distinct()
+    return rows.join(kept, "doc_id", "left_semi").select("row.*")
 
 
 def cut_repeats(spark, docs, sf_dir):
-    """Long passages stay where they stand first. Bytes of a character that was cut through become U+FFFD."""
-    left = suffix_dedup.remove_repeats(docs).withColumn("text", F.expr("make_valid_utf8(cast(kept as string))"))
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return left.select(docs.columns)
+    """Long passages stay where they stand first; a character that a passage holds in part stays whole."""
+    rows = docs.where("doc_id is not null").select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    left = suffix_dedup.remove_repeats(rows, whole_characters=True).withColumn("left", F.col("kept").cast("string"))
+    new = {"text": F.col("left")} | ({"n_chars": F.length("left").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return left.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def pack(spark, docs, sf_dir):
