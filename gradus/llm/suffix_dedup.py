@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .shared import numbered, stored
 from .spans import U, mix, prefix_sums, powers, text_blocks
 
-GROUP = 1024  #: different segments of an anchor that are compared in one task; beyond, the anchor is split
+GROUP = 4096  #: different segments of an anchor that are compared in one task; beyond, the anchor is split
 
 
 def _anchors(buf: np.ndarray, offsets: np.ndarray, length: int, k: int):
@@ -245,15 +245,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: in
     """docs with n_bytes, n_removed, n_spans and kept: the bytes left, as binary. A span may begin or end inside a character; with
     whole_characters such a character stays, and kept is valid UTF-8."""
     own = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_spans", "n_removed")]
-    whole = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*own).alias("row"))
-    rows, _ = numbered(whole)
+    whole = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", "text", F.struct(*[c for c in own if c != "text"]).alias("row"))
+    rows, _ = numbered(whole)  # the text travels once, all else beside it
     spans = repeated_spans(rows, length, gram, group).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
-    out = rows.join(spans, "doc_id", "left").select("row", F.coalesce("text", F.lit("")).cast("binary").alias("bytes"), "spans")
+    out = rows.join(spans, "doc_id", "left").withColumn("bytes", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     if whole_characters:
         out = out.withColumn("spans", F.expr(_at_borders("spans", "bytes")))
     gaps = "filter(zip_with(array_insert(spans.e, 1, 0L), array_append(spans.s, cast(octet_length(bytes) as long)), (a, b) -> struct(cast(a as int) as a, cast(b - a as int) as n)), g -> g.n > 0)"
     kept = F.expr(f"if(spans is null, bytes, aggregate({gaps}, cast('' as binary), (acc, g) -> concat(acc, substring(bytes, g.a + 1, g.n))))")
-    out = out.withColumn("kept", kept).select("row.*", F.octet_length("bytes").cast("long").alias("n_bytes"), F.expr("cast(if(spans is null, 0, size(spans)) as long)").alias("n_spans"), "kept")
+    out = out.withColumn("kept", kept).select(*[F.col(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in own], F.octet_length("bytes").cast("long").alias("n_bytes"), F.expr("cast(if(spans is null, 0, size(spans)) as long)").alias("n_spans"), "kept")
     return out.withColumn("n_removed", F.col("n_bytes") - F.octet_length("kept"))
 
 
