@@ -212,6 +212,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, per_key: int = ROWS, cen
         rows = rows.join(parity, "id")
         heads = rows.withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(f"rn > {low}")
         heads = (heads.where(f"rn <= {high}") if high else heads).select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("y"), F.col("parity").alias("other"))
+        heads = stored(heads, "centres")  # so that the join may split a large bucket
         pairs = rows.join(heads, "key").where(f"id > b and label <> y and {fits} and {close}").select(F.col("id").alias("a"), "b", F.col("label").alias("x"), "y").distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = done.unionByName(pairs.select("a", "b"))
