@@ -21,26 +21,31 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def keyed(docs):
-    """(doc_id, text, row): a doc_id for each different (doc_id, text), so that rows that share an id are judged by their own text."""
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*docs.columns).alias("row"))
-    return numbered(rows)[0]
+    """(doc_id, text, row: all else): a doc_id for each different (doc_id, text), so that rows that share an id are judged by their own text."""
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    return numbered(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest))[0]
+
+
+def unkeyed(rows, docs):
+    return rows.select(*[F.col(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_copies(spark, docs, sf_dir):
     rows = keyed(docs)
     kept = exact_dedup.exact_duplicates(rows.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return rows.join(kept, "doc_id", "left_semi").select("row.*")
+    return unkeyed(rows.join(kept, "doc_id", "left_semi"), docs)
 
 
 def drop_near_copies(spark, docs, sf_dir):
     rows = keyed(docs)
     kept = near_dedup.near_duplicates(rows.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return rows.join(kept, "doc_id", "left_semi").select("row.*")
+    return unkeyed(rows.join(kept, "doc_id", "left_semi"), docs)
 
 
 def cut_repeats(spark, docs, sf_dir):
     """Long passages stay where they stand first; a character that a passage holds in part stays whole."""
-    rows = docs.where("doc_id is not null").select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    rows = docs.where("doc_id is not null").select("doc_id", "text", rest)
     left = suffix_dedup.remove_repeats(rows, whole_characters=True).withColumn("left", F.col("kept").cast("string"))
     new = {"text": F.col("left")} | ({"n_chars": F.length("left").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return left.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
