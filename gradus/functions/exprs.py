@@ -68,18 +68,37 @@ WORKFORCE_TIERS = {
 }
 
 
-def _accents() -> tuple[str, str]:
-    pairs = [(chr(c), base[0]) for c in range(0xC0, 0x250) if (base := unicodedata.normalize("NFKD", chr(c))) and base[0].isascii() and base[0].isalpha() and len(base) > 1 and all(unicodedata.combining(x) for x in base[1:])]
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
-
-
-_FROM, _TO = _accents()
+def _foldings() -> tuple[str, str, list[tuple[str, str]]]:
+    """Of compatibility decomposition (NFKD) without combining marks: characters that become one character, those (marks) that go,
+    and those that become several. Hangul syllables stay as they are."""
+    one, gone, many = [], [], []
+    for point in range(0x80, 0x30000):
+        c = chr(point)
+        if 0xAC00 <= point <= 0xD7A3 or 0xD800 <= point <= 0xDFFF:
+            continue
+        if unicodedata.combining(c):
+            gone.append(c)
+        elif (plain := "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))) != c:
+            one.append((c, plain)) if len(plain) == 1 else many.append((c, plain))
+    return "".join(a for a, _ in one) + "".join(gone), "".join(b for _, b in one), many
+
+
+_FROM, _TO, _MANY = _foldings()
+
+
+def folded(text) -> Column:
+    """Text by compatibility decomposition without combining marks: letters without accents, ligatures and figures in plain form."""
+    text = _col(text)
+    pairs = ", ".join(f"struct('{a}' as a, '{b}' as b)" for a, b in ((a, b.replace("\\", "\\\\").replace("'", "\\'")) for a, b in _MANY))
+    several = F.aggregate(F.expr(f"array({pairs})"), text, lambda t, x: F.replace(t, x["a"], x["b"]))
+    whole = F.when(text.rlike("[" + "".join(a for a, _ in _MANY) + "]"), several).otherwise(text)
+    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.translate(whole, _FROM, _TO))
 
 
 def unaccented(text) -> Column:
-    """Letters without their accents; other characters outside ASCII go."""
+    """Folded text in ASCII; what has no plain form goes."""
     text = _col(text)
-    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.regexp_replace(F.translate(text, _FROM, _TO), r"[^\x00-\x7F]", ""))
+    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.regexp_replace(folded(text), r"[^\x00-\x7F]", ""))
 
 
 def label_key(text) -> Column:
@@ -93,7 +112,7 @@ def header_key(text) -> Column:
 
 def category_key(text, missing: str = "__manquant__") -> Column:
     """Without accents, lower case, - and _ as spaces; null or blank: missing."""
-    key = F.trim(F.regexp_replace(F.lower(unaccented(text)), r"[-_\s]+", " "))
+    key = F.trim(F.regexp_replace(F.lower(folded(text)), r"(?U)[-_\s]+", " "))
     return F.coalesce(F.nullif(key, F.lit("")), F.lit(missing))
 
 

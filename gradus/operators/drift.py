@@ -5,17 +5,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import category_key
+from .reconcile import ranged
+
 FLOOR = 1e-4
 
 
 def psi_numeric(df: DataFrame, variable: str, side: str, value: str, bins: int = 10) -> DataFrame:
-    """Stability index of each variable. side: true for the reference, whose deciles (equal ones merged, ends open, (a, b]) are the bins.
+    """Stability index of each variable. side: true for the reference, whose deciles (equal ones merged, ends open, (a, b]) are the
+    bins; a decile equal to the least or largest value is no edge.
 
     A constant or empty side gives 0."""
     rows = df.where(F.col(value).isNotNull()).select(variable, side, F.col(value).cast("double").alias("v"))
     cuts = F.array(*[F.lit(i / bins) for i in range(1, bins)])
     edges = rows.where(side).groupBy(variable).agg(F.percentile("v", cuts).alias("q"), F.min("v").alias("low"), F.max("v").alias("high"))
-    edges = edges.select(variable, F.when(F.col("low") < F.col("high"), F.array_distinct("q")).alias("edges"))
+    edges = edges.select(variable, F.when(F.col("low") < F.col("high"), F.expr("filter(array_distinct(q), e -> e > low and e < high)")).alias("edges"))
     at = rows.join(F.broadcast(edges), variable).where("edges is not null").withColumn("bin", F.expr("size(filter(edges, e -> e < v))"))  # a row a variable
     counts = at.groupBy(variable, F.size("edges").alias("n_edges"), "bin").agg(F.count_if(F.col(side)).alias("a"), F.count_if(~F.col(side)).alias("b"))
     return _index(counts, df, variable, F.max("n_edges") + 1)
@@ -32,7 +36,9 @@ def _index(counts: DataFrame, df: DataFrame, variable: str, cells) -> DataFrame:
 
 
 def psi_categorical(df: DataFrame, variable: str, side: str, category: str, top: int = 20, other: str = "__autre__") -> DataFrame:
-    """Over the reference's most frequent categories (ties by name) and one cell for the rest."""
+    """Over the reference's most frequent categories (ties by name) and one cell for the rest. Categories are compared without
+    accents, case and separators; a missing one is a category like others."""
+    df = df.withColumn(category, category_key(category))
     seen = df.where(side).groupBy(variable, category).agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy(variable).orderBy(F.desc("n"), category))
     kept = seen.withColumn("rn", rank).where(F.col("rn") <= top).select(variable, category, F.lit(True).alias("kept"))
@@ -41,12 +47,20 @@ def psi_categorical(df: DataFrame, variable: str, side: str, category: str, top:
     return _index(counts, df, variable, None)
 
 
-def ks(df: DataFrame, variable: str, side: str, value: str) -> DataFrame:
-    """Largest distance of the two distribution functions of each variable; null if a side is empty."""
+def ks(df: DataFrame, variable, side: str, value: str) -> DataFrame:
+    """Largest distance of the two distribution functions of each variable; null if a side is empty.
+
+    Distinct values are dealt by ranges; a range adds the totals of those before it, so one variable is many tasks' work."""
     counts = df.where(F.col(value).isNotNull()).groupBy(variable, value).agg(F.count_if(F.col(side)).alias("a"), F.count_if(~F.col(side)).alias("b"))
-    by, upto = Window.partitionBy(variable), Window.partitionBy(variable).orderBy(value)
-    share = lambda c: F.try_divide(F.sum(c).over(upto), F.sum(c).over(by))
-    return counts.withColumn("d", F.abs(share("a") - share("b"))).groupBy(variable).agg(F.max("d").alias("ks"))
+    parts = ranged(counts, [variable, value])
+    sums = parts.groupBy(variable, "_part").agg(F.sum("a").alias("pa"), F.sum("b").alias("pb"))
+    by = Window.partitionBy(variable)
+    before = lambda c: F.coalesce(F.sum(c).over(by.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(variable, "_part", before("pa").alias("ba"), before("pb").alias("bb"), F.sum("pa").over(by).alias("na"), F.sum("pb").over(by).alias("nb"))  # a row a range
+    upto = Window.partitionBy(variable, "_part").orderBy(value)
+    share = lambda x, b, n: F.try_divide(F.col(b) + F.sum(x).over(upto), F.col(n))
+    rows = parts.join(sums, [variable, "_part"])
+    return rows.withColumn("d", F.abs(share("a", "ba", "na") - share("b", "bb", "nb"))).groupBy(variable).agg(F.max("d").alias("ks"))
 
 
 def long_form(df: DataFrame, session: str, numbers: Sequence[str]) -> DataFrame:

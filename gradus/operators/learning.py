@@ -30,8 +30,16 @@ def fit_boosted(train: DataFrame, validation: DataFrame | None, numeric: Sequenc
     return Pipeline(stages=[*stages, trees]).fit(rows)
 
 
-def predict(model, df: DataFrame, numeric: Sequence[str], categories: Sequence[str], keep: Sequence[str], name: str = "prediction") -> DataFrame:
-    return model.transform(model_matrix(df, numeric, categories, keep)).select(*keep, clip01("_p").alias(name))
+def predict(model, df: DataFrame, numeric: Sequence[str], categories: Sequence[str], keep: Sequence[str], name: str = "prediction", anchor: str | None = None) -> DataFrame:
+    """keep and the clipped prediction; with an anchor, the model's value is a gap to it."""
+    rows = df
+    for c in (*numeric, *categories):
+        if c in keep:  # kept as given, beside its form for the model
+            rows = rows.withColumn(f"_keep_{c}", F.col(c))
+    kept = [f"_keep_{c}" if c in (*numeric, *categories) else c for c in keep]
+    out = model.transform(model_matrix(rows, numeric, categories, kept))
+    value = F.col("_p") if anchor is None else F.col("_p") + F.col(kept[list(keep).index(anchor)])
+    return out.select(*[F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)], clip01(value).alias(name))
 
 
 def fit_isotonic(df: DataFrame, p: str, y: str, w: str):
@@ -52,42 +60,55 @@ def calibrated_out_of_fold(df: DataFrame, p: str, y: str, w: str, group: str, fo
     return out.drop("_fold")
 
 
-def scores(df: DataFrame, y: str, p: str, w: str, variant: str) -> DataFrame:
+def scores(df: DataFrame, y: str, p: str, w: str, variant: str, group: str | None = None) -> DataFrame:
+    """variant, mae_weighted, mae, ece, and with a group the largest calibration error of its groups."""
     ece = calibration_error(calibration(df, y, p, w))
-    return errors(df, y, p, w).crossJoin(ece).select(F.lit(variant).alias("variant"), "mae_weighted", "mae", "ece")  # one row each
+    columns = ["mae_weighted", "mae", "ece"]
+    if group:
+        by_group = calibration_error(calibration(df, y, p, w, by=[group]), [group]).agg(F.max("ece").alias("group_ece"))
+        ece, columns = ece.crossJoin(by_group), [*columns, "group_ece"]  # one row each
+    return errors(df, y, p, w).crossJoin(ece).select(F.lit(variant).alias("variant"), *columns)  # one row each
 
 
-def grid(train: DataFrame, validation: DataFrame, numeric, categories, y: str, w: str, session: str, group: str, reference: int, half_lives: Sequence[float | None]) -> DataFrame:
-    """Every recency setting, with and without calibration, scored on the validation set."""
+#: Half-lives of the training weights by session; None is no decay.
+HALF_LIVES = (None, 1, 2, 3)
+
+
+def grid(train: DataFrame, validation: DataFrame, numeric, categories, y: str, w: str, session: str, fold: str, group: str, anchor: str, reference: int, half_lives: Sequence[float | None] = HALF_LIVES, rounds: int = 4) -> DataFrame:
+    """Every recency setting by both targets (the rate, and its gap to an anchor), with and without calibration, scored on the validation set."""
     out = None
     for half_life in half_lives:
         weight = F.col(w) if half_life is None else F.col(w) * recency_weight(session, reference, half_life)
-        model = fit_boosted(train.withColumn("_w", weight), None, numeric, categories, y, "_w", rounds=4)
-        found = predict(model, validation, numeric, categories, [y, w, group])
-        calibrated = calibrated_out_of_fold(found, "prediction", y, w, group)
-        for part in (scores(found, y, "prediction", w, f"recency {half_life}"), scores(calibrated, y, "calibrated", w, f"recency {half_life} calibrated")):
-            out = part if out is None else out.unionByName(part)
+        rows = train.withColumn("_w", weight).withColumn("_gap", F.col(y) - F.col(anchor))
+        for target in (y, "_gap"):
+            model = fit_boosted(rows, None, numeric, categories, target, "_w", rounds=rounds)
+            found = predict(model, validation, numeric, categories, [y, w, fold, group, anchor], anchor=anchor if target == "_gap" else None)
+            calibrated = calibrated_out_of_fold(found, "prediction", y, w, fold)
+            name = f"{'rate' if target == y else 'gap'}, half-life {half_life or 'none'}"
+            for part in (scores(found, y, "prediction", w, name, group), scores(calibrated, y, "calibrated", w, f"{name}, calibrated", group)):
+                out = part if out is None else out.unionByName(part)
     return out
 
 
 def best_of(table: DataFrame) -> DataFrame:
-    return choose_candidate(table, "mae_weighted", "ece", "mae", "variant")
+    return choose_candidate(table, "mae_weighted", "ece", "group_ece", "variant")
 
 
 def refit(train: DataFrame, validation: DataFrame, test: DataFrame, numeric, categories, y: str, w: str, keep: Sequence[str]) -> DataFrame:
     """Stop early on the validation set, then fit that many rounds on both and predict the test set."""
-    rounds = fit_boosted(train, validation, numeric, categories, y, w, rounds=6).stages[-1].getNumTrees
+    rounds = fit_boosted(train, validation, numeric, categories, y, w, rounds=40).stages[-1].getNumTrees
     return predict(fit_boosted(train.unionByName(validation), None, numeric, categories, y, w, rounds=max(1, rounds)), test, numeric, categories, keep)
 
 
 def ablation(train: DataFrame, test: DataFrame, numeric: Sequence[str], categories: Sequence[str], y: str, w: str, without: dict[str, Sequence[str]]) -> DataFrame:
-    """Scores of refits that leave columns out, beside the full one."""
+    """Scores of refits that leave columns out, beside the full one, and their differences from it."""
     out = None
     for name, left_out in {"all": (), **without}.items():
         n, c = [x for x in numeric if x not in left_out], [x for x in categories if x not in left_out]
         part = scores(predict(fit_boosted(train, None, n, c, y, w, rounds=4), test, n, c, [y, w]), y, "prediction", w, name)
         out = part if out is None else out.unionByName(part)
-    return out
+    full = out.where("variant = 'all'").select(F.col("mae_weighted").alias("_mae"), F.col("ece").alias("_ece"))
+    return out.crossJoin(full).select("variant", "mae_weighted", "mae", "ece", (F.col("mae_weighted") - F.col("_mae")).alias("delta_mae"), (F.col("ece") - F.col("_ece")).alias("delta_ece"))  # one row
 
 
 def learning_curve(train: DataFrame, test: DataFrame, numeric, categories, y: str, w: str, session: str, key: Sequence[str], steps=(0.1, 0.25, 0.5, 1.0)) -> DataFrame:

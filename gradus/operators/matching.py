@@ -32,24 +32,38 @@ def outlet_term(rows: DataFrame, code: str, department: str, divisions: DataFram
     """status and outlet value of (code, department) rows.
 
     divisions (code, division), counts (departement, division, n: published cells), every (departement, division: all
-    non-empty cells), active (code, actif). Published or truly zero counts give min(1, n / saturation); a cell that exists but was
-    suppressed, or an unknown one, is neutral (1)."""
+    non-empty cells), active (code, actif). Published or truly zero counts give min(1, n / saturation), 1 without saturation; a cell that
+    exists but was suppressed, or an unknown one, is neutral (1). A code that isn't active or has no division is withdrawn: 0."""
+    divisions = divisions.where("division is not null")
     summed = divisions.join(counts, "division").groupBy(code, "departement").agg(F.sum("n").alias("_n"))
     exists = divisions.join(every, "division").select(code, "departement", F.lit(True).alias("_exists")).distinct()
+    linked = divisions.select(code, F.lit(True).alias("_linked")).distinct()
     place = F.col(department)
-    d = rows.join(summed.withColumnRenamed("departement", department), [code, department], "left").join(exists.withColumnRenamed("departement", department), [code, department], "left").join(active, code, "left")
-    unknown = ~F.coalesce("actif", F.lit(True))
-    status = F.when(place.isNull(), NO_AREA).when(F.col(code).isNull(), NO_LINK).when(unknown, WITHDRAWN).when(F.col("_n").isNotNull() | ~F.coalesce("_exists", F.lit(False)), MEASURED).otherwise(SUPPRESSED)
+    d = rows.join(summed.withColumnRenamed("departement", department), [code, department], "left").join(exists.withColumnRenamed("departement", department), [code, department], "left")
+    d = d.join(active, code, "left").join(linked, code, "left")
+    gone = ~F.coalesce("actif", F.lit(True)) | F.col("_linked").isNull()
+    status = F.when(place.isNull(), NO_AREA).when(F.col(code).isNull(), NO_LINK).when(gone, WITHDRAWN).when(F.col("_n").isNotNull() | ~F.coalesce("_exists", F.lit(False)), MEASURED).otherwise(SUPPRESSED)
     d = d.withColumn("statut", status)
-    value = F.when(F.col("statut") == MEASURED, F.least(F.lit(1.0), F.coalesce("_n", F.lit(0)) / F.lit(float(saturation)))).when(F.col("statut") == WITHDRAWN, 0.0).otherwise(1.0)
-    return d.withColumn("debouches", value).drop("_n", "_exists", "actif")
+    share = F.least(F.lit(1.0), F.col("_n") / F.lit(float(saturation))) if saturation > 0 else F.lit(1.0)
+    measured = F.when(F.col("_n").isNull(), 0.0).otherwise(share)
+    value = F.when(F.col("statut") == MEASURED, measured).when(F.col("statut") == WITHDRAWN, 0.0).otherwise(1.0)
+    return d.withColumn("debouches", value).drop("_n", "_exists", "_linked", "actif")
 
 
-def affinity(wanted_type, kind, wanted_word, labels: Sequence, wanted_area, area, outside: float = 0.6) -> dict[str, Column]:
-    """Two hard filters (type; keyword in the labels' keys, joined by a space) and a soft one (area): criteria and factor. A null wish is no constraint."""
+def with_word_key(profiles: DataFrame, word: str, name: str = "_word") -> DataFrame:
+    return profiles.withColumn(name, label_key(word))
+
+
+def with_text_key(catalogue: DataFrame, labels: Sequence, name: str = "_text") -> DataFrame:
+    return catalogue.withColumn(name, F.concat_ws(" ", *[label_key(x) for x in labels]))
+
+
+def affinity(wanted_type, kind, wanted_word, labels: Sequence, wanted_area, area, outside: float = 0.6, keys: tuple[str, str] | None = None) -> dict[str, Column]:
+    """Two hard filters (type; keyword in the labels' keys, joined by a space) and a soft one (area): criteria and factor. A null wish is no constraint.
+
+    keys: columns made by with_word_key() and with_text_key(), for pairs of profiles and programmes."""
     col = lambda x: F.col(x) if isinstance(x, str) else x
-    key = label_key(wanted_word)
-    text = F.concat_ws(" ", *[label_key(x) for x in labels])
+    key, text = (F.col(k) for k in keys) if keys else (label_key(wanted_word), F.concat_ws(" ", *[label_key(x) for x in labels]))
     type_ok = col(wanted_type).isNull() | (col(wanted_type) == col(kind))
     word_ok = F.when(col(wanted_word).isNull(), True).otherwise((key != "") & F.contains(text, key))
     area_ok = F.when(col(wanted_area).isNull(), None).otherwise(F.coalesce(col(wanted_area) == col(area), F.lit(False)))
@@ -76,9 +90,12 @@ def capped_slices(profiles: DataFrame, catalogue: DataFrame, on: Sequence[str],
 
 
 def any_identifier(records: DataFrame, fields: Sequence[str], requests: DataFrame, wanted: str) -> DataFrame:
-    """Records of which any field holds a requested identifier: one join a field, united."""
-    r = requests.select(F.col(wanted).alias("_id")).distinct()
-    return reduce(lambda a, b: a.unionByName(b), [records.join(r, F.col(f) == F.col("_id"), "left_semi") for f in fields]).dropDuplicates()
+    """Records of which any field holds a requested identifier, each as often as it occurs: a flag a field, then one filter."""
+    ids = requests.select(F.col(wanted)).where(F.col(wanted).isNotNull()).distinct()
+    out = records
+    for i, f in enumerate(fields):
+        out = out.join(ids.select(F.col(wanted).alias(f"_id{i}"), F.lit(True).alias(f"_hit{i}")), F.col(f) == F.col(f"_id{i}"), "left")
+    return out.where(reduce(lambda a, b: a | b, [F.col(f"_hit{i}").isNotNull() for i in range(len(fields))])).select(*records.columns)
 
 
 def survival(df: DataFrame, key: str, session: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import bounded_rate, clip01
+from .reconcile import placed
 
 
 def weighted_mae(y, p, w) -> Column:
@@ -78,10 +79,10 @@ def correlation_ratio(df: DataFrame, values: Sequence[str], group: str) -> DataF
 
 
 def permuted(df: DataFrame, value: str, key: Sequence[str], seed: int) -> DataFrame:
-    """The same rows with value dealt anew, by pairing the order of the key with a seeded hash order; for bounded samples."""
-    a = df.withColumn("_rn", F.row_number().over(Window.orderBy(*key)))
-    b = df.select(F.col(value).alias("_v"), F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed), *key), *key)).alias("_rn"))
-    return a.drop(value).join(b.withColumnRenamed("_v", value), "_rn").drop("_rn")
+    """The same rows with value dealt anew, by pairing the order of the key with a seeded hash order; both by ranges."""
+    a = placed(df.drop(value), list(key), "_rn")
+    b = placed(df.select(F.col(value), *key).withColumn("_hash", F.xxhash64(F.lit(seed), *key)), ["_hash", *key], "_rn").select(value, "_rn")
+    return a.join(b, "_rn").drop("_rn")
 
 
 def net_variance(df: DataFrame, value: str, group: str, key: Sequence[str], rounds: int = 5) -> DataFrame:

@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import scratch
+
 
 def harmonised(vintages: dict[int, DataFrame], columns: Sequence[str], session: str = "session") -> DataFrame:
     """All vintages under one column list; a column a vintage lacks is null there."""
@@ -57,26 +59,41 @@ def carried_header(df: DataFrame, sheet: str, pos: str, is_header: Column, heade
     return out.where(F.col("section") != drop) if drop else out
 
 
-def systematic_sample(df: DataFrame, order: Sequence[str], target: int) -> DataFrame:
-    """Every stride-th row in a stated order, stride = max(total // target, 1), the first target of them.
+def ranged(df: DataFrame, order: Sequence) -> DataFrame:
+    """df dealt by ranges of a stated order, written and read back, with its range (_part) and its place there (_at, from 0).
+
+    Written, as ranges are drawn anew whenever they are computed."""
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    path = scratch(df.sparkSession, "ranges")
+    parts.withColumn("_part", F.spark_partition_id()).withColumn("_at", place).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
-    Rows are numbered by range partitions: a partition's rows are counted, and only those counts are summed."""
-    total = df.count()
-    stride = max(total // target, 1)
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
-    counts = parts.groupBy("_part").count()
-    before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
-    place = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return parts.join(F.broadcast(before), "_part").withColumn("_place", place).where((F.col("_place") % stride == 0) & (F.col("_place") < stride * target)).drop("_part", "_id", "_before", "_place")
+def placed(df: DataFrame, order: Sequence, name: str) -> DataFrame:
+    """df with its place in a stated order, from 0: a range's rows are counted where they are, and only those counts are summed."""
+    parts = ranged(df, order)
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row a range
+    return parts.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
+
+
+def systematic_sample(df: DataFrame, order: Sequence[str], target: int) -> DataFrame:
+    """Every stride-th row in a stated order, stride = max(total // target, 1), the first target of them."""
+    stride = max(df.count() // target, 1)
+    return placed(df, order, "_place").where((F.col("_place") % stride == 0) & (F.col("_place") < stride * target)).drop("_place")
 
 
 def stratified_sample(df: DataFrame, stratum: str, key: Sequence[str], fraction: float, seed: int = 0) -> DataFrame:
-    """round(fraction * n) rows of each stratum, by a seeded hash of the key; 1 keeps all."""
+    """round(fraction * n) rows of each stratum, by a seeded hash of the key; 1 keeps all. A stratum is spread over ranges."""
     if not 0 < fraction <= 1:
         raise ValueError("fraction must lie in (0, 1]")
-    by = Window.partitionBy(stratum)
-    ranked = df.withColumn("_rn", F.row_number().over(by.orderBy(F.xxhash64(F.lit(seed), *key), *key))).withColumn("_n", F.count(F.lit(1)).over(by))
-    return ranked.where(F.col("_rn") <= F.bround(F.col("_n") * F.lit(fraction), 0)).drop("_rn", "_n")
+    if fraction == 1:
+        return df
+    rows = placed(df.withColumn("_hash", F.xxhash64(F.lit(seed), *key)), [stratum, "_hash", *key], "_place")
+    sizes = rows.groupBy(stratum).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).withColumnRenamed(stratum, "_stratum")
+    rows = rows.join(sizes, F.col(stratum).eqNullSafe(F.col("_stratum")))
+    return rows.where(F.col("_place") - F.col("_first") < F.bround(F.col("_n") * F.lit(fraction), 0)).select(*df.columns)
 
 
 def table_difference(a: DataFrame, b: DataFrame) -> DataFrame:

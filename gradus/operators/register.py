@@ -16,15 +16,17 @@ def filtered(df: DataFrame, **conditions: Column | None) -> DataFrame:
     return df
 
 
-def town_activity(df: DataFrame, town: str, activity: str, active: Column, tier: Column, tiers: Sequence[str], created: str, as_of: str, new_code: Column, recent_years: float = 3.0) -> DataFrame:
-    """One scan, one shuffle: active and closed units, active ones by tier, share with a new code, mean age and recent ones among the active."""
-    age = age_years(created, as_of)
-    return df.where(F.col(town).isNotNull()).groupBy(town, activity).agg(
+def town_activity(df: DataFrame, town: str, activity: str, state: str, is_open: str, is_closed: str, tier: Column, tiers: Sequence[str], created: str, as_of: str, new_code: str, recent_years: float = 3.0) -> DataFrame:
+    """One scan, one shuffle: open and closed units; of the open ones, counts by tier, those with a new code, mean age and recent ones.
+
+    Units of another state are left out. Pass employers alone (filtered()) where only they count."""
+    active, age = F.col(state) == is_open, age_years(created, as_of)
+    return df.where(F.col(town).isNotNull() & F.col(state).isin(is_open, is_closed)).groupBy(town, activity).agg(
         F.count_if(active).alias("n_actifs"), F.count_if(~active).alias("n_fermes"),
         *[F.count_if(active & (tier == t)).alias(f"n_{t}") for t in tiers],
-        F.avg(new_code.cast("double")).alias("couverture"), F.avg(F.when(active, age)).alias("age_moyen"),
+        F.count_if(active & F.col(new_code).isNotNull()).alias("n_nouveau_code"), F.avg(F.when(active, age)).alias("age_moyen"),
         F.count_if(active & (age <= recent_years)).alias("n_recents"),
-    )
+    ).withColumn("date_reference", F.lit(as_of).cast("date"))
 
 
 def totals(aggregate: DataFrame, counts: Sequence[str]) -> DataFrame:

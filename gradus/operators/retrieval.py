@@ -5,13 +5,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import unaccented
+from ..functions.exprs import folded
+from ..sources.tables import scratch
 
 #: French stop words (fixed values).
 STOP_WORDS = (
-    "a au aux avec c ce ces d dans de des du elle en es est et etait ete eux il j je l la le les leur lui m ma mais me meme mes moi mon n ne nos notre "
-    "nous on ou par pas pour qu que quel quelle quelles quels qui s sa se ses soit son sont suis sur t ta te tes toi ton tu un une vos votre vous y"
-).split()
+    "a", "au", "aux", "avec", "c", "ce", "ces", "d", "dans", "de", "des", "du", "elle", "en",
+    "es", "est", "et", "etait", "ete", "eux", "il", "j", "je", "l", "la", "le", "les", "leur",
+    "lui", "m", "ma", "mais", "me", "meme", "mes", "moi", "mon", "n", "ne", "nos", "notre", "nous",
+    "on", "ou", "par", "pas", "pour", "qu", "que", "quel", "quelle", "quelles", "quels", "qui", "s", "sa",
+    "se", "ses", "soit", "son", "sont", "suis", "sur", "t", "ta", "te", "tes", "toi", "ton", "tu",
+    "un", "une", "vos", "votre", "vous", "y",
+)
 
 
 def documents(df: DataFrame, name: Column, position: str, fields: Sequence[str], url: Column, default_url: str) -> DataFrame:
@@ -23,7 +28,7 @@ def documents(df: DataFrame, name: Column, position: str, fields: Sequence[str],
 
 def tokens(text) -> Column:
     """Tokens of two word characters or more without accents, stop words left out."""
-    return F.filter(F.split(F.lower(unaccented(text)), "[^a-z0-9_]+"), lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))
+    return F.filter(F.split(folded(F.lower(text)), "[^\\p{L}\\p{N}_]+"), lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))
 
 
 def with_pairs(words: str) -> Column:
@@ -52,17 +57,24 @@ def weighted(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
 def search(docs: DataFrame, doc: str, queries: DataFrame, query: str, text: str = "text", k: int = 5, least: float = 0.0) -> DataFrame:
     """query, doc, score, rang of the k best by cosine over `least`; ties by doc. A query without terms finds nothing.
 
-    Only the postings of the queries' own terms take part in the join."""
-    tf = counted(docs, doc, text)
+    The documents' postings are made once and written. Their weights give each document's length in one aggregate, and only
+    the postings of the queries' own terms are joined to the queries."""
+    spark, folder = docs.sparkSession, scratch(docs.sparkSession, "postings")
+    counted(docs, doc, text).write.parquet(folder)
+    tf = spark.read.parquet(folder)
     idf = inverse_frequencies(tf, doc, docs.count())
-    d, q = weighted(tf, idf, doc), weighted(counted(queries, query, text), idf, query)
-    scores = d.withColumnRenamed("w", "wd").join(q.withColumnRenamed("w", "wq"), "term").groupBy(query, doc).agg(F.sum(F.col("wd") * F.col("wq")).alias("score")).where(F.col("score") > least)
+    raw = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    asked = counted(queries, query, text)
+    q = weighted(asked, idf.join(asked.select("term").distinct(), "term", "left_semi"), query).withColumnRenamed("w", "wq")
+    found = raw.join(asked.select("term").distinct(), "term", "left_semi").join(q, "term")
+    scores = found.groupBy(query, doc).agg(F.sum(F.col("w") * F.col("wq")).alias("dot")).join(norm, doc).withColumn("score", F.col("dot") / F.col("norm")).where(F.col("score") > least)
     rank = F.row_number().over(Window.partitionBy(query).orderBy(F.desc(F.round("score", 9)), doc))
-    return scores.withColumn("rang", rank).where(F.col("rang") <= k)
+    return scores.withColumn("rang", rank).where(F.col("rang") <= k).select(query, doc, "score", "rang")
 
 
-def citations(found: DataFrame, docs: DataFrame, doc: str, query: str, url: Column, chars: int = 80) -> DataFrame:
-    """A query's numbered extract: [rank] text (url), in order."""
-    line = F.concat(F.lit("["), F.col("rang").cast("string"), F.lit("] "), F.substring("text", 1, chars), F.lit(" ("), url, F.lit(")"))
+def citations(found: DataFrame, docs: DataFrame, doc: str, query: str, url: Column) -> DataFrame:
+    """A query's numbered extract: [rank] whole text (url), in order."""
+    line = F.concat(F.lit("["), F.col("rang").cast("string"), F.lit("] "), F.col("text"), F.lit(" ("), url, F.lit(")"))
     rows = found.join(docs, doc).groupBy(query).agg(F.array_sort(F.collect_list(F.struct("rang", line.alias("line")))).alias("r"))
     return rows.select(query, F.array_join(F.transform("r", lambda x: x["line"]), "\n").alias("extrait"))

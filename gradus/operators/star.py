@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import bounded_rate, rate_overflow
+from .reconcile import placed
 
 
 def versions(df: DataFrame, key: str, session: str, tracked: Sequence[str]) -> DataFrame:
@@ -18,8 +19,8 @@ def versions(df: DataFrame, key: str, session: str, tracked: Sequence[str]) -> D
 
 
 def numbered(dim: DataFrame, name: str, order: Sequence) -> DataFrame:
-    """Dense surrogate key 1 ... n in a stated order; for dimensions, which are small: one task numbers them."""
-    return dim.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    """Dense surrogate key 1 ... n in a stated order, by ranges: a dimension of versions grows with the register."""
+    return placed(dim, order, name).withColumn(name, (F.col(name) + 1).cast("int"))
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
@@ -27,10 +28,10 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
-def profile_dimension(spark, types: Sequence[str]) -> DataFrame:
-    """Every type with and without scholarship, numbered."""
-    rows = [(2 * i + s + 1, t, bool(s)) for i, t in enumerate(types) for s in (0, 1)]
-    return spark.createDataFrame(rows, "sk_profil long, type_bac string, boursier boolean")
+def profile_dimension(df: DataFrame, kind: str) -> DataFrame:
+    """Every type of df with and without scholarship, numbered in order."""
+    kinds = df.select(F.col(kind).alias("type_bac")).distinct().select("type_bac", F.explode(F.array(F.lit(False), F.lit(True))).alias("boursier"))
+    return placed(kinds, ["type_bac", "boursier"], "sk_profil").select((F.col("sk_profil") + 1).alias("sk_profil"), "type_bac", "boursier")
 
 
 def session_dimension(silver: DataFrame, base: DataFrame, session: str = "session") -> DataFrame:

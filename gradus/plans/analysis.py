@@ -62,36 +62,42 @@ def _(spark, sf):
     return out.groupBy("p_partkey", "l_suppkey", "s_nationkey", "actif").agg(F.count(F.lit(1)).alias("n"))
 
 
-_KEY = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+_KEY, _LABEL = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))", "p_name || '-' || p_type || '-' || p_size"
 
 
-@query("c08_unambiguous_labels", f"WITH r AS (SELECT {_KEY.format('p_name')} AS k, min(p_brand) AS brand FROM part WHERE p_partkey % 40 = 0 GROUP BY 1 HAVING count(DISTINCT p_brand) = 1) SELECT p_partkey, brand FROM part JOIN r ON r.k = {_KEY.format('p_name')}")
+@query("c08_unambiguous_labels", f"WITH r AS (SELECT {_KEY.format(_LABEL)} AS k, min(p_brand) AS brand FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) = 1) SELECT p_partkey, brand FROM part JOIN r ON r.k = {_KEY.format(_LABEL)}")
 def _(spark, sf):
-    p = t(spark, sf, "part")
-    right = p.where("p_partkey % 40 = 0").select(F.col("p_name").alias("label"), F.col("p_brand").alias("brand"))
-    return matching.unambiguous_labels(p.select("p_partkey", "p_name"), "p_name", right, "label", "brand").select("p_partkey", "brand")
+    p = t(spark, sf, "part").select("p_partkey", F.concat_ws("-", "p_name", "p_type", "p_size").alias("label"), F.col("p_brand").alias("brand"))
+    return matching.unambiguous_labels(p.select("p_partkey", "label"), "label", p.select("label", "brand"), "label", "brand").select("p_partkey", "brand")
 
 
-def _outlets(spark, sf):
-    line = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("code"), F.col("l_linenumber").alias("division"), (F.col("l_partkey") % 20).alias("departement"))
-    return line, line.groupBy("departement", "division").agg(F.count(F.lit(1)).alias("n"))
+_OUTLETS = """cnt AS (SELECT CASE WHEN l_partkey % 20 < 18 THEN l_partkey % 20 END AS departement, l_linenumber AS division, count(*) AS n FROM lineitem GROUP BY ALL), pub AS (SELECT * FROM cnt WHERE n >= (SELECT avg(n) FROM cnt)),
+dv AS (SELECT s_suppkey AS code, CASE WHEN s_suppkey % 6 <> 0 THEN s_suppkey % 7 + 1 END AS division FROM supplier)"""
 
 
-@query("c09_outlet_term", """WITH cnt AS (SELECT l_partkey % 20 AS departement, l_linenumber AS division, count(*) AS n FROM lineitem WHERE l_partkey % 20 < 18 GROUP BY ALL), pub AS (SELECT * FROM cnt WHERE n >= (SELECT avg(n) FROM cnt)),
-dv AS (SELECT s_suppkey AS code, s_suppkey % 7 + 1 AS division FROM supplier), q AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 9 <> 0 THEN c_custkey % 120 + 1 END AS code, CASE WHEN c_custkey % 8 <> 0 THEN c_custkey % 20 END AS departement FROM customer),
-j AS (SELECT q.*, (SELECT sum(n) FROM dv JOIN pub USING (division) WHERE dv.code = q.code AND pub.departement = q.departement) AS n, EXISTS (SELECT 1 FROM dv JOIN cnt USING (division) WHERE dv.code = q.code AND cnt.departement = q.departement) AS e FROM q),
-s AS (SELECT *, CASE WHEN departement IS NULL THEN 'indisponible_territoire_non_renseigne' WHEN code IS NULL THEN 'indisponible_chaine_rompue' WHEN code IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 = 0) THEN 'indisponible_certification_radiee' WHEN n IS NOT NULL OR NOT e THEN 'mesure' ELSE 'indisponible_k_anonymat' END AS statut FROM j)
-SELECT id, statut, CASE statut WHEN 'mesure' THEN least(1.0, coalesce(n, 0) / 2000.0) WHEN 'indisponible_certification_radiee' THEN 0.0 ELSE 1.0 END::DOUBLE AS debouches FROM s""")
-def _(spark, sf):
-    line = t(spark, sf, "lineitem").where("l_partkey % 20 < 18").select((F.col("l_partkey") % 20).alias("departement"), F.col("l_linenumber").cast("long").alias("division"))
+def _outlet(q):
+    """status and value of the rows (id, code, departement) of q."""
+    return f"""j AS (SELECT q.*, (SELECT sum(n) FROM dv JOIN pub USING (division) WHERE dv.code = q.code AND pub.departement = q.departement) AS n, EXISTS (SELECT 1 FROM dv JOIN cnt USING (division) WHERE dv.code = q.code AND cnt.departement = q.departement) AS e FROM {q} q),
+s AS (SELECT *, CASE WHEN departement IS NULL THEN 'indisponible_territoire_non_renseigne' WHEN code IS NULL THEN 'indisponible_chaine_rompue' WHEN code NOT IN (SELECT code FROM dv WHERE division IS NOT NULL AND code % 10 <> 0) THEN 'indisponible_certification_radiee' WHEN n IS NOT NULL OR NOT e THEN 'mesure' ELSE 'indisponible_k_anonymat' END AS statut FROM j),
+o AS (SELECT id, statut, CASE statut WHEN 'mesure' THEN least(1.0, coalesce(n, 0) / 2000.0) WHEN 'indisponible_certification_radiee' THEN 0.0 ELSE 1.0 END::DOUBLE AS debouches FROM s)"""
+
+
+def outlets(spark, sf, rows):
+    """Outlet terms of rows (id, code, departement): departments without an area, codes without division and withdrawn codes are built in."""
+    line = t(spark, sf, "lineitem").select(F.when(F.col("l_partkey") % 20 < 18, F.col("l_partkey") % 20).alias("departement"), F.col("l_linenumber").cast("long").alias("division"))
     every = line.groupBy("departement", "division").agg(F.count(F.lit(1)).alias("n"))
     published = every.crossJoin(F.broadcast(every.agg(F.avg("n").alias("least")))).where("n >= least").drop("least")  # one row
     s = t(spark, sf, "supplier")
-    divisions = s.select(F.col("s_suppkey").alias("code"), (F.col("s_suppkey") % 7 + 1).alias("division"))
+    divisions = s.select(F.col("s_suppkey").alias("code"), F.when(F.col("s_suppkey") % 6 != 0, F.col("s_suppkey") % 7 + 1).alias("division"))
     active = s.select(F.col("s_suppkey").alias("code"), (F.col("s_suppkey") % 10 != 0).alias("actif"))
+    return matching.outlet_term(rows, "code", "departement", divisions, published, every, active, 2000)
+
+
+@query("c09_outlet_term", f"WITH {_OUTLETS}, q AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 9 <> 0 THEN c_custkey % 120 + 1 END AS code, CASE WHEN c_custkey % 8 <> 0 THEN c_custkey % 20 END AS departement FROM customer), {_outlet('q')} SELECT * FROM o")
+def _(spark, sf):
     c = F.col("c_custkey")
     rows = t(spark, sf, "customer").select(c.alias("id"), F.when(c % 9 != 0, c % 120 + 1).alias("code"), F.when(c % 8 != 0, c % 20).alias("departement"))
-    return matching.outlet_term(rows, "code", "departement", divisions, published, every, active, 2000).select("id", "statut", "debouches")
+    return outlets(spark, sf, rows).select("id", "statut", "debouches")
 
 
 @query("c10_default_group", "SELECT d.doc_id, coalesce('q' || quality, 'indetermine') AS grp FROM documents d LEFT JOIN labels USING (doc_id)")
@@ -100,17 +106,20 @@ def _(spark, sf):
     return matching.with_default_group(t(spark, sf, "documents").select("doc_id"), groups, "doc_id", "grp")
 
 
-@query("c11_recommendation", """WITH p AS (SELECT s_suppkey AS profile, s_nationkey AS area, s_suppkey % 5 AS kind, CASE WHEN s_suppkey % 3 = 0 THEN 'green' END AS word FROM supplier),
-k AS (SELECT p_partkey, p_partkey % 5 AS kind, p_size % 25 AS area2, lower(p_name) AS label, ((p_partkey * 37) % 1000) / 1000::DOUBLE AS taux FROM part),
-x AS (SELECT profile, p_partkey, CASE WHEN word IS NOT NULL AND NOT contains(label, word) THEN 0.0 WHEN area <> area2 THEN 0.6 ELSE 1.0 END::DOUBLE AS affinite, taux AS accessibilite FROM p JOIN k USING (kind)),
-r AS (SELECT *, affinite * accessibilite * 1.0::DOUBLE AS score, row_number() OVER (PARTITION BY profile ORDER BY affinite * accessibilite DESC, p_partkey)::INT AS rang FROM x)
-SELECT profile, p_partkey, affinite, accessibilite, round(score, 6) AS score, rang FROM r WHERE rang <= 10""")
+@query("c11_recommendation", f"""WITH {_OUTLETS}, p AS (SELECT s_suppkey AS profile, s_nationkey AS area, s_suppkey % 5 AS kind, CASE WHEN s_suppkey % 3 = 0 THEN 'green' END AS word FROM supplier),
+q AS (SELECT p_partkey AS id, p_partkey % 120 + 1 AS code, p_size % 25 AS departement FROM part), {_outlet('q')},
+k AS (SELECT p_partkey, p_partkey % 5 AS kind, p_size % 25 AS area2, lower(p_name) AS label, ((p_partkey * 37) % 1000) / 1000::DOUBLE AS taux, debouches FROM part JOIN o ON id = p_partkey),
+x AS (SELECT profile, p_partkey, CASE WHEN word IS NOT NULL AND NOT contains(label, word) THEN 0.0 WHEN area <> area2 THEN 0.6 ELSE 1.0 END::DOUBLE AS affinite, taux AS accessibilite, debouches FROM p JOIN k USING (kind)),
+r AS (SELECT *, affinite * accessibilite * debouches AS score, row_number() OVER (PARTITION BY profile ORDER BY affinite * accessibilite * debouches DESC, p_partkey)::INT AS rang FROM x)
+SELECT profile, p_partkey, affinite, accessibilite, debouches, round(score, 6) AS score, rang FROM r WHERE rang <= 10""")
 def _(spark, sf):
     p = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("profile"), F.col("s_nationkey").alias("area"), (F.col("s_suppkey") % 5).alias("kind"), F.when(F.col("s_suppkey") % 3 == 0, "green").alias("word"))
-    k = t(spark, sf, "part").select("p_partkey", (F.col("p_partkey") % 5).alias("kind"), (F.col("p_size") % 25).alias("area2"), F.col("p_name").alias("label"), (F.col("p_partkey") * 37 % 1000 / F.lit(1000.0)).alias("taux"), F.lit(1.0).alias("debouches"))
-    affinity = matching.affinity(F.lit(None).cast("string"), F.lit("x"), "word", ["label"], "area", "area2")
+    k = t(spark, sf, "part").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 120 + 1).alias("code"), (F.col("p_size") % 25).cast("long").alias("departement"), "p_partkey", (F.col("p_partkey") % 5).alias("kind"), F.col("p_name").alias("label"), (F.col("p_partkey") * 37 % 1000 / F.lit(1000.0)).alias("taux"))
+    k = outlets(spark, sf, k).withColumnRenamed("departement", "area2")
+    p, k = matching.with_word_key(p, "word"), matching.with_text_key(k, ["label"])  # once a row, not once a pair
+    affinity = matching.affinity(F.lit(None).cast("string"), F.lit("x"), "word", [], "area", "area2", keys=("_word", "_text"))
     out = matching.recommend(p, k, ["kind"], "profile", ["p_partkey"], affinity, "taux", "debouches", 10)
-    return out.select("profile", "p_partkey", "affinite", "accessibilite", *r6("score"), "rang")
+    return out.select("profile", "p_partkey", "affinite", "accessibilite", "debouches", *r6("score"), "rang")
 
 
 @query("c12_point_lookup", f"WITH {CELLS} SELECT key, session, kind, scholar, effectif FROM cells WHERE key % 100 = 3 AND session = 1997")
@@ -119,7 +128,7 @@ def _(spark, sf):
     return cells(spark, sf).join(wanted, ["key", "session"], "left_semi").select("key", "session", "kind", "scholar", "effectif")
 
 
-@query("c13_any_identifier", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_partkey % 500 = 7 OR l_suppkey % 500 = 7 GROUP BY ALL")
+@query("c13_any_identifier", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_partkey % 500 = 7 OR l_suppkey % 500 = 7")
 def _(spark, sf):
     wanted = t(spark, sf, "part").where("p_partkey % 500 = 7").select(F.col("p_partkey").alias("id")).unionByName(t(spark, sf, "supplier").where("s_suppkey % 500 = 7").select(F.col("s_suppkey").alias("id")))
     return matching.any_identifier(t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), ["l_partkey", "l_suppkey"], wanted, "id")
@@ -137,25 +146,31 @@ def _(spark, sf):
 
 _TIERS = ["0", "1_9", "10_49", "50_249", "250_plus", "non_renseignee"]
 _CODES = {"0": "00", "1_9": "01", "10_49": "11", "50_249": "21", "250_plus": "32", "non_renseignee": "NN"}
-_ACTIVE = "state = 'O' AND employer"
 _AGE = "date_diff('day', created, DATE '2002-08-01') / 365.25"
-D01 = f"SELECT town, activity, count(*) FILTER ({_ACTIVE}) AS n_actifs, count(*) FILTER (NOT ({_ACTIVE})) AS n_fermes, " + ", ".join(f"count(*) FILTER ({_ACTIVE} AND code = '{_CODES[x]}') AS n_{x}" for x in _TIERS) + f", round(avg((created >= DATE '1998-01-01')::INT), 6) AS couverture, round(avg({_AGE}) FILTER ({_ACTIVE}), 6) AS age_moyen, count(*) FILTER ({_ACTIVE} AND {_AGE} <= 3) AS n_recents FROM units WHERE town IS NOT NULL GROUP BY 1, 2"
+D01 = (
+    "SELECT town, activity, count(*) FILTER (s = 'O') AS n_actifs, count(*) FILTER (s = 'F') AS n_fermes, "
+    + ", ".join(f"count(*) FILTER (s = 'O' AND code = '{_CODES[x]}') AS n_{x}" for x in _TIERS)
+    + f", count(*) FILTER (s = 'O' AND created >= DATE '1998-01-01') AS n_nouveau_code, round(avg({_AGE}) FILTER (s = 'O'), 6) AS age_moyen, count(*) FILTER (s = 'O' AND {_AGE} <= 3) AS n_recents, '2002-08-01' AS date_reference"
+    + " FROM (SELECT *, CASE WHEN activity = '0049' THEN 'X' ELSE state END AS s FROM units) WHERE town IS NOT NULL AND employer AND s IN ('O', 'F') GROUP BY 1, 2"
+)
 
 
 def town_activity(spark, sf):
-    active = (F.col("state") == "O") & F.col("employer")
-    return register.town_activity(units(spark, sf), "town", "activity", active, X.tier("code", X.WORKFORCE_TIERS), _TIERS, "created", "2002-08-01", F.col("created") >= F.lit("1998-01-01").cast("date"))
+    rows = units(spark, sf).withColumn("state", F.when(F.col("activity") == "0049", "X").otherwise(F.col("state")))
+    rows = rows.withColumn("new_code", F.when(F.col("created") >= F.lit("1998-01-01").cast("date"), F.col("activity")))
+    employers = register.filtered(rows, employer=F.col("employer"))
+    return register.town_activity(employers, "town", "activity", "state", "O", "F", X.tier("code", X.WORKFORCE_TIERS), _TIERS, "created", "2002-08-01", "new_code")
 
 
 @query("d01_town_activity", f"WITH {UNITS} {D01}")
 def _(spark, sf):
     a = town_activity(spark, sf)
-    return a.select(*[c for c in a.columns if c not in ("couverture", "age_moyen")], *r6("couverture", "age_moyen"))
+    return a.select(*[c for c in a.columns if c not in ("date_reference", "age_moyen")], *r6("age_moyen"), F.col("date_reference").cast("string").alias("date_reference"))
 
 
-@query("d02_totals", f"WITH {UNITS}, a AS ({D01}) SELECT count(*) AS cellules, sum(n_actifs)::BIGINT AS n_actifs, sum(n_fermes)::BIGINT AS n_fermes FROM a")
+@query("d02_totals", f"WITH {UNITS}, a AS ({D01}) SELECT count(*) AS cellules, sum(n_actifs)::BIGINT AS n_actifs, sum(n_fermes)::BIGINT AS n_fermes, sum(n_nouveau_code)::BIGINT AS n_nouveau_code FROM a")
 def _(spark, sf):
-    return register.totals(town_activity(spark, sf), ["n_actifs", "n_fermes"])
+    return register.totals(town_activity(spark, sf), ["n_actifs", "n_fermes", "n_nouveau_code"])
 
 
 _D03 = "SELECT left(town, 2) AS departement, left(activity, 2) AS division, count(*) AS n FROM units WHERE town IS NOT NULL AND state = 'O' AND employer AND code <> '00' GROUP BY 1, 2"
@@ -263,7 +278,7 @@ def _(spark, sf):
 
 
 _DRIFT_ROWS = """r AS (SELECT 'quantity' AS variable, year(l_shipdate) = 1996 AS side, l_quantity::DOUBLE AS v FROM lineitem WHERE year(l_shipdate) IN (1996, 2000) UNION ALL SELECT 'price', year(l_shipdate) = 1996, l_extendedprice FROM lineitem WHERE year(l_shipdate) IN (1996, 2000))"""
-_PSI = f"""{_DRIFT_ROWS}, q AS (SELECT variable, list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS e FROM r WHERE side GROUP BY 1), b AS (SELECT variable, len(list_filter(e, lambda x: x < v)) AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r JOIN q USING (variable) GROUP BY ALL),
+_PSI = f"""{_DRIFT_ROWS}, q AS (SELECT variable, list_filter(list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])), lambda x: x > least AND x < most) AS e FROM (SELECT *, min(v) OVER w AS least, max(v) OVER w AS most FROM r WHERE side WINDOW w AS (PARTITION BY variable)) GROUP BY variable, least, most), b AS (SELECT variable, len(list_filter(e, lambda x: x < v)) AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r JOIN q USING (variable) GROUP BY ALL),
   s AS (SELECT variable, greatest(a / sum(a) OVER w, 0.0001) AS p, greatest(b / sum(b) OVER w, 0.0001) AS q FROM b WINDOW w AS (PARTITION BY variable))"""
 _KS = f"""c AS (SELECT variable, v, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r GROUP BY ALL),
   k AS (SELECT variable, abs(sum(a) OVER u / sum(a) OVER w - sum(b) OVER u / sum(b) OVER w) AS d FROM c WINDOW u AS (PARTITION BY variable ORDER BY v), w AS (PARTITION BY variable))"""
@@ -284,9 +299,9 @@ def _(spark, sf):
     return drift.psi_numeric(two_years(spark, sf), "variable", "side", "v").select("variable", *r6("psi"))
 
 
-@query("d17_psi_categorical", "WITH r AS (SELECT year(o_orderdate) = 1996 AS side, 'k' || (o_custkey % 30) AS c FROM orders WHERE year(o_orderdate) IN (1996, 2000)), t AS (SELECT c FROM r WHERE side GROUP BY 1 ORDER BY count(*) DESC, c LIMIT 20), b AS (SELECT CASE WHEN c IN (SELECT c FROM t) THEN c ELSE '__autre__' END AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r GROUP BY 1), s AS (SELECT greatest(a / sum(a) OVER (), 0.0001) AS p, greatest(b / sum(b) OVER (), 0.0001) AS q FROM b) SELECT 'customer' AS variable, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s")
+@query("d17_psi_categorical", "WITH r AS (SELECT year(o_orderdate) = 1996 AS side, CASE WHEN o_custkey % 30 = 3 THEN '__manquant__' ELSE 'cote ' || (o_custkey % 30) END AS c FROM orders WHERE year(o_orderdate) IN (1996, 2000)), t AS (SELECT c FROM r WHERE side GROUP BY 1 ORDER BY count(*) DESC, c LIMIT 20), b AS (SELECT CASE WHEN c IN (SELECT c FROM t) THEN c ELSE '__autre__' END AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r GROUP BY 1), s AS (SELECT greatest(a / sum(a) OVER (), 0.0001) AS p, greatest(b / sum(b) OVER (), 0.0001) AS q FROM b) SELECT 'customer' AS variable, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s")
 def _(spark, sf):
-    rows = t(spark, sf, "orders").where(F.year("o_orderdate").isin(1996, 2000)).select(F.lit("customer").alias("variable"), (F.year("o_orderdate") == 1996).alias("side"), F.concat(F.lit("k"), (F.col("o_custkey") % 30).cast("string")).alias("c"))
+    rows = t(spark, sf, "orders").where(F.year("o_orderdate").isin(1996, 2000)).select(F.lit("customer").alias("variable"), (F.year("o_orderdate") == 1996).alias("side"), F.when(F.col("o_custkey") % 30 != 3, F.concat(F.when(F.col("o_orderkey") % 2 == 0, "Côte_").otherwise("cote - "), (F.col("o_custkey") % 30).cast("string"))).alias("c"))
     return drift.psi_categorical(rows, "variable", "side", "c").select("variable", *r6("psi"))
 
 
@@ -425,8 +440,7 @@ def _(spark, sf):
 
 @query("e04_profile_dimension", "WITH p AS (SELECT DISTINCT o_orderpriority AS type_bac FROM orders) SELECT row_number() OVER (ORDER BY type_bac, boursier) AS sk_profil, type_bac, boursier FROM p, (VALUES (false), (true)) v(boursier)")
 def _(spark, sf):
-    kinds = sorted(r[0] for r in t(spark, sf, "orders").select("o_orderpriority").distinct().limit(100).collect())
-    return star.profile_dimension(spark, kinds)
+    return star.profile_dimension(t(spark, sf, "orders"), "o_orderpriority")
 
 
 @query("e05_session_dimension", f"WITH {CELLS} SELECT session, bool_or(session > 1996 AND den > 0) AS label_disponible FROM (SELECT session, coalesce(den, 0) AS den FROM cells) GROUP BY 1")
@@ -435,9 +449,9 @@ def _(spark, sf):
     return star.session_dimension(c, c.where("session > 1996 and den > 0"))
 
 
-@query("e06_code_labels", "SELECT n_nationkey, n_name FROM nation")
+@query("e06_code_labels", "SELECT c_custkey, c_name FROM customer")
 def _(spark, sf):
-    return star.labels_of(t(spark, sf, "nation"), "n_nationkey", "n_name")
+    return star.labels_of(t(spark, sf, "customer"), "c_custkey", "c_name")
 
 
 _FACT = f"{_SCD}, {CELLS}, num AS (SELECT *, row_number() OVER (ORDER BY key, debut)::INT AS sk_formation FROM dim)"
@@ -460,7 +474,7 @@ def _(spark, sf):
     return features.lagged_lookup(rows, y, "key", "session", ["level", "n"])
 
 
-@query("e09_silver", "SELECT year(o_orderdate)::INT AS session, o_orderkey::VARCHAR AS cod, o_custkey AS places, o_orderpriority AS priority, CASE WHEN year(o_orderdate) = 1997 AND o_custkey % 5 <> 0 THEN (o_custkey % 90) + 0.5 END::DOUBLE AS share FROM orders WHERE year(o_orderdate) IN (1996, 1997)")
+@query("e09_silver", "SELECT year(o_orderdate)::INT AS session, o_orderkey::VARCHAR AS cod, o_custkey AS places, o_orderpriority AS priority, CASE WHEN year(o_orderdate) >= 1997 AND o_custkey % 5 <> 0 THEN (o_custkey % 90) + 0.5 END::DOUBLE AS share FROM orders")
 def _(spark, sf):
     from .tables import _vintages
 

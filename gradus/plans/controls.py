@@ -138,7 +138,7 @@ def _(spark, sf):
 
 
 _STOP = ", ".join(f"'{w}'" for w in retrieval.STOP_WORDS)
-_TOK = "list_filter(string_split_regex(lower(regexp_replace(strip_accents({}), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9_]+'), lambda x: length(x) >= 2 AND x NOT IN (" + _STOP + "))"
+_TOK = "list_filter(string_split_regex(strip_accents(lower({})), '[^\\p{{L}}\\p{{N}}_]+'), lambda x: length(x) >= 2 AND x NOT IN (" + _STOP + "))"
 
 
 def _terms(source, key, text):
@@ -171,7 +171,7 @@ def _(spark, sf):
     return found(spark, sf).select("item_id", "doc_id", *r6("score"), "rang")
 
 
-@query("i04_citations", f"WITH {_SEARCH} SELECT item_id, string_agg('[' || rang || '] ' || substring(text, 1, 80) || ' (doc/' || doc_id || ')', chr(10) ORDER BY rang) AS extrait FROM r JOIN documents USING (doc_id) WHERE rang <= 5 GROUP BY 1")
+@query("i04_citations", f"WITH {_SEARCH} SELECT item_id, string_agg('[' || rang || '] ' || text || ' (doc/' || doc_id || ')', chr(10) ORDER BY rang) AS extrait FROM r JOIN documents USING (doc_id) WHERE rang <= 5 GROUP BY 1")
 def _(spark, sf):
     docs = t(spark, sf, "documents").select("doc_id", "text")
     return retrieval.citations(found(spark, sf), docs, "doc_id", "item_id", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")))
@@ -259,7 +259,7 @@ def learning_rows(spark, sf):
 @query("k01_boosted_trees")
 def _(spark, sf):
     train, val, test = learning_rows(spark, sf)
-    return learning.predict(learning.fit_boosted(train, val, NUMERIC, CATEGORIES, "taux", "effectif", rounds=5), test, NUMERIC, CATEGORIES, ["key", "kind", "scholar"])
+    return learning.predict(learning.fit_boosted(train, val, NUMERIC, CATEGORIES, "taux", "effectif", rounds=40), test, NUMERIC, CATEGORIES, ["key", "kind", "scholar"])
 
 
 @query("k02_isotonic")
@@ -277,7 +277,7 @@ def _(spark, sf):
 @query("k04_grid")
 def _(spark, sf):
     train, val, _ = learning_rows(spark, sf)
-    return learning.best_of(learning.grid(train, val, NUMERIC, CATEGORIES, "taux", "effectif", "session", "key", 1998, [None, 2]))
+    return learning.best_of(learning.grid(train, val, NUMERIC, CATEGORIES, "taux", "effectif", "session", "key", "segment", "pred", 1998))
 
 
 @query("k05_refit")
@@ -289,13 +289,13 @@ def _(spark, sf):
 @query("k06_ablation")
 def _(spark, sf):
     train, _, test = learning_rows(spark, sf)
-    return learning.ablation(train, test, NUMERIC, CATEGORIES, "taux", "effectif", {"without_segment": ["segment"], "without_num": ["num"]})
+    return learning.ablation(train, test, NUMERIC, CATEGORIES, "taux", "effectif", {"without_segment": ["segment"], "without_kind": ["kind"], "without_num": ["num"], "without_den": ["den"], "only_num": ["den", *CATEGORIES], "only_categories": NUMERIC})
 
 
 @query("k07_learning_curve")
 def _(spark, sf):
     train, _, test = learning_rows(spark, sf)
-    return learning.learning_curve(train, test, NUMERIC, CATEGORIES, "taux", "effectif", "session", ["key", "kind", "scholar"], (0.1, 0.5, 1.0))
+    return learning.learning_curve(train, test, NUMERIC, CATEGORIES, "taux", "effectif", "session", ["key", "kind", "scholar"])
 
 
 @query("k08_batch_prediction")

@@ -13,31 +13,36 @@ from .bindings import CELLS, RATE, RATED, UNITS, YEARLY, cells, query, r6, rated
 ORDERS_TEXT = "SELECT o_orderkey::VARCHAR AS cod, o_orderpriority AS priority, round(o_totalprice, 2)::VARCHAR AS price FROM orders"
 
 
+FIRST_SHARE = 1997  #: the vintage from which there is one column more
+
+
 def _vintages(spark, sf):
-    """Yearly text files written from orders and read back: two years, the later one with one column more."""
-    o = t(spark, sf, "orders")
-    out = {}
-    for year in (1996, 1997):
-        rows = o.where(F.year("o_orderdate") == year).select(F.col("o_orderkey").cast("string").alias("cod"), F.concat(F.lit("https://x/?g_ta_cod="), F.col("o_orderkey").cast("string")).alias("url"), F.col("o_orderpriority").alias("priority"), F.col("o_custkey").cast("string").alias("places"), F.when(F.col("o_custkey") % 5 == 0, None).otherwise(F.concat((F.col("o_custkey") % 90).cast("string"), F.lit(".5"))).alias("share"))
-        rows = rows.withColumn("cod", F.when(F.col("cod").cast("long") % 3 != 0, F.col("cod")))
-        path = S.write_csv(rows if year == 1997 else rows.drop("share"), S.scratch(spark, "vintage"))
-        out[year] = S.read_delimited(spark, path, required=["cod"])
-    return out
+    """Yearly text files written from orders and read back, one vintage for every year there is."""
+    key = F.col("o_orderkey")
+    share = F.when(F.col("o_custkey") % 5 != 0, F.concat((F.col("o_custkey") % 90).cast("string"), F.lit(".5")))
+    rows = t(spark, sf, "orders").select(
+        F.year("o_orderdate").alias("session"), F.when(key % 3 != 0, key.cast("string")).alias("cod"), F.concat(F.lit("https://x/?g_ta_cod="), key.cast("string")).alias("url"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_custkey").cast("string").alias("places"), share.alias("share"),
+    )
+    early = S.write_csv(rows.where(F.col("session") < FIRST_SHARE).drop("share"), S.scratch(spark, "vintage"), partition_by=["session"])
+    late = S.write_csv(rows.where(F.col("session") >= FIRST_SHARE), S.scratch(spark, "vintage"), partition_by=["session"])
+    years = sorted(r.session for r in rows.select("session").distinct().collect())  # a number a vintage
+    return {y: S.read_delimited(spark, f"{early if y < FIRST_SHARE else late}/session={y}", required=["cod"]) for y in years}
 
 
 _V = """v AS (SELECT year(o_orderdate)::INT AS session, o_orderkey AS k, o_custkey AS places, o_orderpriority AS priority,
-  CASE WHEN year(o_orderdate) = 1997 AND o_custkey % 5 <> 0 THEN (o_custkey % 90) + 0.5 END::DOUBLE AS share FROM orders WHERE year(o_orderdate) IN (1996, 1997))"""
+  CASE WHEN year(o_orderdate) >= 1997 AND o_custkey % 5 <> 0 THEN (o_custkey % 90) + 0.5 END::DOUBLE AS share FROM orders)"""
 
 
 @query("a01_read_delimited", f"WITH {_V} SELECT session, count(*) AS n, count(CASE WHEN k % 3 <> 0 THEN 1 END) AS keys FROM v GROUP BY 1")
 def _(spark, sf):
     parts = [df.agg(F.lit(y).alias("session"), F.count(F.lit(1)).alias("n"), F.count("cod").alias("keys")) for y, df in _vintages(spark, sf).items()]
-    return parts[0].unionByName(parts[1])
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@query("a02_read_taxonomy", "SELECT r_regionkey::VARCHAR AS code, r_name AS label FROM region")
+@query("a02_read_taxonomy", "SELECT p_partkey::VARCHAR AS code, p_name AS label FROM part")
 def _(spark, sf):
-    path = S.write_csv(t(spark, sf, "region").select(F.col("r_regionkey").alias("code"), F.col("r_name").alias("label")), S.scratch(spark, "taxonomy"))
+    path = S.write_csv(t(spark, sf, "part").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("label")), S.scratch(spark, "taxonomy"))
     return S.read_delimited(spark, path, required=["code", "label"])
 
 
@@ -70,9 +75,10 @@ def _(spark, sf):
     return S.read_journal(spark, journal_files(spark, sf), EVENT).select("event_id", "user_id", "kind", F.col("props.k").alias("k"))
 
 
-@query("a07_read_manifest", "SELECT n_name AS id, 'https://x/' || n_nationkey AS url, '2026-01-' || lpad((n_nationkey + 1)::VARCHAR, 2, '0') AS date FROM nation")
+@query("a07_read_manifest", "SELECT 's' || s_suppkey AS id, 'https://x/' || s_suppkey AS url, '2026-01-' || lpad((s_nationkey + 1)::VARCHAR, 2, '0') AS date FROM supplier")
 def _(spark, sf):
-    entries = t(spark, sf, "nation").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("n_name", F.struct(F.concat(F.lit("https://x/"), "n_nationkey").alias("url"), F.format_string("2026-01-%02d", F.col("n_nationkey") + 1).alias("date")))))).alias("value"))
+    entry = F.struct(F.concat(F.lit("https://x/"), "s_suppkey").alias("url"), F.format_string("2026-01-%02d", F.col("s_nationkey") + 1).alias("date"))
+    entries = t(spark, sf, "supplier").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("s"), "s_suppkey"), entry)))).alias("value"))
     path = S.scratch(spark, "manifest")
     entries.coalesce(1).write.text(path)
     return S.read_manifest(spark, path, T.StructType([T.StructField("url", T.StringType()), T.StructField("date", T.StringType())]))
@@ -226,9 +232,9 @@ def _(spark, sf):
     return t(spark, sf, "part").select("p_partkey", X.header_key("p_name").alias("key"))
 
 
-@query("b12_category_key", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '__manquant__' ELSE trim(regexp_replace(lower(o_orderpriority), '[-_ ]+', ' ', 'g')) END AS key FROM orders")
+@query("b12_category_key", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '__manquant__' ELSE trim(regexp_replace(lower(o_orderpriority), '[-_ ]+', ' ', 'g')) || ' ελ ete' END AS key FROM orders")
 def _(spark, sf):
-    return t(spark, sf, "orders").select("o_orderkey", X.category_key(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority"))).alias("key"))
+    return t(spark, sf, "orders").select("o_orderkey", X.category_key(F.when(F.col("o_orderkey") % 5 != 0, F.concat("o_orderpriority", F.lit("_ΈΛ-été")))).alias("key"))
 
 
 @query("b13_affinity", """WITH a AS (SELECT p_partkey, p_brand = 'Brand#11' AS type_ok, contains(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', ' ', 'g'), 'green') AS word_ok, p_size < 20 AS area_ok FROM part)
@@ -323,9 +329,9 @@ def _(spark, sf):
     return matching.ranked(rows, ["segment"], "pred", ["session", "key", "kind", "scholar"], 10)
 
 
-@query("f02_sort_nulls_last", f"WITH {CELLS} SELECT key, session, kind, scholar, baseline FROM cells ORDER BY baseline NULLS LAST, key, session, kind, scholar LIMIT 500")
+@query("f02_sort_nulls_last", f"WITH {CELLS} SELECT key, session, kind, scholar, baseline FROM cells")
 def _(spark, sf):
-    return cells(spark, sf).select("key", "session", "kind", "scholar", "baseline").orderBy(F.asc_nulls_last("baseline"), "key", "session", "kind", "scholar").limit(500)
+    return cells(spark, sf).select("key", "session", "kind", "scholar", "baseline").orderBy(F.asc_nulls_last("baseline"), "key", "session", "kind", "scholar")
 
 
 _CONTRIB = "(l_quantity - 25) / 25 AS shap__q, (l_discount - 0.05) * 10 AS shap__d, (l_tax - 0.04) * 8 AS shap__t"
@@ -352,9 +358,9 @@ def _(spark, sf):
     return profile.worst(profile.missing_shares(cells(spark, sf), ["num", "den", "pred", "baseline"]), "missing", "column", 2).select("column", *r6("missing"))
 
 
-@query("g01_union_all", "SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region")
+@query("g01_union_all", "SELECT c_name AS name FROM customer UNION ALL SELECT p_name FROM part")
 def _(spark, sf):
-    return reduce(lambda a, b: a.unionByName(b), [t(spark, sf, "nation").select(F.col("n_name").alias("name")), t(spark, sf, "region").select(F.col("r_name").alias("name"))])
+    return reduce(lambda a, b: a.unionByName(b), [t(spark, sf, "customer").select(F.col("c_name").alias("name")), t(spark, sf, "part").select(F.col("p_name").alias("name"))])
 
 
 @query("g02_intersect_difference", "SELECT 'both' AS side, count(*) AS n FROM (SELECT c_nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier) UNION ALL SELECT 'only_customers', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)")

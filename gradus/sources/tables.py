@@ -12,11 +12,16 @@ _own: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or a temporary one where it is unset."""
+    """A new folder that driver and executors share: under spark.checkpoint.dir. Unset, it is a temporary one with a local master
+    (one machine, as in tests) and an error on a cluster, whose executors would not see it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         key = spark.sparkContext.applicationId
-        base = _own.setdefault(key, "") or _own.__setitem__(key, "file://" + tempfile.mkdtemp(prefix="spark-gradus-")) or _own[key]
+        if key not in _own:
+            _own[key] = "file://" + tempfile.mkdtemp(prefix="spark-gradus-")
+        base = _own[key]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -73,8 +78,8 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = (), fo
     return target
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ";") -> str:
-    return write_version(df, path, form="csv", sep=sep, header="true")
+def write_csv(df: DataFrame, path: str, sep: str = ";", partition_by: Sequence[str] = ()) -> str:
+    return write_version(df, path, partition_by, form="csv", sep=sep, header="true")
 
 
 def allowed_columns(df: DataFrame, allow: Sequence[str], deny: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:

@@ -37,9 +37,10 @@ def attempts(df: DataFrame, identity: str, ts: str, seconds: int) -> DataFrame:
 
 
 def _accept(times: list[int], accepted: list[int], most: int, window: int) -> list[bool]:
+    """accepted: the times accepted so far, changed in place. One exactly a window old still counts."""
     out = []
     for t in times:
-        while accepted and accepted[0] <= t - window:
+        while accepted and accepted[0] < t - window:
             accepted.pop(0)
         out.append(len(accepted) < most)
         if out[-1]:
@@ -48,14 +49,23 @@ def _accept(times: list[int], accepted: list[int], most: int, window: int) -> li
 
 
 def limited(df: DataFrame, identity: str, key: str, ts: str, most: int, seconds: int) -> DataFrame:
-    """key, accepted: at most `most` accepted in any trailing window; refused attempts don't count. One identity's attempts at a time."""
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["t", "key"], kind="stable")
-        return pd.DataFrame({key: rows["key"], "accepted": _accept(rows["t"].tolist(), [], most, seconds * 1_000_000)})
-
-    rows = df.select(F.col(identity).alias("identity"), F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"))
-    return rows.groupBy("identity").applyInPandas(solve, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("accepted", T.BooleanType())]))
+    """key, accepted: at most `most` accepted in any trailing window; refused attempts don't count.
+
+    An identity's attempts stream past in order of time; only its times accepted in the window are held, however many attempts it has."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, accepted = None, []
+        for rows in frames:
+            out = []
+            for who, part in rows.groupby("identity", sort=False, dropna=False):
+                if who != current:
+                    current, accepted = who, []
+                out += _accept(part["t"].tolist(), accepted, most, seconds * 1_000_000)
+            yield pd.DataFrame({key: rows["key"], "accepted": out})
+
+    rows = df.select(F.col(identity).cast("string").alias("identity"), F.col(key).alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t")).where("identity is not null and t is not null")
+    ordered = rows.repartition("identity").sortWithinPartitions("identity", "t", "key")
+    return ordered.mapInPandas(run, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("accepted", T.BooleanType())]))
 
 
 class Limiter(StatefulProcessor):
