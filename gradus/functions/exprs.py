@@ -1,5 +1,6 @@
 """Column expressions: bounded rates, label keys, codes, weights and tiers. All stay inside Catalyst."""
 
+import json
 import unicodedata
 
 from pyspark.sql import Column
@@ -86,12 +87,30 @@ def _foldings() -> tuple[str, str, list[tuple[str, str]]]:
 _FROM, _TO, _MANY = _foldings()
 
 
+def _ranges(points: list[int], gap: int = 48) -> str:
+    """A character class of ranges that hold all points, and some between; a class of single characters is slow to match."""
+    out: list[list[int]] = []
+    for x in sorted(points):
+        if out and x - out[-1][1] <= gap:
+            out[-1][1] = x
+        else:
+            out.append([x, x])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
+
+
+_SOME = _ranges([ord(a) for a, _ in _MANY])
+_PLAIN = json.dumps(dict(_MANY))
+
+
 def folded(text) -> Column:
-    """Text by compatibility decomposition without combining marks: letters without accents, ligatures and figures in plain form."""
+    """Text by compatibility decomposition without combining marks: letters without accents, ligatures and figures in plain form.
+
+    Of the characters that become several, those that a text holds are replaced one after the other."""
     text = _col(text)
-    pairs = ", ".join(f"struct('{a}' as a, '{b}' as b)" for a, b in ((a, b.replace("\\", "\\\\").replace("'", "\\'")) for a, b in _MANY))
-    several = F.aggregate(F.expr(f"array({pairs})"), text, lambda t, x: F.replace(t, x["a"], x["b"]))
-    whole = F.when(text.rlike("[" + "".join(a for a, _ in _MANY) + "]"), several).otherwise(text)
+    plain = F.from_json(F.lit(_PLAIN), "map<string, string>")  # one constant
+    held = F.array_distinct(F.regexp_extract_all(text, F.lit(_SOME), F.lit(0)))
+    several = F.aggregate(held, text, lambda t, c: F.replace(t, c, F.coalesce(plain[c], c)))
+    whole = F.when(text.rlike(_SOME), several).otherwise(text)
     return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.translate(whole, _FROM, _TO))
 
 
