@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .spans import prefix_sums, ragged, span_hash, text_blocks
 from .tokens import space_led
 
-BLOCK = 4 << 20  #: bytes of text that share a word list
+BLOCK = 3 << 20  #: bytes of text that share a word list
 BUCKET_BYTES = 64 << 20  #: bytes of text for each bucket of words, about; bounds the words that a task remembers
 _memo: dict = {}
 _ranks: dict = {}
@@ -71,7 +71,7 @@ def _split(pattern: str):
         got = memo.get(key)
         if got is None:
             got = [x.encode() for x in find(chunk.decode("utf-8", "replace"))]
-            if len(memo) < 150_000:
+            if len(memo) < 60_000:
                 memo[key] = got
         return got
 
