@@ -9,7 +9,11 @@ places need a look at the text.
 2. Grouped by anchor, a segment equal to an earlier one is a repeat. Segments that share an anchor but differ are
    compared as text: in suffix order, the previous and next smaller positions give the longest previous factor.
 3. An anchor with very many different segments is split by the bytes around it (a narrower range of starts, and the
-   core that those starts share) until equal strings have equal rows, so no group grows with the corpus.
+   core that those starts share) until equal strings have equal rows, so no group grows with the corpus. Anchors that
+   blocks of text hold often (a line under other surroundings in every document) are found by a pass before, at most
+   LISTED of them. They are never brought together: their segments are dealt one by one and go to the split at once.
+   The list only chooses the way, the result is the same without it. An anchor that is not listed holds at most OFTEN segments
+   a block, or one part in LISTED of what the listed ones hold.
 
 Rows without doc_id are left out. A null text is empty. Rows that share a doc_id and text stand at the same positions: they
 don't repeat each other. Rows that share a doc_id with other texts are documents one after the other, in the order of a hash of
@@ -26,6 +30,8 @@ from .shared import numbered, stored
 from .spans import U, mix, prefix_sums, powers, text_blocks
 
 GROUP = 4096  #: different segments of an anchor that are compared in one task; beyond, the anchor is split
+OFTEN = 16  #: different segments of an anchor in a block of text from which on it is counted before
+LISTED = 10_000  #: anchors that are split without being brought together, at most; the list goes through the driver
 
 
 def _anchors(buf: np.ndarray, offsets: np.ndarray, length: int, k: int):
@@ -71,7 +77,34 @@ def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     return doc[first], lo[first], (far - number)[np.append(first[1:], len(doc)) - 1]
 
 
-def _emit_anchors(length: int, k: int):
+def _often(length: int, k: int, often: int):
+    """Anchors with more than `often` different segments in a block, and how many."""
+
+    def run(batches):
+        for _, buf, offsets in text_blocks(batches, "doc_id", "text"):
+            key, sig, *_ = _anchors(buf, offsets, length, k)
+            keys = np.sort(key)
+            keys = np.unique(keys[often:][keys[often:] == keys[: len(keys) - often]])  # as many segments, equal ones included
+            row = np.flatnonzero(np.isin(key, keys))
+            row = row[np.lexsort((sig[row], key[row]))]
+            key, sig = key[row], sig[row]
+            new = np.ones(len(row), bool)
+            new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
+            keys, n = np.unique(key[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[n > often].view(np.int64)), pa.array(n[n > often].astype(np.int64))], names=["akey", "n"])
+
+    return run
+
+
+def frequent_anchors(docs: DataFrame, length: int, gram: int, group: int, often: int) -> np.ndarray:
+    """The anchors of the most segments, more than `group`, among those that some block holds more than `often` times; LISTED at most."""
+    counts = docs.mapInArrow(_often(length, gram, often), "akey long, n long").groupBy("akey").agg(F.sum("n").alias("n"))
+    listed = counts.where(F.col("n") > group).orderBy(F.desc("n"), "akey").limit(LISTED)
+    return np.sort(np.array([r["akey"] for r in listed.collect()], np.int64).view(U))
+
+
+def _emit_anchors(length: int, k: int, frequent: np.ndarray):
+    """akey: what the segment is dealt by, its anchor or, if that is frequent, both. pack: start, whether frequent, length, place."""
     names = ["akey", "sig", "doc_id", "pack"]
 
     def run(batches):
@@ -89,8 +122,10 @@ def _emit_anchors(length: int, k: int):
             d, a, b = doc[later], lo[later], (lo + size)[later]
             order = np.lexsort((a, d))
             d, a, b = _merged(d[order], a[order], b[order])
+            listed = np.isin(key, frequent)
+            key = np.where(listed, mix(key ^ sig), key)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([key[new].view(np.int64), mix(d.astype(U) * U(2654435761) + a.astype(U)).view(np.int64)])), pa.array(np.concatenate([sig[new].view(np.int64), b])), pa.array(np.concatenate([doc[new], d]).astype(np.int64)), pa.array(np.concatenate([(lo * (1 << 24) + size * (1 << 12) + off)[new], -a - 1]))], names=names
+                [pa.array(np.concatenate([key[new].view(np.int64), mix(d.astype(U) * U(2654435761) + a.astype(U)).view(np.int64)])), pa.array(np.concatenate([sig[new].view(np.int64), b])), pa.array(np.concatenate([doc[new], d]).astype(np.int64)), pa.array(np.concatenate([(lo * (1 << 25) + listed * (1 << 24) + size * (1 << 12) + off)[new], -a - 1]))], names=names
             )
 
     return run
@@ -192,6 +227,17 @@ def _ranked(rows: DataFrame, key: str, place: list[str]) -> DataFrame:
     return rows.withColumn("variants", F.sum((F.col("rn") == 1).cast("long")).over(Window.partitionBy(key)))
 
 
+def _split_ranked(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pieces that stand earlier in the group, and the first of each with variants. By sums, as one piece may stand in all documents."""
+    head = F.min(F.struct("doc_id", "s", "off", "seg")).alias("head")
+    heads = stored(pieces.groupBy("gkey", "sig").agg(head), "heads")
+    variants = heads.groupBy("gkey").agg(F.count(F.lit(1)).alias("variants"))
+    places = heads.select("gkey", "sig", F.col("head.doc_id").alias("first_id"), F.col("head.s").alias("first_s"))
+    again = pieces.select("gkey", "sig", "doc_id", "s", F.octet_length("seg").alias("n")).join(places, ["gkey", "sig"])
+    again = again.where("doc_id <> first_id or s <> first_s").select("doc_id", "s", (F.col("s") + F.col("n")).alias("e"))
+    return again, stored(heads.join(variants.where("variants > 1"), "gkey").select("gkey", "variants", "head.*"), "firsts")
+
+
 def _pieces(wide: DataFrame, length: int, width: int) -> DataFrame:
     """Each segment cut into ranges of `width` starts, counted from the anchor; a range is keyed by the bytes that its starts share."""
     j0, j1 = f"floor((off - (octet_length(seg) - {length})) / {width})", f"floor(off / {width})"
@@ -201,26 +247,27 @@ def _pieces(wide: DataFrame, length: int, width: int) -> DataFrame:
     return cut.select(F.expr("xxhash64(gkey, j, core)").alias("gkey"), "doc_id", F.expr("s + a").alias("s"), F.expr("cast(off - a as int)").alias("off"), F.expr(f"substring(seg, cast(a as int) + 1, cast(b - a as int) + {length})").alias("seg")).withColumn("sig", F.xxhash64("seg", "off", F.lit(7)))
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, often: int = OFTEN) -> DataFrame:
     """(doc_id, s, e): the maximal ranges of bytes covered by strings of `length` bytes that also start earlier. A doc_id has one text."""
-    if not 8 <= gram < length < 2048:
-        raise ValueError("8 <= gram < length < 2048 is needed")
+    if not 8 <= gram < length < 2048 or group < 1:
+        raise ValueError("8 <= gram < length < 2048 and group >= 1 are needed")
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    anchors = docs.mapInArrow(_emit_anchors(length, gram), "akey long, sig long, doc_id long, pack long").repartition("akey")
+    frequent = frequent_anchors(docs, length, gram, group, often)
+    anchors = docs.mapInArrow(_emit_anchors(length, gram, frequent), "akey long, sig long, doc_id long, pack long").repartition("akey")
     ranked = _ranked(anchors, "akey", ["doc_id", "pack"])
+    ranked = ranked.withColumn("variants", F.expr(f"if(pack >= 0 and (shiftright(pack, 24) & 1) = 1, {group + 1}L, variants)"))
     kept = stored(ranked.where("pack < 0 or not is_first or (rn = 1 and variants > 1)"), "anchors")
-    size, at = F.expr("cast(shiftright(pack, 12) & 4095 as int)"), F.shiftright("pack", 24)
-    whole = kept.where("pack < 0 or not is_first").select("doc_id", F.expr("if(pack < 0, -pack - 1, shiftright(pack, 24))").alias("s"), F.when(F.col("pack") < 0, F.col("sig")).otherwise(at + size).alias("e"))
-    asked = kept.where("pack >= 0 and is_first").groupBy("doc_id").agg(F.collect_list(F.struct("akey", "variants", at.cast("int").alias("s"), size.alias("n"), F.expr("cast(pack & 4095 as int)").alias("off"))).alias("asked"))
+    size, at = F.expr("cast(shiftright(pack, 12) & 4095 as int)"), F.shiftright("pack", 25)
+    whole = kept.where("pack < 0 or not is_first").select("doc_id", F.expr("if(pack < 0, -pack - 1, shiftright(pack, 25))").alias("s"), F.when(F.col("pack") < 0, F.col("sig")).otherwise(at + size).alias("e"))
+    asked = kept.where("pack >= 0 and is_first").groupBy("doc_id").agg(F.collect_list(F.struct(F.expr("if((shiftright(pack, 24) & 1) = 1, 0L, akey)").alias("akey"), "variants", at.cast("int").alias("s"), size.alias("n"), F.expr("cast(pack & 4095 as int)").alias("off"))).alias("asked"))
     cut = "transform(asked, r -> struct(r.akey as gkey, r.variants as variants, cast(r.s as long) as s, r.off as off, substring(cast(text as binary), r.s + 1, r.n) as seg))"
     segments = docs.join(asked, "doc_id").select("doc_id", F.explode(F.expr(cut)).alias("r")).select("doc_id", "r.*")
     segments = stored(segments, "segments")
     found = [whole, _by_factors(segments.where(F.col("variants") <= group), length)]
     hot = segments.where(F.col("variants") > group)
     for width in (8, 1):
-        ranked = _ranked(_pieces(hot, length, width).repartition("gkey"), "gkey", ["doc_id", "s"])
-        found.append(ranked.where("not is_first").select("doc_id", "s", (F.col("s") + F.octet_length("seg")).alias("e")))
-        left = ranked.where("rn = 1 and variants > 1")
+        again, left = _split_ranked(_pieces(hot, length, width))
+        found.append(again)
         if width > 1:
             found.append(_by_factors(left.where(F.col("variants") <= group), length))
             hot = left.where(F.col("variants") > group)
@@ -241,13 +288,13 @@ def _at_borders(spans: str, data: str) -> str:
     return f"filter(transform({spans}, x -> struct({later} as s, {sooner} as e)), x -> x.s < x.e)"
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, whole_characters: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, whole_characters: bool = False, often: int = OFTEN) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept: the bytes left, as binary. A span may begin or end inside a character; with
     whole_characters such a character stays, and kept is valid UTF-8."""
     own = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_spans", "n_removed")]
     whole = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", "text", F.struct(*[c for c in own if c != "text"]).alias("row"))
     rows, _ = numbered(whole)  # the text travels once, all else beside it
-    spans = repeated_spans(rows, length, gram, group).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
+    spans = repeated_spans(rows, length, gram, group, often).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
     out = rows.join(spans, "doc_id", "left").withColumn("bytes", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     if whole_characters:
         out = out.withColumn("spans", F.expr(_at_borders("spans", "bytes")))

@@ -35,12 +35,12 @@ def corpus(seed):
     return rows + [(100, None), (101, ""), (102, "a" * 700), (103, "x" + "a" * 300), (104, rows[3][1]), (105, "short")]
 
 
-@pytest.mark.parametrize(("seed", "length", "gram", "group"), [(1, 40, 12, 4096), (2, 40, 12, 2), (3, 24, 8, 1), (4, 100, 32, 1)])
-def test_against_brute_force(spark, seed, length, gram, group):
+@pytest.mark.parametrize(("seed", "length", "gram", "group", "often"), [(1, 40, 12, 4096, 16), (2, 40, 12, 2, 16), (3, 24, 8, 1, 16), (4, 100, 32, 1, 16), (5, 40, 12, 3, 2), (6, 24, 8, 1, 0)])
+def test_against_brute_force(spark, seed, length, gram, group, often):
     rows = corpus(seed)
     random.Random(seed).shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert result(suffix_dedup.remove_repeats(docs, length, gram, group)) == brute(rows, length)
+    assert result(suffix_dedup.remove_repeats(docs, length, gram, group, often=often)) == brute(rows, length)
 
 
 def test_edges(spark):
@@ -83,3 +83,14 @@ def test_very_long_text(spark):
     rows = [(1, long), (2, "q" + long[100_000:200_000] + "r"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((x.doc_id, x.n_removed, x.n_spans) for x in suffix_dedup.remove_repeats(docs).collect()) == [(1, 0, 0), (2, 100_000, 1), (3, 0, 0)]
+
+
+def test_line_in_every_document(spark):
+    """A line under other surroundings in all documents: its anchors are listed, dealt one by one, and the result is exact."""
+    r = random.Random(3)
+    line = "".join(r.choice("abcdefgh ") for _ in range(130))
+    around = lambda: "".join(r.choice("klmnopqr ") for _ in range(r.randint(30, 90)))
+    rows = [(i, around() + line + around()) for i in range(150)] + [(i, around() + line[:90] + around()) for i in range(150, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert len(suffix_dedup.frequent_anchors(docs, 100, 32, 50, 16)) > 0
+    assert result(suffix_dedup.remove_repeats(docs, group=50)) == brute(rows, 100)
