@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import category_key
-from .reconcile import ranged
+from .reconcile import quantiles, ranged
 
 FLOOR = 1e-4
 
@@ -17,8 +17,7 @@ def psi_numeric(df: DataFrame, variable: str, side: str, value: str, bins: int =
 
     A constant or empty side gives 0."""
     rows = df.where(F.col(value).isNotNull()).select(variable, side, F.col(value).cast("double").alias("v"))
-    cuts = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    edges = rows.where(side).groupBy(variable).agg(F.percentile("v", cuts).alias("q"), F.min("v").alias("low"), F.max("v").alias("high"))
+    edges = quantiles(rows.where(side), "v", [i / bins for i in range(bins + 1)], variable).withColumn("low", F.col("q")[0]).withColumn("high", F.col("q")[bins])
     edges = edges.select(variable, F.when(F.col("low") < F.col("high"), F.expr("filter(array_distinct(q), e -> e > low and e < high)")).alias("edges"))
     at = rows.join(F.broadcast(edges), variable).where("edges is not null").withColumn("bin", F.expr("size(filter(edges, e -> e < v))"))  # a row a variable
     counts = at.groupBy(variable, F.size("edges").alias("n_edges"), "bin").agg(F.count_if(F.col(side)).alias("a"), F.count_if(~F.col(side)).alias("b"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import bounded_rate, clip01
-from .reconcile import placed
+from .reconcile import placed, with_quantiles
 
 
 def weighted_mae(y, p, w) -> Column:
@@ -98,7 +98,8 @@ def rate_gap(df: DataFrame, a: tuple[str, str], b: tuple[str, str], close: float
     """Gap of two bounded rates in one row: median, share under `close`, undetermined rows."""
     gap = bounded_rate(*a) - bounded_rate(*b)
     rows = df.select(gap.alias("gap"))
-    return rows.agg(F.median("gap").alias("median_gap"), F.avg((F.abs("gap") < close).cast("double")).alias("share_close"), F.count_if(F.col("gap").isNull()).alias("undetermined"))
+    row = rows.agg(F.avg((F.abs("gap") < close).cast("double")).alias("share_close"), F.count_if(F.col("gap").isNull()).alias("undetermined"))
+    return with_quantiles(row, rows, "gap", {"median_gap": 0.5})
 
 
 def choose_candidate(table: DataFrame, error: str, ece: str, group_ece: str, name: str, slack: tuple[float, float] = (0.0005, 0.001)) -> DataFrame:

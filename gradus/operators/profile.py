@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .reconcile import quantiles, with_quantiles
+
 
 def _long(row: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias(name), F.col(f"`{c}`").alias(value)) for c in columns])).alias("r")).select("r.*")
@@ -40,10 +42,12 @@ def rate_distribution(cells: DataFrame, by: str) -> DataFrame:
     """Raw rates num / den (den > 0) of each category, and their mean raw, capped and without overflows."""
     raw = F.try_divide(F.col("num"), F.col("den"))
     share = lambda c: F.avg(c.cast("double"))
-    return cells.withColumn("r", raw).groupBy(by).agg(
+    rows = cells.withColumn("r", raw)
+    out = rows.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"), F.count("r").alias("defined"), share(F.col("r") > 1).alias("over"), share(F.col("r") == 0).alias("zero"), share(F.col("r") == 1).alias("one"),
-        F.avg("r").alias("mean_raw"), F.median("r").alias("median"), F.avg(F.least("r", F.when(F.col("r").isNotNull(), 1.0))).alias("mean_capped"), F.avg(F.when(F.col("r") <= 1, F.col("r"))).alias("mean_excluded"),
+        F.avg("r").alias("mean_raw"), F.avg(F.least("r", F.when(F.col("r").isNotNull(), 1.0))).alias("mean_capped"), F.avg(F.when(F.col("r") <= 1, F.col("r"))).alias("mean_excluded"),
     )
+    return with_quantiles(out, rows, "r", {"median": 0.5}, by)
 
 
 def threshold_sweep(df: DataFrame, value: str, thresholds: Sequence[float]) -> DataFrame:
@@ -54,24 +58,29 @@ def threshold_sweep(df: DataFrame, value: str, thresholds: Sequence[float]) -> D
 
 def paired_gap(df: DataFrame, a: Column, b: Column, close: float) -> DataFrame:
     gap = df.select((a - b).alias("gap")).where("gap is not null")
-    q = F.percentile("gap", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    return gap.agg(F.count(F.lit(1)).alias("n"), F.avg("gap").alias("mean"), q.alias("q"), F.avg((F.col("gap") > 0).cast("double")).alias("positive"), F.avg((F.abs("gap") <= close).cast("double")).alias("close")).select("n", "mean", F.col("q")[0].alias("p10"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p90"), "positive", "close")
+    row = gap.agg(F.count(F.lit(1)).alias("n"), F.avg("gap").alias("mean"), F.avg((F.col("gap") > 0).cast("double")).alias("positive"), F.avg((F.abs("gap") <= close).cast("double")).alias("close"))
+    return with_quantiles(row, gap, "gap", {"p10": 0.1, "median": 0.5, "p90": 0.9}).select("n", "mean", "p10", "median", "p90", "positive", "close")
 
 
 def group_medians(df: DataFrame, value: str, group: str, least: int) -> DataFrame:
-    return df.groupBy(group).agg(F.count(value).alias("n"), F.median(value).alias("median")).where(F.col("n") >= least)
+    sizes = df.groupBy(group).agg(F.count(value).alias("n")).where(F.col("n") >= least)
+    return with_quantiles(sizes, df, value, {"median": 0.5}, group)
 
 
 def quantile_bins(df: DataFrame, by: str, value: str, bins: int = 5) -> DataFrame:
     """Bins of `by` between its exact quantiles, (a, b], equal edges merged: n and the median of value."""
-    edges = df.agg(F.array_distinct(F.percentile(by, F.array(*[F.lit(i / bins) for i in range(1, bins)]))).alias("edges"))
+    edges = quantiles(df, by, [i / bins for i in range(1, bins)]).select(F.array_distinct("q").alias("edges"))
     rows = df.where(F.col(by).isNotNull()).crossJoin(F.broadcast(edges))  # one row
-    return rows.withColumn("bin", F.expr(f"size(filter(edges, e -> e < {by}))")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.median(value).alias("median"))
+    rows = rows.withColumn("bin", F.expr(f"size(filter(edges, e -> e < {by}))"))
+    return with_quantiles(rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n")), rows, value, {"median": 0.5}, "bin")
 
 
 def pooled_rates(cells: DataFrame, session: str) -> DataFrame:
     raw = F.try_divide(F.col("num"), F.col("den"))
-    return cells.withColumn("r", raw).groupBy(session).agg(F.try_divide(F.sum(F.when(F.col("den") > 0, F.col("num"))), F.sum(F.when(F.col("den") > 0, F.col("den")))).alias("pooled"), F.avg("r").alias("mean"), F.median("r").alias("median"), F.avg((F.col("r") == 0).cast("double")).alias("zero"), F.avg((F.col("r") >= 1).cast("double")).alias("full"))
+    rows = cells.withColumn("r", raw)
+    pooled = F.try_divide(F.sum(F.when(F.col("den") > 0, F.col("num"))), F.sum(F.when(F.col("den") > 0, F.col("den"))))
+    out = rows.groupBy(session).agg(pooled.alias("pooled"), F.avg("r").alias("mean"), F.avg((F.col("r") == 0).cast("double")).alias("zero"), F.avg((F.col("r") >= 1).cast("double")).alias("full"))
+    return with_quantiles(out, rows, "r", {"median": 0.5}, session)
 
 
 def presence(df: DataFrame, session: str, columns: Sequence[str]) -> DataFrame:

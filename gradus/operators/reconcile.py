@@ -78,6 +78,40 @@ def placed(df: DataFrame, order: Sequence, name: str) -> DataFrame:
     return parts.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 
+def quantiles(df: DataFrame, value: str, at: Sequence[float], by: str | None = None) -> DataFrame:
+    """by, q: exact quantiles of each group, interpolated between neighbours; nulls don't count, a group without values has null ones.
+
+    Distinct values are counted and dealt by ranges, so a large group is many tasks' work. Without by there is always one row."""
+    counts = df.groupBy((F.lit(0) if by is None else F.col(by)).alias("_by"), F.col(value).cast("double").alias("_v")).agg(F.count(value).alias("_n"))
+    parts = ranged(counts, ["_by", "_v"])
+    group = Window.partitionBy("_by")
+    sums = parts.groupBy("_by", "_part").agg(F.sum("_n").alias("_pn"))
+    sums = sums.select(F.col("_by").alias("_b"), F.col("_part").alias("_p"), (F.sum("_pn").over(group.orderBy("_part")) - F.col("_pn")).alias("_before"), F.sum("_pn").over(group).alias("_total"))  # a row a range
+    rows = parts.join(sums, F.col("_by").eqNullSafe(F.col("_b")) & (F.col("_part") == F.col("_p")))
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy("_by", "_part").orderBy("_v"))
+    rows = rows.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
+    there = lambda place: F.max(F.when((F.col("_from") <= place) & (place < F.col("_upto")), F.col("_v")))
+
+    def quantile(q: float) -> Column:
+        place = F.lit(float(q)) * (F.col("_total") - 1)
+        low, part = there(F.floor(place)), F.max(place - F.floor(place))
+        return F.when(part == 0, low).otherwise((1 - part) * low + part * there(F.ceil(place)))
+
+    found = F.array(*[quantile(q) for q in at]).alias("q")
+    return rows.groupBy().agg(found) if by is None else rows.groupBy("_by").agg(found).withColumnRenamed("_by", by)
+
+
+def with_quantiles(groups: DataFrame, df: DataFrame, value: str, names: dict[str, float], by: str | None = None) -> DataFrame:
+    """groups (a row for each value of by, nulls too; without by one row) with the quantiles of df as columns, name -> quantile."""
+    q = quantiles(df, value, list(names.values()), by)
+    if by is None:
+        out = groups.crossJoin(F.broadcast(q))  # one row each
+    else:
+        q = q.withColumnRenamed(by, "_by")
+        out = groups.join(q, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
+    return out.withColumns({name: F.col("q")[i] for i, name in enumerate(names)}).drop("q")
+
+
 def systematic_sample(df: DataFrame, order: Sequence[str], target: int) -> DataFrame:
     """Every stride-th row in a stated order, stride = max(total // target, 1), the first target of them."""
     stride = max(df.count() // target, 1)

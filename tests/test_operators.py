@@ -162,6 +162,23 @@ def test_search_over_letters_of_any_script(spark):
     assert got == {(1, 1), (2, 2), (3, 3)}
 
 
+def test_quantiles_by_ranges(spark):
+    """As the exact percentile: ties, one value, nulls, null groups, groups without values, no rows."""
+    r = random.Random(6)
+    rows = [(r.choice(["a", "b", None]), r.choice([None, r.random(), float(r.randrange(5))])) for _ in range(500)] + [("one", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    at = [0.0, 0.1, 0.5, 0.77, 1.0]
+    exact = F.percentile("v", F.array(*map(F.lit, at)))
+    got = {x.g: x.q for x in reconcile.quantiles(df, "v", at, "g").collect()}
+    expected = {x.g: x.q for x in df.groupBy("g").agg(exact.alias("q")).collect()}
+    assert got.keys() == expected.keys() and got["one"] == [2.0] * 5 and got["none"] == [None] * 5
+    assert all(got[g] == pytest.approx(expected[g]) for g in ("a", "b", None))
+    assert reconcile.quantiles(df, "v", at).first().q == pytest.approx(df.agg(exact.alias("q")).first().q)
+    assert reconcile.quantiles(df.limit(0), "v", [0.5]).first().q == [None]
+    sizes = df.groupBy("g").agg(F.count("v").alias("n"))
+    assert {x.g: x.m for x in reconcile.with_quantiles(sizes, df, "v", {"m": 0.5}, "g").collect()} == {g: q[2] for g, q in got.items()}
+
+
 def test_surrogates_samples_and_permutations_by_ranges(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 7).alias("s"), (F.col("id") / 3).alias("v")).repartition(5)
     numbered = star.numbered(df, "sk", [F.desc("k")]).collect()
