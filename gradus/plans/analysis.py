@@ -278,15 +278,18 @@ def _(spark, sf):
 
 
 _DRIFT_ROWS = """r AS (SELECT 'quantity' AS variable, year(l_shipdate) = 1996 AS side, l_quantity::DOUBLE AS v FROM lineitem WHERE year(l_shipdate) IN (1996, 2000) UNION ALL SELECT 'price', year(l_shipdate) = 1996, l_extendedprice FROM lineitem WHERE year(l_shipdate) IN (1996, 2000))"""
-_PSI = f"""{_DRIFT_ROWS}, q AS (SELECT variable, list_filter(list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])), lambda x: x > least AND x < most) AS e FROM (SELECT *, min(v) OVER w AS least, max(v) OVER w AS most FROM r WHERE side WINDOW w AS (PARTITION BY variable)) GROUP BY variable, least, most), b AS (SELECT variable, len(list_filter(e, lambda x: x < v)) AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r JOIN q USING (variable) GROUP BY ALL),
+_PSI = """q AS (SELECT variable, list_filter(list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])), lambda x: x > least AND x < most) AS e FROM (SELECT *, min(v) OVER w AS least, max(v) OVER w AS most FROM r WHERE side WINDOW w AS (PARTITION BY variable)) GROUP BY variable, least, most), b AS (SELECT variable, len(list_filter(e, lambda x: x < v)) AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r JOIN q USING (variable) GROUP BY ALL),
   s AS (SELECT variable, greatest(a / sum(a) OVER w, 0.0001) AS p, greatest(b / sum(b) OVER w, 0.0001) AS q FROM b WINDOW w AS (PARTITION BY variable))"""
 _KS = f"""c AS (SELECT variable, v, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r GROUP BY ALL),
   k AS (SELECT variable, abs(sum(a) OVER u / sum(a) OVER w - sum(b) OVER u / sum(b) OVER w) AS d FROM c WINDOW u AS (PARTITION BY variable ORDER BY v), w AS (PARTITION BY variable))"""
 
 
+_MEASURES = {"quantity": "quantity", "extendedprice": "price", "discount": "discount", "tax": "tax"}
+
+
 def drift_rows(spark, sf):
-    line = t(spark, sf, "lineitem").withColumn("session", F.year("l_shipdate")).withColumnsRenamed({"l_quantity": "quantity", "l_extendedprice": "price"})
-    return line.select("session", "quantity", "price")
+    line = t(spark, sf, "lineitem").withColumn("session", F.year("l_shipdate"))
+    return line.select("session", *[F.col(f"l_{c}").alias(n) for c, n in _MEASURES.items()])
 
 
 def two_years(spark, sf):
@@ -294,7 +297,7 @@ def two_years(spark, sf):
     return rows.withColumn("side", F.col("session") == 1996)
 
 
-@query("d16_psi_numeric", f"WITH {_PSI} SELECT variable, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s GROUP BY 1")
+@query("d16_psi_numeric", f"WITH {_DRIFT_ROWS}, {_PSI} SELECT variable, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s GROUP BY 1")
 def _(spark, sf):
     return drift.psi_numeric(two_years(spark, sf), "variable", "side", "v").select("variable", *r6("psi"))
 
@@ -310,9 +313,25 @@ def _(spark, sf):
     return drift.ks(two_years(spark, sf), "variable", "side", "v").select("variable", *r6("ks"))
 
 
-@query("d19_drift_report", f"WITH {_PSI}, {_KS}, p AS (SELECT variable, sum((q - p) * ln(q / p)) AS psi FROM s GROUP BY 1), m AS (SELECT variable, max(d) AS ks FROM k GROUP BY 1) SELECT variable, '1996-2000' AS comparison, round(psi, 6) AS psi, round(ks, 6) AS ks, round((SELECT median(psi) FROM p), 6) AS median_psi, (SELECT bool_or(psi > 0.2) FROM p) AS retrain FROM p JOIN m USING (variable)")
+_TRAIN, _YEARS = [1995, 1996, 1997, 1998], range(1995, 2001)
+#: Reference and later years of each comparison: the training years with validation and test, and every two consecutive years.
+COMPARISONS = {"train-validation": (_TRAIN, [1999]), "train-test": (_TRAIN, [2000])} | {f"{y}-{y + 1}": ([y], [y + 1]) for y in _YEARS}
+_SIDES = ", ".join(f"('{name}', {y}, {i == 0})" for name, sides in COMPARISONS.items() for i, years in enumerate(sides) for y in years)
+_COMPARED = f"""y AS (SELECT year(l_shipdate) AS session, unnest(['quantity', 'price', 'discount', 'tax']) AS variable,
+    unnest([l_quantity::DOUBLE, l_extendedprice::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE]) AS v FROM lineitem),
+  sides(comparison, session, side) AS (VALUES {_SIDES}),
+  r AS (SELECT {{'variable': variable, 'comparison': comparison}} AS variable, side, v FROM y JOIN sides USING (session))"""
+_REPORT = f"""WITH {_COMPARED}, {_PSI}, {_KS},
+  p AS (SELECT variable, sum((q - p) * ln(q / p)) AS psi FROM s GROUP BY 1), m AS (SELECT variable, max(d) AS ks FROM k GROUP BY 1)
+  SELECT variable.variable AS variable, variable.comparison AS comparison, round(psi, 6) AS psi, round(ks, 6) AS ks,
+    round(median(psi) OVER w, 6) AS median_psi, bool_or(psi > 0.2) OVER w AS retrain
+  FROM p JOIN m USING (variable) WINDOW w AS (PARTITION BY variable.comparison)"""
+
+
+@query("d19_drift_report", _REPORT)
 def _(spark, sf):
-    return drift.drift_report(drift_rows(spark, sf), "session", ["quantity", "price"], {"1996-2000": ([1996], [2000])}).select("variable", "comparison", *r6("psi", "ks", "median_psi"), "retrain")
+    out = drift.drift_report(drift_rows(spark, sf), "session", ["quantity", "price", "discount", "tax"], COMPARISONS)
+    return out.select("variable", "comparison", *r6("psi", "ks", "median_psi"), "retrain")
 
 
 @query("d20_expanding_mean", f"WITH {RATED}, s AS (SELECT segment, session, sum(taux * effectif) AS s, sum(effectif) AS w FROM rated GROUP BY ALL), m AS (SELECT segment, session, sum(s) OVER x / sum(w) OVER x AS expanding FROM s WINDOW x AS (PARTITION BY segment ORDER BY session RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT segment, session, round(expanding, 6) AS expanding, count(*) AS n FROM rated JOIN m USING (segment, session) GROUP BY ALL")
