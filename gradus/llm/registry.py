@@ -1,6 +1,6 @@
 """The operators' queries, by name, and DuckDB SQL where it can express them."""
 
-from . import ann, exact_dedup, hmm, language_id, near_dedup, packing, suffix_dedup, token_files, toxicity, word_bpe
+from . import ann, exact_dedup, hmm, language_id, near_dedup, packing, secret_scan, suffix_dedup, token_alignment, token_files, toxicity, word_bpe
 
 
 def queries():
@@ -15,6 +15,8 @@ def queries():
         "op8_word_bpe": word_bpe.query,
         "op9_toxicity": toxicity.query,
         "op10_language_id": language_id.query,
+        "op11_secret_scan": secret_scan.query,
+        "op12_token_alignment": token_alignment.query,
     }
 
 
