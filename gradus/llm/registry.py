@@ -1,6 +1,6 @@
 """The operators' queries, by name, and DuckDB SQL where it can express them."""
 
-from . import ann, exact_dedup, hmm, language_id, near_dedup, packing, secret_scan, suffix_dedup, token_alignment, token_files, toxicity, word_bpe
+from . import ann, exact_dedup, hard_negatives, hmm, language_id, near_dedup, packing, secret_scan, suffix_dedup, token_alignment, token_files, toxicity, word_bpe
 
 
 def queries():
@@ -17,8 +17,9 @@ def queries():
         "op10_language_id": language_id.query,
         "op11_secret_scan": secret_scan.query,
         "op12_token_alignment": token_alignment.query,
+        "op13_hard_negatives": hard_negatives.query,
     }
 
 
 def oracle_sql():
-    return {"op7_exact_dedup": exact_dedup.ORACLE}
+    return {"op7_exact_dedup": exact_dedup.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}
