@@ -8,6 +8,8 @@ for (RECALL), and is compared with every row there, exactly. Parts are dealt int
 common vector or a large part does not land in one task. A row goes to one block, once; a block is held while its
 queries stream past it, and sends on each query's nearest rows only.
 
+Components may have any finite size: vectors are scaled by powers of two before their norms.
+
 Vectors that are null, zero, hold null or non-finite components, or have another length than most take no part; nor do
 rows without vec_id. Ties go to the smaller vec_id. With fewer candidates than k, all that were found are returned. Rows
 repeating a vec_id are candidates each by itself, but never for a query of that id; of queries repeating an id, the smallest
@@ -100,8 +102,18 @@ class Router:
         return self
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component near 1: cosines are the same to the bit, norms don't overflow or vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def fit_router(x: np.ndarray, parts: int, neighbours: int = NEIGHBOURS) -> Router:
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = units(x)
     router = Router(x.shape[1], HIDDEN, parts)
     if len(x) <= 2 * neighbours:
         return router
@@ -117,7 +129,7 @@ def needed_probes(router: Router, parts: int, x: np.ndarray, held: np.ndarray, k
     """Fewest parts in which the k nearest rows of x of the held-out vectors are found, to a share of recall."""
     if not len(held) or len(x) <= k:
         return parts
-    x, held = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, held))
+    x, held = units(x), units(held)
     near = np.argpartition(-(held @ x.T), k - 1, axis=1)[:, :k]
     part = router.scores(x).argmax(1)[near]
     place = np.argsort(np.argsort(-router.scores(held), axis=1, kind="stable"), axis=1, kind="stable")
@@ -141,7 +153,7 @@ def _routed(router: Router, probes: int):
         for batch in batches:
             if batch.num_rows:
                 x = _matrix(batch.column("v"))
-                parts = np.argsort(-router.scores(x / np.linalg.norm(x, axis=1, keepdims=True)), axis=1, kind="stable")[:, :probes].astype(np.int32)
+                parts = np.argsort(-router.scores(units(x)), axis=1, kind="stable")[:, :probes].astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * parts.shape[1]), pa.array(parts.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), lists], names=["id", "v", "parts"])
 
@@ -153,11 +165,12 @@ class _Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.ids, self.vectors = ids[order], scaled(vectors[order])
         self.norm = np.linalg.norm(self.vectors, axis=1)
         self.unit = self.vectors / self.norm[:, None]
 
     def nearest(self, ids: np.ndarray, q: np.ndarray, k: int):
+        q = scaled(q)
         out, norm = [], np.linalg.norm(q, axis=1)
         for i in range(0, len(q), 256):
             near = np.round(q[i : i + 256] / norm[i : i + 256, None] @ self.unit.T, 12)

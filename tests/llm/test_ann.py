@@ -56,6 +56,21 @@ def test_queries_that_repeat_an_id(spark):
     assert [v for v, _ in found(ann.nearest(valid, valid.where("id = 50")))[50]] == [1, 2, 2]
 
 
+def test_components_of_any_size(spark):
+    """Vectors of 1e200 and 1e-200 among others, and alone, have the neighbours that their directions give."""
+    r = np.random.default_rng(8)
+    x = r.standard_normal((400, 12))
+    plain = {q: [v for v, _ in near] for q, near in brute(np.arange(400), x).items()}
+    for size, some in ((1e200, [7, 150]), (1e-200, [7, 150]), (1e300, range(0, 400, 2)), (1e-300, range(400))):
+        y = x.copy()
+        y[list(some)] *= size
+        rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "vec_id long, embedding array<double>").repartition(3)
+        valid = ann.valid_vectors(rows)
+        got = found(ann.nearest(valid, valid.where("id % 50 = 0"), probes=16))
+        assert {q: [v for v, _ in near] for q, near in got.items()} == plain
+        assert all(abs(s - (x[q] @ x[v]) / np.linalg.norm(x[q]) / np.linalg.norm(x[v])) < 1e-12 for q in got for v, s in got[q])
+
+
 def test_edges(spark):
     base = [1.0, 2.0, 3.0]
     rows = [(i, base) for i in range(0, 30)] + [(50, [2.0, 4.0, 6.0]), (100, [0.0, 0.0, 0.0]), (150, None), (200, [1.0, None, 2.0]), (250, [1.0, float("nan"), 2.0]), (300, [1.0, float("inf"), 0.0]), (350, [1.0]), (None, base), (400, [-1.0, 0.0, 1.0]), (400, [-1.0, 0.0, 1.0])]
