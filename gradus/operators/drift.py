@@ -1,82 +1,244 @@
-"""Drift between a reference and a later sample: stability index, Kolmogorov-Smirnov, report."""
+"""Drift between a reference and a later sample, for any two sets of sessions, from one histogram.
+
+histogram() counts each value of each variable by session; that table can be added to one of later sessions (merged()). Values are then put
+in order once, by ranges, with their running counts by session beside them (Ordered). Deciles, bins and
+distribution functions of every comparison are differences of those running counts, so no row is repeated for a comparison.
+"""
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import category_key
-from .reconcile import quantiles, ranged
+from ..sources.tables import scratch
+from .reconcile import ranged
 
 FLOOR = 1e-4
+Comparisons = dict[str, tuple[Sequence, Sequence]]
+
+
+def histogram(df: DataFrame, session: str, numbers: Sequence[str], categories: Sequence[str] = ()) -> DataFrame:
+    """variable, session, value (of a number), category (of a text, canonical; missing is one of them), n, present: rows whose value
+    isn't null. One scan and one shuffle; every variable is unpivoted inside the scan."""
+    none = F.lit(None)
+    of = [F.struct(F.lit(c).alias("variable"), F.lit(False).alias("text"), F.col(c).cast("double").alias("value"), none.cast("string").alias("category")) for c in numbers]
+    of += [F.struct(F.lit(c).alias("variable"), F.lit(True).alias("text"), none.cast("double").alias("value"), F.col(c).cast("string").alias("category")) for c in categories]
+    rows = df.select(F.col(session).alias("session"), F.explode(F.array(*of)).alias("r")).select("session", "r.*")
+    counts = rows.groupBy("variable", "text", "session", "value", "category").agg(F.count(F.lit(1)).alias("n"))
+    if not categories:
+        return counts.withColumn("present", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0).cast("long"))
+    present = F.when(F.col("value").isNotNull() | F.col("category").isNotNull(), F.col("n")).otherwise(0).cast("long")
+    key = F.when(F.col("text"), category_key("category"))  # once a distinct category and session
+    return merged([counts.withColumn("present", present).withColumn("category", key)])
+
+
+def stored_histogram(df: DataFrame, session: str, numbers: Sequence[str], categories: Sequence[str] = ()) -> DataFrame:
+    """histogram(), written once for all that is read from it."""
+    return _stored(histogram(df, session, numbers, categories), "histogram")
+
+
+def merged(histograms: Sequence[DataFrame]) -> DataFrame:
+    """Counts of all the histograms together."""
+    whole = histograms[0]
+    for other in histograms[1:]:
+        whole = whole.unionByName(other)
+    return whole.groupBy("variable", "text", "session", "value", "category").agg(F.sum("n").alias("n"), F.sum("present").alias("present"))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _sides(comparisons: Comparisons) -> tuple[list, list[tuple[str, list[int], list[int]]]]:
+    """All sessions, and each comparison with the places of its sessions among them."""
+    sessions = list(dict.fromkeys(s for a, b in comparisons.values() for s in (*a, *b)))
+    return sessions, [(name, [sessions.index(s) for s in a], [sessions.index(s) for s in b]) for name, (a, b) in comparisons.items()]
+
+
+def _total(array: str, places: Sequence[int]) -> Column:
+    return sum((F.col(array)[i] for i in places), F.lit(0).cast("long"))
+
+
+def _by_session(sessions: Sequence, count: str) -> Column:
+    """Sums by session, in order, of a group."""
+    return F.array(*[F.coalesce(F.sum(F.when(F.col("session") == F.lit(s), F.col(count))), F.lit(0)).cast("long") for s in sessions])
+
+
+class Ordered:
+    """The numbers of a histogram in order: for each variable, range and value the counts up to it by session; and the ranges."""
+
+    def __init__(self, hist: DataFrame, sessions: Sequence):
+        n, variable = range(len(sessions)), Window.partitionBy("variable")
+        wide = hist.where("not text and value is not null and session is not null").groupBy("variable", "value").agg(_by_session(sessions, "n").alias("n"))
+        parts = ranged(wide, ["variable", "value"]).drop("_at")
+        ranges = parts.groupBy("variable", "_part").agg(F.min("value").alias("least"), *[F.sum(F.col("n")[i]).alias(f"s{i}") for i in n])
+        before = F.array(*[F.sum(f"s{i}").over(variable.orderBy("_part")) - F.col(f"s{i}") for i in n])
+        self.ranges = _stored(ranges.select("variable", "_part", "least", before.alias("before"), F.array(*[F.sum(f"s{i}").over(variable) for i in n]).alias("all")), "ranges")  # a row a range
+        upto = Window.partitionBy("variable", "_part").orderBy("value")
+        run = F.array(*[F.col("before")[i] + F.sum(F.col("n")[i]).over(upto) for i in n])
+        rows = parts.join(self.ranges, ["variable", "_part"])
+        self.rows = _stored(rows.select("variable", "_part", "value", F.lead("value").over(upto).alias("next"), "n", run.alias("run"), "all"), "ordered")
+
+    def at(self, asked: DataFrame) -> DataFrame:
+        """asked: variable, x, others. Adds run, the counts by session up to x (null before the first value).
+
+        asked is a small table: each of its rows belongs to one range, where it meets one row."""
+        ranges = self.ranges.select(F.col("variable").alias("_v"), F.col("_part").alias("_p"), "least")
+        of = asked.join(F.broadcast(ranges), (F.col("variable") == F.col("_v")) & (F.col("least") <= F.col("x")), "left")  # rows of ranges
+        of = of.groupBy(*asked.columns).agg(F.max("_p").alias("_part"))
+        rows = self.rows.select("variable", "_part", "value", "next", "run")
+        found = rows.join(F.broadcast(of), ["variable", "_part"]).where("value <= x and (next is null or x < next)")  # asked's rows
+        return of.drop("_part").join(found.select(*asked.columns, "run"), list(asked.columns), "left")
+
+    def quantiles(self, references: Sequence[tuple[int, ...]], bins: int) -> DataFrame:
+        """variable, reference (its place), q: least value, inner quantiles, largest value, interpolated between neighbours."""
+        of = self.ranges.select("variable", "_part", "before", "all", F.posexplode(F.array(*[F.array(*map(F.lit, r)) for r in references])).alias("reference", "places"))
+        add = "aggregate(places, 0L, (t, i) -> t + {}[i])"
+        of = of.select("variable", "_part", "reference", "places", F.expr(add.format("before")).alias("first"), F.expr(add.format("all")).alias("total")).where("total > 0")
+        of = of.withColumn("next", F.lead("first").over(Window.partitionBy("variable", "reference").orderBy("_part")))
+        place = F.col("k") * (F.col("total") - 1) / F.lit(float(bins))
+        wanted = of.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(bins)))).withColumn("share", place - F.floor(place))
+        wanted = wanted.withColumn("pos", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
+        wanted = wanted.where("first <= pos and (next is null or pos < next)").select("variable", "_part", "reference", "places", "k", "share", "pos")
+        rows = self.rows.select("variable", "_part", "value", "n", "run").join(F.broadcast(wanted), ["variable", "_part"])  # quantiles of each variable and reference
+        rows = rows.withColumn("upto", F.expr(add.format("run"))).where(F.col("pos") < F.col("upto")).where(F.col("pos") >= F.col("upto") - F.expr(add.format("n")))
+        value = F.min("value") + F.max("share") * (F.max("value") - F.min("value"))
+        each = rows.groupBy("variable", "reference", "k").agg(value.alias("q"))
+        return each.groupBy("variable", "reference").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "q"))), lambda r: r["q"]).alias("q"))  # bins + 1 a group
+
+
+def _index(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """by, psi of counts (by, a, b: rows of a bin); 0 where a side is empty. Bins that are empty on both sides add nothing."""
+    group = Window.partitionBy(*by)
+    p, q = (F.greatest(F.try_divide(F.col(c), F.sum(c).over(group)), F.lit(FLOOR)) for c in "ab")
+    shares = counts.withColumn("whole", (F.sum("a").over(group) > 0) & (F.sum("b").over(group) > 0)).withColumn("p", p).withColumn("q", q)
+    term = (F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))
+    return shares.groupBy(*by).agg(F.sum(F.when(F.col("whole"), term).otherwise(0.0)).alias("psi"))
+
+
+def _numeric(ordered: Ordered, sides, bins: int) -> DataFrame:
+    """variable, comparison, psi. Bins are the reference's quantile bins: equal edges merged, ends open, (a, b]."""
+    references = list(dict.fromkeys(tuple(a) for _, a, _ in sides))
+    edges = ordered.quantiles(references, bins)
+    of = F.array(*[F.struct(F.lit(name).alias("comparison"), F.lit(references.index(tuple(a))).alias("of"), F.array(*map(F.lit, a)).alias("a_of"), F.array(*map(F.lit, b)).alias("b_of")) for name, a, b in sides])
+    inner = F.expr("filter(array_distinct(q), e -> e > q[0] and e < q[size(q) - 1])")
+    asked = edges.where("q[0] < element_at(q, -1)").select("variable", "reference", F.explode(F.concat(inner, F.array(F.element_at("q", -1)))).alias("x"))
+    ends = ordered.ranges.groupBy("variable").agg(F.first("all").alias("all"))
+    runs = ordered.at(asked).join(F.broadcast(ends), "variable").join(F.broadcast(edges.select("variable", "reference", F.element_at("q", -1).alias("last"))), ["variable", "reference"])  # a row a variable
+    run = F.when(F.col("x") == F.col("last"), F.col("all")).otherwise(F.coalesce("run", F.transform("all", lambda x: x * 0)))  # the last bin is open
+    rows = runs.withColumn("run", run).withColumn("c", F.explode(of)).where("c.of = reference").select("variable", "c.*", "x", "run")
+    add = "aggregate({0}_of, 0L, (t, i) -> t + run[i])"
+    upto = Window.partitionBy("variable", "comparison").orderBy("x")
+    for side in "ab":
+        total = F.expr(add.format(side))
+        rows = rows.withColumn(f"{side}_run", total).withColumn(side, F.col(f"{side}_run") - F.coalesce(F.lag(f"{side}_run").over(upto), F.lit(0)))
+    return _index(rows, ["variable", "comparison"])
+
+
+def _distances(ordered: Ordered, sides) -> DataFrame:
+    """variable, comparison, ks: the largest distance of the two distribution functions, null if a side is empty. One pass."""
+    share = lambda places: F.try_divide(_total("run", places), _total("all", places))
+    far = [F.max(F.abs(share(a) - share(b))).alias(f"d{i}") for i, (_, a, b) in enumerate(sides)]
+    wide = ordered.rows.groupBy("variable").agg(*far)
+    return wide.select("variable", F.explode(F.array(*[F.struct(F.lit(name).alias("comparison"), F.col(f"d{i}").alias("ks")) for i, (name, _, _) in enumerate(sides)])).alias("r")).select("variable", "r.*")
+
+
+def _categorical(hist: DataFrame, sessions: Sequence, sides, top: int, other: str) -> DataFrame:
+    """variable, comparison, psi over the reference's most frequent categories (ties by name) and one bin for the rest."""
+    wide = hist.where("text and session is not null").groupBy("variable", "category").agg(_by_session(sessions, "n").alias("n"))
+    each = F.array(*[F.struct(F.lit(name).alias("comparison"), _total("n", a).alias("a"), _total("n", b).alias("b")) for name, a, b in sides])
+    rows = wide.select("variable", "category", F.explode(each).alias("c")).select("variable", "category", "c.*").where("a > 0 or b > 0")
+    rank = F.row_number().over(Window.partitionBy("variable", "comparison").orderBy(F.desc("a"), "category"))
+    ranked = rows.where("a > 0").withColumn("rank", rank).where(F.col("rank") <= top).select("variable", "comparison", "category", F.lit(True).alias("kept"))
+    named = rows.join(F.broadcast(ranked), ["variable", "comparison", "category"], "left")  # top rows a variable and comparison
+    bins = named.groupBy("variable", "comparison", F.when(F.col("kept"), F.col("category")).otherwise(other).alias("bin")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return _index(bins, ["variable", "comparison"])
+
+
+def numeric_index(hist: DataFrame, comparisons: Comparisons, bins: int = 10) -> DataFrame:
+    """variable, comparison, psi of the numbers."""
+    sessions, sides = _sides(comparisons)
+    return _numeric(Ordered(hist, sessions), sides, bins)
+
+
+def categorical_index(hist: DataFrame, comparisons: Comparisons, top: int = 20, other: str = "__autre__") -> DataFrame:
+    """variable, comparison, psi of the categories."""
+    return _categorical(hist, *_sides(comparisons), top, other)
+
+
+def distances(hist: DataFrame, comparisons: Comparisons) -> DataFrame:
+    """variable, comparison, ks of the numbers."""
+    sessions, sides = _sides(comparisons)
+    return _distances(Ordered(hist, sessions), sides)
+
+
+def drift(hist: DataFrame, comparisons: Comparisons, bins: int = 10, top: int = 20, other: str = "__autre__", limit: float = 0.2) -> DataFrame:
+    """variable, type, comparison, n_reference, n_comparison (rows with a value), psi, ks (null for categories), beyond: psi >= limit.
+
+    comparisons: name -> (reference's sessions, later sessions). Write hist first; it is read several times."""
+    sessions, sides = _sides(comparisons)
+    present = hist.groupBy("variable", "text").agg(_by_session(sessions, "present").alias("n"))
+    each = F.array(*[F.struct(F.lit(name).alias("comparison"), _total("n", a).alias("n_reference"), _total("n", b).alias("n_comparison")) for name, a, b in sides])
+    base = present.select("variable", F.when(F.col("text"), "categorielle").otherwise("numerique").alias("type"), F.explode(each).alias("c")).select("variable", "type", "c.*")
+    ordered, on = Ordered(hist, sessions), ["variable", "comparison"]
+    psi = _numeric(ordered, sides, bins).unionByName(_categorical(hist, sessions, sides, top, other))
+    out = base.join(psi, on, "left").join(_distances(ordered, sides), on, "left")
+    return out.withColumn("psi", F.coalesce("psi", F.lit(0.0))).withColumn("beyond", F.col("psi") >= limit)
+
+
+def drift_report(df: DataFrame, session: str, numbers: Sequence[str], categories: Sequence[str], comparisons: Comparisons, families: dict[str, str] | None = None, **more) -> DataFrame:
+    """drift() of all variables, written, with each one's family: that of families (target, prediction), else "variable"."""
+    hist = stored_histogram(df, session, numbers, categories)
+    family = F.coalesce(F.create_map(*[F.lit(x) for item in (families or {}).items() for x in item])[F.col("variable")], F.lit("variable")) if families else F.lit("variable")
+    return _stored(drift(hist, comparisons, **more).withColumn("family", family), "drift")
+
+
+def retraining(report: DataFrame, production: Sequence[str], limit: float = 0.2) -> DataFrame:
+    """comparison, median_psi of the variables, whether it, a target or a prediction lies beyond the limit; retrain: does any
+    production comparison ask for it? A single variable beyond the limit is shown by worst(), and asks for nothing."""
+    of = F.col("comparison").isin(*production)
+    beyond = lambda family: F.coalesce(F.bool_or(F.when(F.col("family") == family, F.col("beyond"))), F.lit(False))
+    rows = report.where(of).groupBy("comparison").agg(F.median(F.when(F.col("family") == "variable", F.col("psi"))).alias("median_psi"), beyond("target").alias("target"), beyond("prediction").alias("prediction"))
+    rows = rows.withColumn("variables", F.coalesce(F.col("median_psi") >= limit, F.lit(False)))
+    asks = F.bool_or(F.col("variables") | F.col("target") | F.col("prediction")).over(Window.partitionBy(F.lit(0)))  # a row a comparison
+    return rows.withColumn("retrain", asks)
+
+
+def worst(report: DataFrame, comparison: str, k: int = 15) -> DataFrame:
+    """The k variables of a comparison that drifted most, the most drifted first; ties by name."""
+    return report.where((F.col("comparison") == comparison) & (F.col("family") == "variable")).orderBy(F.desc("psi"), "variable").limit(k)
+
+
+def _two(df: DataFrame, variable: str, side: str, numbers: str | None, category: str | None) -> DataFrame:
+    """Histogram of rows that are unpivoted already, with side as their session."""
+    value = (F.col(numbers) if numbers else F.lit(None)).cast("double")
+    key = category_key(category) if category else F.lit(None).cast("string")
+    rows = df.select(F.col(variable).alias("variable"), F.lit(category is not None).alias("text"), F.col(side).alias("session"), value.alias("value"), key.alias("category"))
+    counts = rows.groupBy("variable", "text", "session", "value", "category").agg(F.count(F.lit(1)).alias("n"))
+    return _stored(counts.withColumn("present", F.col("n")), "histogram")
+
+
+_BOTH: Comparisons = {"": ([True], [False])}
 
 
 def psi_numeric(df: DataFrame, variable: str, side: str, value: str, bins: int = 10) -> DataFrame:
     """Stability index of each variable. side: true for the reference, whose deciles (equal ones merged, ends open, (a, b]) are the
-    bins; a decile equal to the least or largest value is no edge.
-
-    A constant or empty side gives 0."""
-    rows = df.where(F.col(value).isNotNull()).select(variable, side, F.col(value).cast("double").alias("v"))
-    edges = quantiles(rows.where(side), "v", [i / bins for i in range(bins + 1)], variable).withColumn("low", F.col("q")[0]).withColumn("high", F.col("q")[bins])
-    edges = edges.select(variable, F.when(F.col("low") < F.col("high"), F.expr("filter(array_distinct(q), e -> e > low and e < high)")).alias("edges"))
-    at = rows.join(F.broadcast(edges), variable).where("edges is not null").withColumn("bin", F.expr("size(filter(edges, e -> e < v))"))  # a row a variable
-    counts = at.groupBy(variable, F.size("edges").alias("n_edges"), "bin").agg(F.count_if(F.col(side)).alias("a"), F.count_if(~F.col(side)).alias("b"))
-    return _index(counts, df, variable, F.max("n_edges") + 1)
-
-
-def _index(counts: DataFrame, df: DataFrame, variable: str, cells) -> DataFrame:
-    """Sum over bins; bins that are empty on both sides add nothing."""
-    by = Window.partitionBy(variable)
-    p, q = (F.greatest(F.try_divide(F.col(c), F.sum(c).over(by)), F.lit(FLOOR)) for c in "ab")
-    shares = counts.withColumn("p", p).withColumn("q", q).withColumn("whole", (F.sum("a").over(by) > 0) & (F.sum("b").over(by) > 0))
-    term = (F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))
-    found = shares.groupBy(variable).agg(F.sum(F.when(F.col("whole"), term).otherwise(0.0)).alias("psi"))
-    return df.select(variable).distinct().join(found, variable, "left").withColumn("psi", F.coalesce("psi", F.lit(0.0)))
+    bins. A constant or empty side gives 0."""
+    return drift(_two(df, variable, side, value, None), _BOTH, bins).select(F.col("variable").alias(variable), "psi")
 
 
 def psi_categorical(df: DataFrame, variable: str, side: str, category: str, top: int = 20, other: str = "__autre__") -> DataFrame:
     """Over the reference's most frequent categories (ties by name) and one cell for the rest. Categories are compared without
     accents, case and separators; a missing one is a category like others."""
-    df = df.withColumn(category, category_key(category))
-    seen = df.where(side).groupBy(variable, category).agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy(variable).orderBy(F.desc("n"), category))
-    kept = seen.withColumn("rn", rank).where(F.col("rn") <= top).select(variable, category, F.lit(True).alias("kept"))
-    rows = df.join(F.broadcast(kept), [variable, category], "left").withColumn("bin", F.when(F.col("kept"), F.col(category)).otherwise(other))  # top rows a variable
-    counts = rows.groupBy(variable, "bin").agg(F.count_if(F.col(side)).alias("a"), F.count_if(~F.col(side)).alias("b"))
-    return _index(counts, df, variable, None)
-
-
-def ks(df: DataFrame, variable, side: str, value: str) -> DataFrame:
-    """Largest distance of the two distribution functions of each variable; null if a side is empty.
-
-    Distinct values are dealt by ranges; a range adds the totals of those before it, so one variable is many tasks' work."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(variable, value).agg(F.count_if(F.col(side)).alias("a"), F.count_if(~F.col(side)).alias("b"))
-    parts = ranged(counts, [variable, value])
-    sums = parts.groupBy(variable, "_part").agg(F.sum("a").alias("pa"), F.sum("b").alias("pb"))
-    by = Window.partitionBy(variable)
-    before = lambda c: F.coalesce(F.sum(c).over(by.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = sums.select(variable, "_part", before("pa").alias("ba"), before("pb").alias("bb"), F.sum("pa").over(by).alias("na"), F.sum("pb").over(by).alias("nb"))  # a row a range
-    upto = Window.partitionBy(variable, "_part").orderBy(value)
-    share = lambda x, b, n: F.try_divide(F.col(b) + F.sum(x).over(upto), F.col(n))
-    rows = parts.join(sums, [variable, "_part"])
-    return rows.withColumn("d", F.abs(share("a", "ba", "na") - share("b", "bb", "nb"))).groupBy(variable).agg(F.max("d").alias("ks"))
-
-
-def long_form(df: DataFrame, session: str, numbers: Sequence[str]) -> DataFrame:
-    """variable, session, v: every variable unpivoted once."""
-    return df.select(session, F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in numbers])).alias("r")).select(session, "r.*")
-
-
-def compared(long: DataFrame, session: str, comparisons: dict[str, tuple[Sequence[int], Sequence[int]]]) -> DataFrame:
-    """Rows repeated for each comparison they belong to, with side = reference."""
-    parts = [F.when(F.col(session).isin(*a), F.struct(F.lit(n).alias("comparison"), F.lit(True).alias("side"))).when(F.col(session).isin(*b), F.struct(F.lit(n).alias("comparison"), F.lit(False).alias("side"))) for n, (a, b) in comparisons.items()]
-    return long.withColumn("c", F.explode(F.array_compact(F.array(*parts)))).select("*", "c.*").drop("c").withColumn("key", F.struct("variable", "comparison"))
-
-
-def drift_report(df: DataFrame, session: str, numbers: Sequence[str], comparisons: dict[str, tuple[Sequence[int], Sequence[int]]], limit: float = 0.2) -> DataFrame:
-    """variable, comparison, psi, ks, the comparison's median psi, and whether it asks for retraining."""
-    rows = compared(long_form(df, session, numbers), session, comparisons)
-    out = psi_numeric(rows, "key", "side", "v").join(ks(rows, "key", "side", "v"), "key", "left")
-    out = out.select("key.*", "psi", "ks")
-    median = out.groupBy("comparison").agg(F.median("psi").alias("median_psi"), F.bool_or(F.col("psi") > limit).alias("retrain"))
-    return out.join(median, "comparison")
+    sessions, sides = _sides(_BOTH)
+    found = _categorical(_two(df, variable, side, None, category), sessions, sides, top, other)
+    return df.select(variable).distinct().join(found.select(F.col("variable").alias(variable), "psi"), variable, "left").withColumn("psi", F.coalesce("psi", F.lit(0.0)))
+
+
+def ks(df: DataFrame, variable: str, side: str, value: str) -> DataFrame:
+    """Largest distance of the two distribution functions of each variable; null if a side is empty."""
+    sessions, sides = _sides(_BOTH)
+    return _distances(Ordered(_two(df, variable, side, value, None), sessions), sides).select(F.col("variable").alias(variable), "ks")

@@ -95,7 +95,7 @@ def quantiles(df: DataFrame, value: str, at: Sequence[float], by: str | None = N
     def quantile(q: float) -> Column:
         place = F.lit(float(q)) * (F.col("_total") - 1)
         low, part = there(F.floor(place)), F.max(place - F.floor(place))
-        return F.when(part == 0, low).otherwise((1 - part) * low + part * there(F.ceil(place)))
+        return F.when(part == 0, low).otherwise(low + part * (there(F.ceil(place)) - low))
 
     found = F.array(*[quantile(q) for q in at]).alias("q")
     return rows.groupBy().agg(found) if by is None else rows.groupBy("_by").agg(found).withColumnRenamed("_by", by)

@@ -277,61 +277,88 @@ def _(spark, sf):
     return c.select("key", X.composition(X.bounded_rate("num", "den")).alias("composition"))
 
 
-_DRIFT_ROWS = """r AS (SELECT 'quantity' AS variable, year(l_shipdate) = 1996 AS side, l_quantity::DOUBLE AS v FROM lineitem WHERE year(l_shipdate) IN (1996, 2000) UNION ALL SELECT 'price', year(l_shipdate) = 1996, l_extendedprice FROM lineitem WHERE year(l_shipdate) IN (1996, 2000))"""
-_PSI = """q AS (SELECT variable, list_filter(list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])), lambda x: x > least AND x < most) AS e FROM (SELECT *, min(v) OVER w AS least, max(v) OVER w AS most FROM r WHERE side WINDOW w AS (PARTITION BY variable)) GROUP BY variable, least, most), b AS (SELECT variable, len(list_filter(e, lambda x: x < v)) AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r JOIN q USING (variable) GROUP BY ALL),
-  s AS (SELECT variable, greatest(a / sum(a) OVER w, 0.0001) AS p, greatest(b / sum(b) OVER w, 0.0001) AS q FROM b WINDOW w AS (PARTITION BY variable))"""
-_KS = f"""c AS (SELECT variable, v, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r GROUP BY ALL),
-  k AS (SELECT variable, abs(sum(a) OVER u / sum(a) OVER w - sum(b) OVER u / sum(b) OVER w) AS d FROM c WINDOW u AS (PARTITION BY variable ORDER BY v), w AS (PARTITION BY variable))"""
+_NUMBERS, _CATEGORIES = ["quantity", "price", "discount", "tax", "rate", "prediction"], ["flag", "label"]
+_FAMILIES = {"rate": "target", "prediction": "prediction"}
+_TRAIN, _YEARS = [1995, 1996, 1997, 1998], range(1995, 2001)
+#: Reference and later years of each comparison: the training years with validation and test, and every two consecutive years.
+COMPARISONS = {"train-validation": (_TRAIN, [1999]), "train-test": (_TRAIN, [2000])} | {f"{y}-{y + 1}": ([y], [y + 1]) for y in _YEARS}
+_PRODUCTION = ["train-validation", "train-test"]
+
+
+def drift_rows(spark, sf):
+    """Order lines by year: measures, a rate with its prediction, and two texts, one of which is spelt in two ways and may lack."""
+    part = F.when(F.col("l_suppkey") % 30 != 3, F.concat(F.when(F.col("l_orderkey") % 2 == 0, "Côte_").otherwise("cote - "), (F.col("l_suppkey") % 30).cast("string")))
+    return t(spark, sf, "lineitem").select(
+        F.year("l_shipdate").alias("session"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
+        X.bounded_rate("l_discount", "l_tax").alias("rate"), (F.col("l_partkey") * 37 % 1000 / F.lit(1000.0)).alias("prediction"), F.concat_ws("-", "l_returnflag", "l_linestatus").alias("flag"), part.alias("label"),
+    )
 
 
-_MEASURES = {"quantity": "quantity", "extendedprice": "price", "discount": "discount", "tax": "tax"}
+_SIDES = ", ".join(f"('{name}', {y}, {i == 0})" for name, sides in COMPARISONS.items() for i, years in enumerate(sides) for y in years)
+_DRIFT = f"""sides(comparison, session, side) AS (VALUES {_SIDES}),
+  y AS (SELECT year(l_shipdate) AS session, unnest(['quantity', 'price', 'discount', 'tax', 'rate', 'prediction']) AS variable,
+    unnest([l_quantity::DOUBLE, l_extendedprice::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE, CASE WHEN l_tax = 0 THEN CASE WHEN l_discount > 0 THEN 1.0::DOUBLE END ELSE least(l_discount / l_tax, 1.0::DOUBLE) END,
+      (l_partkey * 37 % 1000) / 1000::DOUBLE]) AS v FROM lineitem),
+  r AS (SELECT {{'variable': variable, 'comparison': comparison}} AS variable, side, v FROM y JOIN sides USING (session) WHERE v IS NOT NULL),
+  yc AS (SELECT year(l_shipdate) AS session, unnest(['flag', 'label']) AS variable, unnest([lower(l_returnflag || ' ' || l_linestatus), CASE WHEN l_suppkey % 30 = 3 THEN '__manquant__' ELSE 'cote ' || (l_suppkey % 30) END]) AS c FROM lineitem),
+  rc AS (SELECT {{'variable': variable, 'comparison': comparison}} AS variable, side, c FROM yc JOIN sides USING (session))"""
+_PSI = """q AS (SELECT variable, list_filter(list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])), lambda x: x > min(v) AND x < max(v)) AS e FROM r WHERE side GROUP BY variable),
+  b AS (SELECT variable, len(list_filter(e, lambda x: x < v)) AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r JOIN q USING (variable) GROUP BY ALL),
+  s AS (SELECT variable, greatest(a / sum(a) OVER w, 0.0001) AS p, greatest(b / sum(b) OVER w, 0.0001) AS q FROM b WINDOW w AS (PARTITION BY variable)),
+  p AS (SELECT variable, sum((q - p) * ln(q / p)) AS psi FROM s GROUP BY 1)"""
+_PSIC = """kc AS (SELECT variable, c FROM (SELECT variable, c, row_number() OVER (PARTITION BY variable ORDER BY count(*) DESC, c) AS rn FROM rc WHERE side GROUP BY variable, c) WHERE rn <= 20),
+  bc AS (SELECT rc.variable, CASE WHEN kc.c IS NULL THEN '__autre__' ELSE rc.c END AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM rc LEFT JOIN kc ON kc.variable = rc.variable AND kc.c = rc.c GROUP BY ALL),
+  sc AS (SELECT variable, greatest(a / sum(a) OVER w, 0.0001) AS p, greatest(b / sum(b) OVER w, 0.0001) AS q FROM bc WINDOW w AS (PARTITION BY variable)),
+  pc AS (SELECT variable, sum((q - p) * ln(q / p)) AS psi FROM sc GROUP BY 1)"""
+_KS = """c AS (SELECT variable, v, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r GROUP BY ALL),
+  k AS (SELECT variable, abs(sum(a) OVER u / sum(a) OVER w - sum(b) OVER u / sum(b) OVER w) AS d FROM c WINDOW u AS (PARTITION BY variable ORDER BY v), w AS (PARTITION BY variable)),
+  m AS (SELECT variable, max(d) AS ks FROM k GROUP BY 1)"""
+_OF = "variable.variable AS variable, variable.comparison AS comparison"
+_REPORT = f"""{_DRIFT}, {_PSI}, {_PSIC}, {_KS},
+  n AS (SELECT variable, count(*) FILTER (side) AS n_reference, count(*) FILTER (NOT side) AS n_comparison FROM (SELECT variable, side FROM r UNION ALL SELECT variable, side FROM rc WHERE c <> '__manquant__') GROUP BY 1),
+  x AS (SELECT variable, 'numerique' AS type, psi, ks FROM p JOIN m USING (variable) UNION ALL SELECT variable, 'categorielle', psi, NULL FROM pc),
+  report AS (SELECT {_OF}, type, n_reference, n_comparison, psi, ks, psi >= 0.2 AS beyond,
+    CASE variable.variable WHEN 'rate' THEN 'target' WHEN 'prediction' THEN 'prediction' ELSE 'variable' END AS family FROM x JOIN n USING (variable))"""
 
 
-def drift_rows(spark, sf):
-    line = t(spark, sf, "lineitem").withColumn("session", F.year("l_shipdate"))
-    return line.select("session", *[F.col(f"l_{c}").alias(n) for c, n in _MEASURES.items()])
+def drift_counts(spark, sf, numbers=_NUMBERS, categories=_CATEGORIES):
+    return drift.stored_histogram(drift_rows(spark, sf), "session", numbers, categories)
 
 
-def two_years(spark, sf):
-    rows = drift.long_form(drift_rows(spark, sf).where("session in (1996, 2000)"), "session", ["quantity", "price"])
-    return rows.withColumn("side", F.col("session") == 1996)
+def report(spark, sf):
+    return drift.drift_report(drift_rows(spark, sf), "session", _NUMBERS, _CATEGORIES, COMPARISONS, _FAMILIES)
 
 
-@query("d16_psi_numeric", f"WITH {_DRIFT_ROWS}, {_PSI} SELECT variable, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s GROUP BY 1")
+@query("d16_psi_numeric", f"WITH {_DRIFT}, {_PSI} SELECT {_OF}, round(psi, 6) AS psi FROM p")
 def _(spark, sf):
-    return drift.psi_numeric(two_years(spark, sf), "variable", "side", "v").select("variable", *r6("psi"))
+    return drift.numeric_index(drift_counts(spark, sf, categories=()), COMPARISONS).select("variable", "comparison", *r6("psi"))
 
 
-@query("d17_psi_categorical", "WITH r AS (SELECT year(o_orderdate) = 1996 AS side, CASE WHEN o_custkey % 30 = 3 THEN '__manquant__' ELSE 'cote ' || (o_custkey % 30) END AS c FROM orders WHERE year(o_orderdate) IN (1996, 2000)), t AS (SELECT c FROM r WHERE side GROUP BY 1 ORDER BY count(*) DESC, c LIMIT 20), b AS (SELECT CASE WHEN c IN (SELECT c FROM t) THEN c ELSE '__autre__' END AS bin, count(*) FILTER (side) AS a, count(*) FILTER (NOT side) AS b FROM r GROUP BY 1), s AS (SELECT greatest(a / sum(a) OVER (), 0.0001) AS p, greatest(b / sum(b) OVER (), 0.0001) AS q FROM b) SELECT 'customer' AS variable, round(sum((q - p) * ln(q / p)), 6) AS psi FROM s")
+@query("d17_psi_categorical", f"WITH {_DRIFT}, {_PSIC} SELECT {_OF}, round(psi, 6) AS psi FROM pc")
 def _(spark, sf):
-    rows = t(spark, sf, "orders").where(F.year("o_orderdate").isin(1996, 2000)).select(F.lit("customer").alias("variable"), (F.year("o_orderdate") == 1996).alias("side"), F.when(F.col("o_custkey") % 30 != 3, F.concat(F.when(F.col("o_orderkey") % 2 == 0, "Côte_").otherwise("cote - "), (F.col("o_custkey") % 30).cast("string"))).alias("c"))
-    return drift.psi_categorical(rows, "variable", "side", "c").select("variable", *r6("psi"))
+    return drift.categorical_index(drift_counts(spark, sf, numbers=()), COMPARISONS).select("variable", "comparison", *r6("psi"))
 
 
-@query("d18_ks", f"WITH {_DRIFT_ROWS}, {_KS} SELECT variable, round(max(d), 6) AS ks FROM k GROUP BY 1")
+@query("d18_ks", f"WITH {_DRIFT}, {_KS} SELECT {_OF}, round(ks, 6) AS ks FROM m")
 def _(spark, sf):
-    return drift.ks(two_years(spark, sf), "variable", "side", "v").select("variable", *r6("ks"))
+    return drift.distances(drift_counts(spark, sf, categories=()), COMPARISONS).select("variable", "comparison", *r6("ks"))
 
 
-_TRAIN, _YEARS = [1995, 1996, 1997, 1998], range(1995, 2001)
-#: Reference and later years of each comparison: the training years with validation and test, and every two consecutive years.
-COMPARISONS = {"train-validation": (_TRAIN, [1999]), "train-test": (_TRAIN, [2000])} | {f"{y}-{y + 1}": ([y], [y + 1]) for y in _YEARS}
-_SIDES = ", ".join(f"('{name}', {y}, {i == 0})" for name, sides in COMPARISONS.items() for i, years in enumerate(sides) for y in years)
-_COMPARED = f"""y AS (SELECT year(l_shipdate) AS session, unnest(['quantity', 'price', 'discount', 'tax']) AS variable,
-    unnest([l_quantity::DOUBLE, l_extendedprice::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE]) AS v FROM lineitem),
-  sides(comparison, session, side) AS (VALUES {_SIDES}),
-  r AS (SELECT {{'variable': variable, 'comparison': comparison}} AS variable, side, v FROM y JOIN sides USING (session))"""
-_REPORT = f"""WITH {_COMPARED}, {_PSI}, {_KS},
-  p AS (SELECT variable, sum((q - p) * ln(q / p)) AS psi FROM s GROUP BY 1), m AS (SELECT variable, max(d) AS ks FROM k GROUP BY 1)
-  SELECT variable.variable AS variable, variable.comparison AS comparison, round(psi, 6) AS psi, round(ks, 6) AS ks,
-    round(median(psi) OVER w, 6) AS median_psi, bool_or(psi > 0.2) OVER w AS retrain
-  FROM p JOIN m USING (variable) WINDOW w AS (PARTITION BY variable.comparison)"""
+@query("d19_drift_report", f"WITH {_REPORT} SELECT variable, type, family, comparison, n_reference, n_comparison, round(psi, 6) AS psi, round(ks, 6) AS ks, beyond FROM report")
+def _(spark, sf):
+    return report(spark, sf).select("variable", "type", "family", "comparison", "n_reference", "n_comparison", *r6("psi", "ks"), "beyond")
+
+
+@query("d19_retraining", f"""WITH {_REPORT}, g AS (SELECT comparison, median(psi) FILTER (family = 'variable') AS m, bool_or(beyond) FILTER (family = 'target') AS target, bool_or(beyond) FILTER (family = 'prediction') AS prediction
+  FROM report WHERE comparison IN ('train-validation', 'train-test') GROUP BY 1)
+  SELECT comparison, round(m, 6) AS median_psi, m >= 0.2 AS variables, target, prediction, bool_or(m >= 0.2 OR target OR prediction) OVER () AS retrain FROM g""")
+def _(spark, sf):
+    return drift.retraining(report(spark, sf), _PRODUCTION).select("comparison", *r6("median_psi"), "variables", "target", "prediction", "retrain")
 
 
-@query("d19_drift_report", _REPORT)
+@query("d19_worst_variables", f"WITH {_REPORT} SELECT variable, round(psi, 6) AS psi, round(ks, 6) AS ks, beyond FROM report WHERE comparison = 'train-test' AND family = 'variable' ORDER BY report.psi DESC, variable LIMIT 15")
 def _(spark, sf):
-    out = drift.drift_report(drift_rows(spark, sf), "session", ["quantity", "price", "discount", "tax"], COMPARISONS)
-    return out.select("variable", "comparison", *r6("psi", "ks", "median_psi"), "retrain")
+    return drift.worst(report(spark, sf), "train-test").select("variable", *r6("psi", "ks"), "beyond")
 
 
 @query("d20_expanding_mean", f"WITH {RATED}, s AS (SELECT segment, session, sum(taux * effectif) AS s, sum(effectif) AS w FROM rated GROUP BY ALL), m AS (SELECT segment, session, sum(s) OVER x / sum(w) OVER x AS expanding FROM s WINDOW x AS (PARTITION BY segment ORDER BY session RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT segment, session, round(expanding, 6) AS expanding, count(*) AS n FROM rated JOIN m USING (segment, session) GROUP BY ALL")
