@@ -1,6 +1,7 @@
 """Queries of quality rules, retrieval, journals, streams and model fitting (H, I, J, K)."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..operators import governance, learning, matching, quality, reconcile, retrieval
@@ -184,11 +185,23 @@ def journal(spark, sf):
 _TIER = "CASE WHEN o_orderdate <= TIMESTAMP '2001-01-01' - INTERVAL 1095 DAY THEN 'agreger' WHEN o_orderdate <= TIMESTAMP '2001-01-01' - INTERVAL 365 DAY THEN CASE WHEN o_orderstatus = 'F' THEN 'deja_pseudonymise' ELSE 'pseudonymiser' END ELSE 'conserver' END"
 
 
+def purged(spark, sf):
+    """The journal and the counts after a pass, and a second one that must change nothing."""
+    journal_table, counts = (S.VersionedTable(spark, S.scratch(spark, n)) for n in ("journal", "counts"))
+    journal_table.write(journal(spark, sf).withColumn("before", F.col("who")))
+    for _ in "ab":
+        governance.purge(journal_table, counts, "ts", "2001-01-01", "who", "done", {"kind": "inconnu"}, dry_run=False)
+    return journal_table.read(), counts.read()
+
+
 @query("i05_retention", f"WITH x AS (SELECT o_orderstatus, o_custkey, {_TIER} AS palier FROM orders) SELECT count(*) AS kept, count(*) FILTER (o_orderstatus = 'F' OR palier = 'pseudonymiser') AS done, count(*) FILTER (palier <> 'pseudonymiser') AS unchanged FROM x WHERE palier <> 'agreger'")
 def _(spark, sf):
-    tiered = governance.tiered(journal(spark, sf), "ts", "2001-01-01", done="done")
-    path = S.write_version(governance.retained(tiered.withColumn("before", F.col("who")), "who", "done"), S.scratch(spark, "journal"))
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("kept"), F.count_if("done").alias("done"), F.count_if(F.col("who") == F.col("before").cast("string")).alias("unchanged"))
+    return purged(spark, sf)[0].agg(F.count(F.lit(1)).alias("kept"), F.count_if("done").alias("done"), F.count_if(F.col("who") == F.col("before").cast("string")).alias("unchanged"))
+
+
+@query("i05_retained_counts", f"WITH x AS (SELECT o_orderpriority AS kind, {_TIER} AS palier FROM orders) SELECT kind, count(*) AS n FROM x WHERE palier = 'agreger' GROUP BY 1")
+def _(spark, sf):
+    return purged(spark, sf)[1]
 
 
 @query("i05_retention_report", f"SELECT {_TIER} AS palier, count(*) AS n FROM orders GROUP BY 1")
@@ -206,9 +219,10 @@ def _(spark, sf):
 @query("i07_erasure", "SELECT count(*) FILTER (user_id % 50 <> 7) AS left_over, count(*) FILTER (user_id % 50 = 7) AS effaces, count(*) AS avant FROM events")
 def _(spark, sf):
     e = t(spark, sf, "events").select("event_id", "user_id")
-    left, trace = governance.erased(e, ["user_id"], e.where("user_id % 50 = 7").select(F.col("user_id").alias("w")), "w")
-    path = S.write_version(left, S.scratch(spark, "erased"))
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("left_over")).crossJoin(trace)  # one row each
+    table = S.VersionedTable(spark, S.scratch(spark, "erased"))
+    table.write(e)
+    trace = governance.erase(table, ["user_id"], e.where("user_id % 50 = 7").select(F.col("user_id").alias("w")), "w", S.scratch(spark, "trace"), dry_run=False)
+    return table.read().agg(F.count(F.lit(1)).alias("left_over")).crossJoin(trace)  # one row each
 
 
 @query("i08_deadlines", "SELECT o_orderkey, round_even(date_diff('second', TIMESTAMP '1998-01-01', o_orderdate + INTERVAL 72 HOUR) / 3600.0::DOUBLE, 1) AS heures FROM orders")
@@ -241,11 +255,39 @@ def _(spark, sf):
     return journals.limited(e, "who", "event_id", "ts", 2, 21_600)
 
 
-@query("j03_running_counts", "SELECT event_type AS kind, count(*) AS n FROM events GROUP BY 1")
+TIMED = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("who", T.LongType()), T.StructField("ts", T.TimestampType())])
+
+
+@query("j02_streamed_limit")
+def _(spark, sf):
+    """The journal arrives in two parts, each decided by a run of its own over one checkpoint."""
+    e = t(spark, sf, "events").select("event_id", (F.col("user_id") % 20).alias("who"), F.col("ts").cast("timestamp").alias("ts"))
+    source, target, checkpoint = (S.scratch(spark, n) for n in ("arrived", "decided", "checkpoint"))
+    middle = e.agg(F.timestamp_seconds((F.min(F.unix_timestamp("ts")) + F.max(F.unix_timestamp("ts"))) / 2).alias("middle"))
+    for early in (True, False):
+        e.crossJoin(F.broadcast(middle)).where((F.col("ts") < F.col("middle")) == early).drop("middle").write.mode("append").json(source)  # one row
+        journals.limit_journal(spark, source, TIMED, "who", "event_id", "ts", 2, 21_600, target, checkpoint)
+    return spark.read.schema("event_id long, accepted boolean").parquet(target)
+
+
+ENTRY = T.StructType([T.StructField("decision", T.StringType()), T.StructField("entrees", T.StructType([T.StructField("session", T.LongType()), T.StructField("type_bac", T.StringType()), T.StructField("boursier", T.BooleanType())]))])
+COUNTED = {"session": "inconnue", "type_bac": "inconnu", "boursier": "inconnu", "decision": "inconnue"}
+_DECISION = "CASE WHEN o_custkey % 9 <> 0 THEN CASE WHEN o_totalprice > 250000 THEN 'suivi' ELSE 'ecarte' END END"
+
+
+def decisions(spark, sf):
+    """Supervised decisions with their nested inputs; some lack a decision, some a type."""
+    inputs = F.struct(F.year("o_orderdate").alias("session"), F.when(F.col("o_custkey") % 11 != 0, F.col("o_orderpriority")).alias("type_bac"), (F.col("o_orderstatus") == "F").alias("boursier"))
+    return t(spark, sf, "orders").select(F.expr(_DECISION).alias("decision"), inputs.alias("entrees"), F.col("o_orderkey").alias("id"))
+
+
+@query("j03_running_counts", f"SELECT year(o_orderdate)::VARCHAR AS session, CASE WHEN o_custkey % 11 <> 0 THEN o_orderpriority ELSE 'inconnu' END AS type_bac, (o_orderstatus = 'F')::VARCHAR AS boursier, coalesce({_DECISION}, 'inconnue') AS decision, count(*) AS n FROM orders GROUP BY ALL")
 def _(spark, sf):
-    target = S.scratch(spark, "counts")
-    journals.running_counts(spark, journal_files(spark, sf), EVENT, ["kind"], target, S.scratch(spark, "checkpoint"))
-    return journals.current_counts(spark, target, ["kind"])
+    source, checkpoint, table = S.scratch(spark, "decisions"), S.scratch(spark, "checkpoint"), S.VersionedTable(spark, S.scratch(spark, "counts"))
+    for part in (0, 1):  # two arrivals, two runs
+        decisions(spark, sf).where(F.col("id") % 2 == part).drop("id").write.mode("append").json(source)
+        journals.running_counts(spark, source, ENTRY, COUNTED, table, checkpoint, lambda df: df.select("decision", "entrees.*"))
+    return table.read()
 
 
 NUMERIC, CATEGORIES = ["num", "den"], ["kind", "segment"]
