@@ -1,12 +1,13 @@
 """Documents from fields, a TF-IDF inverted index, cosine search, citations."""
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import folded
-from ..sources.tables import scratch
+from ..sources.tables import VersionedTable, scratch, write_version
 
 #: French stop words (fixed values).
 STOP_WORDS = (
@@ -38,39 +39,136 @@ def with_pairs(words: str) -> Column:
 
 
 def counted(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, term, tf of one- and two-grams; the tokens are made once, in a projection of their own."""
-    words = df.select(key, tokens(text).alias("_words"))
-    return words.select(key, F.explode(with_pairs("_words")).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-
+    """key, term, tf of one- and two-grams; the tokens are made once, in a projection of their own.
 
-def inverse_frequencies(tf: DataFrame, key: str, n: int) -> DataFrame:
-    return tf.groupBy("term").agg((F.log((F.lit(1.0) + n) / (1.0 + F.count(F.lit(1)))) + 1.0).alias("idf"))
+    Rows are dealt by key before their terms are made, so counting them needs no shuffle of terms."""
+    words = df.select(key, text).repartition(key).select(key, tokens(text).alias("_words"))
+    return words.select(key, F.explode(with_pairs("_words")).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def weighted(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """key, term, w: tf x idf of unit length."""
-    raw = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("w"))
+class SearchIndex:
+    """A kept TF-IDF index: postings written once, by segments, and the figures that all documents decide.
+
+    A segment holds the postings (term, doc, tf) of the documents added together, dealt into buckets by term and sorted there, so a search
+    reads the buckets of its own terms. After each addition two small tables are made anew from the postings, without any text: of a term its
+    inverse frequency and its largest weight in any document, of a document its length. One commit names segments and tables, so searches see
+    an addition as a whole or not at all."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16, spread: int = 2):
+        self.spark, self.path, self.buckets, self.spread = spark, path.rstrip("/"), buckets, spread
+        self.lengths_table = VersionedTable(spark, f"{self.path}/lengths")
+
+    def _state(self, number: int | None = None) -> dict:
+        state = self.lengths_table.state(number)
+        return state["notes"] if state else {"segments": [], "terms": None, "documents": 0}
+
+    def _read_segments(self, segments: Sequence[str]) -> DataFrame:
+        return self.spark.read.option("basePath", f"{self.path}/segments").parquet(*segments).drop("segment")
+
+    def postings(self) -> DataFrame:
+        """term, doc, tf, bucket."""
+        return self._read_segments(self._state()["segments"])
+
+    def terms(self) -> DataFrame:
+        """term, idf, largest: its largest weight (tf x idf / length) in any document."""
+        return self.spark.read.parquet(self._state()["terms"])
+
+    def lengths(self) -> DataFrame:
+        """doc, length (null for a document without terms)."""
+        return self.lengths_table.read()
+
+    def weights(self) -> DataFrame:
+        """doc, term, w: tf x idf of unit length."""
+        rows = self.postings().join(self.terms(), "term").join(self.lengths(), "doc")
+        return rows.select("doc", "term", (F.col("tf") * F.col("idf") / F.col("length")).alias("w"))
+
+    def _bucket(self, term: str = "term"):
+        return F.pmod(F.xxhash64(term), F.lit(self.buckets)).cast("int")
+
+    def add(self, docs: DataFrame, doc: str, text: str) -> None:
+        """Add documents; an id that is there already is an error. Only the new texts are read."""
+        state = self.lengths_table.state()
+        notes, folder = self._state(), f"{self.path}/segments/segment=s{uuid.uuid4().hex}"
+        new = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+        twice = new.groupBy("doc").count().where("count > 1").select("doc")
+        if not twice.isEmpty() or state and not self.lengths().join(new.select("doc"), "doc", "left_semi").isEmpty():
+            raise ValueError("a document is in the index already")
+        rows = counted(new, "doc", "text").withColumn("bucket", self._bucket())
+        dealt = rows.repartition(self.buckets * self.spread, "bucket", F.pmod(F.xxhash64("doc"), F.lit(self.spread)))
+        dealt.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(folder)
+        segments, n = [*notes["segments"], folder], notes["documents"] + new.count()
+        postings = self._read_segments(segments)
+        idf = postings.groupBy("term").agg((F.log((F.lit(1.0) + n) / (1.0 + F.count(F.lit(1)))) + 1.0).alias("idf"))
+        idf_folder, terms = f"{self.path}/terms/{uuid.uuid4().hex}", f"{self.path}/terms/{uuid.uuid4().hex}"
+        idf.write.parquet(idf_folder)
+        weight = F.col("tf") * F.col("idf")
+        raw = postings.join(self.spark.read.parquet(idf_folder), "term").select("term", "doc", "idf", weight.alias("w"))
+        length = raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+        ids = new.select("doc") if state is None else self.lengths().select("doc").unionByName(new.select("doc"))
+        folder = write_version(ids.join(length, "doc", "left"), f"{self.path}/made")
+        lengths = self.spark.read.parquet(folder)
+        largest = raw.join(lengths, "doc").groupBy("term").agg(F.first("idf").alias("idf"), F.max(F.col("w") / F.col("length")).alias("largest"))
+        largest.write.parquet(terms)
+        self.lengths_table.write(lengths, notes={"segments": segments, "terms": terms, "documents": n}, base=state["number"] if state else 0)
+
+    def search(self, queries: DataFrame, query: str, text: str = "text", k: int = 5, least: float = 0.0) -> DataFrame:
+        """query, doc, score, rang of the k best by cosine: over 0 and at least `least`; ties by doc. A query without terms finds nothing.
+
+        A term can add at most its weight in the query times its largest weight in any document. The terms that can add most come first; their
+        sums give a floor that the k-th best reaches at least. Terms that all together stay under the floor bring no document
+        in: their postings, the longest lists as a rule, are read only for documents whose sums so far can still reach it."""
+        raw = counted(queries, query, text).withColumnRenamed("tf", "qtf").join(self.terms(), "term").withColumn("wq", F.col("qtf") * F.col("idf"))
+        norm = F.sqrt(F.sum(F.col("wq") * F.col("wq")).over(Window.partitionBy(query)))
+        asked = raw.withColumn("wq", F.col("wq") / norm).withColumn("most", F.col("wq") * F.col("largest"))
+        falling = Window.partitionBy(query).orderBy(F.desc("most"), "term")
+        after = F.sum("most").over(falling.rowsBetween(0, Window.unboundedFollowing))  # what it and all later terms can add
+        asked = asked.withColumn("after", after).withColumn("all", F.sum("most").over(Window.partitionBy(query)))
+        asked = self._kept(asked.select(query, "term", self._bucket().alias("bucket"), F.col("wq") * F.col("idf"), "after", F.col("all")).toDF(query, "term", "bucket", "f", "after", "all"))
+        first = F.col("after") > F.col("all") / 2
+        head = self._kept(self._sums(asked.where(first), query))
+        floor = self._floor(head, query, k, least)
+        terms = asked.join(floor, query, "left").withColumn("floor", F.coalesce("floor", F.lit(least)))
+        needed = F.col("after") >= F.col("floor") - SLACK
+        rest = terms.where(~first & ~needed).groupBy(query).agg(F.max("after").alias("rest"))
+        body = head.unionByName(self._sums(terms.where(~first & needed), query)).groupBy(query, "doc").agg(F.sum("score").alias("score"))
+        body = self._kept(body)
+        floor = self._floor(body, query, k, least).withColumnRenamed("floor", "reached")
+        open_ = body.join(rest, query, "left").join(floor, query, "left").withColumn("rest", F.coalesce("rest", F.lit(0.0)))
+        open_ = self._kept(open_.where(F.col("score") + F.col("rest") >= F.coalesce("reached", F.lit(least)) - SLACK).select(query, "doc", "score"))
+        tail = self._sums(terms.where(~first & ~needed), query, open_)
+        scores = open_.unionByName(tail).groupBy(query, "doc").agg(F.sum("score").alias("score")).where((F.col("score") > 0) & (F.col("score") >= least))
+        rank = F.row_number().over(Window.partitionBy(query).orderBy(F.desc(F.round("score", 9)), "doc"))
+        return scores.withColumn("rang", rank).where(F.col("rang") <= k).select(query, "doc", "score", "rang")
+
+    def _kept(self, df: DataFrame) -> DataFrame:
+        path = scratch(self.spark, "search")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _sums(self, terms: DataFrame, query: str, only: DataFrame | None = None) -> DataFrame:
+        """query, doc, score: what these terms add to each document that has one; with only, to the pairs of it."""
+        rows = self.postings().join(terms.select(query, "term", "bucket", "f"), ["bucket", "term"])
+        if only is not None:
+            rows = rows.join(only.select(query, "doc"), [query, "doc"], "left_semi")
+        sums = rows.groupBy(query, "doc").agg(F.sum(F.col("tf") * F.col("f")).alias("dot"))
+        return sums.join(self.lengths(), "doc").select(query, "doc", (F.col("dot") / F.col("length")).alias("score"))
+
+    def _floor(self, scores: DataFrame, query: str, k: int, least: float) -> DataFrame:
+        """query, floor: the k-th best sum so far, at least `least`."""
+        rank = F.row_number().over(Window.partitionBy(query).orderBy(F.desc("score"), "doc"))
+        kth = scores.withColumn("rank", rank).where(F.col("rank") <= k).groupBy(query).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+        return kth.select(query, F.greatest(F.when(F.col("n") >= k, F.col("kth")), F.lit(least)).alias("floor"))
+
+
+#: Under the ninth decimal, to which scores are compared, and over what sums lose by rounding.
+SLACK = 1e-8
 
 
 def search(docs: DataFrame, doc: str, queries: DataFrame, query: str, text: str = "text", k: int = 5, least: float = 0.0) -> DataFrame:
-    """query, doc, score, rang of the k best by cosine over `least`; ties by doc. A query without terms finds nothing.
-
-    The documents' postings are made once and written. Their weights give each document's length in one aggregate, and only
-    the postings of the queries' own terms are joined to the queries."""
-    spark, folder = docs.sparkSession, scratch(docs.sparkSession, "postings")
-    counted(docs, doc, text).write.parquet(folder)
-    tf = spark.read.parquet(folder)
-    idf = inverse_frequencies(tf, doc, docs.count())
-    raw = tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    asked = counted(queries, query, text)
-    q = weighted(asked, idf.join(asked.select("term").distinct(), "term", "left_semi"), query).withColumnRenamed("w", "wq")
-    found = raw.join(asked.select("term").distinct(), "term", "left_semi").join(q, "term")
-    scores = found.groupBy(query, doc).agg(F.sum(F.col("w") * F.col("wq")).alias("dot")).join(norm, doc).withColumn("score", F.col("dot") / F.col("norm")).where(F.col("score") > least)
-    rank = F.row_number().over(Window.partitionBy(query).orderBy(F.desc(F.round("score", 9)), doc))
-    return scores.withColumn("rang", rank).where(F.col("rang") <= k).select(query, doc, "score", "rang")
+    """Of documents that are asked once: an index of them, and a search in it."""
+    index = SearchIndex(docs.sparkSession, scratch(docs.sparkSession, "index"))
+    index.add(docs, doc, text)
+    return index.search(queries, query, text, k, least).withColumnRenamed("doc", doc)
 
 
 def citations(found: DataFrame, docs: DataFrame, doc: str, query: str, url: Column) -> DataFrame:

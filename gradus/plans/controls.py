@@ -149,22 +149,32 @@ def _terms(source, key, text):
 _TF = f"tf AS (SELECT k, term, count(*) AS tf FROM {_terms('documents', 'doc_id', 'text')} GROUP BY ALL), idf AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM tf GROUP BY 1)"
 
 
+_indexes: dict = {}
+
+
+def index(spark, sf):
+    """The documents' index, made once a session and table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _indexes:
+        _indexes[key] = retrieval.SearchIndex(spark, S.scratch(spark, "index"))
+        _indexes[key].add(t(spark, sf, "documents"), "doc_id", "text")
+    return _indexes[key]
+
+
 @query("i02_tfidf_index", f"WITH {_TF}, w AS (SELECT k, term, tf * idf AS w FROM tf JOIN idf USING (term)) SELECT k AS doc_id, count(*) AS terms, round(max(w) / sqrt(sum(w * w)), 6) AS largest FROM w GROUP BY 1")
 def _(spark, sf):
-    docs = t(spark, sf, "documents").select("doc_id", "text")
-    tf = retrieval.counted(docs, "doc_id", "text")
-    weights = retrieval.weighted(tf, retrieval.inverse_frequencies(tf, "doc_id", docs.count()), "doc_id")
-    return weights.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.round(F.max("w"), 6).alias("largest"))
+    rows = index(spark, sf).weights().groupBy("doc").agg(F.count(F.lit(1)).alias("terms"), F.round(F.max("w"), 6).alias("largest"))
+    return rows.withColumnRenamed("doc", "doc_id")
 
 
 _SEARCH = f"""{_TF}, q0 AS (SELECT k, term, count(*) AS tf FROM {_terms('benchmark', 'item_id', 'text')} GROUP BY ALL), d AS (SELECT k, term, tf * idf AS w FROM tf JOIN idf USING (term)), q AS (SELECT k, term, tf * idf AS w FROM q0 JOIN idf USING (term)),
 dn AS (SELECT k, sqrt(sum(w * w)) AS n FROM d GROUP BY 1), qn AS (SELECT k, sqrt(sum(w * w)) AS n FROM q GROUP BY 1),
 s AS (SELECT q.k AS item_id, d.k AS doc_id, sum(q.w * d.w) / any_value(qn.n) / any_value(dn.n) AS score FROM d JOIN q USING (term) JOIN dn ON dn.k = d.k JOIN qn ON qn.k = q.k GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id)::INT AS rang FROM s WHERE score > 0.05)"""
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id)::INT AS rang FROM s WHERE score > 0 AND score >= 0.05)"""
 
 
 def found(spark, sf):
-    return retrieval.search(t(spark, sf, "documents").select("doc_id", "text"), "doc_id", t(spark, sf, "benchmark"), "item_id", least=0.05)
+    return index(spark, sf).search(t(spark, sf, "benchmark"), "item_id", least=0.05).withColumnRenamed("doc", "doc_id")
 
 
 @query("i03_search", f"WITH {_SEARCH} SELECT item_id, doc_id, round(score, 6) AS score, rang FROM r WHERE rang <= 5")
