@@ -78,6 +78,49 @@ def recommend(profiles: DataFrame, catalogue: DataFrame, on: Sequence[str], prof
     return ranked(rows, [profile], "score", key, top)
 
 
+def recommend_by_wish(
+    profiles: DataFrame, catalogue: DataFrame, on: Sequence[str], profile: str, word: str, area: str, key: Sequence[str], text: str, place: str, prediction: str, outlet: str, top: int, outside: float = 0.6, salts: int = 16
+) -> DataFrame:
+    """recommend() for affinity()'s factor, without the pairs of profiles and programmes: profile, key, affinite, accessibilite, outlet, score, rang.
+
+    Profiles that wish the same (on, word's key, area) get the same programmes, so each distinct wish is answered once. The factor takes
+    three values only. Where it is 1, a wish needs the `top` best programmes of its area; where it is `outside`, they are among the
+    2 x top best of all areas once no area gives more than `top`; where it is 0, the first by key. These short lists are made for each
+    distinct (on, word), limited before any shuffle, and a wish is compared with at most 4 x top programmes.
+
+    word: a column of with_word_key(), text: one of with_text_key(); a null word or area is no constraint."""
+    on, key = list(on), list(key)
+    wishes = profiles.select(*on, F.col(word).alias("_w"), F.col(area).alias("_a")).distinct()
+    words = wishes.select(*on, "_w").distinct().withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    programmes = catalogue.select(*on, *key, F.col(text).alias("_text"), F.col(place).alias("_place"), clip01(prediction).alias("accessibilite"), outlet)
+    pairs = words.join(programmes.withColumn("_s", F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int")), [*on, "_s"]).drop("_s")
+    pairs = pairs.withColumn("_ok", F.col("_w").isNull() | ((F.col("_w") != "") & F.contains("_text", F.col("_w")))).drop("_text")
+    score = lambda factor: F.lit(factor) * F.col("accessibilite") * F.col(outlet)
+
+    def best(rows: DataFrame, by: Sequence[str], factor: float, n: int) -> DataFrame:
+        order = Window.partitionBy(*by).orderBy(F.desc_nulls_last(score(factor)), *key)
+        return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
+
+    group, fitting = [*on, "_w"], pairs.where("_ok")
+    inside = best(fitting, [*group, "_place"], 1.0, top)
+    beyond = best(best(fitting, [*group, "_place"], outside, top), group, outside, 2 * top)
+    lists = [  # programmes, factor, which wishes they are for
+        (inside, 1.0, F.col("_a").isNotNull() & (F.col("_a") == F.col("_place"))),
+        (best(inside, group, 1.0, top), 1.0, F.col("_a").isNull()),
+        (beyond, outside, F.col("_a").isNotNull() & ~F.col("_a").eqNullSafe(F.col("_place"))),
+        (best(pairs.where(~F.col("_ok")), group, 0.0, top), 0.0, F.lit(True)),
+    ]
+
+    def joined(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+        right = right.withColumnsRenamed({c: f"_r{c}" for c in names})
+        return left.join(right, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in names])).drop(*[f"_r{c}" for c in names])
+
+    some = reduce(DataFrame.unionByName, [joined(wishes, programmes, group).where(of).withColumn("affinite", F.lit(factor)) for programmes, factor, of in lists])
+    some = some.withColumn("score", F.col("affinite") * F.col("accessibilite") * F.col(outlet))
+    chosen = ranked(some, [*group, "_a"], "score", key, top).select(*group, "_a", *key, "affinite", "accessibilite", outlet, "score", "rang")
+    return joined(profiles.select(profile, *on, F.col(word).alias("_w"), F.col(area).alias("_a")), chosen, [*group, "_a"]).drop("_w", "_a")
+
+
 def ranked(df: DataFrame, by: Sequence[str], score: str, ties: Sequence[str], top: int) -> DataFrame:
     order = Window.partitionBy(*by).orderBy(F.desc_nulls_last(score), *ties)
     return df.withColumn("rang", F.row_number().over(order)).where(F.col("rang") <= top)

@@ -118,8 +118,7 @@ def _(spark, sf):
     k = t(spark, sf, "part").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 120 + 1).alias("code"), (F.col("p_size") % 25).cast("long").alias("departement"), "p_partkey", (F.col("p_partkey") % 5).alias("kind"), F.col("p_name").alias("label"), (F.col("p_partkey") * 37 % 1000 / F.lit(1000.0)).alias("taux"))
     k = outlets(spark, sf, k).withColumnRenamed("departement", "area2")
     p, k = matching.with_word_key(p, "word"), matching.with_text_key(k, ["label"])  # once a row, not once a pair
-    affinity = matching.affinity(F.lit(None).cast("string"), F.lit("x"), "word", [], "area", "area2", keys=("_word", "_text"))
-    out = matching.recommend(p, k, ["kind"], "profile", ["p_partkey"], affinity, "taux", "debouches", 10)
+    out = matching.recommend_by_wish(p, k, ["kind"], "profile", "_word", "area", ["p_partkey"], "_text", "area2", "taux", "debouches", 10)
     return out.select("profile", "p_partkey", "affinite", "accessibilite", "debouches", *r6("score"), "rang")
 
 
