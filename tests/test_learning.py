@@ -20,12 +20,39 @@ def halves(rows):
     return rows.where("session < 2019"), rows.where("session = 2019"), rows.where("session = 2020")
 
 
-def test_boosting_beats_the_mean_and_stops(rows):
+def test_the_round_of_least_staged_error_is_kept(rows):
+    """Staged errors equal those of models with so many rounds, and the fit keeps the least."""
+    train, val, test = halves(rows)
+    noisy = train.withColumn("y", F.least(F.lit(1.0), F.col("y") + (F.xxhash64("id", F.lit(3)) % 100) / 120))
+    features = learning.Features.fit(noisy, NUMERIC, CATEGORIES)
+    own, held, asked = (features.written(df, ["id", "y", "w"]) for df in (noisy, val, test))
+    boosted = learning.fit_trees(own, held, "y", "w", rounds=12, step=0.5)
+    assert len(boosted.errors) == 12 and boosted.rounds == boosted.errors.index(min(boosted.errors)) + 1
+    assert boosted.stopped == (boosted.rounds < 12)
+    whole = learning.fit_trees(own, None, "y", "w", rounds=12, step=0.5).model
+    for n in (1, 5, 12, boosted.rounds):
+        error = metrics.errors(learning.served(learning.truncated(whole, n), held, ["y", "w"]), "y", "prediction", "w").first().mae_weighted
+        assert error == pytest.approx(boosted.errors[n - 1], abs=1e-12)
+    a, b = (learning.served(m, asked, ["id"]).orderBy("id").collect() for m in (boosted.model, learning.truncated(whole, boosted.rounds)))
+    assert a == b
+
+
+def test_a_gap_is_stopped_on_the_rate(rows):
+    train, val, _ = halves(rows)
+    features = learning.Features.fit(train, NUMERIC, CATEGORIES)
+    own, held = (features.written(df, ["y", "w", "anchor"]) for df in (train, val))
+    boosted = learning.fit_trees(own.withColumn("_gap", F.col("y") - F.col("anchor")), held, "y", "w", "_gap", "anchor", rounds=6)
+    error = metrics.errors(learning.served(boosted.model, held, ["y", "w"], anchor="anchor"), "y", "prediction", "w").first().mae_weighted
+    assert error == pytest.approx(min(boosted.errors), abs=1e-12)
+
+
+def test_boosting_beats_the_mean(rows):
     train, val, test = halves(rows)
     model = learning.fit_boosted(train, val, NUMERIC, CATEGORIES, "y", "w", rounds=25)
-    assert 1 <= model.stages[-1].getNumTrees <= 25
+    assert 1 <= len(model.stages[-1].trees) <= 25
     found = learning.predict(model, test, NUMERIC, CATEGORIES, ["id", "y", "w", "a"])
     assert found.columns == ["id", "y", "w", "a", "prediction"] and found.where("prediction not between 0 and 1").isEmpty()
+    assert found.join(test.select("id", F.col("a").alias("given")), "id").where("a <> given").isEmpty()
     mean = train.agg(F.avg("y")).first()[0]
     error = metrics.errors(found.withColumn("mean", F.lit(mean)), "y", "prediction", "w").first().mae
     assert error < 0.5 * found.select(F.avg(F.abs(F.col("y") - mean))).first()[0]
@@ -52,18 +79,18 @@ def test_grid_compares_all_settings(rows):
     train, val, _ = halves(rows)
     table = learning.grid(train, val, NUMERIC, CATEGORIES, "y", "w", "session", "key", "kind", "anchor", 2018, rounds=2).persist()
     got = {r.variant: r for r in table.collect()}
-    assert len(got) == 16 and all(r.group_ece >= 0 and r.mae_weighted > 0 for r in got.values())
+    assert len(got) == 16 and all(r.group_ece >= 0 and r.mae_weighted > 0 and 1 <= r.rounds <= 2 for r in got.values())
     best = learning.best_of(table).collect()
     assert len(best) == 1 and best[0].mae_weighted <= min(r.mae_weighted for r in got.values()) + 0.0005
 
 
 def test_refit_ablation_and_curve(rows):
     train, val, test = halves(rows)
-    assert learning.refit(train, val, test, NUMERIC, CATEGORIES, "y", "w", ["id"]).count() == test.count()
-    table = {r.variant: r for r in learning.ablation(train, test, NUMERIC, CATEGORIES, "y", "w", {"without_a": ["a"]}).collect()}
-    assert table["all"].delta_mae == 0 and table["all"].delta_ece == 0
+    assert learning.refit(train, val, test, NUMERIC, CATEGORIES, "y", "w", ["id"], rounds=5).count() == test.count()
+    table = {r.variant: r for r in learning.ablation(train, val, test, NUMERIC, CATEGORIES, "y", "w", {"without_a": ["a"], "only_kind": NUMERIC}, rounds=6).collect()}
+    assert table["all"].delta_mae == 0 and table["all"].delta_ece == 0 and len(table) == 3
     assert table["without_a"].delta_mae == pytest.approx(table["without_a"].mae_weighted - table["all"].mae_weighted) and table["without_a"].delta_mae > 0
-    curve = learning.learning_curve(train, test, NUMERIC, CATEGORIES, "y", "w", "session", ["id"])
+    curve = learning.learning_curve(train, val, test, NUMERIC, CATEGORIES, "y", "w", "session", ["id"], rounds=6)
     assert [r.variant for r in curve.collect()] == ["0.1", "0.25", "0.5", "1"]
 
 
