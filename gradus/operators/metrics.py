@@ -1,5 +1,6 @@
 """Errors, calibration, group audits and choices over a predictions table."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -78,20 +79,67 @@ def correlation_ratio(df: DataFrame, values: Sequence[str], group: str) -> DataF
     return sums.select("variable", F.when(F.col("total") == 0, 0.0).otherwise(F.try_divide("between", "total")).alias("eta2"))
 
 
+#: Of the permutation: a prime modulus whose squares fit a long, multiplier and round keys (any will do), rounds.
+_PRIME, _FACTOR, _ROUNDS = (1 << 31) - 1, 48_271, 6
+
+
+def permutation_key(seed: int, step: int) -> int:
+    return (seed * 7_919 + step * 104_729 + 12_345) % _PRIME
+
+
+def permuted_place(place: Column, n: int, seed: int) -> Column:
+    """A keyed bijection of 0..n-1: a Feistel network on two digits, whose sums modulo their bases leave every step reversible.
+
+    The digits' bases make little more than n; a place that lands beyond is sent on, as often as needed (16 times at most where more
+    than 15 places lie beyond; a longer way has a chance of n**-7 and is an error downstream, as rows are counted)."""
+    a = max(1, math.isqrt(max(n - 1, 0)) + 1)
+    b = max(1, -(-n // a))
+
+    keys = F.array(*[F.struct(F.lit(permutation_key(seed, step)).cast("long").alias("key"), F.lit(b if step % 2 else a).cast("long").alias("base")) for step in range(_ROUNDS)])
+
+    def mixed(pair: Column, k: Column) -> Column:
+        """(own, other) -> (other, own + what other's digit is mixed to): the two change places at every step."""
+        t = (pair["other"] * _FACTOR + k["key"]) % _PRIME
+        own = (pair["own"] + (t * t + t) % _PRIME) % k["base"]
+        return F.struct(pair["other"].alias("own"), own.alias("other"))
+
+    def once(x: Column) -> Column:
+        first = F.struct(F.floor(x / b).cast("long").alias("own"), (x % b).cast("long").alias("other"))
+        return F.aggregate(keys, first, mixed, lambda pair: pair["own"] * b + pair["other"])
+
+    steps = F.sequence(F.lit(1), F.lit(min(a * b - n, 15))) if a * b > n else F.array().cast("array<int>")
+    return F.aggregate(steps, once(place), lambda x, _: F.when(x < n, x).otherwise(once(x)))
+
+
 def permuted(df: DataFrame, value: str, key: Sequence[str], seed: int) -> DataFrame:
-    """The same rows with value dealt anew, by pairing the order of the key with a seeded hash order; both by ranges."""
-    a = placed(df.drop(value), list(key), "_rn")
-    b = placed(df.select(F.col(value), *key).withColumn("_hash", F.xxhash64(F.lit(seed), *key)), ["_hash", *key], "_rn").select(value, "_rn")
-    return a.join(b, "_rn").drop("_rn")
+    """The same rows with value dealt anew: rows are numbered by the key's order, once, and each takes the value of its permuted place."""
+    rows = placed(df, list(key), "_rn")
+    dealt = rows.select(permuted_place(F.col("_rn"), rows.count(), seed).alias("_rn"), F.col(value))
+    return rows.drop(value).join(dealt, "_rn").drop("_rn").select(*df.columns)
+
+
+def permuted_sums(df: DataFrame, value: str, group: str, key: Sequence[str], rounds: int = 5) -> DataFrame:
+    """round (0: as it is), group, n, total: count and sum of value in each group after each of the permutations.
+
+    Rows are numbered once; all rounds go through one join on the place."""
+    rows = placed(df.select(F.col(group).alias("group"), F.col(value).cast("double").alias("value"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]), [f"_k{i}" for i in range(len(key))], "_rn").select("_rn", "group", "value")
+    n = rows.count()
+    places = F.array(*[F.struct(F.lit(r).alias("round"), (permuted_place(F.col("_rn"), n, r) if r else F.col("_rn")).alias("place")) for r in range(rounds + 1)])
+    dealt = rows.select("value", F.explode(places).alias("p")).select("value", F.col("p.round").alias("round"), F.col("p.place").alias("_rn"))
+    return dealt.join(rows.select("_rn", "group"), "_rn").groupBy("round", "group").agg(F.count("value").alias("n"), F.sum("value").alias("total"), F.count(F.lit(1)).alias("rows"))
 
 
 def net_variance(df: DataFrame, value: str, group: str, key: Sequence[str], rounds: int = 5) -> DataFrame:
-    """eta squared, its mean over permutations, and the difference."""
-    observed = correlation_ratio(df, [value], group).select(F.lit(0).alias("round"), "eta2")
-    for r in range(1, rounds + 1):
-        observed = observed.unionByName(correlation_ratio(permuted(df, value, key, r), [value], group).select(F.lit(r).alias("round"), "eta2"))
+    """observed: eta squared, chance: its mean over permutations, and net, their difference."""
+    sums = permuted_sums(df, value, group, key, rounds)
+    whole = df.agg(F.avg(F.col(value).cast("double")).alias("mean"), (F.var_pop(F.col(value).cast("double")) * F.count(value)).alias("spread"), F.count(F.lit(1)).alias("all"))
+    part = F.when(F.col("group").isNotNull() & (F.col("n") > 0), F.col("n") * F.pow(F.col("total") / F.col("n") - F.col("mean"), F.lit(2)))
+    each = sums.crossJoin(F.broadcast(whole)).groupBy("round").agg(F.coalesce(F.sum(part), F.lit(0.0)).alias("between"), F.first("spread").alias("spread"), F.sum("rows").alias("rows"), F.first("all").alias("all"))  # one row
+    lost = F.raise_error(F.lit("a permuted place is missing"))
+    eta = F.when(F.col("rows") != F.col("all"), lost.cast("double")).when(F.col("spread").isNull(), float("nan")).when(F.col("spread") == 0, 0.0).otherwise(F.col("between") / F.col("spread"))
+    each = each.select("round", eta.alias("eta2"))
     seen, chance = F.max(F.when(F.col("round") == 0, F.col("eta2"))), F.avg(F.when(F.col("round") > 0, F.col("eta2")))
-    return observed.agg(seen.alias("observed"), chance.alias("chance"), (seen - chance).alias("net"))
+    return each.agg(seen.alias("observed"), chance.alias("chance"), (seen - chance).alias("net"))
 
 
 def rate_gap(df: DataFrame, a: tuple[str, str], b: tuple[str, str], close: float = 0.05) -> DataFrame:

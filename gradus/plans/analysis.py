@@ -255,7 +255,22 @@ def _(spark, sf):
     return metrics.correlation_ratio(t(spark, sf, "customer"), ["c_acctbal", "c_nationkey"], "c_mktsegment").select("variable", *r6("eta2"))
 
 
-@query("d13_net_variance")
+def _walk(steps: int, rounds: int) -> str:
+    """The permutation as SQL: a column a Feistel step; places beyond the last row are sent on."""
+    keys = lambda step: f"((round * 7919 + {step * 104_729 + 12_345}) % 2147483647)"
+    text, x = [f"numbered AS (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS rn, c_mktsegment AS grp, c_acctbal AS v, count(*) OVER () AS n FROM customer), s AS (SELECT *, ceil(sqrt(n))::BIGINT AS a FROM numbered), w0 AS (SELECT *, ceil(n / a)::BIGINT AS b, unnest(range({rounds + 1})) AS round, rn AS x FROM s)"], "x"
+    for k in range(1, steps + 1):
+        columns = ["(x // b) AS h0", "(x % b) AS l0"]
+        for step in range(6):
+            other, base, own, keep = (("l", "a", "h", "l") if step % 2 == 0 else ("h", "b", "l", "h"))
+            columns += [f"(({other}{step} * 48271 + {keys(step)}) % 2147483647) AS t{step}", f"(({own}{step} + (t{step} * t{step} + t{step}) % 2147483647) % {base}) AS {own}{step + 1}", f"{keep}{step} AS {keep}{step + 1}"]
+        text.append(f"w{k} AS (SELECT rn, grp, v, n, a, b, round, CASE WHEN round = 0 OR ({k} > 1 AND x < n) THEN x ELSE h6 * b + l6 END AS x FROM (SELECT *, {', '.join(columns)} FROM w{k - 1}))")
+    return ", ".join(text)
+
+
+@query("d13_net_variance", f"""WITH {_walk(16, 5)}, g AS (SELECT w.round, q.grp, count(w.v) AS n, avg(w.v) AS m FROM w16 w JOIN numbered q ON q.rn = w.x GROUP BY ALL),
+  e AS (SELECT round, sum(n * (m - (SELECT avg(c_acctbal) FROM customer)) ** 2) FILTER (grp IS NOT NULL) / (SELECT var_pop(c_acctbal) * count(c_acctbal) FROM customer) AS eta2 FROM g GROUP BY 1)
+  SELECT round(max(eta2) FILTER (round = 0), 6) AS observed, round(avg(eta2) FILTER (round > 0), 6) AS chance, round(max(eta2) FILTER (round = 0) - avg(eta2) FILTER (round > 0), 6) AS net FROM e""")
 def _(spark, sf):
     return metrics.net_variance(t(spark, sf, "customer"), "c_acctbal", "c_mktsegment", ["c_custkey"]).select(*r6("observed", "chance", "net"))
 
