@@ -71,7 +71,7 @@ WORKFORCE_TIERS = {
 
 def _foldings() -> tuple[str, str, list[tuple[str, str]]]:
     """Of compatibility decomposition (NFKD) without combining marks: characters that become one character, those (marks) that go,
-    and those that become several. Hangul syllables stay as they are."""
+    and those that become several. Hangul syllables are left to _jamo()."""
     one, gone, many = [], [], []
     for point in range(0x80, 0x30000):
         c = chr(point)
@@ -102,6 +102,22 @@ _SOME = _ranges([ord(a) for a, _ in _MANY])
 _PLAIN = json.dumps(dict(_MANY))
 
 
+#: First, middle and last letters of Hangul syllables, which stand in the order of all their triples from U+AC00 on.
+_HANGUL = ["".join(map(chr, range(first, first + n))) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))]
+_SYLLABLE = "[\\x{AC00}-\\x{D7A3}]"
+
+
+def _jamo(text: Column) -> Column:
+    """Hangul syllables as their two or three letters, found by arithmetic on the code point."""
+    def letters(c: Column) -> Column:
+        place = F.ascii(c) - 0xAC00
+        last = place % 28
+        parts = [F.substring(F.lit(_HANGUL[0]), (F.floor(place / 588) + 1).cast("int"), F.lit(1)), F.substring(F.lit(_HANGUL[1]), (F.floor(place % 588 / 28) + 1).cast("int"), F.lit(1)), F.when(last > 0, F.substring(F.lit(_HANGUL[2]), last.cast("int"), F.lit(1))).otherwise("")]
+        return F.when(c.rlike(_SYLLABLE), F.concat(*parts)).otherwise(c)
+
+    return F.when(text.rlike(_SYLLABLE), F.array_join(F.transform(F.split(text, ""), letters), "")).otherwise(text)
+
+
 def folded(text) -> Column:
     """Text by compatibility decomposition without combining marks: letters without accents, ligatures and figures in plain form.
 
@@ -111,7 +127,7 @@ def folded(text) -> Column:
     held = F.array_distinct(F.regexp_extract_all(text, F.lit(_SOME), F.lit(0)))
     several = F.aggregate(held, text, lambda t, c: F.replace(t, c, F.coalesce(plain[c], c)))
     whole = F.when(text.rlike(_SOME), several).otherwise(text)
-    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.translate(whole, _FROM, _TO))
+    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(_jamo(F.translate(whole, _FROM, _TO)))
 
 
 def unaccented(text) -> Column:

@@ -164,10 +164,18 @@ def promoted(error, baseline, ece, most: float = 0.0322) -> Column:
 
 
 def importance(df: DataFrame, columns: Sequence[str], w: str) -> DataFrame:
-    """Weighted mean of absolute contribution and its share, for each variable."""
+    """variable, importance: weighted mean of absolute contribution, share (0 if nothing contributes). A total weight of 0 or less is an error."""
     long = df.select(w, F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in columns])).alias("r")).select(w, "r.*")
-    out = long.groupBy("variable").agg((F.sum(F.abs("v") * F.col(w)) / F.sum(w)).alias("importance"))
-    return out.withColumn("share", F.try_divide(F.col("importance"), F.sum("importance").over(Window.partitionBy(F.lit(0)))))
+    total = F.sum(F.col(w).cast("double"))
+    mean = F.when(F.coalesce(total, F.lit(0.0)) <= 0, F.raise_error(F.lit("the total weight must be over 0")).cast("double")).otherwise(F.sum(F.abs("v") * F.col(w)) / total)
+    out = long.groupBy("variable").agg(mean.alias("importance"))
+    return out.withColumn("share", F.coalesce(F.try_divide(F.col("importance"), F.sum("importance").over(Window.partitionBy(F.lit(0)))), F.lit(0.0)))  # a row a variable
+
+
+def named_shares(found: DataFrame, names: Sequence[str]) -> DataFrame:
+    """variable, share of the named variables, 0 for one that is not among importance()'s."""
+    wanted = found.sparkSession.createDataFrame([(n,) for n in names], "variable string")
+    return wanted.join(found.select("variable", "share"), "variable", "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
 
 
 def top_contributions(columns: Sequence[str], k: int) -> Column:

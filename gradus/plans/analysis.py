@@ -388,6 +388,35 @@ def _(spark, sf):
     return profile.coverage_links({"taux": (F.lit(True), has), "baseline": (has, F.col("baseline").isNotNull())}, rated(spark, sf)).select("link", "total", "kept", *r6("rate"))
 
 
+@query("d21_bridge_coverage", """WITH p AS (SELECT CASE WHEN p_partkey % 10 <> 0 THEN p_partkey END AS code FROM part), c AS (SELECT DISTINCT l_partkey AS code, l_suppkey AS occ FROM lineitem WHERE l_partkey % 7 <> 0),
+  o AS (SELECT s_suppkey AS occ, s_nationkey AS division FROM supplier WHERE s_suppkey % 5 <> 0), st AS (SELECT p_partkey AS code, p_size > 25 AS actif FROM part WHERE p_partkey % 13 <> 0),
+  f AS (SELECT code, occ, division, actif FROM p JOIN c USING (code) JOIN o USING (occ) LEFT JOIN st USING (code)),
+  n AS (SELECT (SELECT count(*) FROM p) AS a, (SELECT count(code) FROM p) AS b, (SELECT count(DISTINCT code) FROM c) AS c, (SELECT count(DISTINCT occ) FROM c) AS d, (SELECT count(DISTINCT occ) FROM c SEMI JOIN o USING (occ)) AS e,
+    (SELECT count(*) FROM f) AS g, (SELECT count(*) FILTER (actif) FROM f) AS h, (SELECT count(DISTINCT code) FROM f) AS i, (SELECT count(DISTINCT code) FILTER (actif) FROM f) AS j),
+  l AS (SELECT unnest(['programme -> code', 'certificate -> occupation', 'programme with code -> division', 'occupation -> division', 'programme -> division', 'row -> active', 'reached programme -> active']) AS link,
+    unnest([a, c, b, d, a, g, i]) AS total, unnest([b, c, i, e, i, h, j]) AS kept FROM n)
+  SELECT *, round(kept / total::DOUBLE, 6) AS rate FROM l""")
+def _(spark, sf):
+    p, line, s = t(spark, sf, "part"), t(spark, sf, "lineitem"), t(spark, sf, "supplier")
+    programmes = p.select(F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey")).alias("code"))
+    certificates = line.where("l_partkey % 7 <> 0").select(F.col("l_partkey").alias("code"), F.col("l_suppkey").alias("occ")).distinct()
+    occupations = s.where("s_suppkey % 5 <> 0").select(F.col("s_suppkey").alias("occ"), F.col("s_nationkey").alias("division"))
+    status = p.where("p_partkey % 13 <> 0").select(F.col("p_partkey").alias("code"), (F.col("p_size") > 25).alias("actif"))
+    final = matching.bridge(programmes, certificates, occupations, status, ["code", "occ"], "code")
+    return profile.bridge_coverage(programmes, "code", certificates, occupations, "occ", final, "actif").select("link", "total", "kept", *r6("rate"))
+
+
+@query("d22_completeness_report", f"""WITH {YEARLY}, y AS (SELECT a.session, a.town, a.level, a.flag, CASE WHEN a.session >= 1998 THEN a.top END AS late, b.key IS NOT NULL AS found FROM yearly a LEFT JOIN yearly b ON b.key = a.key AND b.session = a.session - 1)
+  SELECT 'rows' AS measure, session, NULL AS "column", count(*)::DOUBLE AS value FROM y GROUP BY session UNION ALL SELECT 'key_coverage', session, NULL, round(count(town) / count(*)::DOUBLE, 6) FROM y GROUP BY session
+  UNION ALL SELECT 'missing_column', session, 'late', 1 FROM y GROUP BY session HAVING count(late) = 0
+  UNION ALL SELECT 'null_share', NULL, unnest(['level', 'flag', 'late']), unnest([round(1 - count(level) / count(*)::DOUBLE, 6), round(1 - count(flag) / count(*)::DOUBLE, 6), round(1 - count(late) / count(*)::DOUBLE, 6)]) FROM y
+  UNION ALL SELECT 'without_antecedent', NULL, NULL, count(*) FILTER (NOT found) FROM y UNION ALL SELECT 'before_first_label', NULL, NULL, count(*) FILTER (session < 1997) FROM y""")
+def _(spark, sf):
+    y = yearly(spark, sf).withColumn("late", F.when(F.col("session") >= 1998, F.col("top")))
+    before = y.select("key", (F.col("session") + 1).alias("session"), F.lit(True).alias("found"))
+    return profile.completeness_report(y.join(before, ["key", "session"], "left"), "session", "town", ["level", "flag", "late"], "found", 1997).select("measure", "session", "column", *r6("value"))
+
+
 @query("d22_volumes", f"WITH {YEARLY} SELECT session, count(*) AS n, round(avg((town IS NOT NULL)::INT), 6) AS key_coverage FROM yearly GROUP BY 1")
 def _(spark, sf):
     return profile.volumes(yearly(spark, sf), "session", "town").select("session", "n", *r6("key_coverage"))
@@ -398,6 +427,12 @@ def _(spark, sf):
     return metrics.importance(contributions(spark, sf), SHAP, "l_quantity").select("variable", *r6("importance", "share"))
 
 
+@query("d23_named_shares", f"WITH {_LINES}, c AS (SELECT l_quantity, {_CONTRIB} FROM lines), u AS (UNPIVOT c ON shap__q, shap__d, shap__t INTO NAME variable VALUE v), i AS (SELECT variable, sum(abs(v) * l_quantity) AS s FROM u GROUP BY 1) SELECT n AS variable, round(coalesce(max(s) FILTER (variable = n), 0) / sum(s), 6) AS share FROM i, (VALUES ('shap__t'), ('shap__none')) v(n) GROUP BY 1")
+def _(spark, sf):
+    found = metrics.importance(contributions(spark, sf), SHAP, "l_quantity")
+    return metrics.named_shares(found, ["shap__t", "shap__none"]).select("variable", *r6("share"))
+
+
 @query("d24_extreme_examples", f"WITH {_LINES}, c AS (SELECT l_orderkey, l_linenumber, l_quantity, {_CONTRIB} FROM lines WHERE l_quantity >= 10), b AS (SELECT max((shap__q, l_orderkey, l_linenumber)) AS h, min((shap__q, l_orderkey, l_linenumber)) AS l FROM c) SELECT 'high' AS which, h[2] AS l_orderkey, h[3] AS l_linenumber, round(h[1], 6) AS prediction FROM b UNION ALL SELECT 'low', l[2], l[3], round(l[1], 6) FROM b")
 def _(spark, sf):
     return metrics.extreme_examples(contributions(spark, sf), "shap__q", "l_quantity", 10, ["l_orderkey", "l_linenumber"], SHAP).select("which", "l_orderkey", "l_linenumber", *r6("prediction"))
@@ -459,6 +494,13 @@ def _(spark, sf):
     return profile.threshold_sweep(t(spark, sf, "orders"), "o_totalprice", [100000, 200000, 300000]).select("threshold", "n", *r6("share"))
 
 
+@query("d32_definitions", f"""WITH {CELLS}, r AS (SELECT unnest(['num / den', 'num / effectif', 'effectif / den', 'den / num']) AS definition, unnest([CASE WHEN den > 0 THEN num / den END, CASE WHEN effectif > 0 THEN num / effectif END, CASE WHEN den > 0 THEN effectif / den END, CASE WHEN num > 0 THEN den / num END]) AS r FROM cells)
+  SELECT definition, count(r) AS n, count(*) FILTER (r > 1) AS over, round(avg((r > 1)::INT), 6) AS share_over, round(avg(r), 6) AS mean, round(median(r), 6) AS median FROM r WHERE r IS NOT NULL GROUP BY 1""")
+def _(spark, sf):
+    pairs = {f"{a} / {b}": (a, b) for a, b in (("num", "den"), ("num", "effectif"), ("effectif", "den"), ("den", "num"))}
+    return profile.definitions(cells(spark, sf), pairs).select("definition", "n", "over", *r6("share_over", "mean", "median"))
+
+
 @query("d33_paired_gap", f"WITH {RATED}, g AS (SELECT taux - pred AS gap FROM rated WHERE taux IS NOT NULL) SELECT count(*) AS n, round(avg(gap), 6) AS mean, round(quantile_cont(gap, 0.1), 6) AS p10, round(median(gap), 6) AS median, round(quantile_cont(gap, 0.9), 6) AS p90, round(avg((gap > 0)::INT), 6) AS positive, round(avg((abs(gap) <= 0.05)::INT), 6) AS close FROM g")
 def _(spark, sf):
     return profile.paired_gap(rated(spark, sf), F.col("taux"), F.col("pred"), 0.05).select("n", *r6("mean", "p10", "median", "p90", "positive", "close"))
@@ -485,6 +527,11 @@ def _(spark, sf):
     return profile.presence(yearly(spark, sf), "session", ["flag", "level", "town"])
 
 
+@query("d36_mean_series", f"WITH {CELLS} SELECT session, unnest(['num', 'den', 'pred', 'baseline']) AS indicator, unnest([round(avg(num), 6), round(avg(den), 6), round(avg(pred), 6), round(avg(baseline), 6)]) AS mean FROM cells GROUP BY 1")
+def _(spark, sf):
+    return profile.mean_series(cells(spark, sf), "session", ["num", "den", "pred", "baseline"]).select("session", "indicator", *r6("mean"))
+
+
 @query("e01_scd2_versions", f"WITH {_SCD} SELECT * FROM dim")
 def _(spark, sf):
     return dimension(spark, sf)
