@@ -163,3 +163,10 @@ def test_streamed_counts_over_a_restart_and_a_replay(spark, tmp_path):
         crc.unlink()
     journals.running_counts(spark, source, TIMED, keys, table, checkpoint, grace=0)
     assert rows(table.read()) == expected
+
+
+def test_the_streamed_query_equals_the_batch_query(spark):
+    from gradus import plans
+
+    sf = "/root/testdata/sf0.001"
+    assert rows(plans.QUERIES["j02_streamed_limit"](spark, sf)) == rows(plans.QUERIES["j02_rate_limit"](spark, sf).select("event_id", "accepted"))
