@@ -123,11 +123,17 @@ def _numeric(ordered: Ordered, sides, bins: int) -> DataFrame:
     """variable, comparison, psi. Bins are the reference's quantile bins: equal edges merged, ends open, (a, b]."""
     references = list(dict.fromkeys(tuple(a) for _, a, _ in sides))
     edges = ordered.quantiles(references, bins)
-    of = F.array(*[F.struct(F.lit(name).alias("comparison"), F.lit(references.index(tuple(a))).alias("of"), F.array(*map(F.lit, a)).alias("a_of"), F.array(*map(F.lit, b)).alias("b_of")) for name, a, b in sides])
+
+    def comparison(name: str, a: list[int], b: list[int]) -> Column:
+        places = [F.array(*map(F.lit, x)).alias(n) for n, x in (("a_of", a), ("b_of", b))]
+        return F.struct(F.lit(name).alias("comparison"), F.lit(references.index(tuple(a))).alias("of"), *places)
+
+    of = F.array(*[comparison(*side) for side in sides])
     inner = F.expr("filter(array_distinct(q), e -> e > q[0] and e < q[size(q) - 1])")
     asked = edges.where("q[0] < element_at(q, -1)").select("variable", "reference", F.explode(F.concat(inner, F.array(F.element_at("q", -1)))).alias("x"))
     ends = ordered.ranges.groupBy("variable").agg(F.first("all").alias("all"))
-    runs = ordered.at(asked).join(F.broadcast(ends), "variable").join(F.broadcast(edges.select("variable", "reference", F.element_at("q", -1).alias("last"))), ["variable", "reference"])  # a row a variable
+    last = edges.select("variable", "reference", F.element_at("q", -1).alias("last"))
+    runs = ordered.at(asked).join(F.broadcast(ends), "variable").join(F.broadcast(last), ["variable", "reference"])  # a row a variable
     run = F.when(F.col("x") == F.col("last"), F.col("all")).otherwise(F.coalesce("run", F.transform("all", lambda x: x * 0)))  # the last bin is open
     rows = runs.withColumn("run", run).withColumn("c", F.explode(of)).where("c.of = reference").select("variable", "c.*", "x", "run")
     add = "aggregate({0}_of, 0L, (t, i) -> t + run[i])"
@@ -143,7 +149,8 @@ def _distances(ordered: Ordered, sides) -> DataFrame:
     share = lambda places: F.try_divide(_total("run", places), _total("all", places))
     far = [F.max(F.abs(share(a) - share(b))).alias(f"d{i}") for i, (_, a, b) in enumerate(sides)]
     wide = ordered.rows.groupBy("variable").agg(*far)
-    return wide.select("variable", F.explode(F.array(*[F.struct(F.lit(name).alias("comparison"), F.col(f"d{i}").alias("ks")) for i, (name, _, _) in enumerate(sides)])).alias("r")).select("variable", "r.*")
+    each = F.array(*[F.struct(F.lit(name).alias("comparison"), F.col(f"d{i}").alias("ks")) for i, (name, _, _) in enumerate(sides)])
+    return wide.select("variable", F.explode(each).alias("r")).select("variable", "r.*")
 
 
 def _categorical(hist: DataFrame, sessions: Sequence, sides, top: int, other: str) -> DataFrame:
@@ -201,7 +208,8 @@ def retraining(report: DataFrame, production: Sequence[str], limit: float = 0.2)
     production comparison ask for it? A single variable beyond the limit is shown by worst(), and asks for nothing."""
     of = F.col("comparison").isin(*production)
     beyond = lambda family: F.coalesce(F.bool_or(F.when(F.col("family") == family, F.col("beyond"))), F.lit(False))
-    rows = report.where(of).groupBy("comparison").agg(F.median(F.when(F.col("family") == "variable", F.col("psi"))).alias("median_psi"), beyond("target").alias("target"), beyond("prediction").alias("prediction"))
+    median = F.median(F.when(F.col("family") == "variable", F.col("psi"))).alias("median_psi")
+    rows = report.where(of).groupBy("comparison").agg(median, beyond("target").alias("target"), beyond("prediction").alias("prediction"))
     rows = rows.withColumn("variables", F.coalesce(F.col("median_psi") >= limit, F.lit(False)))
     asks = F.bool_or(F.col("variables") | F.col("target") | F.col("prediction")).over(Window.partitionBy(F.lit(0)))  # a row a comparison
     return rows.withColumn("retrain", asks)

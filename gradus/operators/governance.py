@@ -19,7 +19,9 @@ def tiered(journal: DataFrame, ts: str, as_of: str, pseudonymise_days: int = 365
 def retained(journal: DataFrame, identifier: str, done: str) -> DataFrame:
     """Tiered rows that stay; those due get a random token and the flag. Write the result once and read it back: tokens are random."""
     due = F.col("palier") == "pseudonymiser"
-    return journal.where("palier <> 'agreger'").withColumn(identifier, F.when(due, F.uuid()).otherwise(F.col(identifier).cast("string"))).withColumn(done, due | F.coalesce(F.col(done), F.lit(False))).drop("palier")
+    token = F.when(due, F.uuid()).otherwise(F.col(identifier).cast("string"))
+    rows = journal.where("palier <> 'agreger'").withColumn(identifier, token)
+    return rows.withColumn(done, due | F.coalesce(F.col(done), F.lit(False))).drop("palier")
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, str]) -> DataFrame:

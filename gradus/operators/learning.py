@@ -107,7 +107,10 @@ class Boosted:
         return self.rounds < len(self.errors)
 
 
-def fit_trees(train: DataFrame, validation: DataFrame | None, y: str, w: str, target: str | None = None, anchor: str | None = None, rounds: int = MOST_ROUNDS, depth: int = 3, seed: int = 1, step: float = STEP) -> Boosted:
+def fit_trees(
+    train: DataFrame, validation: DataFrame | None, y: str, w: str, target: str | None = None, anchor: str | None = None,
+    rounds: int = MOST_ROUNDS, depth: int = 3, seed: int = 1, step: float = STEP,
+) -> Boosted:
     """Weighted trees on rows with features. With a validation set: the rounds of least weighted absolute error in y there; without,
     all rounds. target: what the trees fit, if not y: its gap to the anchor."""
     target = target or y
@@ -119,7 +122,10 @@ def fit_trees(train: DataFrame, validation: DataFrame | None, y: str, w: str, ta
     return Boosted(truncated(model, found.index(min(found)) + 1), found)
 
 
-def fit_boosted(train: DataFrame, validation: DataFrame | None, numeric: Sequence[str], categories: Sequence[str], y: str, w: str, rounds: int = MOST_ROUNDS, depth: int = 3, seed: int = 1, step: float = STEP) -> PipelineModel:
+def fit_boosted(
+    train: DataFrame, validation: DataFrame | None, numeric: Sequence[str], categories: Sequence[str], y: str, w: str,
+    rounds: int = MOST_ROUNDS, depth: int = 3, seed: int = 1, step: float = STEP,
+) -> PipelineModel:
     """fit_trees() with its features as one model, for predict()."""
     features = Features.fit(train, numeric, categories)
     rows, held = (None if df is None else features.written(df, [y, w]) for df in (train, validation))
@@ -179,7 +185,10 @@ def scores(df: DataFrame, y: str, p: str, w: str, variant: str, group: str | Non
 HALF_LIVES = (None, 1, 2, 3)
 
 
-def grid(train: DataFrame, validation: DataFrame, numeric, categories, y: str, w: str, session: str, fold: str, group: str, anchor: str, reference: int, half_lives: Sequence[float | None] = HALF_LIVES, rounds: int = MOST_ROUNDS) -> DataFrame:
+def grid(
+    train: DataFrame, validation: DataFrame, numeric, categories, y: str, w: str, session: str, fold: str, group: str, anchor: str,
+    reference: int, half_lives: Sequence[float | None] = HALF_LIVES, rounds: int = MOST_ROUNDS,
+) -> DataFrame:
     """Every recency setting by both targets (the rate, and its gap to an anchor), with and without calibration, scored on the
     validation set, on which each fit stops: variant, errors, rounds, stopped."""
     features = Features.fit(train, numeric, categories)
@@ -210,7 +219,10 @@ def refit(train: DataFrame, validation: DataFrame, test: DataFrame, numeric, cat
     return predict(fit_boosted(both, None, numeric, categories, y, w, rounds=best), test, numeric, categories, keep)
 
 
-def ablation(train: DataFrame, validation: DataFrame, test: DataFrame, numeric: Sequence[str], categories: Sequence[str], y: str, w: str, without: dict[str, Sequence[str]], rounds: int = MOST_ROUNDS) -> DataFrame:
+def ablation(
+    train: DataFrame, validation: DataFrame, test: DataFrame, numeric: Sequence[str], categories: Sequence[str], y: str, w: str,
+    without: dict[str, Sequence[str]], rounds: int = MOST_ROUNDS,
+) -> DataFrame:
     """Scores on the test set of fits that leave columns out, beside the full one, and their differences from it; each stops on the
     validation set: variant, errors, rounds, stopped, delta_mae, delta_ece."""
     features = Features.fit(train, numeric, categories)
@@ -229,7 +241,10 @@ def ablation(train: DataFrame, validation: DataFrame, test: DataFrame, numeric:
     return out.crossJoin(full).select(*out.columns, (F.col("mae_weighted") - F.col("_mae")).alias("delta_mae"), (F.col("ece") - F.col("_ece")).alias("delta_ece"))  # one row
 
 
-def learning_curve(train: DataFrame, validation: DataFrame, test: DataFrame, numeric, categories, y: str, w: str, session: str, key: Sequence[str], steps=(0.1, 0.25, 0.5, 1.0), rounds: int = MOST_ROUNDS) -> DataFrame:
+def learning_curve(
+    train: DataFrame, validation: DataFrame, test: DataFrame, numeric, categories, y: str, w: str, session: str, key: Sequence[str],
+    steps=(0.1, 0.25, 0.5, 1.0), rounds: int = MOST_ROUNDS,
+) -> DataFrame:
     """Scores on the test set of fits to a share of each session's rows, each stopped on the validation set."""
     features = Features.fit(train, numeric, categories)
     rows = features.written(train, list(dict.fromkeys([y, w, session, *key])))

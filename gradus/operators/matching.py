@@ -79,7 +79,8 @@ def recommend(profiles: DataFrame, catalogue: DataFrame, on: Sequence[str], prof
 
 
 def recommend_by_wish(
-    profiles: DataFrame, catalogue: DataFrame, on: Sequence[str], profile: str, word: str, area: str, key: Sequence[str], text: str, place: str, prediction: str, outlet: str, top: int, outside: float = 0.6, salts: int = 16
+    profiles: DataFrame, catalogue: DataFrame, on: Sequence[str], profile: str, word: str, area: str, key: Sequence[str], text: str, place: str,
+    prediction: str, outlet: str, top: int, outside: float = 0.6, salts: int = 16,
 ) -> DataFrame:
     """recommend() for affinity()'s factor, without the pairs of profiles and programmes: profile, key, affinite, accessibilite, outlet, score, rang.
 

@@ -122,7 +122,9 @@ def permuted_sums(df: DataFrame, value: str, group: str, key: Sequence[str], rou
     """round (0: as it is), group, n, total: count and sum of value in each group after each of the permutations.
 
     Rows are numbered once; all rounds go through one join on the place."""
-    rows = placed(df.select(F.col(group).alias("group"), F.col(value).cast("double").alias("value"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]), [f"_k{i}" for i in range(len(key))], "_rn").select("_rn", "group", "value")
+    order = [f"_k{i}" for i in range(len(key))]
+    plain = df.select(F.col(group).alias("group"), F.col(value).cast("double").alias("value"), *[F.col(k).alias(o) for k, o in zip(key, order, strict=True)])
+    rows = placed(plain, order, "_rn").select("_rn", "group", "value")
     n = rows.count()
     places = F.array(*[F.struct(F.lit(r).alias("round"), (permuted_place(F.col("_rn"), n, r) if r else F.col("_rn")).alias("place")) for r in range(rounds + 1)])
     dealt = rows.select("value", F.explode(places).alias("p")).select("value", F.col("p.round").alias("round"), F.col("p.place").alias("_rn"))
@@ -134,7 +136,8 @@ def net_variance(df: DataFrame, value: str, group: str, key: Sequence[str], roun
     sums = permuted_sums(df, value, group, key, rounds)
     whole = df.agg(F.avg(F.col(value).cast("double")).alias("mean"), (F.var_pop(F.col(value).cast("double")) * F.count(value)).alias("spread"), F.count(F.lit(1)).alias("all"))
     part = F.when(F.col("group").isNotNull() & (F.col("n") > 0), F.col("n") * F.pow(F.col("total") / F.col("n") - F.col("mean"), F.lit(2)))
-    each = sums.crossJoin(F.broadcast(whole)).groupBy("round").agg(F.coalesce(F.sum(part), F.lit(0.0)).alias("between"), F.first("spread").alias("spread"), F.sum("rows").alias("rows"), F.first("all").alias("all"))  # one row
+    between, same = F.coalesce(F.sum(part), F.lit(0.0)).alias("between"), [F.first(c).alias(c) for c in ("spread", "all")]
+    each = sums.crossJoin(F.broadcast(whole)).groupBy("round").agg(between, F.sum("rows").alias("rows"), *same)  # one row
     lost = F.raise_error(F.lit("a permuted place is missing"))
     eta = F.when(F.col("rows") != F.col("all"), lost.cast("double")).when(F.col("spread").isNull(), float("nan")).when(F.col("spread") == 0, 0.0).otherwise(F.col("between") / F.col("spread"))
     each = each.select("round", eta.alias("eta2"))

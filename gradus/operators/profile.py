@@ -27,12 +27,14 @@ def volumes(df: DataFrame, session: str, key: str) -> DataFrame:
 def completeness_report(df: DataFrame, session: str, key: str, columns: Sequence[str], antecedent: str, first_labelled: int) -> DataFrame:
     """measure, session, column, value, of one pass that groups by session and by nothing: rows and key coverage of each session, columns
     that a session lacks altogether, null share of each column over all, cells without antecedent, rows before the first labelled session."""
-    counts = [F.count(F.lit(1)).alias("_n"), F.count(key).alias("_keys"), F.count_if(~F.coalesce(F.col(antecedent), F.lit(False))).alias("_without"), F.count_if(F.col(session) < first_labelled).alias("_before")]
+    without = F.count_if(~F.coalesce(F.col(antecedent), F.lit(False))).alias("_without")
+    counts = [F.count(F.lit(1)).alias("_n"), F.count(key).alias("_keys"), without, F.count_if(F.col(session) < first_labelled).alias("_before")]
     sums = df.rollup(session).agg(*counts, *[F.count(c).alias(f"_c{i}") for i, c in enumerate(columns)], F.grouping(session).alias("_all"))
     none = F.lit(None).cast("string")
     row = lambda measure, column, value, when: F.when(when, F.struct(F.lit(measure).alias("measure"), column.alias("column"), value.cast("double").alias("value")))
     one, whole, share = F.col("_all") == 0, F.col("_all") == 1, lambda c: F.try_divide(F.col(c), F.col("_n"))
-    rows = [row("rows", none, F.col("_n"), one), row("key_coverage", none, share("_keys"), one), row("without_antecedent", none, F.col("_without"), whole), row("before_first_label", none, F.col("_before"), whole)]
+    rows = [row("rows", none, F.col("_n"), one), row("key_coverage", none, share("_keys"), one)]
+    rows += [row("without_antecedent", none, F.col("_without"), whole), row("before_first_label", none, F.col("_before"), whole)]
     rows += [row("missing_column", F.lit(c), F.lit(1), one & (F.col(f"_c{i}") == 0)) for i, c in enumerate(columns)]
     rows += [row("null_share", F.lit(c), 1 - share(f"_c{i}"), whole) for i, c in enumerate(columns)]
     return sums.select(F.when(one, F.col(session)).alias("session"), F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.measure", "session", "r.column", "r.value")
@@ -74,7 +76,9 @@ def definitions(df: DataFrame, alternatives: dict[str, tuple[str, str]]) -> Data
     """definition, n, over, share_over, mean, median of each alternative num / den where den > 0; rows are repeated inside the scan."""
     each = F.array(*[F.struct(F.lit(name).alias("definition"), F.when(F.col(d) > 0, F.col(n) / F.col(d)).alias("rate")) for name, (n, d) in alternatives.items()])
     rows = df.select(F.explode(each).alias("r")).select("r.*").where("rate is not null")
-    out = rows.groupBy("definition").agg(F.count("rate").alias("n"), F.count_if(F.col("rate") > 1).alias("over"), F.avg((F.col("rate") > 1).cast("double")).alias("share_over"), F.avg("rate").alias("mean"))
+    over = F.col("rate") > 1
+    figures = [F.count("rate").alias("n"), F.count_if(over).alias("over"), F.avg(over.cast("double")).alias("share_over"), F.avg("rate").alias("mean")]
+    out = rows.groupBy("definition").agg(*figures)
     return with_quantiles(out, rows, "rate", {"median": 0.5}, "definition")
 
 
@@ -130,7 +134,15 @@ def bridge_coverage(programmes: DataFrame, code: str, certificates: DataFrame, o
     third = count(certificates.select(occupation).distinct().join(known, occupation, "left"), occupations=F.count(occupation), covered=F.count("_known"))
     fourth = count(final, rows=F.count(F.lit(1)), rows_active=F.count_if(F.col(active)), reached=F.count_distinct(code), reached_active=F.count_distinct(F.when(F.col(active), F.col(code))))
     row = first.crossJoin(second).crossJoin(third).crossJoin(fourth)  # one row each
-    links = {"programme -> code": ("programmes", "with_code"), "certificate -> occupation": ("certificates", "certificates"), "programme with code -> division": ("with_code", "reached"), "occupation -> division": ("occupations", "covered"), "programme -> division": ("programmes", "reached"), "row -> active": ("rows", "rows_active"), "reached programme -> active": ("reached", "reached_active")}
+    links = {
+        "programme -> code": ("programmes", "with_code"),
+        "certificate -> occupation": ("certificates", "certificates"),
+        "programme with code -> division": ("with_code", "reached"),
+        "occupation -> division": ("occupations", "covered"),
+        "programme -> division": ("programmes", "reached"),
+        "row -> active": ("rows", "rows_active"),
+        "reached programme -> active": ("reached", "reached_active"),
+    }
     each = F.array(*[F.struct(F.lit(n).alias("link"), F.col(a).alias("total"), F.col(b).alias("kept")) for n, (a, b) in links.items()])
     return row.select(F.explode(each).alias("r")).select("r.*").withColumn("rate", F.try_divide(F.col("kept"), F.col("total")))
 
