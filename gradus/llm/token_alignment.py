@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 from .shared import stored
 from .spans import prefix_sums, ragged, span_hash, text_blocks
 
-BLOCK, MEMO = 1 << 20, 1 << 17
+BLOCK, MEMO = 1 << 20, 1 << 18
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 _aligners: dict = {}
 
