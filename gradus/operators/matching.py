@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clip01, label_key
+from ..sources.tables import scratch
 
 #: Statuses of the outlet term (fixed values).
 MEASURED = "mesure"
@@ -78,6 +79,12 @@ def recommend(profiles: DataFrame, catalogue: DataFrame, on: Sequence[str], prof
     return ranked(rows, [profile], "score", key, top)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def recommend_by_wish(
     profiles: DataFrame, catalogue: DataFrame, on: Sequence[str], profile: str, word: str, area: str, key: Sequence[str], text: str, place: str,
     prediction: str, outlet: str, top: int, outside: float = 0.6, salts: int = 16,
@@ -94,6 +101,7 @@ def recommend_by_wish(
     wishes = profiles.select(*on, F.col(word).alias("_w"), F.col(area).alias("_a")).distinct()
     words = wishes.select(*on, "_w").distinct().withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     programmes = catalogue.select(*on, *key, F.col(text).alias("_text"), F.col(place).alias("_place"), clip01(prediction).alias("accessibilite"), outlet)
+    programmes = _written(programmes, "programmes")  # read by each list; what made it is not planned again for each
     pairs = words.join(programmes.withColumn("_s", F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int")), [*on, "_s"]).drop("_s")
     pairs = pairs.withColumn("_ok", F.col("_w").isNull() | ((F.col("_w") != "") & F.contains("_text", F.col("_w")))).drop("_text")
     score = lambda factor: F.lit(factor) * F.col("accessibilite") * F.col(outlet)
@@ -116,7 +124,8 @@ def recommend_by_wish(
         right = right.withColumnsRenamed({c: f"_r{c}" for c in names})
         return left.join(right, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in names])).drop(*[f"_r{c}" for c in names])
 
-    some = reduce(DataFrame.unionByName, [joined(wishes, programmes, group).where(of).withColumn("affinite", F.lit(factor)) for programmes, factor, of in lists])
+    kept = [(_written(short, "list"), factor, of) for short, factor, of in lists]
+    some = reduce(DataFrame.unionByName, [joined(wishes, short, group).where(of).withColumn("affinite", F.lit(factor)) for short, factor, of in kept])
     some = some.withColumn("score", F.col("affinite") * F.col("accessibilite") * F.col(outlet))
     chosen = ranked(some, [*group, "_a"], "score", key, top).select(*group, "_a", *key, "affinite", "accessibilite", outlet, "score", "rang")
     return joined(profiles.select(profile, *on, F.col(word).alias("_w"), F.col(area).alias("_a")), chosen, [*group, "_a"]).drop("_w", "_a")

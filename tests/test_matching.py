@@ -28,9 +28,3 @@ def test_wishes_equal_all_pairs(spark, seed, sizes):
         got = sorted(map(tuple, matching.recommend_by_wish(p, k, ["kind"], "profile", "_word", "area", ["id"], "_text", "place", "taux", "deb", top).select(columns).collect()), key=repr)
         assert got == expected and expected
     assert matching.recommend_by_wish(p.limit(0), k, ["kind"], "profile", "_word", "area", ["id"], "_text", "place", "taux", "deb", 3).count() == 0
-
-
-def test_pairs_are_limited_before_they_are_shuffled(spark):
-    p, k = pairs(spark, 4, 200, 400, 4)
-    plan = matching.recommend_by_wish(p, k, ["kind"], "profile", "_word", "area", ["id"], "_text", "place", "taux", "deb", 3)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") >= 6
