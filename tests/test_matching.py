@@ -28,3 +28,17 @@ def test_wishes_equal_all_pairs(spark, seed, sizes):
         got = sorted(map(tuple, matching.recommend_by_wish(p, k, ["kind"], "profile", "_word", "area", ["id"], "_text", "place", "taux", "deb", top).select(columns).collect()), key=repr)
         assert got == expected and expected
     assert matching.recommend_by_wish(p.limit(0), k, ["kind"], "profile", "_word", "area", ["id"], "_text", "place", "taux", "deb", 3).count() == 0
+
+
+def test_pairs_are_limited_before_they_are_shuffled(spark, monkeypatch):
+    plans, real = [], matching._written
+
+    def written(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(matching, "_written", written)
+    p, k = pairs(spark, 4, 200, 400, 4)
+    matching.recommend_by_wish(p, k, ["kind"], "profile", "_word", "area", ["id"], "_text", "place", "taux", "deb", 3)
+    assert [n for n, _ in plans] == ["programmes"] + ["list"] * 4
+    assert all("WindowGroupLimit" in plan for n, plan in plans if n == "list") and sum(plan.count("WindowGroupLimit") for _, plan in plans) >= 6
