@@ -260,7 +260,9 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: in
     size, at = F.expr("cast(shiftright(pack, 12) & 4095 as int)"), F.shiftright("pack", 25)
     whole = kept.where("pack < 0 or not is_first").select("doc_id", F.expr("if(pack < 0, -pack - 1, shiftright(pack, 25))").alias("s"), F.when(F.col("pack") < 0, F.col("sig")).otherwise(at + size).alias("e"))
     asked = kept.where("pack >= 0 and is_first").groupBy("doc_id").agg(F.collect_list(F.struct(F.expr("if((shiftright(pack, 24) & 1) = 1, 0L, akey)").alias("akey"), "variants", at.cast("int").alias("s"), size.alias("n"), F.expr("cast(pack & 4095 as int)").alias("off"))).alias("asked"))
-    cut = "transform(asked, r -> struct(r.akey as gkey, r.variants as variants, cast(r.s as long) as s, r.off as off, substring(cast(text as binary), r.s + 1, r.n) as seg))"
+    seg = "substring(b, r.s + 1, r.n) as seg"
+    cut = f"transform(asked, r -> struct(r.akey as gkey, r.variants as variants, cast(r.s as long) as s, r.off as off, {seg}))"
+    cut = _once("cast(text as binary)", cut)
     segments = docs.join(asked, "doc_id").select("doc_id", F.explode(F.expr(cut)).alias("r")).select("doc_id", "r.*")
     segments = stored(segments, "segments")
     found = [whole, _by_factors(segments.where(F.col("variants") <= group), length)]
@@ -280,12 +282,18 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: in
     return islands.groupBy("doc_id", "island").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("island")
 
 
+def _once(data: str, body: str) -> str:
+    """SQL: body, where b stands for the bytes `data`. A column named inside a lambda is copied out of its row for every element, in time
+    quadratic in the elements of a long text; b is copied once."""
+    return f"transform(array({data}), b -> {body})[0]"
+
+
 def _at_borders(spans: str, data: str) -> str:
     """SQL: spans without the bytes of characters that they cover in part."""
-    inner = lambda at: f"hex(substring({data}, cast({at} as int) + 1, 1)) between '80' and 'BF'"
+    inner = lambda at: f"hex(substring(b, cast({at} as int) + 1, 1)) between '80' and 'BF'"
     later = "x.s + " + f"if({inner('x.s')}, if({inner('x.s + 1')}, if({inner('x.s + 2')}, 3, 2), 1), 0)"
     sooner = "x.e - " + f"if({inner('x.e')}, if({inner('x.e - 1')}, if({inner('x.e - 2')}, 3, 2), 1), 0)"
-    return f"filter(transform({spans}, x -> struct({later} as s, {sooner} as e)), x -> x.s < x.e)"
+    return _once(data, f"filter(transform({spans}, x -> struct({later} as s, {sooner} as e)), x -> x.s < x.e)")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, whole_characters: bool = False, often: int = OFTEN) -> DataFrame:
@@ -299,9 +307,12 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: in
     if whole_characters:
         out = out.withColumn("spans", F.expr(_at_borders("spans", "bytes")))
     gaps = "filter(zip_with(array_insert(spans.e, 1, 0L), array_append(spans.s, cast(octet_length(bytes) as long)), (a, b) -> struct(cast(a as int) as a, cast(b - a as int) as n)), g -> g.n > 0)"
-    kept = F.expr(f"if(spans is null, bytes, aggregate({gaps}, cast('' as binary), (acc, g) -> concat(acc, substring(bytes, g.a + 1, g.n))))")
-    out = out.withColumn("kept", kept).select(*[F.col(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in own], F.octet_length("bytes").cast("long").alias("n_bytes"), F.expr("cast(if(spans is null, 0, size(spans)) as long)").alias("n_spans"), "kept")
-    return out.withColumn("n_removed", F.col("n_bytes") - F.octet_length("kept"))
+    parts = _once("bytes", f"transform({gaps}, g -> cast(substring(b, g.a + 1, g.n) as string))")  # joined once, as strings of any bytes
+    kept = F.expr(f"if(spans is null, bytes, cast(array_join({parts}, '') as binary))").alias("kept")
+    own = [F.col(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in own]
+    n_spans = F.expr("cast(if(spans is null, 0, size(spans)) as long)").alias("n_spans")
+    n_removed = F.expr("if(spans is null, 0L, aggregate(spans, 0L, (n, x) -> n + x.e - x.s))").alias("n_removed")
+    return out.select(*own, F.octet_length("bytes").cast("long").alias("n_bytes"), n_spans, kept, n_removed)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

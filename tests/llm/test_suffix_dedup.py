@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -94,3 +95,17 @@ def test_line_in_every_document(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert len(suffix_dedup.frequent_anchors(docs, 100, 32, 50, 16)) > 0
     assert result(suffix_dedup.remove_repeats(docs, group=50)) == brute(rows, 100)
+
+
+def test_many_spans_in_one_text(spark):
+    """A long text cut at thousands of places, in time linear in them."""
+    r = random.Random(5)
+    word = lambda n: "".join(r.choices("abcdefghijklmnop ", k=n))
+    lines = [word(120) for _ in range(50)]
+    text = "".join(word(20) + lines[i % 50] + word(20) for i in range(12_000))
+    rows = [(1, text), (2, "é" + text[5000:9000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    got = result(suffix_dedup.remove_repeats(docs))
+    assert time.time() - began < 90
+    assert got == brute(rows, 100) and got[0][3] == 11_950
