@@ -31,6 +31,7 @@ from .spans import U, mix, prefix_sums, powers, text_blocks
 
 GROUP = 4096  #: different segments of an anchor that are compared in one task; beyond, the anchor is split
 OFTEN = 16  #: different segments of an anchor in a block of text from which on it is counted before
+WINDOW = 2 << 20  #: bytes of a text whose anchors are looked for at a time, so that memory does not follow the longest text
 LISTED = 10_000  #: anchors that are split without being brought together, at most; the list goes through the driver
 
 
@@ -65,6 +66,19 @@ def _anchors(buf: np.ndarray, offsets: np.ndarray, length: int, k: int):
     return gram[anchor], signature, lo, size, anchor - lo, np.searchsorted(offsets, lo, "right") - 1
 
 
+def _block_anchors(buf: np.ndarray, offsets: np.ndarray, length: int, k: int, window: int):
+    """_anchors() of a block, `window` starts at a time: a string's anchor depends on the string alone. A segment that a window ends in
+    is told in two parts, which meet equal strings under the same anchor as any other segments do."""
+    if len(buf) < window + length:
+        return _anchors(buf, offsets, length, k)
+    found = []
+    for at in range(0, len(buf) - length + 1, window):
+        part = buf[at : at + window + length - 1]
+        key, sig, lo, size, off, text = _anchors(part, np.clip(offsets - at, 0, len(part)), length, k)
+        found.append((key, sig, lo + at, size.astype(np.int32), off.astype(np.int32), text))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     """Overlapping or touching ranges of a document as one; doc, lo sorted."""
     if not len(doc):
@@ -77,12 +91,12 @@ def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     return doc[first], lo[first], (far - number)[np.append(first[1:], len(doc)) - 1]
 
 
-def _often(length: int, k: int, often: int):
+def _often(length: int, k: int, often: int, window: int):
     """Anchors with more than `often` different segments in a block, and how many."""
 
     def run(batches):
         for _, buf, offsets in text_blocks(batches, "doc_id", "text"):
-            key, sig, *_ = _anchors(buf, offsets, length, k)
+            key, sig, *_ = _block_anchors(buf, offsets, length, k, window)
             keys = np.sort(key)
             keys = np.unique(keys[often:][keys[often:] == keys[: len(keys) - often]])  # as many segments, equal ones included
             row = np.flatnonzero(np.isin(key, keys))
@@ -96,21 +110,21 @@ def _often(length: int, k: int, often: int):
     return run
 
 
-def frequent_anchors(docs: DataFrame, length: int, gram: int, group: int, often: int) -> np.ndarray:
+def frequent_anchors(docs: DataFrame, length: int, gram: int, group: int, often: int, window: int = WINDOW) -> np.ndarray:
     """The anchors of the most segments, more than `group`, among those that some block holds more than `often` times; LISTED at most."""
-    counts = docs.mapInArrow(_often(length, gram, often), "akey long, n long").groupBy("akey").agg(F.sum("n").alias("n"))
+    counts = docs.mapInArrow(_often(length, gram, often, window), "akey long, n long").groupBy("akey").agg(F.sum("n").alias("n"))
     listed = counts.where(F.col("n") > group).orderBy(F.desc("n"), "akey").limit(LISTED)
     return np.sort(np.array([r["akey"] for r in listed.collect()], np.int64).view(U))
 
 
-def _emit_anchors(length: int, k: int, frequent: np.ndarray):
+def _emit_anchors(length: int, k: int, frequent: np.ndarray, window: int):
     """akey: what the segment is dealt by, its anchor or, if that is frequent, both. pack: start, whether frequent, length, place."""
     names = ["akey", "sig", "doc_id", "pack"]
 
     def run(batches):
         for rows, buf, offsets in text_blocks(batches, "doc_id", "text"):
             ids = rows.column("doc_id").to_numpy(zero_copy_only=False)
-            key, sig, lo, size, off, text = _anchors(buf, offsets, length, k)
+            key, sig, lo, size, off, text = _block_anchors(buf, offsets, length, k, window)
             doc, lo = ids[text], lo - offsets[text]
             order = np.lexsort((lo, doc, sig, key))
             key, sig, lo, size, off, doc = (x[order] for x in (key, sig, lo, size, off, doc))
@@ -247,13 +261,13 @@ def _pieces(wide: DataFrame, length: int, width: int) -> DataFrame:
     return cut.select(F.expr("xxhash64(gkey, j, core)").alias("gkey"), "doc_id", F.expr("s + a").alias("s"), F.expr("cast(off - a as int)").alias("off"), F.expr(f"substring(seg, cast(a as int) + 1, cast(b - a as int) + {length})").alias("seg")).withColumn("sig", F.xxhash64("seg", "off", F.lit(7)))
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, often: int = OFTEN) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, often: int = OFTEN, window: int = WINDOW) -> DataFrame:
     """(doc_id, s, e): the maximal ranges of bytes covered by strings of `length` bytes that also start earlier. A doc_id has one text."""
     if not 8 <= gram < length < 2048 or group < 1:
         raise ValueError("8 <= gram < length < 2048 and group >= 1 are needed")
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    frequent = frequent_anchors(docs, length, gram, group, often)
-    anchors = docs.mapInArrow(_emit_anchors(length, gram, frequent), "akey long, sig long, doc_id long, pack long").repartition("akey")
+    frequent = frequent_anchors(docs, length, gram, group, often, window)
+    anchors = docs.mapInArrow(_emit_anchors(length, gram, frequent, window), "akey long, sig long, doc_id long, pack long").repartition("akey")
     ranked = _ranked(anchors, "akey", ["doc_id", "pack"])
     ranked = ranked.withColumn("variants", F.expr(f"if(pack >= 0 and (shiftright(pack, 24) & 1) = 1, {group + 1}L, variants)"))
     kept = stored(ranked.where("pack < 0 or not is_first or (rn = 1 and variants > 1)"), "anchors")
@@ -296,13 +310,15 @@ def _at_borders(spans: str, data: str) -> str:
     return _once(data, f"filter(transform({spans}, x -> struct({later} as s, {sooner} as e)), x -> x.s < x.e)")
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, whole_characters: bool = False, often: int = OFTEN) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 100, gram: int = 32, group: int = GROUP, whole_characters: bool = False, often: int = OFTEN, window: int = WINDOW
+) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept: the bytes left, as binary. A span may begin or end inside a character; with
     whole_characters such a character stays, and kept is valid UTF-8."""
     own = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_spans", "n_removed")]
     whole = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", "text", F.struct(*[c for c in own if c != "text"]).alias("row"))
     rows, _ = numbered(whole)  # the text travels once, all else beside it
-    spans = repeated_spans(rows, length, gram, group, often).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
+    spans = repeated_spans(rows, length, gram, group, often, window).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
     out = rows.join(spans, "doc_id", "left").withColumn("bytes", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     if whole_characters:
         out = out.withColumn("spans", F.expr(_at_borders("spans", "bytes")))

@@ -1,7 +1,9 @@
 import hashlib
 import random
 import time
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from gradus.llm import suffix_dedup
@@ -44,6 +46,25 @@ def test_against_brute_force(spark, seed, length, gram, group, often):
     assert result(suffix_dedup.remove_repeats(docs, length, gram, group, often=often)) == brute(rows, length)
 
 
+@pytest.mark.parametrize("window", [41, 100, 333])
+def test_windows(spark, window):
+    """Texts longer than a window: any cut gives the same result."""
+    rows = corpus(7) + [(200, "".join(t or "" for _, t in corpus(7)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert result(suffix_dedup.remove_repeats(docs, 40, 12, 3, window=window)) == brute(rows, 40)
+
+
+def test_memory_of_a_long_text():
+    """The anchors of 16 MB take a few bytes for each of the text's."""
+    buf = np.random.default_rng(1).integers(97, 123, 16 << 20).astype(np.uint8)
+    tracemalloc.start()
+    found = suffix_dedup._block_anchors(buf, np.array([0, len(buf)]), 100, 32, suffix_dedup.WINDOW)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) > 16 << 14 and peak < 320 << 20
+    assert (np.diff(found[2]) > 0).all() and found[2][-1] + found[3][-1] == len(buf)
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, s long, e long, akey string")
     assert suffix_dedup.remove_repeats(docs).count() == 0
