@@ -18,7 +18,7 @@ from ..functions.exprs import clip01, recency_weight
 from ..sources.tables import scratch
 from .features import model_matrix
 from .metrics import calibration, calibration_error, choose_candidate, errors
-from .reconcile import stratified_sample
+from .reconcile import placed_strata, share_of
 
 #: Rounds that a fit tries. `stopped` tells whether the least error came before the last of them.
 MOST_ROUNDS, STEP, SIDE_BY_SIDE = 40, 0.2, 4
@@ -38,7 +38,7 @@ class Features:
 
     @classmethod
     def fit(cls, train: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> "Features":
-        stages = [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep") for c in categories]
+        stages = [StringIndexer(inputCols=list(categories), outputCols=[f"{c}__i" for c in categories], handleInvalid="keep")] if categories else []  # one pass
         stages.append(VectorAssembler(inputCols=[*numeric, *map(_absent, numeric), *[f"{c}__i" for c in categories]], outputCol="features"))
         return cls(Pipeline(stages=stages).fit(model_matrix(train, numeric, categories)), list(numeric), list(categories))
 
@@ -55,10 +55,21 @@ class Features:
         return out.select(*[F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)], "features")
 
     def written(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        path = scratch(df.sparkSession, "features")
-        out = self.assembled(df, keep)
-        out.write.parquet(path)
-        return df.sparkSession.read.schema(out.schema).parquet(path)
+        return _written(self.assembled(df, keep), "features")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def merged_rows(df: DataFrame, by: str, y: str, w: str) -> DataFrame:
+    """by, y (its weighted mean), w (its sum): rows that are alike in by as one. Fits by squares see no difference: what they choose depends
+    on sums of w and w x y alone, the squares of y being a constant of them all. Rows without y, w or weight go."""
+    rows = df.where(F.col(y).isNotNull() & (F.col(w) > 0))
+    whole = F.sum(F.col(w).cast("double"))
+    return rows.groupBy(by).agg((F.sum(F.col(y).cast("double") * F.col(w)) / whole).alias(y), whole.alias(w))
 
 
 def truncated(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
@@ -77,18 +88,20 @@ def truncated(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
 def staged_errors(model: GBTRegressionModel, rows: DataFrame, y: str, w: str, anchor: str | None = None) -> list[float]:
     """Weighted mean absolute error after each round, of predictions as served: one pass over rows (features, y, w, anchor).
 
-    Every tree predicts once; a row's running sums give the predictions of all rounds."""
+    Every tree predicts once for each different vector of features; running sums give the predictions of all rounds, and rows that are alike
+    in features, y and anchor count as one."""
     rows, base = rows.where(F.col(y).isNotNull() & F.col(w).isNotNull()), F.col(anchor) if anchor else F.lit(0.0)
-    rows = rows.select("features", F.col(y).alias("_y"), F.col(w).alias("_w"), base.alias("_base"))
-    names = []
+    alike = rows.groupBy("features", F.col(y).alias("_y"), base.cast("double").alias("_base")).agg(F.sum(F.col(w).cast("double")).alias("_w"))
+    alike = _written(alike, "alike")
+    each, names = alike.select("features").distinct(), []
     for i, tree in enumerate(model.trees):
         names.append(f"_t{i}")
-        rows = tree.setFeaturesCol("features").setPredictionCol(names[-1]).transform(rows)
-    each = F.array(*[F.col(n) * F.lit(float(t)) for n, t in zip(names, model.treeWeights, strict=True)])
-    run = F.aggregate(each, F.array().cast("array<double>"), lambda a, x: F.array_append(a, x + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0))))
-    after = rows.select("_y", "_w", "_base", F.posexplode(run)).withColumn("_p", clip01(F.col("_base") + F.col("col")))
-    found = after.groupBy("pos").agg((F.sum(F.abs(F.col("_y") - F.col("_p")) * F.col("_w")) / F.sum("_w")).alias("error"))
-    return [r.error for r in found.orderBy("pos").collect()]  # a number a round
+        each = tree.setFeaturesCol("features").setPredictionCol(names[-1]).transform(each)
+    values = F.array(*[F.col(n) * F.lit(float(t)) for n, t in zip(names, model.treeWeights, strict=True)])
+    run = F.aggregate(values, F.array().cast("array<double>"), lambda a, x: F.array_append(a, x + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0))))
+    after = alike.join(_written(each.select("features", run.alias("_run")), "runs"), "features")
+    error = lambda i: F.sum(F.abs(F.col("_y") - clip01(F.col("_base") + F.col("_run")[i])) * F.col("_w")) / F.sum("_w")
+    return list(after.agg(F.array(*[error(i) for i in range(len(names))]).alias("errors")).first().errors)  # a number a round
 
 
 @dataclass
@@ -114,7 +127,7 @@ def fit_trees(
     """Weighted trees on rows with features. With a validation set: the rounds of least weighted absolute error in y there; without,
     all rounds. target: what the trees fit, if not y: its gap to the anchor."""
     target = target or y
-    rows = train.where(F.col(target).isNotNull() & F.col(w).isNotNull())
+    rows = _written(merged_rows(train, "features", target, w), "merged")
     model = GBTRegressor(labelCol=target, weightCol=w, featuresCol="features", predictionCol="_p", maxIter=rounds, maxDepth=depth, seed=seed, maxBins=64, stepSize=step).fit(rows)
     if validation is None:
         return Boosted(model, [])
@@ -154,7 +167,7 @@ def _side_by_side(tasks: Sequence[Callable[[], DataFrame]]) -> DataFrame:
 
 
 def fit_isotonic(df: DataFrame, p: str, y: str, w: str):
-    return IsotonicRegression(featuresCol=p, labelCol=y, weightCol=w, predictionCol="_iso").fit(df.where(F.col(y).isNotNull()).select(F.col(p), y, w))
+    return IsotonicRegression(featuresCol=p, labelCol=y, weightCol=w, predictionCol="_iso").fit(merged_rows(df.where(F.col(p).isNotNull()), p, y, w))
 
 
 def calibrate(model, df: DataFrame, p: str, name: str) -> DataFrame:
@@ -199,7 +212,7 @@ def grid(
         weight = F.col(w) if half_life is None else F.col(w) * recency_weight(session, reference, half_life)
         own = rows.withColumn(w, weight).withColumn("_gap", F.col(y) - F.col(anchor))
         boosted = fit_trees(own, held, y, w, "_gap" if gap else None, anchor if gap else None, rounds)
-        found = served(boosted.model, held, [y, w, fold, group, anchor], anchor=anchor if gap else None)
+        found = _written(served(boosted.model, held, [y, w, fold, group, anchor], anchor=anchor if gap else None), "found")
         calibrated = calibrated_out_of_fold(found, "prediction", y, w, fold)
         name = f"{'gap' if gap else 'rate'}, half-life {half_life or 'none'}"
         both = scores(found, y, "prediction", w, name, group).unionByName(scores(calibrated, y, "calibrated", w, f"{name}, calibrated", group))
@@ -233,7 +246,7 @@ def ablation(
         slicer = VectorSlicer(inputCol="_all", outputCol="features", indices=places)
         rows, held, asked = (slicer.transform(df.withColumnRenamed("features", "_all")).drop("_all") for df in frames)
         boosted = fit_trees(rows, held, y, w, rounds=rounds)
-        part = scores(served(boosted.model, asked, [y, w]), y, "prediction", w, name)
+        part = scores(_written(served(boosted.model, asked, [y, w]), "found"), y, "prediction", w, name)
         return part.withColumn("rounds", F.lit(boosted.rounds)).withColumn("stopped", F.lit(boosted.stopped))
 
     out = _side_by_side([lambda n=n, x=x: fit(n, x) for n, x in {"all": (), **without}.items()])
@@ -247,12 +260,12 @@ def learning_curve(
 ) -> DataFrame:
     """Scores on the test set of fits to a share of each session's rows, each stopped on the validation set."""
     features = Features.fit(train, numeric, categories)
-    rows = features.written(train, list(dict.fromkeys([y, w, session, *key])))
+    strata = placed_strata(features.written(train, list(dict.fromkeys([y, w, session, *key]))), session, key)  # once for all steps
     held, asked = (features.written(df, [y, w]) for df in (validation, test))
 
     def fit(step: float) -> DataFrame:
-        boosted = fit_trees(stratified_sample(rows, session, key, step), held, y, w, rounds=rounds)
-        part = scores(served(boosted.model, asked, [y, w]), y, "prediction", w, f"{step:g}")
+        boosted = fit_trees(share_of(strata, step), held, y, w, rounds=rounds)
+        part = scores(_written(served(boosted.model, asked, [y, w]), "found"), y, "prediction", w, f"{step:g}")
         return part.withColumn("rounds", F.lit(boosted.rounds)).withColumn("stopped", F.lit(boosted.stopped))
 
     return _side_by_side([lambda x=x: fit(x) for x in steps])

@@ -122,12 +122,23 @@ def stratified_sample(df: DataFrame, stratum: str, key: Sequence[str], fraction:
     """round(fraction * n) rows of each stratum, by a seeded hash of the key; 1 keeps all. A stratum is spread over ranges."""
     if not 0 < fraction <= 1:
         raise ValueError("fraction must lie in (0, 1]")
-    if fraction == 1:
-        return df
-    rows = placed(df.withColumn("_hash", F.xxhash64(F.lit(seed), *key)), [stratum, "_hash", *key], "_place")
-    sizes = rows.groupBy(stratum).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).withColumnRenamed(stratum, "_stratum")
-    rows = rows.join(sizes, F.col(stratum).eqNullSafe(F.col("_stratum")))
-    return rows.where(F.col("_place") - F.col("_first") < F.bround(F.col("_n") * F.lit(fraction), 0)).select(*df.columns)
+    return df if fraction == 1 else share_of(placed_strata(df, stratum, key, seed), fraction)
+
+
+def placed_strata(df: DataFrame, stratum: str, key: Sequence[str], seed: int = 0) -> DataFrame:
+    """df with _at, a row's place in its stratum by a seeded hash of the key, and _n, the stratum's rows. Ranges are put in order, and only the
+    few counts of ranges and strata are brought together, so no task gets a stratum."""
+    parts = ranged(df.withColumn("_hash", F.xxhash64(F.lit(seed), *key)), [stratum, "_hash", *key])
+    counts = parts.groupBy(F.col(stratum).alias("_stratum"), "_part").agg(F.count(F.lit(1)).alias("_pn"), F.min("_at").alias("_least"))
+    own = Window.partitionBy("_stratum")
+    counts = counts.select("_stratum", F.col("_part").alias("_p"), (F.sum("_pn").over(own.orderBy("_part")) - F.col("_pn") - F.col("_least")).alias("_shift"), F.sum("_pn").over(own).alias("_n"))
+    rows = parts.join(F.broadcast(counts), F.col(stratum).eqNullSafe(F.col("_stratum")) & (F.col("_part") == F.col("_p")))  # a row a stratum and range
+    return rows.select(*df.columns, (F.col("_at") + F.col("_shift")).alias("_at"), "_n")
+
+
+def share_of(strata: DataFrame, fraction: float) -> DataFrame:
+    """round(fraction * n) rows of each stratum of placed_strata(), the first."""
+    return strata.where(F.col("_at") < F.bround(F.col("_n") * F.lit(fraction), 0)).drop("_at", "_n")
 
 
 def table_difference(a: DataFrame, b: DataFrame) -> DataFrame:

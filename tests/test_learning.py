@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gradus.operators import learning, metrics
+from gradus.operators import learning, metrics, reconcile
 
 NUMERIC, CATEGORIES = ["a", "b"], ["kind"]
 
@@ -99,3 +99,30 @@ def test_batch_prediction_is_null_free_and_repeatable(rows):
     model = learning.fit_boosted(train, None, NUMERIC, CATEGORIES, "y", "w", rounds=2)
     a, b = (learning.predict(model, test.withColumn("kind", F.when(F.col("id") % 4 != 0, "new")), NUMERIC, CATEGORIES, ["id"]).orderBy("id").collect() for _ in "ab")
     assert a == b and all(r.prediction is not None for r in a)
+
+
+def test_alike_rows_are_fitted_as_one(rows):
+    """Fewer rows reach the trees, sums stay, and the trees are those of the rows one by one."""
+    features = learning.Features.fit(rows, ["b"], CATEGORIES)
+    own = features.written(rows.withColumn("w", F.col("id") % 3 + 1), ["y", "w"])
+    merged = learning.merged_rows(own, "features", "y", "w").persist()
+    assert merged.count() == own.select("features").distinct().count() < 30
+    sums = [df.agg(F.sum("w").alias("w"), F.sum(F.col("y") * F.col("w")).alias("s")).first() for df in (own, merged)]
+    assert sums[0].w == sums[1].w and sums[0].s == pytest.approx(sums[1].s)
+    plain = learning.GBTRegressor(labelCol="y", weightCol="w", featuresCol="features", predictionCol="_p", maxIter=5, maxDepth=3, seed=1, maxBins=64, stepSize=0.5).fit(own)
+    got = learning.fit_trees(own, None, "y", "w", rounds=5, step=0.5).model
+    for a, b in zip(*(learning.served(m, merged.orderBy("y"), ["y"]).collect() for m in (plain, got)), strict=True):
+        assert a.y == b.y and a.prediction == pytest.approx(b.prediction, abs=1e-9)
+
+
+def test_a_share_brings_no_stratum_to_one_task(spark, rows):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        strata = reconcile.placed_strata(rows.select("id", "session"), "session", ["id"])
+        assert "SortMergeJoin" not in strata._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    places = {s: sorted(r["_at"] for r in strata.where(F.col("session") == s).collect()) for s in range(2015, 2021)}
+    assert all(p == list(range(200)) for p in places.values()) and strata.where("_n <> 200").isEmpty()
+    assert reconcile.share_of(strata, 0.25).groupBy("session").count().where("count <> 50").isEmpty()
