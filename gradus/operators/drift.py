@@ -1,36 +1,40 @@
 """Drift between a reference and a later sample, for any two sets of sessions, from one histogram.
 
 histogram() counts each value of each variable by session; that table can be added to one of later sessions (merged()). Values are then put
-in order once, by ranges, with their running counts by session beside them (Ordered). Deciles, bins and
-distribution functions of every comparison are differences of those running counts, so no row is repeated for a comparison.
+in order once, by ranges, and cut into blocks, with the counts by session before and up to each block (Ordered). Deciles, bins and
+distribution functions of every comparison are differences of running counts, so no row is repeated for a comparison; and only blocks that can
+hold an answer are looked into.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import category_key
 from ..sources.tables import scratch
-from .reconcile import ranged
 
 FLOOR = 1e-4
+#: Values of a block.
+BLOCK = 1024
 Comparisons = dict[str, tuple[Sequence, Sequence]]
 
 
 def histogram(df: DataFrame, session: str, numbers: Sequence[str], categories: Sequence[str] = ()) -> DataFrame:
     """variable, session, value (of a number), category (of a text, canonical; missing is one of them), n, present: rows whose value
-    isn't null. One scan and one shuffle; every variable is unpivoted inside the scan."""
-    none = F.lit(None)
-    of = [F.struct(F.lit(c).alias("variable"), F.lit(False).alias("text"), F.col(c).cast("double").alias("value"), none.cast("string").alias("category")) for c in numbers]
-    of += [F.struct(F.lit(c).alias("variable"), F.lit(True).alias("text"), none.cast("double").alias("value"), F.col(c).cast("string").alias("category")) for c in categories]
-    rows = df.select(F.col(session).alias("session"), F.explode(F.array(*of)).alias("r")).select("session", "r.*")
-    counts = rows.groupBy("variable", "text", "session", "value", "category").agg(F.count(F.lit(1)).alias("n"))
-    if not categories:
-        return counts.withColumn("present", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0).cast("long"))
-    present = F.when(F.col("value").isNotNull() | F.col("category").isNotNull(), F.col("n")).otherwise(0).cast("long")
-    key = F.when(F.col("text"), category_key("category"))  # once a distinct category and session
-    return merged([counts.withColumn("present", present).withColumn("category", key)])
+    isn't null. Numbers and texts are each unpivoted and counted in one scan of their columns and one shuffle, by a key no wider than they need."""
+    parts, none = [], F.lit(None)
+    if numbers:
+        rows = df.select(F.col(session).alias("_session"), *[F.col(c).cast("double").alias(c) for c in numbers]).unpivot("_session", list(numbers), "variable", "value")
+        counts = rows.groupBy("variable", F.col("_session").alias("session"), "value").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("present"))
+        parts.append(counts.select("variable", F.lit(False).alias("text"), "session", "value", none.cast("string").alias("category"), "n", "present"))
+    if categories:
+        rows = df.select(F.col(session).alias("_session"), *[F.col(c).cast("string").alias(c) for c in categories]).unpivot("_session", list(categories), "variable", "category")
+        counts = rows.groupBy("variable", F.col("_session").alias("session"), "category").agg(F.count(F.lit(1)).alias("n"), F.count("category").alias("present"))
+        key = category_key("category").alias("category")  # once a distinct category and session
+        parts.append(merged([counts.select("variable", F.lit(True).alias("text"), "session", none.cast("double").alias("value"), key, "n", "present")]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def stored_histogram(df: DataFrame, session: str, numbers: Sequence[str], categories: Sequence[str] = ()) -> DataFrame:
@@ -68,43 +72,53 @@ def _by_session(sessions: Sequence, count: str) -> Column:
 
 
 class Ordered:
-    """The numbers of a histogram in order: for each variable, range and value the counts up to it by session; and the ranges."""
+    """The numbers of a histogram in order. rows: variable, block, value, n (counts by session). blocks: a row a block, with its least value and
+    the variable's counts by session before it, up to its end, and of all."""
 
     def __init__(self, hist: DataFrame, sessions: Sequence):
-        n, variable = range(len(sessions)), Window.partitionBy("variable")
-        wide = hist.where("not text and value is not null and session is not null").groupBy("variable", "value").agg(_by_session(sessions, "n").alias("n"))
-        parts = ranged(wide, ["variable", "value"]).drop("_at")
-        ranges = parts.groupBy("variable", "_part").agg(F.min("value").alias("least"), *[F.sum(F.col("n")[i]).alias(f"s{i}") for i in n])
-        before = F.array(*[F.sum(f"s{i}").over(variable.orderBy("_part")) - F.col(f"s{i}") for i in n])
-        self.ranges = _stored(ranges.select("variable", "_part", "least", before.alias("before"), F.array(*[F.sum(f"s{i}").over(variable) for i in n]).alias("all")), "ranges")  # a row a range
-        upto = Window.partitionBy("variable", "_part").orderBy("value")
-        run = F.array(*[F.col("before")[i] + F.sum(F.col("n")[i]).over(upto) for i in n])
-        rows = parts.join(self.ranges, ["variable", "_part"])
-        self.rows = _stored(rows.select("variable", "_part", "value", F.lead("value").over(upto).alias("next"), "n", run.alias("run"), "all"), "ordered")
+        self.n = range(len(sessions))
+        variable = Window.partitionBy("variable")
+        # Dealt by ranges first: a value's sessions meet there, so counting them asks for no shuffle of its own.
+        dealt = hist.where("not text and value is not null and session is not null").select("variable", "value", "session", "n").repartitionByRange("variable", "value")
+        counts = [F.coalesce(F.sum(F.when(F.col("session") == F.lit(s), F.col("n"))), F.lit(0)).cast("long").alias(f"s{i}") for i, s in enumerate(sessions)]
+        parts = dealt.groupBy("variable", "value").agg(*counts).sortWithinPartitions("variable", "value")
+        place = F.monotonically_increasing_id()  # the range in the upper bits, the place there in the lower 33
+        self.rows = _stored(parts.withColumn("block", place - place % BLOCK), "ordered")
+        blocks = self.rows.groupBy("variable", "block").agg(F.min("value").alias("least"), *[F.sum(f"s{i}").alias(f"s{i}") for i in self.n])
+        upto = F.array(*[F.sum(f"s{i}").over(variable.orderBy("block")) for i in self.n])
+        before = F.array(*[F.sum(f"s{i}").over(variable.orderBy("block")) - F.col(f"s{i}") for i in self.n])
+        whole = F.array(*[F.sum(f"s{i}").over(variable) for i in self.n])
+        self.blocks = _stored(blocks.select("variable", "block", "least", before.alias("before"), upto.alias("upto"), whole.alias("all")), "blocks")
+
+    def within(self, blocks: DataFrame) -> DataFrame:
+        """Rows of some blocks: variable, block, value, n, run (the counts by session up to the value), all."""
+        upto = Window.partitionBy("variable", "block").orderBy("value")
+        rows = self.rows.join(F.broadcast(blocks.select("variable", "block", "before", "all")), ["variable", "block"])  # a row a block
+        run = F.array(*[F.col("before")[i] + F.sum(f"s{i}").over(upto) for i in self.n])
+        return rows.select("variable", "block", "value", F.array(*[f"s{i}" for i in self.n]).alias("n"), run.alias("run"), "all")
 
     def at(self, asked: DataFrame) -> DataFrame:
         """asked: variable, x, others. Adds run, the counts by session up to x (null before the first value).
 
-        asked is a small table: each of its rows belongs to one range, where it meets one row."""
-        ranges = self.ranges.select(F.col("variable").alias("_v"), F.col("_part").alias("_p"), "least")
-        of = asked.join(F.broadcast(ranges), (F.col("variable") == F.col("_v")) & (F.col("least") <= F.col("x")), "left")  # rows of ranges
-        of = of.groupBy(*asked.columns).agg(F.max("_p").alias("_part"))
-        rows = self.rows.select("variable", "_part", "value", "next", "run")
-        found = rows.join(F.broadcast(of), ["variable", "_part"]).where("value <= x and (next is null or x < next)")  # asked's rows
-        return of.drop("_part").join(found.select(*asked.columns, "run"), list(asked.columns), "left")
+        asked is a small table: each of its rows belongs to one block, whose values up to x are counted."""
+        of = self.blocks.select("variable", "block", "least", "before").join(F.broadcast(asked), "variable").where("least <= x")  # asked's rows
+        of = of.groupBy(*asked.columns).agg(F.max("block").alias("block"), F.max_by("before", "block").alias("before"))
+        counts = self.rows.join(F.broadcast(of), ["variable", "block"]).where("value <= x")  # asked's rows
+        run = F.array(*[F.first("before")[i] + F.sum(f"s{i}") for i in self.n])
+        found = counts.groupBy(*asked.columns).agg(run.alias("run"))
+        return asked.join(F.broadcast(found), list(asked.columns), "left")  # asked's rows
 
     def quantiles(self, references: Sequence[tuple[int, ...]], bins: int) -> DataFrame:
         """variable, reference (its place), q: least value, inner quantiles, largest value, interpolated between neighbours."""
-        of = self.ranges.select("variable", "_part", "before", "all", F.posexplode(F.array(*[F.array(*map(F.lit, r)) for r in references])).alias("reference", "places"))
+        of = self.blocks.select("variable", "block", "before", "upto", "all", F.posexplode(F.array(*[F.array(*map(F.lit, r)) for r in references])).alias("reference", "places"))
         add = "aggregate(places, 0L, (t, i) -> t + {}[i])"
-        of = of.select("variable", "_part", "reference", "places", F.expr(add.format("before")).alias("first"), F.expr(add.format("all")).alias("total")).where("total > 0")
-        of = of.withColumn("next", F.lead("first").over(Window.partitionBy("variable", "reference").orderBy("_part")))
+        of = of.withColumns({c: F.expr(add.format(array)) for c, array in (("first", "before"), ("end", "upto"), ("total", "all"))}).where("first < end")
         place = F.col("k") * (F.col("total") - 1) / F.lit(float(bins))
         wanted = of.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(bins)))).withColumn("share", place - F.floor(place))
-        wanted = wanted.withColumn("pos", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
-        wanted = wanted.where("first <= pos and (next is null or pos < next)").select("variable", "_part", "reference", "places", "k", "share", "pos")
-        rows = self.rows.select("variable", "_part", "value", "n", "run").join(F.broadcast(wanted), ["variable", "_part"])  # quantiles of each variable and reference
-        rows = rows.withColumn("upto", F.expr(add.format("run"))).where(F.col("pos") < F.col("upto")).where(F.col("pos") >= F.col("upto") - F.expr(add.format("n")))
+        wanted = wanted.withColumn("pos", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place))))).where("first <= pos and pos < end")
+        wanted = _stored(wanted.select("variable", "block", "before", "all", "reference", "places", "k", "share", "pos"), "wanted")
+        rows = self.within(wanted.dropDuplicates(["variable", "block"])).join(F.broadcast(wanted.drop("before", "all")), ["variable", "block"])  # quantiles of each variable and reference
+        rows = rows.withColumn("end", F.expr(add.format("run"))).where(F.col("pos") < F.col("end")).where(F.col("pos") >= F.col("end") - F.expr(add.format("n")))
         value = F.min("value") + F.max("share") * (F.max("value") - F.min("value"))
         each = rows.groupBy("variable", "reference", "k").agg(value.alias("q"))
         return each.groupBy("variable", "reference").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "q"))), lambda r: r["q"]).alias("q"))  # bins + 1 a group
@@ -122,7 +136,7 @@ def _index(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 def _numeric(ordered: Ordered, sides, bins: int) -> DataFrame:
     """variable, comparison, psi. Bins are the reference's quantile bins: equal edges merged, ends open, (a, b]."""
     references = list(dict.fromkeys(tuple(a) for _, a, _ in sides))
-    edges = ordered.quantiles(references, bins)
+    edges = _stored(ordered.quantiles(references, bins), "edges")  # a row a variable and reference
 
     def comparison(name: str, a: list[int], b: list[int]) -> Column:
         places = [F.array(*map(F.lit, x)).alias(n) for n, x in (("a_of", a), ("b_of", b))]
@@ -131,7 +145,7 @@ def _numeric(ordered: Ordered, sides, bins: int) -> DataFrame:
     of = F.array(*[comparison(*side) for side in sides])
     inner = F.expr("filter(array_distinct(q), e -> e > q[0] and e < q[size(q) - 1])")
     asked = edges.where("q[0] < element_at(q, -1)").select("variable", "reference", F.explode(F.concat(inner, F.array(F.element_at("q", -1)))).alias("x"))
-    ends = ordered.ranges.groupBy("variable").agg(F.first("all").alias("all"))
+    ends = ordered.blocks.groupBy("variable").agg(F.first("all").alias("all"))
     last = edges.select("variable", "reference", F.element_at("q", -1).alias("last"))
     runs = ordered.at(asked).join(F.broadcast(ends), "variable").join(F.broadcast(last), ["variable", "reference"])  # a row a variable
     run = F.when(F.col("x") == F.col("last"), F.col("all")).otherwise(F.coalesce("run", F.transform("all", lambda x: x * 0)))  # the last bin is open
@@ -145,12 +159,18 @@ def _numeric(ordered: Ordered, sides, bins: int) -> DataFrame:
 
 
 def _distances(ordered: Ordered, sides) -> DataFrame:
-    """variable, comparison, ks: the largest distance of the two distribution functions, null if a side is empty. One pass."""
-    share = lambda places: F.try_divide(_total("run", places), _total("all", places))
-    far = [F.max(F.abs(share(a) - share(b))).alias(f"d{i}") for i, (_, a, b) in enumerate(sides)]
-    wide = ordered.rows.groupBy("variable").agg(*far)
-    each = F.array(*[F.struct(F.lit(name).alias("comparison"), F.col(f"d{i}").alias("ks")) for i, (name, _, _) in enumerate(sides)])
-    return wide.select("variable", F.explode(each).alias("r")).select("variable", "r.*")
+    """variable, comparison, ks: the largest distance of the two distribution functions, null if a side is empty.
+
+    It is known at the ends of blocks. Inside a block neither function leaves what it is before it and at its end, so only blocks whose bounds
+    lie further apart than any ends do are looked into."""
+    share = lambda run, places: F.try_divide(_total(run, places), _total("all", places))
+    far = lambda run: [F.max(F.abs(share(run, a) - share(run, b))) for _, a, b in sides]
+    ends = _stored(ordered.blocks.groupBy("variable").agg(*[d.alias(f"e{i}") for i, d in enumerate(far("upto"))]), "ends")  # a row a variable
+    bound = [F.greatest(share("upto", a) - share("before", b), share("upto", b) - share("before", a)) for _, a, b in sides]
+    further = reduce(lambda x, y: x | y, [F.coalesce(d > F.col(f"e{i}"), F.lit(False)) for i, d in enumerate(bound)])
+    inside = ordered.within(ordered.blocks.join(F.broadcast(ends), "variable").where(further)).groupBy("variable").agg(*[d.alias(f"d{i}") for i, d in enumerate(far("run"))])
+    each = F.array(*[F.struct(F.lit(name).alias("comparison"), F.greatest(f"e{i}", f"d{i}").alias("ks")) for i, (name, _, _) in enumerate(sides)])
+    return ends.join(F.broadcast(inside), "variable", "left").select("variable", F.explode(each).alias("r")).select("variable", "r.*")  # a row a variable
 
 
 def _categorical(hist: DataFrame, sessions: Sequence, sides, top: int, other: str) -> DataFrame:

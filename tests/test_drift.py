@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gradus.operators import drift
 
@@ -89,3 +90,45 @@ def test_who_asks_for_retraining(spark):
     assert both == {"p": True, "q": True}
     assert drift.retraining(make([row("a", "variable", "p", 0.2)]), ["p"]).first().retrain
     assert [r.variable for r in drift.worst(make([*calm, row("y", "target", "p", 5.0)]), "p", 2).collect()] == ["a", "b"]
+
+
+def test_only_blocks_that_can_hold_an_answer_are_looked_into(spark, monkeypatch):
+    """Values are put in order by one shuffle, and quantiles, bins and distances come from few of their blocks."""
+    monkeypatch.setattr(drift, "BLOCK", 16)
+    stored, looked = drift._stored, []
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    class Watched(drift.Ordered):
+        def within(self, blocks):
+            looked.append(blocks.count())
+            return super().within(blocks)
+
+    monkeypatch.setattr(drift, "_stored", noted)
+    monkeypatch.setattr(drift, "Ordered", Watched)
+    r = np.random.default_rng(3)
+    data = [(int(s), float(np.round(r.normal(s, 1), 3)), float(r.integers(0, 40)) if s < 3 else None) for s in r.integers(1, 4, 4000)]
+    df = spark.createDataFrame(data, "session int, x double, few double").repartition(3)
+    got = {(q.variable, q.comparison): q for q in drift.drift_report(df, "session", ["x", "few"], [], COMPARISONS).collect()}
+    for name, (a, b) in COMPARISONS.items():
+        for i, variable in enumerate(["x", "few"], 1):
+            left, right = (np.array([d[i] for d in data if d[0] in s and d[i] is not None]) for s in (a, b))
+            assert got[variable, name].psi == pytest.approx(brute_psi(left, right), abs=1e-9)
+            assert got[variable, name].ks == (None if (k := brute_ks(left, right)) is None else pytest.approx(k, abs=1e-12))
+    assert plans["ordered"].count("Exchange ") == 1
+    blocks = len({d[1] for d in data}) // 16
+    assert len(looked) == 2 and max(looked) < blocks / 2
+
+
+def test_numbers_are_counted_by_a_key_without_texts(spark):
+    df = spark.createDataFrame(rows(7, 50), "session int, x double, few double, flat double, word string")
+    plan = drift.histogram(df, "session", ["x", "few"])._jdf.queryExecution().executedPlan().toString()
+    keys = plan[plan.index("HashAggregate(keys=[") :].split("]")[0]
+    assert "category" not in keys and "Generate" not in plan
+    both = drift.histogram(df, "session", ["x"], ["word"])
+    assert both.columns == ["variable", "text", "session", "value", "category", "n", "present"]
+    counted = {tuple(r) for r in both.groupBy("variable").agg(F.sum("n"), F.sum("present")).collect()}
+    assert counted == {("x", 50, df.where("x is not null").count()), ("word", 50, df.where("word is not null").count())}
